@@ -82,18 +82,22 @@ def observed_metrics(observation: Observation, rules: list[Rule], dataset: str)
             for r in rules]
 
 
-def expectation_metrics(df: DataFrame, rules: list[Rule], dataset: str) -> DataFrame:
-    """(dataset, name, action, passed_records, failed_records): one aggregate, then unpivot."""
+def expectation_metrics(df: DataFrame, rules: list[Rule], dataset: str, by: list[str] | None = None) -> DataFrame:
+    """(dataset, [by...], name, action, passed_records, failed_records): one aggregate, then unpivot.
+
+    ``by`` gives per-batch (e.g. per-day) counts in the same single pass.
+    """
+    by = list(by or [])
     aggs = []
     for i, r in enumerate(rules):
         ok = r.passed()
         aggs += [F.count_if(ok).alias(f"p{i}"), F.count_if(~ok).alias(f"f{i}")]
-    one = df.agg(*aggs)
+    one = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     structs = [F.struct(F.lit(r.name).alias("name"), F.lit(r.action).alias("action"),
                         F.col(f"p{i}").alias("passed_records"), F.col(f"f{i}").alias("failed_records"))
                for i, r in enumerate(rules)]
-    return (one.select(F.inline(F.array(*structs)))
-               .select(F.lit(dataset).alias("dataset"), "name", "action", "passed_records", "failed_records"))
+    return (one.select(*by, F.inline(F.array(*structs)))
+               .select(F.lit(dataset).alias("dataset"), *by, "name", "action", "passed_records", "failed_records"))
 
 
 def rule_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
