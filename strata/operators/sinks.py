@@ -52,9 +52,10 @@ def refresh_groups(target: DataFrame, changes: DataFrame, group_cols: list[str],
     are kept. Written with dynamic partition overwrite when the target is
     partitioned by the group columns, only the touched partitions are rewritten.
     """
-    touched = changes.select(*group_cols).distinct()
+    fresh = builder(changes)
+    touched = fresh.select(*group_cols).distinct()
     kept = target.join(touched, on=group_cols, how="left_anti")
-    return kept.unionByName(builder(changes))
+    return kept.unionByName(fresh)
 
 
 def quarantine(df: DataFrame, rules: list[Rule], source: str, as_of: datetime,

@@ -1,3 +1,284 @@
-"""Queries (filled in below)."""
+"""Ingestion and sink queries: streaming bronze, file metadata, rescue, schema
+evolution, nested JSON, full rebuild, COPY INTO, typed batch reads, broker
+payloads, daily loads, partition discovery, appends, overwrites, refreshes."""
 
 from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions.parsing import parse_month_br
+from strata.operators import aggregates as A
+from strata.operators import sinks as S
+from strata.operators.quality import DROP, WARN, Rule, expect
+from strata.plans import views as V
+from strata.plans.q_gold import MONTHLY_SQL, silver_obs
+from strata.plans.registry import query
+from strata.session import work_path
+from strata.sources import files as SF
+from strata.sources import rescue as R
+from strata.sources.landing import TS_FORMAT, land, land_by_day
+from strata.streaming.ingest import ingest_available_now
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+    T.StructField("day", T.StringType()),
+])
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+INGESTED_AT = datetime(2024, 2, 1)
+
+
+def _bronze_events(spark, d, runs: int = 1):
+    """Land events as JSON (one folder per day), ingest with availableNow ``runs`` times."""
+    landing = land_by_day(V.table(spark, d, "events"), "ts", work_path(spark, "landing-events"),
+                          timestampNTZFormat=TS_FORMAT)
+    target, ckpt = work_path(spark, "bronze-events"), work_path(spark, "ckpt-bronze-events")
+    for _ in range(runs):
+        ingest_available_now(spark, landing, "json", EVENT_SCHEMA, target, ckpt, ingested_at=INGESTED_AT,
+                             timestampNTZFormat=TS_FORMAT)
+    return spark.read.parquet(target)
+
+
+@query("src_stream_events", "SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def src_stream_events(spark, d):
+    """SRC-1 / SNK-1: incremental JSON landing -> bronze parquet via a checkpointed stream."""
+    return _bronze_events(spark, d).select(*EVENT_COLS, "day")
+
+
+@query("src_file_metadata", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, 1::BIGINT AS n_files, COUNT(*) AS n_rows,
+       TIMESTAMP '2024-02-01 00:00:00' AS ingerido_em FROM events GROUP BY 1""")
+def src_file_metadata(spark, d):
+    """SRC-2: audit columns (source file, file time, ingestion time): one file per landing day."""
+    b = _bronze_events(spark, d)
+    return (b.groupBy("day").agg(F.count_distinct(SF.FILE_COL).alias("n_files"), F.count(F.lit(1)).alias("n_rows"),
+                                 F.max(F.col(SF.INGESTED_COL).cast("timestamp_ntz")).alias("ingerido_em")))
+
+
+@query("src_available_now_twice", "SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS n_rows FROM events GROUP BY 1")
+def src_available_now_twice(spark, d):
+    """SRC-6: two availableNow runs on the same checkpoint load every file exactly once."""
+    return _bronze_events(spark, d, runs=2).groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+FROZEN = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                       T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+def _raw_json_events(spark, d):
+    """JSON text per event with an extra object field, an extra ts field on every third
+    event and a wrongly typed value on every 50th."""
+    e = V.table(spark, d, "events")
+    val = F.when(F.col("event_id") % 50 == 0, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
+    ts = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"ts":"'), F.col("ts").cast("string"), F.lit('"'))).otherwise(F.lit(""))
+    text = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":'), F.col("user_id").cast("string"),
+                    F.lit(',"event_type":"'), F.col("event_type"), F.lit('","value":'), val,
+                    F.lit(',"extra":'), F.col("props"), ts, F.lit("}"))
+    return e.select(text.alias("text"))
+
+
+@query("src_rescue", """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 50 = 0 THEN NULL ELSE value END AS value,
+  'extra' || CASE WHEN event_id % 3 = 0 THEN ',ts' ELSE '' END || CASE WHEN event_id % 50 = 0 THEN ',value' ELSE '' END AS rescued_keys,
+  CASE WHEN event_id % 50 = 0 THEN 'abc' END AS rescued_value, FALSE AS _corrupt FROM events""")
+def src_rescue(spark, d):
+    """SRC-3: frozen schema; unknown fields and type mismatches kept in _rescued_data."""
+    r = R.read_rescued(_raw_json_events(spark, d), "text", FROZEN)
+    m = F.from_json(F.col(R.RESCUED), T.MapType(T.StringType(), T.StringType()))
+    return r.select("event_id", "user_id", "event_type", "value", R.rescued_keys().alias("rescued_keys"),
+                    m["value"].alias("rescued_value"), R.CORRUPT)
+
+
+@query("src_evolve", """
+SELECT event_id, user_id, event_type, value, CASE WHEN day(ts) > 15 THEN props END AS props FROM events""")
+def src_evolve(spark, d):
+    """SRC-4 addNewColumns: the first run with a new column stops with SchemaEvolved and
+    stores the wider schema; the rerun continues and older rows read NULL."""
+    e = V.table(spark, d, "events")
+    landing, schema_path = work_path(spark, "landing-evolve"), work_path(spark, "schema-evolve")
+    target, ckpt = work_path(spark, "bronze-evolve"), work_path(spark, "ckpt-evolve")
+    gen1 = e.filter(F.dayofmonth("ts") <= 15).select("event_id", "user_id", "event_type", "value",
+                                                     F.lit("g1").alias("gen"))
+    gen2 = e.filter(F.dayofmonth("ts") > 15).select("event_id", "user_id", "event_type", "value", "props",
+                                                    F.lit("g2").alias("gen"))
+    land(gen1, landing + "/gen=g1", "json")
+    schema = R.evolve_schema(spark, landing, schema_path)
+    ingest_available_now(spark, landing, "json", schema, target, ckpt, mtime=False, ingested_at=INGESTED_AT)
+    land(gen2, landing + "/gen=g2", "json")
+    try:
+        R.evolve_schema(spark, landing, schema_path)
+        raise AssertionError("new column not detected")
+    except R.SchemaEvolved:
+        pass
+    schema = R.evolve_schema(spark, landing, schema_path)  # the rerun starts with the widened schema
+    ingest_available_now(spark, landing, "json", schema, target, ckpt, mtime=False, ingested_at=INGESTED_AT)
+    return SF.read_target(spark, target).select("event_id", "user_id", "event_type", "value", "props")
+
+
+def _envelopes(spark, d):
+    """Market-expectation envelopes (nested OData payload) from lineitem rows."""
+    li = V.table(spark, d, "lineitem")
+    k = F.col("l_partkey") + F.col("l_linenumber")
+    item = F.struct(
+        F.lit("IPCA").alias("Indicador"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Data"),
+        F.when(k % 11 == 0, F.lit("13/2001")).otherwise(F.date_format("l_shipdate", "MM/yyyy")).alias("DataReferencia"),
+        F.col("l_extendedprice").alias("Media"),
+        F.when(k % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("l_quantity")).alias("Mediana"),
+        F.col("l_linenumber").alias("numeroRespondentes"))
+    env = li.select(F.date_format("l_shipdate", "yyyy-MM").alias("mes"),
+                    F.lit("2024-02-01T00:00:00").alias("coletado_em"), F.lit("ExpectativaMercadoMensais").alias("endpoint"),
+                    F.struct(F.lit("$metadata#_odata").alias("@odata.context"), F.array(item).alias("value")).alias("payload"))
+    return env
+
+
+EXP_RULES = [Rule("mediana_valida", "mediana IS NOT NULL", DROP), Rule("referencia_valida", "mes_referencia IS NOT NULL", WARN)]
+
+
+@query("src_nested_json", """
+SELECT 'IPCA' AS indicador, CAST(l_shipdate AS DATE) AS data_boletim,
+  CASE WHEN (l_partkey + l_linenumber) % 11 = 0 THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS DATE) END AS mes_referencia,
+  l_extendedprice AS media, l_quantity AS mediana, l_linenumber AS respondentes
+FROM lineitem WHERE (l_partkey + l_linenumber) % 17 <> 0""")
+def src_nested_json(spark, d):
+    """SRC-5: nested JSON with typed inference, streamed, flattened with explode, DROP/WARN rules."""
+    landing = land(_envelopes(spark, d), work_path(spark, "landing-expect"), "json", partition_by=["mes"])
+    schema = spark.read.json(landing).schema  # typed inference (structs stay structs)
+    target, ckpt = work_path(spark, "bronze-expect"), work_path(spark, "ckpt-expect")
+    ingest_available_now(spark, landing, "json", schema, target, ckpt, mtime=False, ingested_at=INGESTED_AT)
+    raw = spark.read.parquet(target)
+    flat = (raw.select(F.explode("payload.value").alias("e"))
+               .select(F.col("e.Indicador").alias("indicador"), F.to_date("e.Data").alias("data_boletim"),
+                       parse_month_br(F.col("e.DataReferencia")).alias("mes_referencia"),
+                       F.col("e.Media").cast("double").alias("media"), F.col("e.Mediana").cast("double").alias("mediana"),
+                       F.col("e.numeroRespondentes").cast("int").alias("respondentes")))
+    return expect(flat, EXP_RULES)
+
+
+@query("src_full_rebuild", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def src_full_rebuild(spark, d):
+    """SRC-7: CTAS from CSV files, recreated on each run (run twice: same table)."""
+    landing = land(V.table(spark, d, "nation"), work_path(spark, "landing-csv"), "csv", header=True)
+    target = work_path(spark, "ctas-nation")
+    SF.full_rebuild(spark, landing, "csv", target, header=True, inferSchema=True)
+    return SF.full_rebuild(spark, landing, "csv", target, header=True, inferSchema=True)
+
+
+def _copy_into(spark, d):
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                                           F.date_format("o_orderdate", "yyyy").alias("ano"))
+    landing = land(o, work_path(spark, "landing-orders"), "parquet", partition_by=["ano"])
+    target = work_path(spark, "copy-orders")
+    n1 = SF.load_new_files(spark, landing, "parquet", target)
+    n2 = SF.load_new_files(spark, landing, "parquet", target)
+    return target, n1, n2
+
+
+@query("src_copy_twice", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
+def src_copy_twice(spark, d):
+    """SRC-8: COPY INTO twice; the table holds every row once."""
+    target, _, _ = _copy_into(spark, d)
+    return SF.read_target(spark, target).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+
+
+@query("src_copy_metrics", "SELECT 1 AS run, COUNT(*) AS num_inserted_rows FROM orders UNION ALL SELECT 2, 0")
+def src_copy_metrics(spark, d):
+    """SRC-8: inserted rows per COPY INTO run (second run 0)."""
+    _, n1, n2 = _copy_into(spark, d)
+    return spark.createDataFrame([(1, n1), (2, n2)], "run int, num_inserted_rows bigint")
+
+
+CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
+
+@query("src_batch_csv", "SELECT * FROM customer")
+def src_batch_csv(spark, d):
+    """SRC-9: CSV batch read with an explicit schema (no inference pass)."""
+    landing = land(V.table(spark, d, "customer"), work_path(spark, "landing-customer"), "csv", header=True)
+    return SF.read_batch(spark, landing, "csv", CUSTOMER_DDL, header=True)
+
+
+@query("src_parse_events", "SELECT event_id, ts, user_id, event_type, value, props, 'events-topic' AS _topic, 'broker' AS _source FROM events")
+def src_parse_events(spark, d):
+    """SRC-10: broker payloads (binary value) parsed with from_json and flattened."""
+    e = V.table(spark, d, "events")
+    rec = SF.to_broker_records(e, F.col("user_id"), "events-topic")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    return SF.parse_event_value(rec, schema, "broker").drop("_partition", "_offset")
+
+
+@query("src_daily_hash", """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 4 = 0 THEN NULL ELSE props END AS props, '2024-01-10' AS day, 'app' AS _source_system, 2024 AS _year, 1 AS _month,
+  md5(concat_ws('|', COALESCE(CAST(event_id AS VARCHAR), chr(0)), COALESCE(CAST(user_id AS VARCHAR), chr(0)),
+      COALESCE(event_type, chr(0)), COALESCE(CASE WHEN event_id % 4 = 0 THEN NULL ELSE props END, chr(0)))) AS _content_hash
+FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'""")
+def src_daily_hash(spark, d):
+    """SRC-11: one day's partition + metadata + partition columns + NULL-aware content hash."""
+    e = V.table(spark, d, "events").select("event_id", "user_id", "event_type",
+                                           F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("props")).alias("props"),
+                                           F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    landing = land(e, work_path(spark, "landing-daily"), "parquet", partition_by=["day"])
+    out = SF.load_daily(spark, landing, "2024-01-10", "app", ["event_id", "user_id", "event_type", "props"])
+    return out.select("event_id", "user_id", "event_type", "props", F.col("day").cast("string").alias("day"),
+                      "_source_system", "_year", "_month", "_content_hash")
+
+
+@query("src_partition_dirs", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag AS serie FROM lineitem")
+def src_partition_dirs(spark, d):
+    """SRC-13: hive-style folders (serie=<code>) discovered as a column."""
+    li = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_returnflag").alias("serie"))
+    landing = land(li, work_path(spark, "landing-series"), "parquet", partition_by=["serie"])
+    return spark.read.option("basePath", landing).parquet(landing).select("l_orderkey", "l_linenumber", "l_quantity", "serie")
+
+
+# ------------------------------------------------------------------ sinks
+
+@query("snk_append", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def snk_append(spark, d):
+    """SNK-2: append-only history in two loads (first half of the month, then the rest)."""
+    e = V.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    target = work_path(spark, "append-events")
+    S.append_batch(e.filter(F.dayofmonth("ts") <= 15), target)
+    S.append_batch(e.filter(F.dayofmonth("ts") > 15), target)
+    return spark.read.parquet(target)
+
+
+@query("snk_overwrite", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def snk_overwrite(spark, d):
+    """SNK-3: full refresh replaces the previous content."""
+    o = V.table(spark, d, "orders")
+    target = work_path(spark, "overwrite-orders")
+    S.overwrite(o.select("o_orderkey", "o_totalprice"), target)
+    S.overwrite(o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice"), target)
+    return spark.read.parquet(target)
+
+
+@query("snk_refresh_groups", MONTHLY_SQL)
+def snk_refresh_groups(spark, d):
+    """SNK-4: refresh only the months touched by new data; equals a full recompute."""
+    silver = silver_obs(spark, d)
+    cutoff = F.lit(datetime(2024, 1, 20)).cast("date")
+    stale = A.monthly_indicators(silver.filter(F.col("data_ref") < cutoff))  # gold as of an earlier run
+    touched = silver.filter(F.col("data_ref") >= cutoff).select(A.month_of("data_ref").alias("mes")).distinct()
+    changes = silver.join(touched, A.month_of("data_ref") == touched.mes, "left_semi")
+    refreshed = S.refresh_groups(stale, changes, ["mes"], A.monthly_indicators)
+    target = work_path(spark, "gold-monthly")
+    S.write_partitioned(refreshed, target, ["mes"], compression="snappy")
+    return spark.read.parquet(target).select("codigo_serie", "nome_serie", F.col("mes").cast("date").alias("mes"),
+                                             "valor_medio", "valor_minimo", "valor_maximo", "valor_fechamento",
+                                             "qtd_observacoes")
+
+
+@query("snk_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus, strftime(o_orderdate, '%Y') AS ano FROM orders")
+def snk_partitioned(spark, d):
+    """SNK-5: partitioned parquet with zstd compression, rows clustered per partition."""
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus",
+                                           F.date_format("o_orderdate", "yyyy").alias("ano"))
+    target = work_path(spark, "partitioned-orders")
+    S.write_partitioned(o, target, ["ano", "o_orderstatus"], compression="zstd")
+    return spark.read.parquet(target).select("o_orderkey", "o_totalprice", "o_orderstatus",
+                                             F.col("ano").cast("string").alias("ano"))
