@@ -1,3 +1,71 @@
-"""Queries (filled in below)."""
+"""Layout and retention queries: compaction, clustering, retention, bucketed joins."""
 
 from __future__ import annotations
+
+import uuid
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from strata.operators import layout as L
+from strata.plans import views as V
+from strata.plans.registry import query
+from strata.session import work_path
+
+LI_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+@query("lay_compact", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem")
+def lay_compact(spark, d):
+    """LAY-1: many small files rewritten into files of the target size; same rows."""
+    small = work_path(spark, "small-files")
+    V.table(spark, d, "lineitem").select(*LI_COLS).repartition(64).write.mode("overwrite").parquet(small)
+    out = L.compact(spark, small, work_path(spark, "compacted"), target_mb=1)
+    return spark.read.parquet(out)
+
+
+@query("lay_cluster", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-03-01' AND o_orderdate < TIMESTAMP '1998-04-01'""")
+def lay_cluster(spark, d):
+    """LAY-2: range-clustered, sorted files; a date filter then reads few row groups."""
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    path = work_path(spark, "clustered-orders")
+    L.cluster(o, ["o_orderdate"], 8).write.mode("overwrite").parquet(path)
+    lo, hi = F.lit("1998-03-01").cast("timestamp_ntz"), F.lit("1998-04-01").cast("timestamp_ntz")
+    return spark.read.parquet(path).filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+
+
+RETENTION_AS_OF = date(2024, 4, 15)  # bronze keeps 90 days -> from 2024-01-16
+
+
+@query("lay_retention", """
+SELECT event_id, ts, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-16'""")
+def lay_retention(spark, d):
+    """LAY-3: bronze retention (90 days): whole old day partitions dropped, no file rewritten."""
+    e = V.table(spark, d, "events").select("event_id", "ts", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    path = work_path(spark, "bronze-retention")
+    e.repartition("day").write.partitionBy("day").mode("overwrite").parquet(path)
+    keep_from = (RETENTION_AS_OF.toordinal() - L.RETENTION_DAYS["bronze"])
+    L.purge_partitions(spark, path, "day", date.fromordinal(keep_from).isoformat())
+    kept = spark.read.parquet(path)
+    return L.purge_layer(kept, "bronze", "ts", RETENTION_AS_OF).select("event_id", "ts", "event_type",
+                                                                     F.col("day").cast("string").alias("day"))
+
+
+@query("lay_bucketed", """
+SELECT o_orderkey, o_orderpriority, COUNT(*) AS linhas, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantidade
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
+def lay_bucketed(spark, d):
+    """LAY-6: both sides bucketed by order key (8 buckets): the join and the aggregate
+    on that key run without a shuffle."""
+    tag = uuid.uuid4().hex[:8]
+    o_name, l_name = f"orders_b_{tag}", f"lineitem_b_{tag}"
+    L.save_bucketed(V.table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), o_name,
+                    work_path(spark, "bucketed-orders"), 8, "o_orderkey")
+    L.save_bucketed(V.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"), l_name,
+                    work_path(spark, "bucketed-lineitem"), 8, "o_orderkey")
+    j = spark.table(o_name).join(spark.table(l_name), "o_orderkey")
+    return (j.groupBy("o_orderkey", "o_orderpriority")
+             .agg(F.count(F.lit(1)).alias("linhas"),
+                  F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantidade")))

@@ -1,3 +1,192 @@
-"""Queries (filled in below)."""
+"""Streaming queries: event-time windows, watermark drains, lambda merge, stream dedup,
+hybrid union, incremental CDC with foreachBatch, and the full medallion run."""
 
 from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from strata.operators import quality as Q
+from strata.plans import medallion as MD
+from strata.plans import views as V
+from strata.plans.q_cdc import CDC_RULES, SCD2_SQL, STG_SQL, CDC_COLS_SQL
+from strata.plans.q_gold import MONTHLY_SQL
+from strata.plans.registry import query
+from strata.session import work_path
+from strata.sources.landing import TS_FORMAT, land_by_day
+from strata.streaming import cdc_stream as CS
+from strata.streaming import windows as W
+from strata.streaming.ingest import append_stream, run_foreach_batch
+
+EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def _mean4_sql(col: str = "value") -> str:
+    """Exact half-up mean to 4 decimals from integer cents (oracle side)."""
+    cents = f"CAST(ROUND({col} * 100) AS BIGINT)"
+    return f"CAST((200 * SUM({cents}) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 10000"
+
+
+@query("str_hourly", f"""
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, user_id,
+       {_mean4_sql()} AS avg_value, COUNT(*) AS readings FROM events GROUP BY 1, 2, 3""")
+def str_hourly(spark, d):
+    """STR-1: 1-hour tumbling window, mean value per device (user)."""
+    e = V.table(spark, d, "events")
+    return W.tumbling(e, "ts", "1 hour", ["user_id"], [W.exact_mean("value").alias("avg_value"),
+                                                        F.count(F.lit(1)).alias("readings")])
+
+
+@query("str_15min", """
+SELECT time_bucket(INTERVAL '15 minutes', ts) AS window_start, time_bucket(INTERVAL '15 minutes', ts) + INTERVAL 15 MINUTE AS window_end,
+       COUNT(*) AS eventos FROM events GROUP BY 1, 2""")
+def str_15min(spark, d):
+    """STR-2: 15-minute event counts."""
+    return W.tumbling(V.table(spark, d, "events"), "ts", "15 minutes", [], [F.count(F.lit(1)).alias("eventos")])
+
+
+@query("str_5min", """
+SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, time_bucket(INTERVAL '5 minutes', ts) + INTERVAL 5 MINUTE AS window_end,
+       event_type, COUNT(*) AS eventos, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2, 3""")
+def str_5min(spark, d):
+    """STR-3: 5-minute buckets per event type."""
+    return W.tumbling(V.table(spark, d, "events"), "ts", "5 minutes", ["event_type"],
+                      [F.count(F.lit(1)).alias("eventos"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")])
+
+
+def _land_weekly(spark, df, name, copies: int = 1):
+    """Landing folder filled week by week (one write per week, so file times follow event time)."""
+    path = work_path(spark, name)
+    wk = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+    for c in range(copies):
+        for w in range(5):
+            part = df.filter(wk == w)
+            part.coalesce(1).write.mode("append").parquet(f"{path}/copy={c}/week={w}")
+    return path
+
+
+def _stream(spark, path, max_files: int = 1):
+    return (spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", max_files)
+            .option("recursiveFileLookup", "true").parquet(path))
+
+
+def _drain(df, target, ckpt, mode="append"):
+    q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(target))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+@query("str_stream_hourly", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
+       COUNT(*) AS eventos FROM events GROUP BY 1, 2, 3
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""")
+def str_stream_hourly(spark, d):
+    """STR-4: streaming hourly counts, append mode with a 10-minute watermark (closed windows only)."""
+    e = V.table(spark, d, "events").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")])
+    landing = _land_weekly(spark, e, "landing-weekly")
+    agg = W.streaming_windows(_stream(spark, landing), "ts", "1 hour", "10 minutes", ["event_type"],
+                              [F.count(F.lit(1)).alias("eventos")])
+    target = work_path(spark, "stream-hourly")
+    _drain(agg, target, work_path(spark, "ckpt-stream-hourly"))
+    out = spark.read.parquet(target)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "eventos")
+
+
+@query("str_lambda", """
+WITH batch AS (SELECT date_trunc('hour', ts) AS window_start, COUNT(*) AS eventos, 'batch' AS layer FROM events
+               WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1),
+speed AS (SELECT date_trunc('hour', ts) AS window_start, COUNT(*) AS eventos, 'speed' AS layer FROM events
+          WHERE ts >= TIMESTAMP '2024-01-19' GROUP BY 1
+          HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE)
+SELECT * FROM batch UNION ALL SELECT * FROM speed WHERE window_start NOT IN (SELECT window_start FROM batch)""")
+def str_lambda(spark, d):
+    """STR-5: batch layer wins, the streaming (speed) layer fills the windows after it."""
+    e = V.table(spark, d, "events").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")])
+    cut, speed_from = F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz"), F.lit(datetime(2024, 1, 19)).cast("timestamp_ntz")
+    batch = (W.tumbling(e.filter(F.col("ts") < cut), "ts", "1 hour", [], [F.count(F.lit(1)).alias("eventos")])
+             .select("window_start", "eventos", F.lit("batch").alias("layer")))
+    landing = _land_weekly(spark, e.filter(F.col("ts") >= speed_from), "landing-speed")
+    agg = W.streaming_windows(_stream(spark, landing), "ts", "1 hour", "10 minutes", [], [F.count(F.lit(1)).alias("eventos")])
+    target = work_path(spark, "speed-hourly")
+    _drain(agg, target, work_path(spark, "ckpt-speed"))
+    speed = spark.read.parquet(target).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "eventos",
+                                              F.lit("speed").alias("layer"))
+    return W.speed_batch_merge(batch, speed, ["window_start"])
+
+
+@query("str_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def str_dedup(spark, d):
+    """STR-6: replayed events removed by a streaming dedup within a 1-hour watermark."""
+    e = V.table(spark, d, "events").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")])
+    landing = _land_weekly(spark, e, "landing-replay", copies=2)
+    dd = W.dedup_stream(_stream(spark, landing), "ts", ["event_id"], "1 hour")
+    target = work_path(spark, "stream-dedup")
+    _drain(dd.select("event_id", "ts", "user_id", "event_type", "value"), target, work_path(spark, "ckpt-dedup"))
+    return spark.read.parquet(target)
+
+
+@query("set_hybrid_union", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def set_hybrid_union(spark, d):
+    """SET-5: streamed recent rows and batch history in one schema (unionByName)."""
+    e = V.table(spark, d, "events").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")])
+    cut = F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz")
+    landing = _land_weekly(spark, e.filter(F.col("ts") >= cut), "landing-hybrid")
+    target = work_path(spark, "hybrid-stream")
+    _drain(_stream(spark, landing, 10).drop("props"), target, work_path(spark, "ckpt-hybrid"))
+    hist = e.filter(F.col("ts") < cut).select("event_id", "ts", "user_id", "event_type", "value")
+    return hist.unionByName(spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value"))
+
+
+# ------------------------------------------------------------------ incremental CDC
+
+CDC_DDL = ("cliente_id BIGINT, nome STRING, uf STRING, segmento STRING, email STRING, cpf STRING, operacao STRING, "
+           "ts_evento TIMESTAMP_NTZ, event_id BIGINT")
+
+
+def _cdc_stream(spark, d, name):
+    """The customer feed landed in three files by event_id % 3: every file spans the whole
+    month, so later files are full of late events."""
+    feed = V.clientes_cdc(spark, d)
+    landing = work_path(spark, name)
+    for k in range(3):
+        feed.filter(F.col("event_id") % 3 == k).coalesce(1).write.mode("append") \
+            .option("timestampNTZFormat", TS_FORMAT).json(f"{landing}/part={k}")
+    s = (spark.readStream.schema(CDC_DDL).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+         .option("timestampNTZFormat", TS_FORMAT).json(landing))
+    return Q.expect(s, CDC_RULES)
+
+
+@query("cdc_stream_scd1", V.with_views(f""", {STG_SQL},
+latest AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cliente_id ORDER BY ts_evento DESC NULLS LAST, event_id)
+           AS rn FROM stg) WHERE rn = 1)
+SELECT {CDC_COLS_SQL} FROM latest WHERE operacao <> 'DELETE'""", "clientes_cdc"))
+def cdc_stream_scd1(spark, d):
+    """CDC-9: SCD1 applied micro-batch by micro-batch into bucketed state (tombstones kept)."""
+    state = work_path(spark, "state-scd1")
+    fold = CS.scd1_fold(["cliente_id"], "ts_evento", "event_id", state, 8)
+    run_foreach_batch(_cdc_stream(spark, d, "landing-cdc1"), fold, work_path(spark, "ckpt-cdc1"))
+    return CS.scd1_current(spark, state, "operacao = 'DELETE'", drop=["operacao", "event_id"])
+
+
+@query("cdc_stream_scd2", V.with_views(f", {SCD2_SQL}\nSELECT * FROM scd2", "clientes_cdc"))
+def cdc_stream_scd2(spark, d):
+    """CDC-9: SCD2 history maintained incrementally; late events split the right interval."""
+    state = work_path(spark, "state-scd2")
+    fold = CS.scd2_fold(["cliente_id"], "ts_evento", "event_id", state, 8)
+    run_foreach_batch(_cdc_stream(spark, d, "landing-cdc2"), fold, work_path(spark, "ckpt-cdc2"))
+    return CS.scd2_history(spark, state, ["cliente_id"], "ts_evento", "operacao = 'DELETE'", drop=["operacao", "event_id"])
+
+
+@query("str_medallion_run", MONTHLY_SQL)
+def str_medallion_run(spark, d):
+    """STR-7: bronze -> silver (expectations, SCD1) -> gate -> gold in one triggered run."""
+    e = V.table(spark, d, "events")
+    landing = land_by_day(e, "ts", work_path(spark, "landing-medallion"), timestampNTZFormat=TS_FORMAT)
+    res = MD.run(spark, landing, work_path(spark, "lakehouse"), "run-1", datetime(2024, 2, 1), limit=0.5)
+    if res.status != Q.STATUS_OK:
+        raise RuntimeError(f"gate {res.status} (rate {res.rate})")
+    return spark.read.parquet(res.gold)
