@@ -72,13 +72,7 @@ FROZEN = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("u
 def _raw_json_events(spark, d):
     """JSON text per event with an extra object field, an extra ts field on every third
     event and a wrongly typed value on every 50th."""
-    e = V.table(spark, d, "events")
-    val = F.when(F.col("event_id") % 50 == 0, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
-    ts = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"ts":"'), F.col("ts").cast("string"), F.lit('"'))).otherwise(F.lit(""))
-    text = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":'), F.col("user_id").cast("string"),
-                    F.lit(',"event_type":"'), F.col("event_type"), F.lit('","value":'), val,
-                    F.lit(',"extra":'), F.col("props"), ts, F.lit("}"))
-    return e.select(text.alias("text"))
+    return _raw_json_events_with_id(spark, d).select("text")
 
 
 @query("src_rescue", """
@@ -282,3 +276,48 @@ def snk_partitioned(spark, d):
     S.write_partitioned(o, target, ["ano", "o_orderstatus"], compression="zstd")
     return spark.read.parquet(target).select("o_orderkey", "o_totalprice", "o_orderstatus",
                                              F.col("ano").cast("string").alias("ano"))
+
+
+@query("snk_append_stream", """
+SELECT event_id, ts, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events""")
+def snk_append_stream(spark, d):
+    """SNK-1: stream appended with a checkpoint into a day-partitioned parquet table."""
+    from strata.streaming.ingest import append_stream, read_landing_stream
+    landing = land_by_day(V.table(spark, d, "events"), "ts", work_path(spark, "landing-append"),
+                          timestampNTZFormat=TS_FORMAT)
+    target, ckpt = work_path(spark, "bronze-append-part"), work_path(spark, "ckpt-append-part")
+    src = read_landing_stream(spark, landing, "json", EVENT_SCHEMA, ingested_at=INGESTED_AT, timestampNTZFormat=TS_FORMAT)
+    q = append_stream(src.select("event_id", "ts", "event_type", "value", "day"), target, ckpt, partition_by=["day"])
+    q.awaitTermination()
+    return spark.read.parquet(target).select("event_id", "ts", "event_type", "value", F.col("day").cast("string").alias("day"))
+
+
+@query("agg_per_file", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS n_rows, COUNT(*) AS n_rescued,
+       COUNT(*) FILTER (WHERE event_id % 50 = 0) AS n_type_errors,
+       MAX('extra' || CASE WHEN event_id % 3 = 0 THEN ',ts' ELSE '' END
+                   || CASE WHEN event_id % 50 = 0 THEN ',value' ELSE '' END) AS max_rescued_keys
+FROM events GROUP BY 1""")
+def agg_per_file(spark, d):
+    """AGG-11: rows and rescued-data metrics per landed file (one file per day)."""
+    raw = _raw_json_events_with_id(spark, d, with_day=True).select("day", "text")
+    landing = land(raw, work_path(spark, "landing-text"), "text", partition_by=["day"])
+    files = spark.read.text(landing).select(F.col("value").alias("text"), "day", F.col("_metadata.file_path").alias("f"))
+    r = R.read_rescued(files, "text", FROZEN)
+    m = F.from_json(F.col(R.RESCUED), T.MapType(T.StringType(), T.StringType()))
+    per_file = (r.groupBy("f", "day")
+                 .agg(F.count(F.lit(1)).alias("n_rows"), F.count(R.RESCUED).alias("n_rescued"),
+                      F.count_if(m["value"].isNotNull()).alias("n_type_errors"),
+                      F.max(R.rescued_keys()).alias("max_rescued_keys")))
+    return per_file.select(F.col("day").cast("string").alias("day"), "n_rows", "n_rescued", "n_type_errors", "max_rescued_keys")
+
+
+def _raw_json_events_with_id(spark, d, with_day: bool = False):
+    e = V.table(spark, d, "events")
+    val = F.when(F.col("event_id") % 50 == 0, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
+    ts = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"ts":"'), F.col("ts").cast("string"), F.lit('"'))).otherwise(F.lit(""))
+    text = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":'), F.col("user_id").cast("string"),
+                    F.lit(',"event_type":"'), F.col("event_type"), F.lit('","value":'), val,
+                    F.lit(',"extra":'), F.col("props"), ts, F.lit("}"))
+    extra = [F.date_format("ts", "yyyy-MM-dd").alias("day")] if with_day else []
+    return e.select("event_id", text.alias("text"), *extra)
