@@ -59,14 +59,24 @@ def series_summary(obs: DataFrame, key: str = "codigo_serie", date_col: str = "d
     return obs.groupBy(key).agg(*aggs)
 
 
-def describe_column(df: DataFrame, col: str) -> DataFrame:
-    """Long-form summary of one column: count, mean, stddev, min, quartiles (exact), max."""
+def describe_column(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Long-form summary of one column: count, mean, stddev, min, quartiles, max.
+
+    Quartiles are exact (distributed rank selection, see ``quantiles``) or,
+    with ``exact=False``, from Spark's bounded percentile sketch. Never the
+    single-task exact ``percentile`` aggregate.
+    """
     c = F.col(col)
-    one = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"), F.stddev(c).alias("stddev"),
-                 F.min(c).cast("double").alias("min"),
-                 F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-                 F.percentile(c, 0.75).alias("p75"), F.max(c).cast("double").alias("max"))
     stats = ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
+    if exact:
+        from strata.operators.quantiles import exact_quantiles
+        q = exact_quantiles(df, col, [0.25, 0.5, 0.75])
+        qcols = [F.lit(v).cast("double") for v in q]
+    else:
+        qcols = [F.percentile_approx(c, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
+    one = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"), F.stddev(c).alias("stddev"),
+                 F.min(c).cast("double").alias("min"), *[v.alias(n) for v, n in zip(qcols, ["p25", "p50", "p75"])],
+                 F.max(c).cast("double").alias("max"))
     return one.select(F.inline(F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in stats])))
 
 

@@ -35,7 +35,8 @@ def compact(spark: SparkSession, src: str, dst: str, target_mb: int = 128, parti
     n = max(1, math.ceil(table_bytes(spark, src) / (target_mb * 1024 * 1024)))
     df = spark.read.parquet(src)
     if partition_by:
-        out = df.repartition(n, *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
+        from strata.operators.sinks import cluster_for_write
+        out = cluster_for_write(df, partition_by, n).write.partitionBy(*partition_by)
     else:
         out = df.coalesce(n).write
     out.mode("overwrite").parquet(dst)
@@ -44,9 +45,13 @@ def compact(spark: SparkSession, src: str, dst: str, target_mb: int = 128, parti
 
 def cluster(df: DataFrame, cols: list[str], n: int | None = None) -> DataFrame:
     """Range-partition and sort by ``cols`` so each file covers a narrow range of them
-    (tight parquet min/max statistics -> row groups skipped on filters)."""
+    (tight parquet min/max statistics -> row groups skipped on filters). A row
+    hash is the last range key, so one very frequent value still splits over
+    several files instead of one task."""
     n = n or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    tb = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumn("__tb", tb).repartitionByRange(n, *[F.col(c) for c in cols], F.col("__tb"))
+              .sortWithinPartitions(*cols).drop("__tb"))
 
 
 def purge(df: DataFrame, date_col: str, days: int | None, as_of: date) -> DataFrame:

@@ -49,7 +49,10 @@ def to_observations(bronze: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, landing: str, root: str, run_id: str, as_of: datetime,
-        limit: float = Q.DEFAULT_LIMIT, n_buckets: int = 16) -> RunResult:
+        limit: float = Q.DEFAULT_LIMIT, n_buckets: int = 16, gate_mode: str = "violations") -> RunResult:
+    """``gate_mode='violations'``: every failed record (WARN too) over all checks, the
+    lab's audit code; ``'dropped_rows'``: rows removed by DROP rules over rows seen,
+    the lab's written SLO."""
     bronze, ck_b = f"{root}/bronze/events", f"{root}/_checkpoints/bronze"
     state, ck_s = f"{root}/silver/observacoes_state", f"{root}/_checkpoints/silver"
     log, gold = f"{root}/monitoring/event_log", f"{root}/gold/indicadores_mensais"
@@ -60,7 +63,7 @@ def run(spark: SparkSession, landing: str, root: str, run_id: str, as_of: dateti
     fold = CS.scd1_fold(["codigo_serie", "data_ref"], "seq", "event_id", state, n_buckets)
 
     def silver_batch(batch: DataFrame, batch_id: int) -> None:
-        obs = to_observations(batch)
+        obs = to_observations(batch).persist()  # read twice: counts and fold
         # counts of this micro-batch -> event log (idempotent per batch id)
         m = Q.expectation_metrics(obs, SILVER_RULES, DATASET)
         ev = Q.to_event_log(m.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)),
@@ -68,12 +71,15 @@ def run(spark: SparkSession, landing: str, root: str, run_id: str, as_of: dateti
         ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
           .partitionBy("run_id", "batch_id").parquet(log)
         fold(Q.expect(obs, SILVER_RULES).drop("_arquivo_origem"), batch_id)
+        obs.unpersist()
 
     src = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
     run_foreach_batch(src, silver_batch, ck_s)
 
-    this_run = spark.read.parquet(log).filter(F.col("run_id") == run_id)
-    status, rate = Q.gate_verdict(Q.metrics_from_event_log(this_run), limit)
+    this_run = Q.metrics_from_event_log(spark.read.parquet(log).filter(F.col("run_id") == run_id))
+    if gate_mode == "dropped_rows":
+        this_run = this_run.filter(F.col("name").isin([r.name for r in SILVER_RULES if r.action == Q.DROP]))
+    status, rate = Q.gate_verdict(this_run, limit)
     if status != Q.STATUS_OK:
         return RunResult(status, rate, gold, None)
     silver = CS.scd1_current(spark, state, "false")

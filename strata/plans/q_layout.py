@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from strata.operators import layout as L
+from strata.operators.sinks import write_partitioned
 from strata.plans import views as V
 from strata.plans.registry import query
 from strata.session import work_path
@@ -45,7 +46,7 @@ def lay_retention(spark, d):
     """LAY-3: bronze retention (90 days): whole old day partitions dropped, no file rewritten."""
     e = V.table(spark, d, "events").select("event_id", "ts", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
     path = work_path(spark, "bronze-retention")
-    e.repartition("day").write.partitionBy("day").mode("overwrite").parquet(path)
+    write_partitioned(e, path, ["day"], compression="snappy")
     keep_from = (RETENTION_AS_OF.toordinal() - L.RETENTION_DAYS["bronze"])
     L.purge_partitions(spark, path, "day", date.fromordinal(keep_from).isoformat())
     kept = spark.read.parquet(path)

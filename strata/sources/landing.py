@@ -16,10 +16,11 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def land(df: DataFrame, path: str, fmt: str = "json", partition_by: list[str] | None = None, **options) -> str:
-    """Write ``df`` as landing files: with ``partition_by`` each partition value is
-    written by exactly one task (one file per value)."""
+    """Write ``df`` as landing files, clustered by the partition columns (few files
+    per value; a hot value is split over several tasks)."""
     if partition_by:
-        w = df.repartition(*[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
+        from strata.operators.sinks import cluster_for_write
+        w = cluster_for_write(df, partition_by).write.partitionBy(*partition_by)
     else:
         w = df.write
     w.mode("overwrite").format(fmt).options(**options).save(path)
@@ -27,7 +28,10 @@ def land(df: DataFrame, path: str, fmt: str = "json", partition_by: list[str] |
 
 
 def land_by_day(df: DataFrame, ts_col: str, path: str, fmt: str = "json", day_col: str = "day", **options) -> str:
-    """One landing directory per day of ``ts_col`` (``day=YYYY-MM-DD``), one file each."""
+    """One landing directory per day of ``ts_col`` (``day=YYYY-MM-DD``) holding exactly
+    one file: this models the source system's fetcher, which lands one file per
+    fetch (the audit queries count files per day). Pipelines never write this way;
+    they use ``land`` / ``write_partitioned``, which split hot values."""
     d = df.withColumn(day_col, F.date_format(F.col(ts_col), "yyyy-MM-dd"))
     (d.repartition(F.col(day_col)).write.partitionBy(day_col).mode("overwrite")
       .format(fmt).options(**options).save(path))

@@ -4,7 +4,8 @@ There is no transaction log on plain parquet, so the state is partitioned by
 ``bucket = pmod(xxhash64(keys), N)``. Each micro-batch:
 
 1. tags its events with their bucket;
-2. reads only the buckets it touches (partition pruning on ``bucket``);
+2. reads only the buckets it touches (their ids, at most N integers, become a
+   literal filter on the ``bucket`` partition column);
 3. folds the new events into those buckets' state;
 4. writes the touched buckets back with dynamic partition overwrite.
 
@@ -32,13 +33,16 @@ from strata.operators.dedup import dedup_latest
 from strata.operators.ordered import next_in_key, time_chunk
 
 
-def _read_state(spark: SparkSession, state: str, buckets: DataFrame):
+def _read_state(spark: SparkSession, state: str, batch: DataFrame):
+    """State rows of the buckets this batch touches. The bucket ids (at most N small
+    integers) become a literal IN filter, so only those partition folders are listed
+    and read."""
+    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
     try:
         st = spark.read.parquet(state)
     except Exception:  # noqa: BLE001 - empty state
         return None
-    # touched buckets only (semi join on the partition column -> dynamic partition pruning)
-    return st.join(buckets, on="bucket", how="left_semi")
+    return st.filter(F.col("bucket").isin(touched))
 
 
 def _write_buckets(spark: SparkSession, df: DataFrame, state: str, batch_id: int) -> None:
@@ -53,11 +57,13 @@ def scd1_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buc
     """foreachBatch function maintaining SCD1 state (with tombstones) under ``state``."""
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("bucket", key_bucket(keys, n_buckets))
-        touched = b.select("bucket").distinct()
-        old = _read_state(spark, state, touched)
-        merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
-        _write_buckets(spark, dedup_latest(merged, keys, seq, tiebreak), state, batch_id)
+        b = batch.withColumn("bucket", key_bucket(keys, n_buckets)).persist()
+        try:
+            old = _read_state(spark, state, b)
+            merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
+            _write_buckets(spark, dedup_latest(merged, keys, seq, tiebreak), state, batch_id)
+        finally:
+            b.unpersist()
     return fold
 
 
@@ -70,11 +76,13 @@ def scd2_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buc
     """foreachBatch function keeping the deduplicated event history per bucket."""
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.filter(F.col(seq).isNotNull()).withColumn("bucket", key_bucket(keys, n_buckets))
-        touched = b.select("bucket").distinct()
-        old = _read_state(spark, state, touched)
-        merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
-        _write_buckets(spark, dedup_latest(merged, keys + [seq], F.lit(0), tiebreak), state, batch_id)
+        b = batch.filter(F.col(seq).isNotNull()).withColumn("bucket", key_bucket(keys, n_buckets)).persist()
+        try:
+            old = _read_state(spark, state, b)
+            merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
+            _write_buckets(spark, dedup_latest(merged, keys + [seq], F.lit(0), tiebreak), state, batch_id)
+        finally:
+            b.unpersist()
     return fold
 
 

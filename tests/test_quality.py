@@ -77,3 +77,18 @@ def test_contract_detects_duplicates(spark):
     c2 = Q.Contract({"o_orderkey": ("bigint", False)}, ["o_orderkey"], [Q.Rule("p", F.col("o_totalprice") > 0)])
     res2 = {r["check"]: r["passed"] for r in Q.check_contract(dup, c2, None).collect()}
     assert res2["unique_key"] is False
+
+
+def test_medallion_gate_blocks_gold(spark):
+    from datetime import datetime
+
+    from strata.plans import medallion as MD
+    from strata.sources.landing import TS_FORMAT, land_by_day
+    landing = land_by_day(V.table(spark, SF001, "events"), "ts", work_path(spark, "t-landing"), timestampNTZFormat=TS_FORMAT)
+    root = work_path(spark, "t-lake")
+    res = MD.run(spark, landing, root, "r1", datetime(2024, 2, 1), limit=0.01, gate_mode="dropped_rows")
+    assert res.status == "ALERTA" and res.certification is None
+    with pytest.raises(Exception):
+        spark.read.parquet(res.gold).count()  # gold never written
+    ok = MD.run(spark, landing, work_path(spark, "t-lake2"), "r1", datetime(2024, 2, 1), limit=0.5, gate_mode="violations")
+    assert ok.status == "OK" and ok.certification.count() == 1
