@@ -183,6 +183,41 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_when: list[str] |
     return UpsertResult(table, actions)
 
 
+def merge_into(spark, path: str, source: DataFrame, keys, n_buckets: int, change_id, **upsert_kw) -> dict:
+    """MERGE into a key-bucketed parquet table, touching only the source's buckets.
+
+    ``upsert_kw`` are the options of ``upsert``. With ``delete_missing`` every bucket
+    is read (a full synchronisation has to see the whole target). Returns the
+    inserted / updated / deleted counts, observed on the write itself.
+    """
+    from pyspark.sql import Observation
+
+    from strata.operators import buckets as B
+    keys = names(keys)
+    s = B.with_bucket(source, keys, n_buckets).persist()
+    try:
+        ids = None if upsert_kw.get("delete_missing") else B.touched_buckets(s)
+        t = B.read_buckets(spark, path, ids)
+        if t is None:
+            t = s.limit(0).drop(B.BUCKET)
+            for c in (upsert_kw.get("stamp_col"),):
+                if c and c not in t.columns:
+                    t = t.withColumn(c, F.lit(None).cast("timestamp_ntz"))
+        else:
+            t = t.drop(B.BUCKET)
+        res = upsert(t, s.drop(B.BUCKET), keys, **upsert_kw)
+        obs = Observation(f"merge_{change_id}")
+        a = F.col("_action")
+        out = (res.actions.observe(obs, F.count_if(a == "insert").alias("num_inserted_rows"),
+                                   F.count_if(a == "update").alias("num_updated_rows"),
+                                   F.count_if(a == "delete").alias("num_deleted_rows"))
+                  .filter(a != "delete").drop("_action"))
+        B.write_buckets(spark, B.with_bucket(out, keys, n_buckets), path, change_id)
+        return dict(obs.get)
+    finally:
+        s.unpersist()
+
+
 def incremental_since(source: DataFrame, target: DataFrame, col: str) -> DataFrame:
     """Rows of ``source`` past the target's high-water mark on ``col``.
 

@@ -255,3 +255,15 @@ def jon_point_in_time(spark, d):
     hist = clientes_scd2(spark, d).withColumnRenamed("cliente_id", "user_id").select("user_id", "uf", "segmento", C.START, C.END)
     res = C.point_in_time(facts, hist, ["user_id"], "ts")
     return res.select("event_id", "user_id", "ts", "value", "uf", "segmento", F.col(C.START).alias("versao_desde"))
+
+
+@query("cdc_merge_into", V.with_views(", " + UPSERT_SQL.format(missing="kept") + "\nSELECT * EXCLUDE (_action) FROM r",
+                                      "snapshot_1", "snapshot_2"))
+def cdc_merge_into(spark, d):
+    """CDC-5 at scale: MERGE into a key-bucketed table; only touched buckets are read and rewritten."""
+    from strata.operators import buckets as B
+    from strata.session import work_path
+    path = work_path(spark, "dim-customer-bucketed")
+    B.create_bucketed(_target(spark, d), path, ["c_custkey"], 16)
+    C.merge_into(spark, path, V.snapshot_2(spark, d), ["c_custkey"], 16, "snap-2", stamp_col="_atualizado_em", stamp=T1)
+    return spark.read.parquet(path).drop(B.BUCKET)

@@ -28,29 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import key_bucket
+from strata.operators.buckets import read_buckets, touched_buckets, write_buckets
 from strata.operators.cdc import END, START
 from strata.operators.dedup import dedup_latest
 from strata.operators.ordered import next_in_key, time_chunk
 
 
 def _read_state(spark: SparkSession, state: str, batch: DataFrame):
-    """State rows of the buckets this batch touches. The bucket ids (at most N small
-    integers) become a literal IN filter, so only those partition folders are listed
-    and read."""
-    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
-    try:
-        st = spark.read.parquet(state)
-    except Exception:  # noqa: BLE001 - empty state
-        return None
-    return st.filter(F.col("bucket").isin(touched))
+    """State rows of the buckets this batch touches (literal partition filter)."""
+    return read_buckets(spark, state, touched_buckets(batch))
 
 
 def _write_buckets(spark: SparkSession, df: DataFrame, state: str, batch_id: int) -> None:
-    staging = f"{state.rstrip('/')}_staging/batch={batch_id}"
-    df.write.mode("overwrite").partitionBy("bucket").parquet(staging)
-    staged = spark.read.parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("bucket").parquet(state))
+    write_buckets(spark, df, state, batch_id)
 
 
 def scd1_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buckets: int):
