@@ -19,7 +19,7 @@ from strata.plans.registry import query
 from strata.session import work_path
 from strata.sources import files as SF
 from strata.sources import rescue as R
-from strata.sources.landing import TS_FORMAT, land, land_by_day
+from strata.sources.landing import TS_FORMAT, land, land_by_day, land_one_file_per_value
 from strata.streaming.ingest import ingest_available_now
 
 EVENT_SCHEMA = T.StructType([
@@ -301,7 +301,7 @@ FROM events GROUP BY 1""")
 def agg_per_file(spark, d):
     """AGG-11: rows and rescued-data metrics per landed file (one file per day)."""
     raw = _raw_json_events_with_id(spark, d, with_day=True).select("day", "text")
-    landing = land(raw, work_path(spark, "landing-text"), "text", partition_by=["day"])
+    landing = land_one_file_per_value(raw, "day", work_path(spark, "landing-text"), "text")
     files = spark.read.text(landing).select(F.col("value").alias("text"), "day", F.col("_metadata.file_path").alias("f"))
     r = R.read_rescued(files, "text", FROZEN)
     m = F.from_json(F.col(R.RESCUED), T.MapType(T.StringType(), T.StringType()))

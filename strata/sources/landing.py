@@ -36,3 +36,10 @@ def land_by_day(df: DataFrame, ts_col: str, path: str, fmt: str = "json", day_co
     (d.repartition(F.col(day_col)).write.partitionBy(day_col).mode("overwrite")
       .format(fmt).options(**options).save(path))
     return path
+
+
+def land_one_file_per_value(df: DataFrame, col: str, path: str, fmt: str = "json", **options) -> str:
+    """One file per value of ``col`` (the source system's fetcher model: one file per fetch)."""
+    (df.repartition(F.col(col)).write.partitionBy(col).mode("overwrite")
+       .format(fmt).options(**options).save(path))
+    return path
