@@ -26,8 +26,8 @@ _INTEGER = r"^[+-]?[0-9]+$"
 
 
 def strip_ws(c: Column) -> Column:
-    """Trim all leading/trailing whitespace (tabs and newlines too)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim leading/trailing whitespace (space, tab, newline, CR, FF, VT)."""
+    return F.btrim(c, F.lit(" \t\n\r\f\u000b"))
 
 
 def parse_brl(c) -> Column:
@@ -69,9 +69,9 @@ def latest_observation(arr, date_field: str = "data") -> Column:
     it stays inside generated code.
     """
     a = as_col(arr)
-    keyed = F.transform(
-        a,
-        lambda x, i: F.struct(parse_date_br(x[date_field]).alias("d"), (-i).alias("neg_pos"), x.alias("obs")),
-    )
-    valid = F.filter(keyed, lambda k: k["d"].isNotNull())
-    return F.array_max(valid)["obs"]
+
+    def key(x, i):
+        d = parse_date_br(x[date_field])
+        # invalid dates become NULL elements, which array_max skips
+        return F.when(d.isNotNull(), F.struct(d.alias("d"), (-i).alias("neg_pos"), x.alias("obs")))
+    return F.array_max(F.transform(a, key))["obs"]

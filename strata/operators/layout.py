@@ -89,3 +89,9 @@ def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str)
     bucket count read co-partitioned data and skip the shuffle."""
     (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table))
+
+
+def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
+    """Column statistics for the cost-based optimizer (join reordering, broadcast sizing)."""
+    cols = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{cols}")

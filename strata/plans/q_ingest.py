@@ -81,9 +81,10 @@ SELECT event_id, user_id, event_type, CASE WHEN event_id % 50 = 0 THEN NULL ELSE
   CASE WHEN event_id % 50 = 0 THEN 'abc' END AS rescued_value, FALSE AS _corrupt FROM events""")
 def src_rescue(spark, d):
     """SRC-3: frozen schema; unknown fields and type mismatches kept in _rescued_data."""
-    r = R.read_rescued(_raw_json_events(spark, d), "text", FROZEN)
-    m = F.from_json(F.col(R.RESCUED), T.MapType(T.StringType(), T.StringType()))
-    return r.select("event_id", "user_id", "event_type", "value", R.rescued_keys().alias("rescued_keys"),
+    r = R.read_rescued(_raw_json_events(spark, d), "text", FROZEN, keep_map=True)
+    m = F.col("_rescued_map")
+    return r.select("event_id", "user_id", "event_type", "value",
+                    F.array_join(F.array_sort(F.map_keys(m)), ",").alias("rescued_keys"),
                     m["value"].alias("rescued_value"), R.CORRUPT)
 
 

@@ -100,3 +100,14 @@ def to_broker_records(df: DataFrame, key: Column, topic: str, partitions: int =
     part = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     return df.select(key.cast("string").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
                      part.alias("partition"), F.monotonically_increasing_id().alias("offset"))
+
+
+def read_layer(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Read a pipeline table (parquet folder) as a batch DataFrame or as a stream
+    (the stream takes the table's current schema)."""
+    if not stream:
+        return spark.read.parquet(path)
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)

@@ -48,13 +48,19 @@ def rescued_map(text: Column, schema: T.StructType) -> tuple[Column, Column]:
     return typed, F.map_filter(raw, keep)
 
 
-def read_rescued(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
-    """Parse ``text_col`` with a frozen schema, keeping what does not fit in ``_rescued_data``."""
+def read_rescued(df: DataFrame, text_col: str, schema: T.StructType, keep_map: bool = False) -> DataFrame:
+    """Parse ``text_col`` with a frozen schema, keeping what does not fit in ``_rescued_data``.
+
+    The raw text is parsed twice (typed struct, raw string map) and nothing more;
+    ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
+    inspect it without re-parsing the JSON.
+    """
     typed, rescued = rescued_map(F.col(text_col), schema)
-    raw_ok = F.from_json(F.col(text_col), T.MapType(T.StringType(), T.StringType())).isNotNull()
-    out = df.select("*", typed.alias("__t"), rescued.alias("__r"), (~raw_ok).alias(CORRUPT))
+    out = df.select("*", typed.alias("__t"), rescued.alias("__r"))
+    extra = [F.col("__r").alias("_rescued_map")] if keep_map else []
     return out.select(*[c for c in df.columns if c != text_col], "__t.*",
-                      F.when(F.size("__r") > 0, F.to_json("__r")).alias(RESCUED), CORRUPT)
+                      F.when(F.size("__r") > 0, F.to_json("__r")).alias(RESCUED),
+                      F.col("__r").isNull().alias(CORRUPT), *extra)
 
 
 def rescued_keys(col: str = RESCUED) -> Column:
