@@ -44,13 +44,16 @@ def cluster_for_write(df: DataFrame, partition_by: list[str], n: int | None = No
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], compression: str = "zstd",
-                      max_records_per_file: int | None = None, mode: str = "overwrite") -> None:
+                      max_records_per_file: int | None = None, mode: str = "overwrite",
+                      dynamic: bool = False) -> None:
     """Partitioned parquet with rows clustered by the partition columns first, so each
     task writes few files (no small-file explosion) and hot values are split."""
     if compression not in CODECS:
         raise ValueError(f"unknown codec {compression}")
     w = (cluster_for_write(df, partition_by).write.mode(mode).format("parquet")
          .option("compression", compression).partitionBy(*partition_by))
+    if dynamic:  # replace only the partitions present in df
+        w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)
