@@ -28,10 +28,10 @@ def touched_buckets(df: DataFrame) -> list[int]:
 
 def read_buckets(spark: SparkSession, path: str, buckets: list[int] | None) -> DataFrame | None:
     """Rows of the given buckets (all when ``buckets`` is None); None if the table is empty."""
-    try:
-        t = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not created yet
+    from strata.session import path_exists
+    if not path_exists(spark, path):
         return None
+    t = spark.read.parquet(path)
     return t if buckets is None else t.filter(F.col(BUCKET).isin(buckets))
 
 

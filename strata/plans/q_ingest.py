@@ -142,7 +142,7 @@ FROM lineitem WHERE (l_partkey + l_linenumber) % 17 <> 0""")
 def src_nested_json(spark, d):
     """SRC-5: nested JSON with typed inference, streamed, flattened with explode, DROP/WARN rules."""
     landing = land(_envelopes(spark, d), work_path(spark, "landing-expect"), "json", partition_by=["mes"])
-    schema = spark.read.json(landing).schema  # typed inference (structs stay structs)
+    schema = SF.infer_json_schema(spark, landing, 0.1)  # typed inference from a 10 % sample
     target, ckpt = work_path(spark, "bronze-expect"), work_path(spark, "ckpt-expect")
     ingest_available_now(spark, landing, "json", schema, target, ckpt, mtime=False, ingested_at=INGESTED_AT)
     raw = spark.read.parquet(target)

@@ -70,3 +70,10 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         name = f"{name}-{uuid.uuid4().hex[:12]}"
     return root.rstrip("/") + "/strata/" + name
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (Hadoop FileSystem of the path's scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -57,11 +57,12 @@ def load_new_files(spark: SparkSession, path: str, fmt: str, target: str, schema
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
+    from strata.session import path_exists
     src = r.load(path).withColumn("_source_file", F.col("_metadata.file_path"))
-    try:
+    if path_exists(spark, target):
         done = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(target).select("_source_file").distinct()
         new = src.join(done, on="_source_file", how="left_anti")
-    except Exception:  # noqa: BLE001 - first load: no target yet
+    else:  # first load
         new = src
     obs = Observation("copy_into")
     new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
@@ -111,3 +112,10 @@ def read_layer(spark: SparkSession, path: str, stream: bool = False, max_files_p
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
+
+
+def infer_json_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> T.StructType:
+    """Typed schema of nested JSON (structs stay structs, numbers stay numbers) from a
+    sample of the files' rows; the stream then runs with this fixed schema. Fields the
+    sample missed are caught by ``rescue.evolve_schema`` on the next run."""
+    return spark.read.option("samplingRatio", sampling_ratio).json(path).schema

@@ -70,10 +70,10 @@ def rescued_keys(col: str = RESCUED) -> Column:
 
 
 def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    try:
-        text = "\n".join(r.value for r in spark.read.text(path).collect())
-    except Exception:  # noqa: BLE001 - no stored schema yet
+    from strata.session import path_exists
+    if not path_exists(spark, path):
         return None
+    text = "\n".join(r.value for r in spark.read.text(path).collect())
     return T.StructType.fromJson(json.loads(text))
 
 
