@@ -31,7 +31,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from strata.plans.registry import load_all
     from strata.session import build_session
-    spark = build_session(master=f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(master=f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus))))
     reg = load_all()
     names = list(reg) if os.environ.get("BENCH_QUERIES") == "all" else HEADLINE
     # Warm-up with queries outside the timed set (JVM JIT, class loading, parquet

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import stable_salt
+from strata.functions.money import cents, from_cents, money_sum
 from strata.functions.util import as_col, names
 
 
@@ -88,7 +89,7 @@ def conditional_counts(df: DataFrame, group: list[str], conditions: dict[str, st
 
 
 def salted_aggregate(df: DataFrame, keys, row_id, value: str, salt_buckets: int = 32) -> DataFrame:
-    """Two-stage sum/count/min/max for extremely hot keys.
+    """Two-stage sum/count/min/max (of a 2-decimal money column) for extremely hot keys.
 
     Stage 1 aggregates by (key, salt) where salt is a stable hash of the row
     id (retries give the same salt); stage 2 merges the partials by key.
@@ -100,10 +101,10 @@ def salted_aggregate(df: DataFrame, keys, row_id, value: str, salt_buckets: int
     v = F.col(value)
     partial = (df.withColumn("__salt", stable_salt(row_id, salt_buckets))
                  .groupBy(*keys, "__salt")
-                 .agg(F.sum(v.cast("decimal(38,4)")).alias("s"), F.count(v).alias("n"),
+                 .agg(F.sum(cents(v)).alias("s"), F.count(v).alias("n"),
                       F.min(v).alias("mn"), F.max(v).alias("mx")))
     return (partial.groupBy(*keys)
-                   .agg(F.sum("s").cast("double").alias("total"), F.sum("n").alias("cnt"),
+                   .agg(from_cents(F.sum("s")).alias("total"), F.sum("n").alias("cnt"),
                         F.min("mn").alias("min_value"), F.max("mx").alias("max_value")))
 
 
@@ -120,7 +121,7 @@ def rollup_old_detail(df: DataFrame, ts_col: str, as_of, keep_days: int, group:
 
     def agg(frame, period, grain):
         return (frame.groupBy(period.alias("period_start"), *group)
-                     .agg(*[F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias(n) for n, c in measures.items()],
+                     .agg(*[money_sum(c).alias(n) for n, c in measures.items()],
                           F.count(F.lit(1)).alias("rows"))
                      .withColumn("grain", F.lit(grain)))
     return agg(old, F.date_trunc("quarter", F.col(ts_col)).cast("date"), "quarter").unionByName(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.money import money_mean, money_sum
 from strata.operators.dedup import dedup_latest
 
 # The series catalogue seed (code, unit, periodicity). 9998 is a
@@ -23,17 +24,17 @@ def dim_series(spark: SparkSession) -> DataFrame:
 
 
 def daily_revenue(star_df: DataFrame) -> DataFrame:
-    rev = F.col("revenue").cast("decimal(18,2)")
+    """Lines, revenue (exact), mean line revenue (exact, half-up) and distinct orders."""
     return (star_df.groupBy("order_date", "region", "category")
-                   .agg(F.count(F.lit(1)).alias("line_count"), F.sum(rev).cast("double").alias("revenue"),
-                        F.round(F.avg(rev), 2).cast("double").alias("avg_line_revenue"),
+                   .agg(F.count(F.lit(1)).alias("line_count"), money_sum("revenue").alias("revenue"),
+                        money_mean("revenue").alias("avg_line_revenue"),
                         F.count_distinct("order_key").alias("orders")))
 
 
 def customer_lifetime_value(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("customer_key")
                 .agg(F.count_distinct("order_key").alias("orders"),
-                     F.sum(F.col("revenue").cast("decimal(18,2)")).cast("double").alias("lifetime_revenue"),
+                     money_sum("revenue").alias("lifetime_revenue"),
                      F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order")))
 
 

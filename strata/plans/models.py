@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.money import money_sum
 from strata.plans import views as V
 
 
@@ -31,7 +32,7 @@ def tenant_daily(spark: SparkSession, d: str) -> DataFrame:
     return (o.join(c, "o_custkey")
              .groupBy("tenant", F.col("o_orderdate").cast("date").alias("day"))
              .agg(F.count(F.lit(1)).alias("orders"),
-                  F.sum(F.col("o_totalprice").cast("decimal(38,2)")).cast("double").alias("spend")))
+                  money_sum("o_totalprice").alias("spend")))
 
 
 def dim_customer(spark: SparkSession, d: str) -> DataFrame:

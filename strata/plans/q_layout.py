@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from strata.functions.money import money_sum
 from strata.operators import layout as L
 from strata.operators.sinks import write_partitioned
 from strata.plans import views as V
@@ -69,4 +70,4 @@ def lay_bucketed(spark, d):
     j = spark.table(o_name).join(spark.table(l_name), "o_orderkey")
     return (j.groupBy("o_orderkey", "o_orderpriority")
              .agg(F.count(F.lit(1)).alias("linhas"),
-                  F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantidade")))
+                  money_sum("l_quantity").alias("quantidade")))

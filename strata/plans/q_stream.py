@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from strata.functions.money import money_sum
 from strata.operators import quality as Q
 from strata.plans import medallion as MD
 from strata.plans import views as V
@@ -52,7 +53,7 @@ SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, time_bucket(INTERV
 def str_5min(spark, d):
     """STR-3: 5-minute buckets per event type."""
     return W.tumbling(V.table(spark, d, "events"), "ts", "5 minutes", ["event_type"],
-                      [F.count(F.lit(1)).alias("eventos"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")])
+                      [F.count(F.lit(1)).alias("eventos"), money_sum("value").alias("total")])
 
 
 def _land_weekly(spark, df, name, copies: int = 1):

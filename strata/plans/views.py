@@ -107,10 +107,9 @@ REALIZADO_SQL = "SELECT l_shipdate AS data_ref, l_extendedprice AS valor FROM li
 
 
 def net_revenue(price: str, discount: str):
-    """price * (1 - discount) rounded to cents in exact decimal arithmetic."""
-    p = F.col(price).cast("decimal(18,2)")
-    dsc = F.col(discount).cast("decimal(18,2)")
-    return F.round(p * (F.lit(1) - dsc), 2).cast("double")
+    """price * (1 - discount) rounded half-up to cents, exact (integer cents)."""
+    from strata.functions.money import net_amount
+    return net_amount(price, discount)
 
 
 def fact_lines(spark, d) -> DataFrame:

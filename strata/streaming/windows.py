@@ -14,9 +14,9 @@ def tumbling(df: DataFrame, ts_col: str, width: str, keys: list[str], aggs: list
 
 
 def exact_mean(value: str, scale: int = 4) -> Column:
-    """Mean rounded half-up to ``scale`` decimals in exact decimal arithmetic."""
-    v = F.col(value).cast("decimal(18,2)")
-    return F.round(F.sum(v) / F.count(v), scale).cast("double")
+    """Mean of a 2-decimal column rounded half-up to ``scale`` decimals, exactly."""
+    from strata.functions.money import money_mean
+    return money_mean(value, scale)
 
 
 def with_event_time(df: DataFrame, ts_col: str, out: str = "event_time") -> DataFrame:

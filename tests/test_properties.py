@@ -53,3 +53,30 @@ def test_parse_date_matches_python_model(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(parse_date_br("s")).collect()]
     assert got == [model_date(v) for v in values]
+
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.functions.money import money_mean, money_sum, net_amount  # noqa: E402
+
+CENTS = st.integers(-10_000_000, 10_000_000)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(CENTS, st.integers(0, 10)), min_size=1, max_size=40))
+def test_integer_cent_money_matches_decimal(spark, rows):
+    data = [(c / 100, dsc / 100) for c, dsc in rows]
+    df = spark.createDataFrame(data, "p double, d double")
+    got = df.agg(money_sum("p").alias("s"), money_mean("p").alias("m2"), money_mean("p", 4).alias("m4")).collect()[0]
+    dec = [Decimal(c) / 100 for c, _ in rows]
+    total = sum(dec)
+    mean = total / len(dec)
+    assert got["s"] == float(total)
+    assert got["m2"] == float(mean.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    assert got["m4"] == float(mean.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP))
+    nets = [r[0] for r in df.select(net_amount("p", "d")).collect()]
+    want = [float((Decimal(c) / 100 * (1 - Decimal(dsc) / 100)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+            for c, dsc in rows]
+    assert nets == want
