@@ -51,7 +51,7 @@ def cdc_scd1(spark, d):
 
 @query("cdc_scd2", V.with_views(f", {SCD2_SQL}\nSELECT * FROM scd2", "clientes_cdc"))
 def cdc_scd2(spark, d):
-    """CDC-2: full history; each event opens a version ended by the next; deletes close."""
+    """CDC-2 / WIN-2: full history; each event opens a version ended by the next; deletes close."""
     return clientes_scd2(spark, d)
 
 
@@ -172,7 +172,7 @@ SELECT c_custkey, s_name, s_nation, s_bal, s_seg, TIMESTAMP '2024-01-02 00:00:00
 @query("cdc_scd2_snapshot", V.with_views(", " + SNAPSHOT_SCD2_SQL.format(
         src="SELECT *, NULL AS reason FROM snapshot_2", cond=""), "snapshot_1", "snapshot_2"))
 def cdc_scd2_snapshot(spark, d):
-    """CDC-7: snapshot-driven SCD2 (close changed rows, open version + 1, new keys version 1)."""
+    """CDC-7 / FLT-4: snapshot-driven SCD2 (close changed rows, open version + 1, new keys version 1)."""
     return C.scd2_compare(_scd_target(spark, d), V.snapshot_2(spark, d), ["c_custkey"],
                           ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], T1)
 
