@@ -280,6 +280,24 @@ def scd2_compare(target: DataFrame, snapshot: DataFrame, keys, tracked: list[str
     return history.unionByName(out)
 
 
+def scd2_snapshot_into(spark, path: str, snapshot: DataFrame, keys, tracked: list[str], as_of, n_buckets: int,
+                       change_id, close_missing: bool = False, **kw) -> None:
+    """Snapshot SCD2 on a key-bucketed table: only buckets holding snapshot keys are
+    read and rewritten (all buckets when ``close_missing``, which must see every key)."""
+    from strata.operators import buckets as B
+    keys = names(keys)
+    s = B.with_bucket(snapshot, keys, n_buckets).persist()
+    try:
+        ids = None if close_missing else B.touched_buckets(s)
+        t = B.read_buckets(spark, path, ids)
+        if t is None:
+            raise ValueError(f"no SCD2 table at {path}; create it with buckets.create_bucketed")
+        out = scd2_compare(t.drop(B.BUCKET), s.drop(B.BUCKET), keys, tracked, as_of, close_missing=close_missing, **kw)
+        B.write_buckets(spark, B.with_bucket(out, keys, n_buckets), path, change_id)
+    finally:
+        s.unpersist()
+
+
 def apply_corrections(target: DataFrame, corrections: DataFrame, keys, tracked: list[str], as_of,
                       reason_col: str = "correction_reason", **kw) -> DataFrame:
     """Audit trail: a correction (reason present) closes the current version and opens

@@ -267,3 +267,16 @@ def cdc_merge_into(spark, d):
     B.create_bucketed(_target(spark, d), path, ["c_custkey"], 16)
     C.merge_into(spark, path, V.snapshot_2(spark, d), ["c_custkey"], 16, "snap-2", stamp_col="_atualizado_em", stamp=T1)
     return spark.read.parquet(path).drop(B.BUCKET)
+
+
+@query("cdc_scd2_snapshot_into", V.with_views(", " + SNAPSHOT_SCD2_SQL.format(
+        src="SELECT *, NULL AS reason FROM snapshot_2", cond=""), "snapshot_1", "snapshot_2"))
+def cdc_scd2_snapshot_into(spark, d):
+    """CDC-7 at scale: snapshot SCD2 on a key-bucketed table, touched buckets only."""
+    from strata.operators import buckets as B
+    from strata.session import work_path
+    path = work_path(spark, "dim-customer-scd2")
+    B.create_bucketed(_scd_target(spark, d), path, ["c_custkey"], 16)
+    C.scd2_snapshot_into(spark, path, V.snapshot_2(spark, d), ["c_custkey"],
+                         ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], T1, 16, "snap-2")
+    return spark.read.parquet(path).drop(B.BUCKET)

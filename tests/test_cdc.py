@@ -143,3 +143,24 @@ def test_upsert_second_run_is_noop(spark):
     assert m1["num_inserted_rows"] > 0 and m1["num_updated_rows"] > 0
     m2 = C.upsert(first.table, s, ["c_custkey"], stamp_col="_at", stamp=datetime(2024, 1, 3)).metrics().collect()[0]
     assert (m2["num_inserted_rows"], m2["num_updated_rows"]) == (0, 0)
+
+
+def test_merge_into_rewrites_only_touched_buckets(spark):
+    from strata.operators import buckets as B
+    from strata.plans import views as V
+    path = work_path(spark, "t-merge")
+    target = V.snapshot_1(spark, SF001).withColumn("_at", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    B.create_bucketed(target, path, ["c_custkey"], 8)
+
+    def files():
+        df = spark.read.parquet(path).select(B.BUCKET, F.col("_metadata.file_path").alias("f")).distinct()
+        return {(r[B.BUCKET], r["f"]) for r in df.collect()}
+    before = files()
+    src = V.snapshot_2(spark, SF001).filter(F.col("c_custkey") == 5).withColumn("c_acctbal", F.lit(1.0))
+    m = C.merge_into(spark, path, src, ["c_custkey"], 8, "one-key", stamp_col="_at", stamp=datetime(2024, 1, 2))
+    assert m["num_updated_rows"] == 1 and m["num_inserted_rows"] == 0
+    after = files()
+    changed = {b for b, _ in before ^ after}
+    assert len(changed) == 1  # one bucket folder rewritten, the other 7 untouched
+    row = spark.read.parquet(path).filter("c_custkey = 5").collect()[0]
+    assert row["c_acctbal"] == 1.0 and spark.read.parquet(path).count() == target.count()
