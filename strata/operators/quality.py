@@ -56,24 +56,29 @@ def expect(df: DataFrame, rules: list[Rule], observation: Observation | None = N
         aggs = [F.count(F.lit(1)).alias("__rows")]
         aggs += [F.count_if(~F.col(f"__ok_{i}")).alias(r.name) for i, r in enumerate(rules)]
         flagged = flagged.observe(observation, *aggs)
-    for i, r in enumerate(rules):
-        ok = F.col(f"__ok_{i}")
-        if r.action == FAIL:
-            msg = f"expectation '{r.name}' violated (ON VIOLATION FAIL UPDATE)"
-            flagged = flagged.withColumn(f"__ok_{i}", F.when(ok, ok).otherwise(F.raise_error(F.lit(msg)).cast("boolean")))
+    # One CASE predicate: FAIL violations raise first, then DROP rules decide. A single
+    # CASE is neither split into conjuncts nor pushed into the scan, so every input row
+    # reaches the FAIL checks (a pushed-down or short-circuited DROP conjunct could
+    # otherwise hide a FAIL violation).
     keep = F.lit(True)
     for i, r in enumerate(rules):
         if r.action == DROP:
             keep = keep & F.col(f"__ok_{i}")
-    out = flagged.filter(keep) if any(r.action == DROP for r in rules) else flagged
-    # FAIL checks must be evaluated even though their columns are dropped: keep them
-    # in a filter so Catalyst cannot prune them away.
-    for i, r in enumerate(rules):
-        if r.action == FAIL:
-            out = out.filter(F.col(f"__ok_{i}"))
+    fails = [(i, r) for i, r in enumerate(rules) if r.action == FAIL]
+    if fails:
+        i0, r0 = fails[0]
+        pred = F.when(~F.col(f"__ok_{i0}"), _fail(r0))
+        for i, r in fails[1:]:
+            pred = pred.when(~F.col(f"__ok_{i}"), _fail(r))
+        keep = pred.otherwise(keep)
+    out = flagged.filter(keep) if (fails or any(r.action == DROP for r in rules)) else flagged
     return out.drop(*[f"__ok_{i}" for i in range(len(rules))])
 
 
+def _fail(rule: Rule) -> Column:
+    return F.raise_error(F.lit(f"expectation '{rule.name}' violated (ON VIOLATION FAIL UPDATE)")).cast("boolean")
+
+
 def observed_metrics(observation: Observation, rules: list[Rule], dataset: str) -> list[dict]:
     """Rows (dataset, name, passed, failed) from an Observation after the action ran."""
     m = observation.get

@@ -22,6 +22,25 @@ def test_fail_rule_aborts_before_anything_is_written(spark):
         spark.read.parquet(out).count()  # no committed output
 
 
+def test_fail_sees_rows_that_a_drop_rule_removes(spark):
+    """A FAIL violation on a row that a DROP rule also rejects must still abort, even
+    when the DROP condition could be pushed into the parquet scan."""
+    src = work_path(spark, "fail-src")
+    rows = [(1, 10.0)] * 50 + [(None, 1.0)]  # the bad key sits on a row DROP would remove
+    spark.createDataFrame(rows, "codigo_serie int, valor double").coalesce(1).write.parquet(src)
+    df = spark.read.parquet(src)
+    q = Q.expect(df, SILVER_RULES)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    pushed = [ln for ln in buf.getvalue().splitlines() if "PushedFilters" in ln]
+    assert all("valor" not in ln for ln in pushed)
+    with pytest.raises(Exception, match="serie_presente"):
+        q.count()
+
+
 def test_drop_warn_counts_with_observe(spark):
     o = V.obs(spark, SF001)
     obs = Observation("q")
