@@ -62,7 +62,7 @@ def apply_changes(events: DataFrame, keys, seq: str, change_type: str = "_change
 # ---------------------------------------------------------------- SCD type 2
 
 def scd2(events: DataFrame, keys, seq: str, tiebreak=None, delete_when=None, except_cols=(),
-         chunk_width: str = "1 day", track: list[str] | None = None) -> DataFrame:
+         chunk_width: str = "1 day", track: list[str] | None = None, checkpoint: bool = True) -> DataFrame:
     """Full history: one version per event, valid from its sequence to the next.
 
     ``__START_AT`` = sequence; ``__END_AT`` = next sequence of the key (NULL =
@@ -70,7 +70,8 @@ def scd2(events: DataFrame, keys, seq: str, tiebreak=None, delete_when=None, exc
     that repeats (same key and sequence) counts once (smallest tiebreak). With
     ``track`` given, consecutive events equal on those columns collapse into
     one version. The "next sequence" is computed per (key, day-chunk) so a hot
-    key is spread over many tasks.
+    key is spread over many tasks. ``checkpoint`` materializes the deduplicated
+    events once (the chunked lead reads them twice).
     """
     keys = names(keys)
     ev = events.filter(F.col(seq).isNotNull())
@@ -80,7 +81,7 @@ def scd2(events: DataFrame, keys, seq: str, tiebreak=None, delete_when=None, exc
     chunk = time_chunk(F.col(seq), chunk_width)
     if track:
         ev = _collapse_unchanged(ev, keys, seq, track, chunk)
-    ev = next_in_key(ev, keys, [seq], seq, END, chunk)
+    ev = next_in_key(ev, keys, [seq], seq, END, chunk, checkpoint=checkpoint)
     out = (ev.filter(~F.col("__is_delete"))
              .withColumn(START, F.col(seq))
              .drop("__is_delete", *except_cols))
@@ -334,7 +335,7 @@ def delete_where(df: DataFrame, predicate) -> DataFrame:
 
 def point_in_time(facts: DataFrame, history: DataFrame, keys, fact_ts: str,
                   start_col: str = START, end_col: str = END, how: str = "left",
-                  chunk_width: str = "1 day", prefix: str = "") -> DataFrame:
+                  chunk_width: str = "1 day", prefix: str = "", checkpoint: bool = True) -> DataFrame:
     """Join each fact to the version of its key valid at ``fact_ts``.
 
     Valid means ``start <= ts AND (end IS NULL OR ts < end)``. Instead of an
@@ -354,7 +355,7 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys, fact_ts: str,
     f = f.withColumn("__ver", F.lit(None).cast(h.schema["__ver"].dataType))
     both = f.unionByName(h)
     res = last_before_in_key(both, keys, "__ts", "__m", "__ver", "__match",
-                             time_chunk(F.col("__ts"), chunk_width))
+                             time_chunk(F.col("__ts"), chunk_width), checkpoint=checkpoint)
     valid = F.col("__match").isNotNull() & (F.col(f"__match.{end_col}").isNull() | (F.col("__ts") < F.col(f"__match.{end_col}")))
     res = res.withColumn("__match", F.when(valid, F.col("__match")))
     if how == "inner":

@@ -40,13 +40,28 @@ def numeric_chunk(c, width: float) -> Column:
     return F.floor(as_col(c) / F.lit(width)).cast("long")
 
 
-def next_in_key(df: DataFrame, keys, order: list[str], value: str, out: str, chunk: Column) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint (files under ``spark.checkpoint.dir``).
+
+    Used where one input feeds two branches (detail window and chunk summary):
+    without it Spark recomputes the whole upstream (scans and shuffles) per branch.
+    """
+    from strata.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def next_in_key(df: DataFrame, keys, order: list[str], value: str, out: str, chunk: Column,
+                checkpoint: bool = False) -> DataFrame:
     """``out`` = ``value`` of the next row of the same key (ascending ``order``), like ``lead``.
 
-    ``chunk`` must be non-decreasing in ``order`` within a key.
+    ``chunk`` must be non-decreasing in ``order`` within a key. With ``checkpoint``
+    the input is materialized once for the two branches.
     """
     keys = names(keys)
     d = df.withColumn("__chunk", chunk)
+    if checkpoint:
+        d = materialize(d)
     w = Window.partitionBy(*keys, "__chunk").orderBy(*[F.col(o).asc_nulls_first() for o in order])
     d = (d.withColumn(out, F.lead(value).over(w))
           .withColumn("__last_in_chunk", F.lead(F.lit(1)).over(w).isNull()))
@@ -60,7 +75,7 @@ def next_in_key(df: DataFrame, keys, order: list[str], value: str, out: str, chu
 
 
 def last_before_in_key(events: DataFrame, keys, ts: str, marker: str, payload: str, out: str,
-                       chunk: Column) -> DataFrame:
+                       chunk: Column, checkpoint: bool = False) -> DataFrame:
     """For rows where ``marker`` is false, ``out`` = last ``payload`` of a marker row
     of the same key at or before ``ts`` (marker rows sort first on equal ``ts``).
 
@@ -69,6 +84,8 @@ def last_before_in_key(events: DataFrame, keys, ts: str, marker: str, payload: s
     """
     keys = names(keys)
     d = events.withColumn("__chunk", chunk)
+    if checkpoint:
+        d = materialize(d)
     w = (Window.partitionBy(*keys, "__chunk").orderBy(F.col(ts).asc(), F.col(marker).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn(out, F.last(payload, ignorenulls=True).over(w))
