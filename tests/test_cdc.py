@@ -164,3 +164,19 @@ def test_merge_into_rewrites_only_touched_buckets(spark):
     assert len(changed) == 1  # one bucket folder rewritten, the other 7 untouched
     row = spark.read.parquet(path).filter("c_custkey = 5").collect()[0]
     assert row["c_acctbal"] == 1.0 and spark.read.parquet(path).count() == target.count()
+
+
+def test_scd2_acceptance_on_customer_feed(spark):
+    """Intervals never overlap per key, keys have several versions, staging > final."""
+    from strata.plans import views as V
+    from strata.plans.q_cdc import clientes_scd2, clientes_stg
+    h = clientes_scd2(spark, SF001)
+    w = Window.partitionBy("cliente_id").orderBy(C.START)
+    bad = (h.withColumn("next_start", F.lead(C.START).over(w))
+            .filter(F.col("next_start").isNotNull() & (F.col(C.END).isNull() | (F.col(C.END) > F.col("next_start")))))
+    assert bad.count() == 0
+    assert h.filter(F.col(C.END) <= F.col(C.START)).count() == 0
+    per_key = h.groupBy("cliente_id").count()
+    assert per_key.agg(F.max("count")).collect()[0][0] >= 2
+    assert clientes_stg(spark, SF001).count() > C.current_rows(h).count()
+    assert V.clientes_cdc(spark, SF001).count() > clientes_stg(spark, SF001).count()  # DROP removed rows
