@@ -72,3 +72,12 @@ def test_no_python_udf_in_any_plan(spark):
     for name in ("agg_monthly", "cdc_scd2", "jon_point_in_time", "exp_parse_brl", "src_rescue", "prv_policy"):
         p = formatted(load_all()[name].build(spark, SF001))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_broadcast_only_within_budget(spark):
+    from strata.operators import joins as J
+    c = V.table(spark, SF001, "customer")
+    small = J.broadcast_if_small(c, max_bytes=10 * 1024 * 1024)
+    big = J.broadcast_if_small(c, max_bytes=J.estimated_row_bytes(c) * 10)  # 10-row budget
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
