@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.util import as_col, names
 from strata.operators.dedup import dedup_latest, latest_order, top_n_per_key
-from strata.operators.ordered import last_before_in_key, next_in_key, time_chunk
+from strata.operators.ordered import auto_chunk_width, last_before_in_key, materialize, next_in_key, time_chunk
 
 START, END = "__START_AT", "__END_AT"
 
@@ -62,26 +62,31 @@ def apply_changes(events: DataFrame, keys, seq: str, change_type: str = "_change
 # ---------------------------------------------------------------- SCD type 2
 
 def scd2(events: DataFrame, keys, seq: str, tiebreak=None, delete_when=None, except_cols=(),
-         chunk_width: str = "1 day", track: list[str] | None = None, checkpoint: bool = True) -> DataFrame:
+         chunk_width: str = "auto", track: list[str] | None = None, checkpoint: bool = True) -> DataFrame:
     """Full history: one version per event, valid from its sequence to the next.
 
     ``__START_AT`` = sequence; ``__END_AT`` = next sequence of the key (NULL =
     current). A delete event closes the open version and adds none. An event
     that repeats (same key and sequence) counts once (smallest tiebreak). With
     ``track`` given, consecutive events equal on those columns collapse into
-    one version. The "next sequence" is computed per (key, day-chunk) so a hot
-    key is spread over many tasks. ``checkpoint`` materializes the deduplicated
-    events once (the chunked lead reads them twice).
+    one version. The "next sequence" is computed per (key, time chunk) so a hot
+    key is spread over many tasks; ``chunk_width="auto"`` sizes the chunks from
+    the data (at most ~2M rows each). ``checkpoint`` materializes the
+    deduplicated events once (the chunked lead reads them twice).
     """
     keys = names(keys)
     ev = events.filter(F.col(seq).isNotNull())
     ev = dedup_latest(ev, keys + [seq], F.lit(0), tiebreak)  # one event per (key, seq)
     dw = _pred(delete_when)
     ev = ev.withColumn("__is_delete", F.coalesce(dw, F.lit(False)) if dw is not None else F.lit(False))
+    if checkpoint:
+        ev = materialize(ev)
+    if chunk_width == "auto":
+        chunk_width = auto_chunk_width(ev, keys, seq)
     chunk = time_chunk(F.col(seq), chunk_width)
     if track:
         ev = _collapse_unchanged(ev, keys, seq, track, chunk)
-    ev = next_in_key(ev, keys, [seq], seq, END, chunk, checkpoint=checkpoint)
+    ev = next_in_key(ev, keys, [seq], seq, END, chunk)
     out = (ev.filter(~F.col("__is_delete"))
              .withColumn(START, F.col(seq))
              .drop("__is_delete", *except_cols))
@@ -335,7 +340,7 @@ def delete_where(df: DataFrame, predicate) -> DataFrame:
 
 def point_in_time(facts: DataFrame, history: DataFrame, keys, fact_ts: str,
                   start_col: str = START, end_col: str = END, how: str = "left",
-                  chunk_width: str = "1 day", prefix: str = "", checkpoint: bool = True) -> DataFrame:
+                  chunk_width: str = "auto", prefix: str = "", checkpoint: bool = True) -> DataFrame:
     """Join each fact to the version of its key valid at ``fact_ts``.
 
     Valid means ``start <= ts AND (end IS NULL OR ts < end)``. Instead of an
@@ -354,8 +359,11 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys, fact_ts: str,
     h = h.withColumn("__fact", F.lit(None).cast(f.schema["__fact"].dataType)).withColumn("__fm", F.lit(None).cast("boolean"))
     f = f.withColumn("__ver", F.lit(None).cast(h.schema["__ver"].dataType))
     both = f.unionByName(h)
-    res = last_before_in_key(both, keys, "__ts", "__m", "__ver", "__match",
-                             time_chunk(F.col("__ts"), chunk_width), checkpoint=checkpoint)
+    if checkpoint:
+        both = materialize(both)
+    if chunk_width == "auto":
+        chunk_width = auto_chunk_width(both, keys, "__ts")
+    res = last_before_in_key(both, keys, "__ts", "__m", "__ver", "__match", time_chunk(F.col("__ts"), chunk_width))
     valid = F.col("__match").isNotNull() & (F.col(f"__match.{end_col}").isNull() | (F.col("__ts") < F.col(f"__match.{end_col}")))
     res = res.withColumn("__match", F.when(valid, F.col("__match")))
     if how == "inner":

@@ -36,6 +36,26 @@ def time_chunk(c, width: str = "1 day") -> Column:
     return F.floor(micros / F.lit(secs * 1_000_000)).cast("long")
 
 
+def auto_chunk_width(df: DataFrame, keys, ts: str, target_rows: int = 2_000_000) -> str:
+    """Chunk width that keeps every (key, chunk) at or below ``target_rows``.
+
+    One aggregate (partial aggregation first) measures the densest key-day and
+    key-hour; only two numbers reach the driver. Days are used when even the
+    densest key-day fits, hours when the densest key-hour fits, else seconds.
+    """
+    keys = names(keys)
+    hourly = df.groupBy(*keys, time_chunk(F.col(ts), "1 hour").alias("__h")).agg(F.count(F.lit(1)).alias("n"))
+    per_day = (hourly.groupBy(*keys, F.floor(F.col("__h") / 24).alias("__d"))
+                     .agg(F.sum("n").alias("n_day"), F.max("n").alias("n_hour")))
+    row = per_day.agg(F.max("n_day").alias("d"), F.max("n_hour").alias("h")).collect()[0]
+    max_day, max_hour = row["d"] or 0, row["h"] or 0
+    if max_day <= target_rows:
+        return "1 day"
+    if max_hour <= target_rows:
+        return "1 hour"
+    return f"{max(1, (3600 * target_rows) // max_hour)} seconds"
+
+
 def numeric_chunk(c, width: float) -> Column:
     return F.floor(as_col(c) / F.lit(width)).cast("long")
 

@@ -180,3 +180,14 @@ def test_scd2_acceptance_on_customer_feed(spark):
     assert per_key.agg(F.max("count")).collect()[0][0] >= 2
     assert clientes_stg(spark, SF001).count() > C.current_rows(h).count()
     assert V.clientes_cdc(spark, SF001).count() > clientes_stg(spark, SF001).count()  # DROP removed rows
+
+
+def test_auto_chunk_width_bounds_hot_keys(spark):
+    from strata.operators.ordered import auto_chunk_width
+    e = _skewed_events(spark)  # user 0 holds a third of the rows
+    assert auto_chunk_width(e, ["user_id"], "ts", target_rows=10_000) == "1 day"
+    w = auto_chunk_width(e, ["user_id"], "ts", target_rows=5)
+    assert w.endswith("seconds") or w == "1 hour"
+    ours = next_in_key(e, ["user_id"], ["ts"], "ts", "nxt", time_chunk(F.col("ts"), w))
+    brute = e.withColumn("nxt", F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts")))
+    assert rows(ours, "event_id", "nxt") == rows(brute, "event_id", "nxt")
