@@ -15,8 +15,6 @@ from strata.plans.registry import query
 
 DATASET = "sgs_observacoes_stg"
 
-METRICS_SQL = """SELECT * FROM (VALUES ('serie_presente', 'fail'), ('valor_valido', 'drop'), ('serie_catalogada', 'warn'))
-  r(name, action)"""
 COUNTS_SQL = """counts AS (SELECT COUNT(*) FILTER (WHERE codigo_serie IS NOT NULL) AS p0, COUNT(*) FILTER (WHERE NOT (codigo_serie IS NOT NULL) OR codigo_serie IS NULL) AS f0,
    COUNT(*) FILTER (WHERE COALESCE(valor IS NOT NULL AND valor >= 5, FALSE)) AS p1,
    COUNT(*) FILTER (WHERE NOT COALESCE(valor IS NOT NULL AND valor >= 5, FALSE)) AS f1,
@@ -134,7 +132,6 @@ SELECT 'revenue' AS measure, CAST(SUM(CAST(revenue AS DECIMAL(38,4))) AS DOUBLE)
 FROM fact_lines""", "fact_lines"))
 def qlt_reconcile(spark, d):
     """QLT-10: gold reconciliation, detail total = summary total."""
-    from strata.operators.gold import daily_revenue  # noqa: F401
     f = V.fact_lines(spark, d)
     summary = f.groupBy("order_date").agg(F.sum(F.col("revenue").cast("decimal(18,2)")).cast("double").alias("revenue"))
     return Q.reconcile(f, summary, {"revenue": "revenue"})

@@ -18,7 +18,7 @@ from strata.session import work_path
 from strata.sources.landing import TS_FORMAT, land_by_day
 from strata.streaming import cdc_stream as CS
 from strata.streaming import windows as W
-from strata.streaming.ingest import append_stream, run_foreach_batch
+from strata.streaming.ingest import run_foreach_batch
 
 EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
