@@ -24,10 +24,6 @@ STATUS_OK, STATUS_ALERT = "OK", "ALERTA"
 DEFAULT_LIMIT = 0.05
 
 
-class ExpectationFailed(Exception):
-    pass
-
-
 @dataclass(frozen=True)
 class Rule:
     name: str

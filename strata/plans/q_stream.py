@@ -173,6 +173,18 @@ def cdc_stream_scd1(spark, d):
     return CS.scd1_current(spark, state, "operacao = 'DELETE'", drop=["operacao", "event_id"])
 
 
+@query("cdc_stream_scd1_state", V.with_views(f""", {STG_SQL},
+latest AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cliente_id ORDER BY ts_evento DESC NULLS LAST, event_id)
+           AS rn FROM stg) WHERE rn = 1)
+SELECT {CDC_COLS_SQL} FROM latest WHERE operacao <> 'DELETE'""", "clientes_cdc"))
+def cdc_stream_scd1_state(spark, d):
+    """CDC-9: SCD1 kept in the streaming state store; only changed keys merged per micro-batch."""
+    target = work_path(spark, "current-scd1")
+    CS.scd1_stateful(_cdc_stream(spark, d, "landing-cdc1s"), ["cliente_id"], "ts_evento", "event_id", target, 8,
+                     work_path(spark, "ckpt-cdc1s"))
+    return CS.scd1_current(spark, target, "operacao = 'DELETE'", drop=["operacao", "event_id"])
+
+
 @query("cdc_stream_scd2", V.with_views(f", {SCD2_SQL}\nSELECT * FROM scd2", "clientes_cdc"))
 def cdc_stream_scd2(spark, d):
     """CDC-9: SCD2 history maintained incrementally; late events split the right interval."""

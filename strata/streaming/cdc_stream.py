@@ -82,3 +82,31 @@ def scd2_history(spark: SparkSession, state: str, keys: list[str], seq: str, del
     ev = next_in_key(ev, keys, [seq], seq, END, time_chunk(F.col(seq), chunk_width))
     return (ev.filter(~F.col("__is_delete")).withColumn(START, F.col(seq))
               .drop("__is_delete", "bucket", *drop))
+
+
+def scd1_stateful(stream: DataFrame, keys: list[str], seq: str, tiebreak: str | None, target: str,
+                  n_buckets: int, checkpoint: str) -> None:
+    """SCD1 with Spark's state store: an update-mode streaming aggregation keeps the
+    winning event per key (max_by on (sequence present, sequence, -tiebreak)), and
+    each micro-batch merges only the keys it changed into the bucketed target
+    (touched buckets only). Deletes stay as tombstones; ``scd1_current`` publishes.
+
+    ``tiebreak`` must be numeric (smaller = first seen wins).
+    """
+    from strata.operators.cdc import merge_into
+    cols = [c for c in stream.columns if c not in keys]
+    order = [F.col(seq).isNotNull(), F.col(seq)]
+    if tiebreak:
+        order.append(-F.col(tiebreak))
+    latest = (stream.groupBy(*keys)
+                    .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order)).alias("__row"))
+                    .select(*keys, "__row.*"))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        merge_into(batch.sparkSession, target, batch, keys, n_buckets, f"batch-{batch_id}")
+
+    q = (latest.writeStream.outputMode("update").foreachBatch(publish)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
