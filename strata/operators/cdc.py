@@ -143,15 +143,16 @@ class UpsertResult:
 
 def upsert(target: DataFrame, source: DataFrame, keys, update_when: list[str] | None = None,
            stamp_col: str | None = None, stamp=None, delete_missing: bool = False,
-           evolve: bool = False) -> UpsertResult:
+           evolve: bool = False, assert_unique: bool = True) -> UpsertResult:
     """MERGE without a transaction log: full outer join on the key, then pick.
 
     matched and changed (NULL-safe on ``update_when``, default all non-key
     columns) -> source values (+ stamp); matched and equal -> target row;
     source only -> insert; target only -> kept, or dropped with
     ``delete_missing`` (WHEN NOT MATCHED BY SOURCE THEN DELETE). ``source``
-    must hold one row per key (deduplicate first). With ``evolve`` new source
-    columns are added to the target.
+    must hold one row per non-NULL key (deduplicate first); with
+    ``assert_unique`` (default) the job fails otherwise instead of emitting
+    duplicates. With ``evolve`` new source columns are added to the target.
     """
     keys = names(keys)
     if evolve:
@@ -162,11 +163,22 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_when: list[str] |
     data_cols = [c for c in cols if c not in keys and c != stamp_col]
     compare = update_when if update_when is not None else [c for c in data_cols if c in source.columns]
     s = source.select(*[c for c in source.columns if c in cols]).withColumn("__in_s", F.lit(True))
+    if assert_unique:
+        # Group the source by key once: the count proves uniqueness, and the join reuses
+        # this hash partitioning by key, so the check adds no shuffle of its own.
+        vals = [c for c in s.columns if c not in keys]
+        s = (s.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*vals)).alias("__v"))
+              .select(*keys, "__v.*", "__n"))
     t = target.withColumn("__in_t", F.lit(True))
     j = t.alias("t").join(s.alias("s"), on=keys, how="full_outer")
     in_s, in_t = F.col("s.__in_s").isNotNull(), F.col("t.__in_t").isNotNull()
     changed = in_s & in_t & _differs(compare, "t", "s")
-    action = (F.when(in_s & ~in_t, F.lit("insert"))
+    action = F.when(in_s & ~in_t, F.lit("insert"))
+    if assert_unique:
+        # several source rows for one key is an error for MERGE (NULL keys never match)
+        action = F.when(F.col("s.__n") > 1, F.raise_error(F.lit(f"MERGE: several source rows share a key of {keys} (or a NULL key)")))\
+                  .when(in_s & ~in_t, F.lit("insert"))
+    action = (action
                .when(changed, F.lit("update"))
                .when(in_s & in_t, F.lit("unchanged"))
                .otherwise(F.lit("delete" if delete_missing else "kept")))

@@ -191,3 +191,13 @@ def test_auto_chunk_width_bounds_hot_keys(spark):
     ours = next_in_key(e, ["user_id"], ["ts"], "ts", "nxt", time_chunk(F.col("ts"), w))
     brute = e.withColumn("nxt", F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts")))
     assert rows(ours, "event_id", "nxt") == rows(brute, "event_id", "nxt")
+
+
+def test_upsert_rejects_duplicate_source_keys(spark):
+    from strata.plans import views as V
+    t = V.snapshot_1(spark, SF001)
+    s = V.snapshot_2(spark, SF001)
+    dup = s.unionByName(s.filter("c_custkey = 5"))
+    with pytest.raises(Exception, match="several source rows"):
+        C.upsert(t, dup, ["c_custkey"]).table.count()
+    assert C.upsert(t, s, ["c_custkey"]).table.count() > 0
