@@ -32,6 +32,9 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert forbidden not in plan, f"{name}: {forbidden} in plan"
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.execute(SQL[name])
