@@ -32,6 +32,9 @@ def main() -> None:
     from strata.plans.registry import load_all
     from strata.session import build_session
     spark = build_session(master=f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus))))
+    from strata.session import size_for_input
+    from strata.plans.views import TABLES
+    parts = size_for_input(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
     reg = load_all()
     names = list(reg) if os.environ.get("BENCH_QUERIES") == "all" else HEADLINE
     # Warm-up with queries outside the timed set (JVM JIT, class loading, parquet
@@ -46,7 +49,8 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
-           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus)}
+           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
+           "shuffle_partitions": parts}
     print(json.dumps(out))
     spark.stop()
 

@@ -77,3 +77,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the given files/folders from file-system metadata (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: list[str], partition_mb: int = 128,
+                   min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+    """Size shuffles and scan splits for the data at hand so tasks fit executor memory.
+
+    Initial shuffle partitions = input bytes / ``partition_mb`` (AQE then coalesces
+    small ones to the same advisory size and splits skewed ones); scan splits are
+    capped at twice that. Returns the partition count that was set.
+    """
+    floor = min_partitions or spark.sparkContext.defaultParallelism
+    n = max(floor, min(max_partitions, -(-input_bytes(spark, paths) // (partition_mb * 1024 * 1024))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{partition_mb}m")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{2 * partition_mb}m")
+    return n

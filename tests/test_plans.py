@@ -81,3 +81,16 @@ def test_broadcast_only_within_budget(spark):
     big = J.broadcast_if_small(c, max_bytes=J.estimated_row_bytes(c) * 10)  # 10-row budget
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_size_for_input_sets_partitions_from_bytes(spark):
+    from strata.session import input_bytes, size_for_input
+    paths = [f"{SF001}/lineitem.parquet", f"{SF001}/orders.parquet"]
+    assert input_bytes(spark, paths) > 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_for_input(spark, paths, partition_mb=1, min_partitions=1)
+        assert n >= 1 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1m"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
