@@ -74,6 +74,14 @@ def refresh_groups(target: DataFrame, changes: DataFrame, group_cols: list[str],
     return kept.unionByName(fresh)
 
 
+def refresh_partitions(spark, path: str, changes: DataFrame, group_cols: list[str], builder) -> None:
+    """Refresh a gold table partitioned by ``group_cols`` in place: only the groups
+    present in ``changes`` (which must hold all source rows of those groups) are
+    recomputed and their partitions replaced (dynamic overwrite); every other
+    partition keeps its files."""
+    write_partitioned(builder(changes), path, group_cols, compression="snappy", dynamic=True)
+
+
 def quarantine(df: DataFrame, rules: list[Rule], source: str, as_of: datetime,
                record_cols: list[str] | None = None, partition_cols: list[str] = ()) -> DataFrame:
     """Rows failing any rule -> (quarantined_at, reason, detail, record JSON, source, partition cols)."""

@@ -254,15 +254,17 @@ def snk_overwrite(spark, d):
 
 @query("snk_refresh_groups", MONTHLY_SQL)
 def snk_refresh_groups(spark, d):
-    """SNK-4: refresh only the months touched by new data; equals a full recompute."""
+    """SNK-4: refresh only the months touched by new data (their partitions are replaced
+    in place, the others keep their files); the table then equals a full recompute."""
     silver = silver_obs(spark, d)
     cutoff = F.lit(datetime(2024, 1, 20)).cast("date")
-    stale = A.monthly_indicators(silver.filter(F.col("data_ref") < cutoff))  # gold as of an earlier run
+    target = work_path(spark, "gold-monthly")
+    # gold as an earlier run left it (data up to the cutoff)
+    S.write_partitioned(A.monthly_indicators(silver.filter(F.col("data_ref") < cutoff)), target, ["mes"],
+                        compression="snappy")
     touched = silver.filter(F.col("data_ref") >= cutoff).select(A.month_of("data_ref").alias("mes")).distinct()
     changes = silver.join(touched, A.month_of("data_ref") == touched.mes, "left_semi")
-    refreshed = S.refresh_groups(stale, changes, ["mes"], A.monthly_indicators)
-    target = work_path(spark, "gold-monthly")
-    S.write_partitioned(refreshed, target, ["mes"], compression="snappy")
+    S.refresh_partitions(spark, target, changes, ["mes"], A.monthly_indicators)
     return spark.read.parquet(target).select("codigo_serie", "nome_serie", F.col("mes").cast("date").alias("mes"),
                                              "valor_medio", "valor_minimo", "valor_maximo", "valor_fechamento",
                                              "qtd_observacoes")

@@ -85,3 +85,20 @@ def test_analyze_table_statistics(spark):
     L.analyze(spark, name, ["n_nationkey"])
     desc = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} n_nationkey").collect()}
     assert desc.get("distinct_count") == "25"
+
+
+def test_refresh_partitions_keeps_untouched_files(spark):
+    from strata.operators import sinks as S
+    e = V.table(spark, SF001, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    agg = lambda df: df.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    path = work_path(spark, "t-refresh")
+    S.write_partitioned(agg(e), path, ["day"], compression="snappy")
+
+    def files():
+        return {(r["day"], r["f"]) for r in spark.read.parquet(path)
+                .select(F.col("day").cast("string").alias("day"), F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before = files()
+    S.refresh_partitions(spark, path, e.filter(F.col("day") == "2024-01-05"), ["day"], agg)
+    after = files()
+    assert {d for d, _ in before ^ after} == {"2024-01-05"}
+    assert spark.read.parquet(path).count() == len({d for d, _ in before})
