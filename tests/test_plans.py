@@ -96,3 +96,13 @@ def test_size_for_input_sets_partitions_from_bytes(spark):
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1m"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_flagship_has_two_shuffles(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(load_all()["agg_monthly"].build(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning") == 2  # dedup (map-side limited) + monthly aggregate
+    assert "WindowGroupLimit" in p
