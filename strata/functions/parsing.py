@@ -38,7 +38,8 @@ def parse_brl(c) -> Column:
     decimal mark. NULL, blank and unparsable text give NULL.
     """
     s = strip_ws(as_col(c).cast("string"))
-    s = F.when(s.contains(","), F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")).otherwise(s)
+    # the swap can expose new edge whitespace ('0, .' -> '0. '), so trim again
+    s = F.when(s.contains(","), strip_ws(F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", "."))).otherwise(s)
     ok = s.rlike(_NUMBER) | s.rlike(_SPECIAL)
     return F.when(ok, s.try_cast("double"))
 

@@ -39,9 +39,10 @@ DATE = st.one_of(
 )
 
 
-@settings(max_examples=15, deadline=None)
-@given(st.lists(AMOUNT, min_size=1, max_size=60))
+@settings(max_examples=40, deadline=None)
+@given(st.lists(AMOUNT, min_size=1, max_size=80))
 def test_parse_brl_matches_python_model(spark, values):
+    values = values + ["0, .", " 1.234,5 ", ",5", "5,", "1,2,3", "- 1"]
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(parse_brl("s")).collect()]
     assert got == [model_brl(v) for v in values]
