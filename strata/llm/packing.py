@@ -53,10 +53,6 @@ def id_encoder(path: str, cache_words: int = 500_000):
         if older:
             known.update((w, older[w]) for w in new.intersection(older))
             new.difference_update(known)
-        ended = [w for w in new if w[-1] in b".," and w[-2:-1].isalpha()]
-        new.difference_update(ended)
-        new.update([w[:-1] for w in ended], (b".", b","))
-        new.difference_update(known)
         easy = [*filter(letters, new)]
         hard = [*new.difference(easy)]
         for i in range(0, len(easy), 1000):
@@ -69,16 +65,65 @@ def id_encoder(path: str, cache_words: int = 500_000):
             known.update(zip(some, map(flat.__getitem__, map(slice, at, at[1:]))))
         for w, e in zip(hard, full.encode_batch_fast([w.decode("utf-8", "replace") for w in hard], add_special_tokens=False)):
             known[w] = np.array(e.ids, "<u4").tobytes()
-        known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in ended])
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]  # "<|" may start a special token, whose case counts
-        learn(set().union(*split))
-        return [b"".join(map(known.__getitem__, x)) for x in split]
+        # "<|" may start a special token, whose case counts
+        joined = b"".join(x for t in texts for x in (t if b"<|" in t else t.lower(), b"\n"))
+        first, stop = word_places(np.frombuffer(joined, np.uint8))
+        seen, of = distinct_words(np.frombuffer(joined, np.uint8), first, stop)
+        words = [joined[i:j] for i, j in zip(first[seen].tolist(), stop[seen].tolist())]
+        learn({*words})
+        held = [known[w] for w in words]
+        size = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        start = np.cumsum(size) - size
+        ids, count = np.frombuffer(b"".join(held), "<u4"), size[of]
+        until = np.cumsum(count)
+        ids = ids[np.repeat(start[of] - (until - count), count) + np.arange(until[-1] if len(until) else 0)]
+        ends_at = np.searchsorted(first, np.cumsum([len(t) + 1 for t in texts]))
+        cuts = np.concatenate([[0], until])[np.concatenate([[0], ends_at])].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
 
     return encode
 
 
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+SMALL = (np.arange(256) >= 97) & (np.arange(256) <= 122)
+SIGN = np.isin(np.arange(256), [44, 46])
+BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ODD = 0x9E3779B97F4A7C15
+
+
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text that ends in white space; a full stop or comma after a last letter a-z is a word of its own."""
+    space = SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(data) and not space[0]:
+        edge = np.concatenate([[0], edge])
+    first, stop = edge[::2], edge[1::2]
+    signed = np.flatnonzero((stop - first > 1) & SIGN[data[stop - 1]] & SMALL[data[stop - 2]])
+    ends = stop.copy()
+    ends[signed] -= 1
+    return np.insert(first, signed + 1, stop[signed] - 1), np.insert(ends, signed + 1, stop[signed])
+
+
+def distinct_words(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one occurrence of each distinct word, the distinct word of each occurrence), by 64-bit hashes."""
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    power = np.full(len(data), ODD, np.uint64)
+    power[0] = 1
+    np.multiply.accumulate(power, out=power)
+    back = np.full(len(data), pow(ODD, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    np.multiply.accumulate(back, out=back)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE[data] * power, out=total[1:])
+    h = (total[stop] - total[first]) * back[first]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (stop - first).astype(np.uint64)
+    _, seen, of = np.unique(h, return_index=True, return_inverse=True)
+    return seen, of
+
+
 def pieces_of(path: str, window: int, max_piece: int):
     encode = worker_cache(("ids", path), lambda: id_encoder(path))
     end = np.array([END_ID], "<u4").tobytes()
@@ -152,7 +197,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, max_piece: in
     are dealt by a hash and their number follows the number of pieces; only
     piece rows (no texts) are shuffled.
     """
-    made = map_text(docs, text_col, [id_col], [T.StructField("pieces", PIECE)], lambda: pieces_of(tokenizer_path, window, max_piece))
+    made = map_text(docs, text_col, [id_col], [T.StructField("pieces", PIECE)], lambda: pieces_of(tokenizer_path, window, max_piece), budget=4 << 20)
     pieces = scratch(made.select(column(made, id_col).alias("id"), F.inline("pieces")), "pieces")
     blocks = max(1, -(-pieces.count() // block))
     id_type = pieces.schema["id"].dataType
