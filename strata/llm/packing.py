@@ -27,10 +27,10 @@ END_ID = 2
 def id_encoder(path: str, cache_words: int = 500_000):
     """A function from texts to their token ids as little-endian 32-bit bytes.
 
-    The tokenizer never joins over white space, lower-cases, and cuts a full stop or comma off a
-    word that ends in a letter, so words are encoded once (without case and that sign) and
-    remembered. Words of plain lower-case letters need no normalising or cutting: they go to the
-    model many at a time, and its word-end tokens tell them apart.
+    The tokenizer never joins over white space, lower-cases, and cuts signs off a word that ends in
+    a letter, so words are encoded once (without case and those signs) and remembered. Words of
+    plain lower-case letters need no normalising or cutting: they go to the model many at a time,
+    and its word-end tokens tell them apart.
     """
     import os
     import re
@@ -88,22 +88,24 @@ def id_encoder(path: str, cache_words: int = 500_000):
 
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 SMALL = (np.arange(256) >= 97) & (np.arange(256) <= 122)
-SIGN = np.isin(np.arange(256), [44, 46])
+#: Signs that the tokenizer cuts off a letter before them: ASCII punctuation but for ' (contractions) and < | > (special tokens).
+SIGN = np.isin(np.arange(256), list(b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'))
 BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = 0x9E3779B97F4A7C15
 
 
 def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a text that ends in white space; a full stop or comma after a last letter a-z is a word of its own."""
+    """Starts and ends of the words of a text that ends in white space; signs after a last letter a-z are a word of their own."""
     space = SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(data) and not space[0]:
         edge = np.concatenate([[0], edge])
     first, stop = edge[::2], edge[1::2]
-    signed = np.flatnonzero((stop - first > 1) & SIGN[data[stop - 1]] & SMALL[data[stop - 2]])
+    plain = np.maximum.accumulate(np.where(SIGN[data], 0, np.arange(len(data))))[stop - 1]  # the last place without a sign
+    signed = np.flatnonzero((plain >= first) & (plain < stop - 1) & SMALL[data[plain]])
     ends = stop.copy()
-    ends[signed] -= 1
-    return np.insert(first, signed + 1, stop[signed] - 1), np.insert(ends, signed + 1, stop[signed])
+    ends[signed] = plain[signed] + 1
+    return np.insert(first, signed + 1, ends[signed]), np.insert(ends, signed + 1, stop[signed])
 
 
 def distinct_words(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
