@@ -108,18 +108,19 @@ def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(first, signed + 1, ends[signed]), np.insert(ends, signed + 1, stop[signed])
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def distinct_words(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of one occurrence of each distinct word, the distinct word of each occurrence), by 64-bit hashes."""
     if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    power = np.full(len(data), ODD, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
-    back = np.full(len(data), pow(ODD, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
+    power, back = (worker_cache(("powers", base, len(data).bit_length()), lambda: powers(base, 1 << len(data).bit_length())) for base in (ODD, pow(ODD, -1, 1 << 64)))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[data] * power, out=total[1:])
+    np.cumsum(BYTE[data] * power[:len(data)], out=total[1:])
     h = (total[stop] - total[first]) * back[first]
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (stop - first).astype(np.uint64)
     _, seen, of = np.unique(h, return_index=True, return_inverse=True)
