@@ -29,3 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
         linked = large.join(low, "a")
         small = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
         e = scratch(small.where(F.col("a") != F.col("b")).distinct(), "edges")
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """``(id, component)`` of a forest ``parents(a, b)`` with one smaller parent ``b`` for each ``a``: pointers are doubled until all end at a root."""
+    up = scratch(parents.select(F.col("a").alias("id"), F.col("b").alias("component")), "roots")
+    while True:
+        above = up.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        up = scratch(up.join(above, "component", "left").select("id", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved")), "roots")
+        moved = up.where("moved").limit(1).count()
+        up = up.select("id", "component")
+        if not moved:
+            return up.unionAll(up.select("component", "component").distinct())

@@ -20,16 +20,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import column, map_text, scratch, small_batches
-from strata.llm.components import components
+from strata.llm.components import components, roots
 
 BANDS, ROWS = 60, 6
 BASE, RATE, TOP = 1.001, 20.0, 65535
 WORDS = 5
+#: Members of a bucket that the others are paired with in one pass.
+HUBS = 32
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,10 +173,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable over links), ``kept``.
 
     Equal sets are one class before anything is paired, so a crowd of exact copies costs one
-    aggregate. In each band bucket the classes are paired with the smallest one; each class first
-    verifies its likeliest pair, and pairs that still join different components after that are
-    verified in a second step. Then, round by round, the buckets that hold several components pair
-    the next of them with the members of the others, until a round confirms nothing new.
+    aggregate. In each band bucket the classes are paired with the smallest one, and each class
+    verifies its likeliest pair; that gives first components. Buckets that still hold several of them
+    then pair their members with ``HUBS`` members of other components at a time, until all have been
+    such hubs or a pass confirms nothing new.
     Null and empty texts are linked with nothing. Rows with the same id are one document (each
     row is returned). A null id joins its class but is never its smallest id.
     """
@@ -192,38 +194,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     pairs = members.where(F.col("id") != F.col("hub")).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     likely = scratch(estimated(pairs, reps, bands, rows, least), "likely")
-    texts = base
     first = likely.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b"))
-    links = scratch(verified(first, texts, percent, words), "links")
-    same = components(links)
-
-    def apart(pairs: DataFrame, same: DataFrame) -> DataFrame:
-        """The pairs whose ends aren't in one component yet."""
-        end = lambda c: same.select(F.col("id").alias(c), F.col("component").alias("c_" + c))
-        out = pairs.join(end("a"), "a", "left").join(end("b"), "b", "left")
-        return out.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-
-    done = first.select("a", "b")
-    more = verified(apart(likely, same).subtract(done), texts, percent, words)
-    links = scratch(links.unionAll(more), "links")
-    same = components(links)
-    label = F.coalesce("component", "id")
-    last = members.select("band", F.col("hub").alias("used")).distinct()
+    same = scratch(roots(verified(first, base, percent, words)), "same")
+    done = 0
     while True:
-        # The next hub of a bucket: the smallest member above the last hub that is in another component.
-        named = members.select("band", "id").join(same, "id", "left").select("band", "id", label.alias("component"))
-        used = last.join(same.select(F.col("id").alias("used"), F.col("component").alias("used_c")), "used", "left").select("band", "used", F.coalesce("used_c", "used").alias("used_c"))
-        nxt = (named.join(used, "band").where((F.col("id") > F.col("used")) & (F.col("component") != F.col("used_c")))
-               .groupBy("band").agg(F.min(F.struct("id", "component")).alias("h")).select("band", "h.id", "h.component").toDF("band", "hub", "hub_c"))
-        nxt = scratch(nxt, "hubs")
-        pairs = (named.join(nxt, "band").where(F.col("component") != F.col("hub_c"))
+        named = members.select("band", "id").join(same, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+        mixed_up = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+        mixed_up = mixed_up.where((F.col("lo") < F.col("hi")) & (F.col("size") > done)).select("band")
+        left = scratch(named.join(mixed_up, "band"), "left")
+        rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
+        hubs = left.withColumn("rank", rank).where(F.col("rank") <= done + HUBS).where(F.col("rank") > done)
+        hubs = hubs.select("band", F.col("id").alias("hub"), F.col("component").alias("hub_c"))
+        pairs = (left.join(hubs, (left.band == hubs.band) & (F.col("component") != F.col("hub_c")))
                  .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
-        found = scratch(verified(estimated(pairs, reps, bands, rows, least), texts, percent, words), "links")
-        if not found.head(1):
+        found = verified(estimated(pairs, reps, bands, rows, least), base, percent, words)
+        ends = found.join(same.toDF("a", "c_a"), "a", "left").join(same.toDF("b", "c_b"), "b", "left")
+        links = scratch(ends.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).distinct(), "links")
+        if not links.head(1):
             break
-        links = scratch(links.unionAll(found), "links")
-        same = components(links)
-        last = nxt.select("band", F.col("hub").alias("used"))
+        # Components of the first components; ids that had none yet are components of their own.
+        joined = components(links).toDF("component", "whole")
+        more = joined.join(same.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("id"), F.col("whole").alias("component"))
+        same = scratch(same.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).unionAll(more), "same")
+        done += HUBS
     out = (sketches.select("id", "n", "key").join(classes, "key", "left")
            .join(same.select(F.col("id").alias("rep"), "component"), "rep", "left"))
     component = F.coalesce("component", "rep", "id")
