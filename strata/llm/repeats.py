@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from strata.llm.common import column, runs, scratch, small_batches
 
 LENGTH, GRAM = 50, 16
-#: Bytes of text that are hashed at a time, and that a shard's entries stand for.
-FLUSH, SHARD_BYTES = 8 << 20, 16 << 20
+#: Bytes of text that are hashed at a time, entries that a task gathers before it sends them, and text bytes that a shard's entries stand for.
+FLUSH, GATHER, SHARD_BYTES = 2 << 20, 500_000, 16 << 20
 #: Documents without an id come after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -142,34 +142,46 @@ PART = T.StructType([T.StructField("id", T.LongType()), T.StructField("part", T.
 
 def entries(docs: DataFrame, shards: int) -> DataFrame:
     """Rows for the shards (``shard`` set: packed ids, anchors, keys) and, with a null shard, repeats within a flush (``id``, keys)."""
+    def send(doc, anchor, key):
+        order = np.lexsort((doc, key, anchor))
+        doc, anchor, key = doc[order], anchor[order], key[order]
+        new = groups(anchor, key)
+        head = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        own = np.flatnonzero(doc > head)
+        names, (keys,) = by_doc(doc[own], key[own])
+        rows = [[None] * len(names), names.tolist(), keys]
+        doc, anchor, key = doc[new], anchor[new], key[new]
+        shard = (anchor >> np.uint64(40)).astype(np.int64) * shards >> 24
+        cut = np.flatnonzero(groups(shard))
+        for a, z in zip(cut, [*cut[1:], len(shard)]):
+            rows[0].append(int(shard[a]))
+            rows[1].append(None)
+            rows[2].append(packed(doc[a:z], anchor[a:z], key[a:z]))
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["shard", "id", "entries"])
+
     def run(batches):
+        held, n = [], 0
         for ids, texts in texts_of(batches, 1):
             s = Stretches(texts)
-            if not len(s.doc):
-                continue
-            doc = np.array(ids, np.int64)[s.doc]
-            order = np.lexsort((doc, s.key, s.anchor))
-            doc, anchor, key = doc[order], s.anchor[order], s.key[order]
-            new = groups(anchor, key)
-            head = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            own = np.flatnonzero(doc > head)
-            names, (keys,) = by_doc(doc[own], key[own] & HIGH48)
-            rows = [[None] * len(names), names.tolist(), keys]
-            shard = (anchor[new] >> np.uint64(40)).astype(np.int64) * shards >> 24
-            cut = np.flatnonzero(groups(shard)) if len(shard) else []
-            for part in np.split(np.arange(len(shard)), cut[1:]):
-                rows[0].append(int(shard[part[0]]))
-                rows[1].append(None)
-                heads, index = np.unique(doc[new][part], return_inverse=True)
-                a = anchor[new][part].view(np.uint8).reshape(-1, 8)
-                k = key[new][part].view(np.uint8).reshape(-1, 8)
-                rows[2].append(b"".join([np.int64([len(part), len(heads)]).tobytes(), heads.tobytes(), index.astype(np.uint32).tobytes() if len(heads) > 65535 else index.astype(np.uint16).tobytes(),
-                                         a[:, :6].tobytes(), a[:, 6:].tobytes(), k[:, 2:].tobytes()]))
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["shard", "id", "entries"])
+            held.append((np.array(ids, np.int64)[s.doc], s.anchor, s.key & HIGH48))
+            n += len(s.doc)
+            if n >= GATHER:
+                yield send(*map(np.concatenate, zip(*held)))
+                held, n = [], 0
+        if n:
+            yield send(*map(np.concatenate, zip(*held)))
 
     return docs.select("id", "t").mapInArrow(run, ENTRY)
 
 
+def packed(doc: np.ndarray, anchor: np.ndarray, key: np.ndarray) -> bytes:
+    """Entries as bytes: distinct ids and their numbers, the anchors in two parts (the high one hardly varies), 48 bits of the keys."""
+    heads, index = np.unique(doc, return_inverse=True)
+    a, k = (np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8) for x in (anchor, key))
+    return b"".join([np.array([len(doc), len(heads)], np.int64).tobytes(), heads.tobytes(), index.astype(np.uint32 if len(heads) > 65535 else np.uint16).tobytes(),
+                     a[:, :6].tobytes(), a[:, 6:].tobytes(), k[:, 2:].tobytes()])
+
+
 def unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, m = np.frombuffer(payload, np.int64, 2)
     at = 16 + 8 * m
@@ -338,7 +350,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.coalesce(column(docs, id_col).cast("long"), F.lit(LAST_ID)).alias("id"), column(docs, text_col).cast("string").alias("t"),
                        *[column(docs, c).alias(f"k{i}") for i, c in enumerate(keep)])
     total = base.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    shards = max(1, min(1 << 22, -(-total // SHARD_BYTES)))
+    shards = max(1, -(-total // SHARD_BYTES))
     sent = scratch(entries(base, shards), "entries")
     local = sent.where("shard IS NULL").select("id", F.col("entries").alias("whole"), F.lit(None).cast("binary").alias("ask"))
     marks = scratch(local.unionAll(shard_marks(sent.where("shard IS NOT NULL").select("shard", "entries"))), "marks")
