@@ -30,7 +30,9 @@ from strata.llm.common import column, runs, scratch, small_batches
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed at a time, entries that a task gathers before it sends them, and text bytes that a shard's entries stand for.
-FLUSH, GATHER, SHARD_BYTES = 2 << 20, 500_000, 16 << 20
+FLUSH, GATHER, SHARD_BYTES = 1 << 20, 300_000, 4 << 20
+#: Anchors whose strings are sorted at a time.
+STRETCHES = 2000
 #: Documents without an id come after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -292,9 +294,13 @@ def string_marks(asked: DataFrame) -> DataFrame:
     def run(pdf):
         import pandas as pd
         doc, key = pdf["id"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64).view(np.uint64)
-        of, number = earlier_strings(doc, pdf["anchor"].to_numpy(np.int64).view(np.uint64), pdf["offset"].to_numpy(np.int64), list(pdf["bytes"]))
+        anchor, offset, bodies = pdf["anchor"].to_numpy(np.int64).view(np.uint64), pdf["offset"].to_numpy(np.int64), pdf["bytes"].to_numpy()
         mask = np.zeros(len(doc), np.uint64)
-        np.bitwise_or.at(mask, of, np.uint64(1) << number.astype(np.uint64))
+        order = np.argsort(anchor, kind="stable")
+        begin = np.flatnonzero(groups(anchor[order]))  # some anchors at a time, all stretches of each
+        for part in np.split(order, begin[STRETCHES::STRETCHES]):
+            of, number = earlier_strings(doc[part], anchor[part], offset[part], list(bodies[part]))
+            np.bitwise_or.at(mask, part[of], np.uint64(1) << number.astype(np.uint64))
         at = np.flatnonzero(mask)
         names, (parts,) = by_doc(doc[at], np.stack([key[at], mask[at]], 1))
         return pd.DataFrame({"id": names, "part": parts})
