@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -92,5 +95,13 @@ def worker_cache(key: tuple, make: Callable):
     return held[key]
 
 
+def trim() -> None:
+    """Give freed memory of this worker back to the system (where the C library can)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def longs(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.LongType()) for n in names]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import column, runs, scratch, small_batches
+from strata.llm.common import column, runs, scratch, small_batches, trim
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed at a time, entries that a task gathers before it sends them, and text bytes that a shard's entries stand for.
@@ -143,7 +143,7 @@ PART = T.StructType([T.StructField("id", T.LongType()), T.StructField("part", T.
 
 
 def entries(docs: DataFrame, shards: int) -> DataFrame:
-    """Rows for the shards (``shard`` set: packed ids, anchors, keys) and, with a null shard, repeats within a flush (``id``, keys)."""
+    """Rows for the shards (0 and up: packed ids, anchors, keys) and, with negative shards, repeats that the task has found itself (``id``, keys)."""
     def send(doc, anchor, key):
         order = np.lexsort((doc, key, anchor))
         doc, anchor, key = doc[order], anchor[order], key[order]
@@ -151,7 +151,7 @@ def entries(docs: DataFrame, shards: int) -> DataFrame:
         head = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         own = np.flatnonzero(doc > head)
         names, (keys,) = by_doc(doc[own], key[own])
-        rows = [[None] * len(names), names.tolist(), keys]
+        rows = [(-1 - names % shards).tolist(), names.tolist(), keys]
         doc, anchor, key = doc[new], anchor[new], key[new]
         shard = (anchor >> np.uint64(40)).astype(np.int64) * shards >> 24
         cut = np.flatnonzero(groups(shard))
@@ -170,8 +170,11 @@ def entries(docs: DataFrame, shards: int) -> DataFrame:
             if n >= GATHER:
                 yield send(*map(np.concatenate, zip(*held)))
                 held, n = [], 0
+                trim()
         if n:
             yield send(*map(np.concatenate, zip(*held)))
+        del held
+        trim()
 
     return docs.select("id", "t").mapInArrow(run, ENTRY)
 
@@ -220,8 +223,11 @@ def repeats_in_shard(doc, anchor, key):
 
 
 def shard_marks(sent: DataFrame) -> DataFrame:
+    """(id, whole, ask): packed keys of stretches that are repeats, and of those whose bytes are needed."""
     def run(pdf):
         import pandas as pd
+        if pdf["shard"].iloc[0] < 0:
+            return pd.DataFrame({"id": pdf["id"], "whole": pdf["entries"], "ask": None})
         doc, anchor, key = (np.concatenate(x) for x in zip(*map(unpacked, pdf["entries"])))
         (d, k), (d2, k2) = repeats_in_shard(doc, anchor, key)
         names, (keys,) = by_doc(d, k)
@@ -259,6 +265,7 @@ def asked_bytes(marked: DataFrame, shards: int) -> DataFrame:
                 shard = (s.anchor[at] >> np.uint64(40)).astype(np.int64) * shards >> 24
                 yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(doc), pa.array(key[at].view(np.int64)), pa.array(s.anchor[at].view(np.int64)),
                                                   pa.array(s.offset[at].astype(np.int64)), pa.array(body, pa.binary())], names=[f.name for f in BYTES])
+        trim()
 
     return marked.where("ask IS NOT NULL").select("id", "t", "ask").mapInArrow(run, BYTES)
 
@@ -357,9 +364,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        *[column(docs, c).alias(f"k{i}") for i, c in enumerate(keep)])
     total = base.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    sent = scratch(entries(base, shards), "entries")
-    local = sent.where("shard IS NULL").select("id", F.col("entries").alias("whole"), F.lit(None).cast("binary").alias("ask"))
-    marks = scratch(local.unionAll(shard_marks(sent.where("shard IS NOT NULL").select("shard", "entries"))), "marks")
+    marks = scratch(shard_marks(entries(base, shards)), "marks")
     join = lambda c: F.when(F.count(c) > 0, F.unhex(F.array_join(F.collect_list(F.hex(c)), ""))).alias(c)  # noqa: E731  a text's own entries
     asks = marks.where("ask IS NOT NULL").groupBy("id").agg(join("ask"))
     asked = asked_bytes(base.select("id", "t").join(asks, "id"), shards)
