@@ -136,10 +136,11 @@ def by_doc(doc: np.ndarray, *values: np.ndarray):
 
 
 ENTRY = T.StructType([T.StructField("shard", T.LongType()), T.StructField("id", T.LongType()), T.StructField("entries", T.BinaryType())])
-MARK = T.StructType([T.StructField("id", T.LongType()), T.StructField("whole", T.BinaryType()), T.StructField("ask", T.BinaryType())])
+#: A stretch (by key) of a document: the strings of it (bits) that a smaller document has; WHOLE: all of them; ASK: its bytes are needed.
+MARK = T.StructType([T.StructField(n, T.LongType()) for n in ("id", "key", "mask")])
+WHOLE, ASK = -1, 0
 BYTES = T.StructType([T.StructField("shard", T.LongType()), T.StructField("id", T.LongType()), T.StructField("key", T.LongType()),
                       T.StructField("anchor", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("bytes", T.BinaryType())])
-PART = T.StructType([T.StructField("id", T.LongType()), T.StructField("part", T.BinaryType())])
 
 
 def entries(docs: DataFrame, shards: int) -> DataFrame:
@@ -223,35 +224,41 @@ def repeats_in_shard(doc, anchor, key):
 
 
 def shard_marks(sent: DataFrame) -> DataFrame:
-    """(id, whole, ask): packed keys of stretches that are repeats, and of those whose bytes are needed."""
+    """MARK rows: the stretches that are repeats, and those whose bytes are needed."""
     def run(pdf):
         import pandas as pd
         if pdf["shard"].iloc[0] < 0:
-            return pd.DataFrame({"id": pdf["id"], "whole": pdf["entries"], "ask": None})
-        doc, anchor, key = (np.concatenate(x) for x in zip(*map(unpacked, pdf["entries"])))
-        (d, k), (d2, k2) = repeats_in_shard(doc, anchor, key)
-        names, (keys,) = by_doc(d, k)
-        names2, (keys2,) = by_doc(d2, k2)
-        return pd.DataFrame({"id": np.concatenate([names, names2]), "whole": keys + [None] * len(names2), "ask": [None] * len(names) + keys2})
+            found = [np.frombuffer(x, np.uint64) for x in pdf["entries"]]
+            doc, key, mask = np.repeat(pdf["id"].to_numpy(np.int64), [len(x) for x in found]), np.concatenate(found), WHOLE
+        else:
+            (d, k), (d2, k2) = repeats_in_shard(*(np.concatenate(x) for x in zip(*map(unpacked, pdf["entries"]))))
+            doc, key, mask = np.concatenate([d, d2]), np.concatenate([k, k2]), np.repeat([WHOLE, ASK], [len(d), len(d2)])
+        return pd.DataFrame({"id": doc, "key": key.view(np.int64), "mask": mask})
 
     return sent.groupBy("shard").applyInPandas(run, MARK)
 
 
-def member(keys: np.ndarray, doc: np.ndarray, wanted: list[bytes]) -> np.ndarray:
+def member(keys: np.ndarray, doc: np.ndarray, wanted: list[np.ndarray]) -> np.ndarray:
     """Which (doc, key) entries are in the sorted key lists of their documents."""
     out = np.zeros(len(keys), bool)
     cut = np.searchsorted(doc, np.arange(len(wanted) + 1))
     for d, w in enumerate(wanted):
-        if w and cut[d] < cut[d + 1]:
-            out[cut[d]:cut[d + 1]] = np.isin(keys[cut[d]:cut[d + 1]], np.frombuffer(w, np.uint64))
+        if len(w) and cut[d] < cut[d + 1]:
+            out[cut[d]:cut[d + 1]] = np.isin(keys[cut[d]:cut[d + 1]], w)
     return out
 
 
+def lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of longs of an Arrow column as unsigned arrays; null is empty."""
+    none = np.zeros(0, np.uint64)
+    return [none if not x.is_valid else x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in column]
+
+
 def asked_bytes(marked: DataFrame, shards: int) -> DataFrame:
     """The bytes of the stretches that documents were asked for (one of equal ones)."""
     def run(batches):
         for b in batches:
-            ids, asks = b.column(0).to_pylist(), b.column(2).to_pylist()
+            ids, asks = b.column(0).to_pylist(), lists(b.column(2))
             texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
             for i, j in runs(map(len, texts), FLUSH):
                 s = Stretches(texts[i:j])
@@ -267,7 +274,7 @@ def asked_bytes(marked: DataFrame, shards: int) -> DataFrame:
                                                   pa.array(s.offset[at].astype(np.int64)), pa.array(body, pa.binary())], names=[f.name for f in BYTES])
         trim()
 
-    return marked.where("ask IS NOT NULL").select("id", "t", "ask").mapInArrow(run, BYTES)
+    return marked.select("id", "t", "ask").mapInArrow(run, BYTES)
 
 
 def earlier_strings(doc: np.ndarray, anchor: np.ndarray, offset: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -297,7 +304,7 @@ def earlier_strings(doc: np.ndarray, anchor: np.ndarray, offset: np.ndarray, bod
 
 
 def string_marks(asked: DataFrame) -> DataFrame:
-    """(id, part): packed (key, mask of the strings that start in a smaller document) of the asked stretches."""
+    """MARK rows of the asked stretches that have strings which start in a smaller document."""
     def run(pdf):
         import pandas as pd
         doc, key = pdf["id"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64).view(np.uint64)
@@ -309,17 +316,17 @@ def string_marks(asked: DataFrame) -> DataFrame:
             of, number = earlier_strings(doc[part], anchor[part], offset[part], list(bodies[part]))
             np.bitwise_or.at(mask, part[of], np.uint64(1) << number.astype(np.uint64))
         at = np.flatnonzero(mask)
-        names, (parts,) = by_doc(doc[at], np.stack([key[at], mask[at]], 1))
-        return pd.DataFrame({"id": names, "part": parts})
+        return pd.DataFrame({"id": doc[at], "key": key[at].view(np.int64), "mask": mask[at].view(np.int64)})
 
-    return asked.groupBy("shard").applyInPandas(run, PART)
+    return asked.groupBy("shard").applyInPandas(run, MARK)
 
 
 RESULT = [T.StructField(n, t) for n, t in (("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept", T.BinaryType()))]
 
 
-def cut_texts(texts: list[bytes], whole: list[bytes], parts: list[bytes]):
-    """(removed bytes, spans, remaining bytes) of each text, given its repeated stretches and single strings."""
+def cut_texts(texts: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]]):
+    """(removed bytes, spans, remaining bytes) of each text, given the keys and masks of its marked stretches."""
+    whole = [k[m == ~np.uint64(0)] for k, m in marks]
     s = Stretches(texts)
     key = s.key & HIGH48
     full = member(key, s.doc, whole)
@@ -331,8 +338,8 @@ def cut_texts(texts: list[bytes], whole: list[bytes], parts: list[bytes]):
         rows = np.flatnonzero(full[a:z]) + a
         np.add.at(edge, s.first[rows], 1)
         np.subtract.at(edge, s.last[rows] + LENGTH, 1)
-        if parts[d] and z > a:
-            table = np.frombuffer(parts[d], np.uint64).reshape(-1, 2)
+        if len(whole[d]) < len(marks[d][0]) and z > a:
+            table = np.stack(marks[d], 1)[marks[d][1] != ~np.uint64(0)]
             table = table[np.argsort(table[:, 0], kind="stable")]
             i = np.minimum(np.searchsorted(table[:, 0], key[a:z]), len(table) - 1)
             for r in np.flatnonzero(table[i, 0] == key[a:z]):
@@ -365,23 +372,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = base.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     marks = scratch(shard_marks(entries(base, shards)), "marks")
-    join = lambda c: F.when(F.count(c) > 0, F.unhex(F.array_join(F.collect_list(F.hex(c)), ""))).alias(c)  # noqa: E731  a text's own entries
-    asks = marks.where("ask IS NOT NULL").groupBy("id").agg(join("ask"))
-    asked = asked_bytes(base.select("id", "t").join(asks, "id"), shards)
-    parts = string_marks(asked)
-    per_doc = (marks.select("id", "whole", F.lit(None).cast("binary").alias("part")).where("whole IS NOT NULL")
-               .unionAll(parts.select("id", F.lit(None).cast("binary"), "part")).groupBy("id").agg(join("whole"), join("part")))
-    joined = base.join(per_doc, "id", "left").select(*[f"k{i}" for i in range(len(keep))], "whole", "part", "t")
+    # The lists are a document's own marks, at most one for each of its stretches.
+    asks = marks.where(F.col("mask") == ASK).groupBy("id").agg(F.collect_list("key").alias("ask"))
+    parts = string_marks(asked_bytes(base.select("id", "t").join(asks, "id"), shards))
+    found = marks.where(F.col("mask") != ASK).unionAll(parts).groupBy("id").agg(F.collect_list(F.struct("key", "mask")).alias("m"))
+    joined = base.join(found, "id", "left").select(*[f"k{i}" for i in range(len(keep))], F.col("m.key").alias("key"), F.col("m.mask").alias("mask"), "t")
     schema = T.StructType([joined.schema[f"k{i}"] for i in range(len(keep))] + RESULT)
 
     def run(batches):
         for b in batches:
             texts = [t or b"" for t in b.column("t").cast(pa.binary()).to_pylist()]
-            whole, part = b.column("whole").to_pylist(), b.column("part").to_pylist()
+            marks = list(zip(lists(b.column("key")), lists(b.column("mask"))))
             for i, j in runs(map(len, texts), FLUSH):
                 n, spans, kept = [0] * (j - i), [0] * (j - i), texts[i:j]
-                some = [d for d in range(j - i) if whole[i + d] or part[i + d]]
-                for d, (a, c, left) in zip(some, cut_texts([texts[i + d] for d in some], [whole[i + d] for d in some], [part[i + d] for d in some])):
+                some = [d for d in range(j - i) if len(marks[i + d][0])]
+                for d, (a, c, left) in zip(some, cut_texts([texts[i + d] for d in some], [marks[i + d] for d in some])):
                     n[d], spans[d], kept[d] = a, c, left
                 made = [pa.array([len(t) for t in texts[i:j]], pa.int64()), pa.array(n, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())]
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + made, names=schema.names)
