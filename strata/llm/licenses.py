@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import column
+from strata.llm.common import column, scratch
 
 #: Short notices by which the licences are commonly declared.
 TEMPLATES = {
@@ -55,7 +55,7 @@ def matches(files: DataFrame, id_col: str, text_col: str, templates: dict[str, s
     """id, licence, similarity (rounded to 6 digits), share: the best template of each file with licence lines
     (``unknown`` under ``least``; ties: the first name)."""
     spark = files.sparkSession
-    found = notices(files, id_col, text_col)
+    found = scratch(notices(files, id_col, text_col), "notices")  # licence lines only; read several times below
     tf_t = (templates_table(spark, templates).select("licence", F.explode(words(F.col("body"))).alias("term"))
             .groupBy("licence", "term").agg(F.count(F.lit(1)).alias("n")))
     vocabulary = tf_t.select("term").distinct()  # bounded by the templates
@@ -76,8 +76,10 @@ def matches(files: DataFrame, id_col: str, text_col: str, templates: dict[str, s
             .select("id", "share", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("norm_t")), 6).alias("similarity")))
     # A maximum of (similarity, licence) with ties to the first name, as one aggregate.
     best = sims.groupBy("id", "share").agg(F.min(F.struct((-F.col("similarity")).alias("d"), "licence")).alias("b"))
-    return best.select("id", "share", F.when(-F.col("b.d") >= least, F.col("b.licence")).otherwise("unknown").alias("licence"),
-                       (-F.col("b.d")).alias("similarity"))
+    best = best.select("id", "share", F.when(-F.col("b.d") >= least, F.col("b.licence")).alias("licence"), (-F.col("b.d")).alias("similarity"))
+    every = found.select("id", "share").distinct().join(best, ["id", "share"], "left")  # a notice may share no word with any template
+    one = every.groupBy("id").agg(F.max(F.struct(F.coalesce("similarity", F.lit(0.0)).alias("similarity"), "share", "licence")).alias("m")).select("id", "m.*")
+    return one.select("id", "share", F.coalesce("licence", F.lit("unknown")).alias("licence"), "similarity")
 
 
 def licence_scan(files: DataFrame, path_col: str, id_col: str = "doc_id", text_col: str = "text",
@@ -89,7 +91,7 @@ def licence_scan(files: DataFrame, path_col: str, id_col: str = "doc_id", text_c
     licence; a directory with several takes the highest similarity, then the first name. Own notices win; without
     one, the nearest directory above (the own one first) with a licence file counts, its directory is
     ``licence_dir``. Null or empty texts have no notice; a null path has the directory ''. Ids should be
-    distinct: rows of one id are taken as one file and each get its licence. Directories are resolved
+    distinct: rows of one id each get the best match among them. Directories are resolved
     once each, so a directory with a third of all files adds one row to the path joins.
     """
     best = matches(files, id_col, text_col, templates, least)
