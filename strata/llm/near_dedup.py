@@ -31,7 +31,7 @@ BANDS, ROWS = 60, 6
 BASE, RATE, TOP = 1.001, 20.0, 65535
 WORDS = 5
 #: Members of a bucket that the others are paired with in one pass.
-HUBS = 32
+HUBS = 6
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -196,16 +196,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     likely = scratch(estimated(pairs, reps, bands, rows, least), "likely")
     first = likely.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b"))
     same = scratch(roots(verified(first, base, percent, words)), "same")
+    sizes = scratch(reps.groupBy("id").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi")), "sizes")
     done = 0
     while True:
-        named = members.select("band", "id").join(same, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+        node = sizes.join(same, "id", "left").select("id", "n_lo", "n_hi", F.coalesce("component", "id").alias("component"))
+        named = members.select("band", "id").join(node, "id")
         mixed_up = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
         mixed_up = mixed_up.where((F.col("lo") < F.col("hi")) & (F.col("size") > done)).select("band")
         left = scratch(named.join(mixed_up, "band"), "left")
         rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
         hubs = left.withColumn("rank", rank).where(F.col("rank") <= done + HUBS).where(F.col("rank") > done)
-        hubs = hubs.select("band", F.col("id").alias("hub"), F.col("component").alias("hub_c"))
-        pairs = (left.join(hubs, (left.band == hubs.band) & (F.col("component") != F.col("hub_c")))
+        hubs = hubs.select("band", F.col("id").alias("hub"), F.col("component").alias("hub_c"), F.col("n_lo").alias("hub_lo"), F.col("n_hi").alias("hub_hi"))
+        near = (100 * F.col("n_hi") >= percent * F.col("hub_lo")) & (100 * F.col("hub_hi") >= percent * F.col("n_lo"))  # else too unequal to be linked
+        pairs = (left.join(hubs, (left.band == hubs.band) & (F.col("component") != F.col("hub_c")) & near)
                  .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
         found = verified(estimated(pairs, reps, bands, rows, least), base, percent, words)
         ends = found.join(same.toDF("a", "c_a"), "a", "left").join(same.toDF("b", "c_b"), "b", "left")
