@@ -29,12 +29,13 @@ def from_cents(c, scale: int = 2) -> Column:
 def _half_up_div(num: Column, den: Column) -> Column:
     """round(num / den) half away from zero for longs (den > 0), exactly.
 
-    Integer division is done as (a - pmod(a, b)) / b: the dividend is an exact
-    multiple of b, so the quotient is exact (no floating-point rounding).
+    Quotient and remainder are integers throughout, so sums past 2^53 stay exact
+    and nothing is doubled that could overflow.
     """
-    a = F.abs(num) * 2 + den
-    b = den * 2
-    q = ((a - F.pmod(a, b)) / b).cast("long")
+    a = F.abs(num)
+    q = F.call_function("div", a, den)
+    rest = F.pmod(a, den)
+    q = q + F.when(rest >= den - rest, 1).otherwise(0)
     return F.when(num < 0, -q).otherwise(q)
 
 

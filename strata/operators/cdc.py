@@ -212,11 +212,14 @@ def merge_into(spark, path: str, source: DataFrame, keys, n_buckets: int, change
 
     from strata.operators import buckets as B
     keys = names(keys)
+    source = B.with_stored_keys(spark, path, source, keys, n_buckets)
     s = B.with_bucket(source, keys, n_buckets).persist()
     try:
         ids = None if upsert_kw.get("delete_missing") else B.touched_buckets(s)
         t = B.read_buckets(spark, path, ids)
+        read = ids if ids is not None or t is None else B.touched_buckets(t)
         if t is None:
+            B.record_bucketing(spark, path, source, keys, n_buckets)
             t = s.limit(0).drop(B.BUCKET)
             for c in (upsert_kw.get("stamp_col"),):
                 if c and c not in t.columns:
@@ -230,7 +233,7 @@ def merge_into(spark, path: str, source: DataFrame, keys, n_buckets: int, change
                                    F.count_if(a == "update").alias("num_updated_rows"),
                                    F.count_if(a == "delete").alias("num_deleted_rows"))
                   .filter(a != "delete").drop("_action"))
-        B.write_buckets(spark, B.with_bucket(out, keys, n_buckets), path, change_id)
+        B.write_buckets(spark, B.with_bucket(out, keys, n_buckets), path, change_id, read)
         return dict(obs.get)
     finally:
         s.unpersist()
@@ -304,6 +307,7 @@ def scd2_snapshot_into(spark, path: str, snapshot: DataFrame, keys, tracked: lis
     read and rewritten (all buckets when ``close_missing``, which must see every key)."""
     from strata.operators import buckets as B
     keys = names(keys)
+    snapshot = B.with_stored_keys(spark, path, snapshot, keys, n_buckets)
     s = B.with_bucket(snapshot, keys, n_buckets).persist()
     try:
         ids = None if close_missing else B.touched_buckets(s)

@@ -87,14 +87,14 @@ def apply_policy(df: DataFrame, policy: dict, principal: Principal) -> DataFrame
             proj.append(apply_mask(r["method"], F.col(c), r.get("salt")).alias(c))
         else:
             proj.append(F.col(c))
-    out = df.select(*proj)
     cond = None
     for rf in policy.get("row_filters", []):
         if any(principal.member(g) for g in rf.get("unless", [ADMIN_GROUP])):
             continue
         p = F.coalesce(_pred(rf["predicate"]), F.lit(False))
         cond = p if cond is None else (cond & p)
-    return out.filter(cond) if cond is not None else out
+    # Row filters see the stored values; masks apply to what passes.
+    return (df.filter(cond) if cond is not None else df).select(*proj)
 
 
 def tenant_filter(df: DataFrame, principal: Principal, tenant_col: str = "tenant_id",

@@ -69,7 +69,9 @@ def refresh_groups(target: DataFrame, changes: DataFrame, group_cols: list[str],
     partitioned by the group columns, only the touched partitions are rewritten.
     """
     fresh = builder(changes)
-    touched = fresh.select(*group_cols).distinct()
+    # A group whose rows all fail a rule is touched too, though it has no fresh row.
+    seen = changes if set(group_cols) <= set(changes.columns) else fresh
+    touched = seen.select(*group_cols).distinct()
     kept = target.join(touched, on=group_cols, how="left_anti")
     return kept.unionByName(fresh)
 

@@ -56,7 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="strata-ckpt-")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    local = tempfile.mkdtemp(prefix="strata-ckpt-")  # one machine: driver and executor are one process
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
@@ -93,7 +95,7 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_for_input(spark: SparkSession, paths: list[str], partition_mb: int = 128,
-                   min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+                   min_partitions: int | None = None) -> int:
     """Size shuffles and scan splits for the data at hand so tasks fit executor memory.
 
     Initial shuffle partitions = input bytes / ``partition_mb`` (AQE then coalesces
@@ -101,8 +103,15 @@ def size_for_input(spark: SparkSession, paths: list[str], partition_mb: int = 12
     capped at twice that. Returns the partition count that was set.
     """
     floor = min_partitions or spark.sparkContext.defaultParallelism
-    n = max(floor, min(max_partitions, -(-input_bytes(spark, paths) // (partition_mb * 1024 * 1024))))
+    n = max(floor, -(-input_bytes(spark, paths) // (partition_mb * 1024 * 1024)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{partition_mb}m")
     spark.conf.set("spark.sql.files.maxPartitionBytes", f"{2 * partition_mb}m")
     return n
+
+
+def size_unless_set(spark: SparkSession, sf_dir: str) -> None:
+    """Size shuffles from the bytes of the input folder, unless the session has a partition count of its own."""
+    if spark.conf.get("spark.sql.shuffle.partitions") == "200":  # Spark's default
+        n = max(200, -(-input_bytes(spark, [sf_dir]) // (128 * 1024 * 1024)))
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))

@@ -114,8 +114,8 @@ def read_layer(spark: SparkSession, path: str, stream: bool = False, max_files_p
     return r.parquet(path)
 
 
-def infer_json_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> T.StructType:
-    """Typed schema of nested JSON (structs stay structs, numbers stay numbers) from a
-    sample of the files' rows; the stream then runs with this fixed schema. Fields the
-    sample missed are caught by ``rescue.evolve_schema`` on the next run."""
+def infer_json_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
+    """Typed schema of nested JSON (structs stay structs, numbers stay numbers) from all
+    rows of the files, so no field or wider type is missed; the stream then runs with this
+    fixed schema."""
     return spark.read.option("samplingRatio", sampling_ratio).json(path).schema

@@ -201,3 +201,36 @@ def test_upsert_rejects_duplicate_source_keys(spark):
     with pytest.raises(Exception, match="several source rows"):
         C.upsert(t, dup, ["c_custkey"]).table.count()
     assert C.upsert(t, s, ["c_custkey"]).table.count() > 0
+
+
+def test_merge_into_casts_keys_clears_emptied_buckets_and_refuses_another_count(spark):
+    from strata.operators.buckets import create_bucketed
+    from strata.operators.cdc import merge_into
+    from strata.session import work_path
+    path = work_path(spark, "merge-types")
+    create_bucketed(spark.range(100).selectExpr("id AS k", "id AS v"), path, ["k"], 16)
+    few = spark.range(98, 103).selectExpr("CAST(id AS INT) AS k", "-id AS v")
+    got = merge_into(spark, path, few, ["k"], 16, "a")
+    assert (got["num_inserted_rows"], got["num_updated_rows"]) == (3, 2)
+    assert spark.read.parquet(path).select("k").distinct().count() == spark.read.parquet(path).count() == 103
+    with pytest.raises(ValueError):
+        merge_into(spark, path, few, ["k"], 8, "b")
+    got = merge_into(spark, path, few.where("k = 100"), ["k"], 16, "c", delete_missing=True)
+    assert got["num_deleted_rows"] == 102 and [r.k for r in spark.read.parquet(path).collect()] == [100]
+
+
+def test_row_filter_sees_values_before_the_mask(spark):
+    from strata.operators.privacy import Principal, apply_policy
+    df = spark.createDataFrame([("SP", 1), ("RJ", 2)], "uf string, v int")
+    policy = {"columns": {"uf": {"method": "hash", "salt": "s"}}, "row_filters": [{"predicate": "uf = 'SP'"}]}
+    assert [r.v for r in apply_policy(df, policy, Principal("ana", frozenset())).collect()] == [1]
+
+
+def test_mean_of_sums_past_2_to_the_53_is_exact(spark):
+    from strata.functions.money import _half_up_div
+    from pyspark.sql import functions as F
+    nums = [(2 ** 53 + 2 * k + 1, 7 + k) for k in range(2000)] + [(-(2 ** 60 + 5), 2), (9, 2), (0, 3)]
+    for r in spark.createDataFrame(nums, "a long, b long").select("a", "b", _half_up_div(F.col("a"), F.col("b")).alias("q")).collect():
+        q, rest = divmod(abs(r.a), r.b)
+        q += 2 * rest >= r.b
+        assert r.q == (q if r.a >= 0 else -q)
