@@ -78,6 +78,8 @@ def map_text(df: DataFrame, text_col: str, keep: list[str], fields: list[T.Struc
                 out = score(texts[i:j])
                 made = [pa.array(c, type=f.type, from_pandas=False) for c, f in zip(out, list(arrow)[len(kept):])]
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i).cast(arrow.field(k).type) for k in range(len(kept))] + made, schema=arrow)
+        del score, batches
+        trim()
 
     out = inner.mapInArrow(run, schema)
     return out.toDF(*keep, *[f.name for f in fields])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import column, map_text, scratch, small_batches
+from strata.llm.common import column, map_text, scratch, small_batches, trim
 from strata.llm.components import components, roots
 
 BANDS, ROWS = 60, 6
@@ -114,6 +114,7 @@ def band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
             flat = pa.array(h.reshape(-1).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1) * bands, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([b.column("id"), lists], names=["id", "bands"])
+        trim()
 
     return df.select("id", "regs").mapInArrow(run, schema).select("id", F.explode("bands").alias("band"))
 
@@ -144,6 +145,7 @@ def estimated(pairs: DataFrame, sketches: DataFrame, bands: int, rows: int, leas
             j = likeliest(t.column("n_a").to_numpy(), t.column("n_b").to_numpy(), larger, smaller, m - larger - smaller)
             ok = np.flatnonzero(j >= least)
             yield pa.RecordBatch.from_arrays([t.column("a").take(pa.array(ok)), t.column("b").take(pa.array(ok)), pa.array(j[ok])], names=["a", "b", "estimate"])
+        trim()
 
     return pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(run, schema)
 
@@ -164,6 +166,8 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
                 if p and q and 100 * both >= percent * (len(p) + len(q) - both):
                     ok.append(i)
             yield pa.RecordBatch.from_arrays([t.column(c).take(pa.array(ok, pa.int64())) for c in ("a", "b")], names=["a", "b"])
+        sets.cache_clear()
+        trim()
 
     return pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b").mapInArrow(run, schema)
 

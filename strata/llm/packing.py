@@ -24,7 +24,7 @@ from strata.llm.common import column, map_text, scratch, worker_cache
 END_ID = 2
 
 
-def id_encoder(path: str, cache_words: int = 500_000):
+def id_encoder(path: str, cache_words: int = 250_000):
     """A function from texts to their token ids as little-endian 32-bit bytes.
 
     The tokenizer never joins over white space, lower-cases, and cuts signs off a word that ends in
@@ -118,7 +118,8 @@ def distinct_words(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tup
     """(index of one occurrence of each distinct word, the distinct word of each occurrence), by 64-bit hashes."""
     if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    power, back = (worker_cache(("powers", base, len(data).bit_length()), lambda: powers(base, 1 << len(data).bit_length())) for base in (ODD, pow(ODD, -1, 1 << 64)))
+    size = max(len(data), 5 << 18)  # the usual size is kept by the worker
+    power, back = (worker_cache(("powers", base), lambda: powers(base, size)) if size == 5 << 18 else powers(base, size) for base in (ODD, pow(ODD, -1, 1 << 64)))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE[data] * power[:len(data)], out=total[1:])
     h = (total[stop] - total[first]) * back[first]
@@ -200,7 +201,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, max_piece: in
     are dealt by a hash and their number follows the number of pieces; only
     piece rows (no texts) are shuffled.
     """
-    made = map_text(docs, text_col, [id_col], [T.StructField("pieces", PIECE)], lambda: pieces_of(tokenizer_path, window, max_piece), budget=4 << 20)
+    made = map_text(docs, text_col, [id_col], [T.StructField("pieces", PIECE)], lambda: pieces_of(tokenizer_path, window, max_piece), budget=1 << 20)
     pieces = scratch(made.select(column(made, id_col).alias("id"), F.inline("pieces")), "pieces")
     blocks = max(1, -(-pieces.count() // block))
     id_type = pieces.schema["id"].dataType

@@ -390,5 +390,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     n[d], spans[d], kept[d] = a, c, left
                 made = [pa.array([len(t) for t in texts[i:j]], pa.int64()), pa.array(n, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())]
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + made, names=schema.names)
+        trim()
 
     return joined.mapInArrow(run, schema).toDF(*keep, *names)
