@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,10 @@ from strata.llm.components import components, roots
 BANDS, ROWS = 60, 6
 BASE, RATE, TOP = 1.001, 20.0, 65535
 WORDS = 5
-#: Members of a bucket that the others are paired with in one pass.
-HUBS = 6
+#: Slots of the table that counts shingles by hash; one byte each goes to the tasks, at any size of the input.
+SLOTS, SLOT_BLOCKS = 1 << 20, 64
+#: Tasks whose counts are summed in one group.
+TASKS = 256
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -172,15 +174,99 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     return pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b").mapInArrow(run, schema)
 
 
+def slot_levels(hashed: DataFrame) -> np.ndarray:
+    """For each slot of the hashes, the bit length of the number of shingles in it.
+
+    Counts of each task are summed by blocks of slots, first over ``TASKS`` neighbouring tasks, then
+    over all, so that no group grows with the input; the result has one byte for each slot.
+    """
+    from pyspark import TaskContext
+    width = SLOTS // SLOT_BLOCKS
+    count = T.StructType([T.StructField("part", T.LongType()), T.StructField("block", T.LongType()), T.StructField("counts", T.BinaryType())])
+
+    def run(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for g in b.column(0).to_pylist():
+                np.add.at(total, slots(np.frombuffer(g, np.uint64)), 1)
+        if total.any():
+            part = TaskContext.get().partitionId() // TASKS
+            body = [x.tobytes() for x in total.reshape(SLOT_BLOCKS, width)]
+            yield pa.RecordBatch.from_arrays([pa.array([part] * SLOT_BLOCKS, pa.int64()), pa.array(range(SLOT_BLOCKS), pa.int64()), pa.array(body, pa.binary())], names=count.names)
+        del total
+        trim()
+
+    def add(pdf):
+        total = sum(np.frombuffer(x, np.int64) for x in pdf["counts"])
+        return pdf.iloc[:1].assign(counts=[total.tobytes()])
+
+    summed = hashed.select("hashes").mapInArrow(run, count)
+    for keys in (["part", "block"], ["block"]):
+        summed = summed.groupBy(*keys).applyInPandas(add, count)
+    level = np.zeros((SLOT_BLOCKS, width), np.uint8)
+    for _, block, body in summed.toLocalIterator():
+        level[block] = np.ceil(np.log2(np.frombuffer(body, np.int64) + 1))
+    return level.ravel()
+
+
+def slots(g: np.ndarray) -> np.ndarray:
+    return (g >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
+
+
+def prefix_pairs(base: DataFrame, left: DataFrame, percent: int, words: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``left(id, component)`` of different components that may be linked: every pair
+    at the threshold is among them (up to equal 64-bit hashes).
+
+    The shingles of a text are ordered from rare to frequent. At the threshold t, two sets of n <= m
+    shingles share at least 2t/(1+t) n and at least t m, so they share one of the first
+    n - 2t/(1+t) n + 1 of the smaller and the first m - t m + 1 of the larger.
+    """
+    kind = left.schema["id"].dataType
+    odd = draws(words, 1)
+    base_fields = [T.StructField("id", kind), T.StructField("component", kind)]
+    hash_schema = T.StructType([*base_fields, T.StructField("hashes", T.BinaryType())])
+    schema = T.StructType([*base_fields, T.StructField("n", T.LongType()), T.StructField("near", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+
+    def hashes(batches):
+        for b in batches:
+            made = [shingle_hashes(t or b"", odd).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.binary())], names=hash_schema.names)
+        trim()
+
+    hashed = scratch(base.join(left, "id").select("id", "component", "t").mapInArrow(hashes, hash_schema), "hashes")
+    level = slot_levels(hashed)
+
+    def prefixes(batches):
+        for b in batches:
+            n, near, tokens = [], [], []
+            for x in b.column(2).to_pylist():
+                g = np.frombuffer(x, np.uint64)
+                size = len(g)
+                order = np.lexsort((g, level[slots(g)]))
+                n.append(size)
+                near.append(size + (-2 * percent * size // (100 + percent)) + 1)
+                tokens.append(g[order[:size + (-percent * size // 100) + 1]].view(np.int64) if size else np.zeros(0, np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(t) for t in tokens])]), pa.int32()), pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(near, pa.int64()), lists], names=schema.names)
+        trim()
+
+    made = hashed.mapInArrow(prefixes, schema).select("id", "component", "n", "near", F.posexplode("tokens").alias("place", "token"))
+    made = scratch(made.select("id", "component", "n", "token", (F.col("place") < F.col("near")).alias("first")), "prefixes")
+    small = made.where("first").select("token", *[F.col(c).alias("s_" + c) for c in ("id", "component", "n")])
+    pairs = made.join(small, "token").where((F.col("component") != F.col("s_component")) & (100 * F.col("s_n") >= percent * F.col("n"))
+                                            & ((F.col("s_n") < F.col("n")) | ((F.col("s_n") == F.col("n")) & (F.col("s_id") < F.col("id")))))
+    return pairs.select(F.greatest("id", "s_id").alias("a"), F.least("id", "s_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                     bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
     """Per row: ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable over links), ``kept``.
 
     Equal sets are one class before anything is paired, so a crowd of exact copies costs one
     aggregate. In each band bucket the classes are paired with the smallest one, and each class
-    verifies its likeliest pair; that gives first components. Buckets that still hold several of them
-    then pair their members with ``HUBS`` members of other components at a time, until all have been
-    such hubs or a pass confirms nothing new.
+    verifies its likeliest pair; that gives first components. The members of buckets that still hold
+    several of them meet by their rarest shingles (``prefix_pairs``): no link among these members is
+    missed, and no bucket is paired all against all.
     Null and empty texts are linked with nothing. Rows with the same id are one document (each
     row is returned). A null id joins its class but is never its smallest id.
     """
@@ -200,30 +286,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     likely = scratch(estimated(pairs, reps, bands, rows, least), "likely")
     first = likely.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b"))
     same = scratch(roots(verified(first, base, percent, words)), "same")
-    sizes = scratch(reps.groupBy("id").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi")), "sizes")
-    done = 0
-    while True:
-        node = sizes.join(same, "id", "left").select("id", "n_lo", "n_hi", F.coalesce("component", "id").alias("component"))
-        named = members.select("band", "id").join(node, "id")
-        mixed_up = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-        mixed_up = mixed_up.where((F.col("lo") < F.col("hi")) & (F.col("size") > done)).select("band")
-        left = scratch(named.join(mixed_up, "band"), "left")
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
-        hubs = left.withColumn("rank", rank).where(F.col("rank") <= done + HUBS).where(F.col("rank") > done)
-        hubs = hubs.select("band", F.col("id").alias("hub"), F.col("component").alias("hub_c"), F.col("n_lo").alias("hub_lo"), F.col("n_hi").alias("hub_hi"))
-        near = (100 * F.col("n_hi") >= percent * F.col("hub_lo")) & (100 * F.col("hub_hi") >= percent * F.col("n_lo"))  # else too unequal to be linked
-        pairs = (left.join(hubs, (left.band == hubs.band) & (F.col("component") != F.col("hub_c")) & near)
-                 .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
-        found = verified(estimated(pairs, reps, bands, rows, least), base, percent, words)
-        ends = found.join(same.toDF("a", "c_a"), "a", "left").join(same.toDF("b", "c_b"), "b", "left")
-        links = scratch(ends.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).distinct(), "links")
-        if not links.head(1):
-            break
+    named = members.select("band", "id").join(same, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+    mixed_up = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi"))
+    left = named.join(mixed_up.select("band"), "band").select("id", "component").distinct()
+    pairs = prefix_pairs(base, left, percent, words)
+    found = verified(estimated(pairs, reps, bands, rows, least), base, percent, words)
+    ends = found.join(same.toDF("a", "c_a"), "a", "left").join(same.toDF("b", "c_b"), "b", "left")
+    links = scratch(ends.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).distinct(), "links")
+    if links.head(1):
         # Components of the first components; ids that had none yet are components of their own.
         joined = components(links).toDF("component", "whole")
         more = joined.join(same.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("id"), F.col("whole").alias("component"))
-        same = scratch(same.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).unionAll(more), "same")
-        done += HUBS
+        same = same.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).unionAll(more)
     out = (sketches.select("id", "n", "key").join(classes, "key", "left")
            .join(same.select(F.col("id").alias("rep"), "component"), "rep", "left"))
     component = F.coalesce("component", "rep", "id")

@@ -393,3 +393,18 @@ def test_gradient_and_learning():
     for _ in range(60):
         trainer.learn(context, target)
     assert lm_scoring.forward(trainer.net, context, target)[0].mean() > before + 1
+
+
+def test_prefix_pairs_lose_no_link(spark):
+    """Members of one crowded bucket: a long common passage, endings of their own, some of them nearly equal."""
+    rng = np.random.default_rng(5)
+    common = " ".join(f"c{i}" for i in range(80))
+    rows = [(i, f"{common} " + " ".join(f"w{rng.integers(0, 30) if i % 3 else i}x{k}" for k in range(rng.integers(5, 60)))) for i in range(120)]
+    rows += [(900, None), (901, ""), (902, "one two")]
+    base = spark.createDataFrame(rows, "id long, t string")
+    left = base.select("id", F.col("id").alias("component"))
+    got = {tuple(r) for r in near_dedup.prefix_pairs(base, left, 75, 5).collect()}
+    sets = {i: near_dedup.shingle_set((t or "").encode()) for i, t in rows}
+    links = {(a, b) for a, x in sets.items() for b, y in sets.items() if b < a and x and y and 100 * len(x & y) >= 75 * len(x | y)}
+    assert links and links <= got
+    assert near_dedup.prefix_pairs(base.limit(0), left.limit(0), 75, 5).count() == 0
