@@ -1,12 +1,8 @@
 """Joins with explicit size discipline.
 
-* ``broadcast`` only behind a proof of size: either the caller states a
-  fixed bound (a dimension whose row count is fixed by the domain, like
-  regions or a series catalogue), or ``broadcast_if_small`` proves it by
-  counting at most N + 1 rows, N derived from a byte budget and the schema's
-  estimated row width. Beyond the bound the join stays a
-  shuffle join and AQE may still turn it into a broadcast at run time from
-  real shuffle sizes.
+* ``broadcast`` is hinted only for a side that the domain keeps small (a series
+  catalogue) and whose planned size is within a byte budget. All other joins are
+  left to the planner and to AQE, which broadcasts from real shuffle sizes.
 * ``salted_join`` spreads a hot key of the big side over ``n`` salts.
 """
 
@@ -14,57 +10,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.hashing import stable_salt
 from strata.functions.util import names
 
-# Budget for a side broadcast without a fixed bound (Spark's own default threshold is 10 MB).
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Budget of a hinted broadcast (Spark's own default threshold is 10 MB).
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _field_bytes(t: T.DataType) -> int:
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, (T.ShortType, T.ByteType, T.BooleanType)):
-        return 2
-    if isinstance(t, T.DecimalType):
-        return 16
-    if isinstance(t, T.StructType):
-        return sum(_field_bytes(f.dataType) for f in t.fields)
-    return 64  # strings, binaries, arrays, maps: a generous guess
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's upper estimate of the size of ``df`` (from file sizes; no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Upper-leaning estimate of one row's size in a hashed broadcast relation."""
-    return 16 + sum(_field_bytes(f.dataType) for f in df.schema.fields)
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a side that the domain keeps small, if its planned size agrees; otherwise leave the join to the planner."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only if it provably fits both budgets; otherwise keep the shuffle join."""
-    rows = min(max_rows, max(1, max_bytes // estimated_row_bytes(df)))
-    return F.broadcast(df) if is_small(df, rows) else df
-
-
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is fixed by the domain (not by data volume)."""
-    return F.broadcast(df)
-
-
-def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left", dim_bounded: bool = False,
-           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Left join of a fact with a dimension; the dimension is broadcast only when bounded."""
-    d = bounded_broadcast(dim) if dim_bounded else broadcast_if_small(dim, max_rows, max_bytes)
-    return facts.join(d, on=on, how=how)
+def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left", dim_bounded: bool = False) -> DataFrame:
+    """Join of a fact with a dimension; the planner and AQE choose from sizes, a bounded dimension is broadcast."""
+    return facts.join(bounded_broadcast(dim) if dim_bounded else dim, on=on, how=how)
 
 
 def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:

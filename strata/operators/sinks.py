@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.quality import STATUS_OK, Rule
+from strata.sources.landing import TS_FORMAT
 
 # Compression codecs accepted for parquet output.
 CODECS = ("snappy", "zstd", "gzip", "none")
@@ -89,7 +90,8 @@ def quarantine(df: DataFrame, rules: list[Rule], source: str, as_of: datetime,
     """Rows failing any rule -> (quarantined_at, reason, detail, record JSON, source, partition cols)."""
     fails = [F.when(~r.passed(), F.lit(r.name)) for r in rules]
     details = [F.when(~r.passed(), F.lit(f"{r.name}: {r.condition}")) for r in rules]
-    rec = F.to_json(F.struct(*[F.col(c) for c in (record_cols or df.columns)]))
+    rec = F.to_json(F.struct(*[F.col(c) for c in (record_cols or df.columns)]),
+                    {"ignoreNullFields": "false", "timestampNTZFormat": TS_FORMAT})
     q = df.select("*", F.concat_ws(",", *fails).alias("reason"), F.concat_ws("; ", *details).alias("detail"))
     q = q.filter(F.col("reason") != "")
     return q.select(F.lit(as_of).cast("timestamp_ntz").alias("quarantined_at"), "reason", "detail",

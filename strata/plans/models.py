@@ -12,9 +12,8 @@ from strata.plans import views as V
 def star(spark: SparkSession, d: str) -> DataFrame:
     """Fact lines with customer, geography and part attributes.
 
-    customer and part grow with the data: they join by shuffle (AQE may switch
-    to broadcast from real sizes); nation x region is fixed at 25 rows and is
-    broadcast.
+    Each dimension is broadcast or shuffled by its size: the planner knows that of
+    the files, AQE that of the shuffles.
     """
     f = V.fact_lines(spark, d)
     c = V.table(spark, d, "customer").select(F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("customer_name"),
@@ -23,7 +22,7 @@ def star(spark: SparkSession, d: str) -> DataFrame:
                                      F.col("r_name").alias("region"))
     p = V.table(spark, d, "part").select(F.col("p_partkey").alias("part_key"), F.col("p_type").alias("category"),
                                          F.col("p_brand").alias("brand"))
-    return (f.join(c, "customer_key").join(F.broadcast(geo), "c_nationkey").join(p, "part_key").drop("c_nationkey"))
+    return (f.join(c, "customer_key").join(geo, "c_nationkey").join(p, "part_key").drop("c_nationkey"))
 
 
 def tenant_daily(spark: SparkSession, d: str) -> DataFrame:
@@ -40,7 +39,7 @@ def dim_customer(spark: SparkSession, d: str) -> DataFrame:
     geo = V.dim_geo(spark, d)
     buyers = V.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct() \
         .withColumn("has_orders", F.lit(True))
-    out = (c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
+    out = (c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
             .join(buyers, "c_custkey", "left"))
     return out.select(F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("customer_name"),
                       F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"),

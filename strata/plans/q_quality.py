@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from strata.operators import quality as Q
 from strata.operators import sinks as S
 from strata.plans import views as V
-from strata.plans.q_gold import SILVER_RULES
+from strata.plans.q_gold import SILVER_RULES, SLO_RULES
 from strata.plans.registry import query
+from strata.session import work_path
 
 DATASET = "sgs_observacoes_stg"
 
@@ -161,8 +162,10 @@ def _ingestion_log(spark, d):
 
 @query("snk_ingestion_log", f"WITH {LOG_SQL} SELECT * FROM log")
 def snk_ingestion_log(spark, d):
-    """SNK-7: one audit row per load (table, day, 6-hour load) with count and status."""
-    return _ingestion_log(spark, d)
+    """SNK-7: one audit row per load (table, day, 6-hour load) with count and status, appended to the stored log."""
+    target = work_path(spark, "ingestion-log")
+    S.append_batch(_ingestion_log(spark, d), target)
+    return spark.read.parquet(target)
 
 
 @query("qlt_ingestion_sla", f"""WITH {LOG_SQL}
@@ -183,7 +186,7 @@ SELECT TIMESTAMP '2024-02-01 00:00:00' AS quarantined_at,
   concat_ws('; ', CASE WHEN NOT COALESCE(value >= 5, FALSE) THEN 'valor_valido: value >= 5' END,
                   CASE WHEN NOT COALESCE(event_type IN ('view', 'click', 'purchase'), FALSE)
                        THEN 'serie_catalogada: event_type IN (''view'', ''click'', ''purchase'')' END) AS detail,
-  CAST(to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type, value := value)) AS VARCHAR) AS record,
+  CAST(to_json(struct_pack(event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), user_id := user_id, event_type := event_type, value := value, props := props)) AS VARCHAR) AS record,
   'events' AS source, CAST(ts AS DATE) AS data_ref
 FROM events WHERE NOT COALESCE(value >= 5, FALSE) OR NOT COALESCE(event_type IN ('view', 'click', 'purchase'), FALSE)""")
 def snk_quarantine(spark, d):
@@ -191,16 +194,21 @@ def snk_quarantine(spark, d):
     e = V.table(spark, d, "events").withColumn("data_ref", F.col("ts").cast("date"))
     rules = [Q.Rule("valor_valido", "value >= 5", Q.DROP),
              Q.Rule("serie_catalogada", "event_type IN ('view', 'click', 'purchase')", Q.DROP)]
-    return S.quarantine(e, rules, "events", QUARANTINE_AS_OF, ["event_id", "user_id", "event_type", "value"], ["data_ref"])
+    target = work_path(spark, "quarantine")
+    record = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    S.append_batch(S.quarantine(e, rules, "events", QUARANTINE_AS_OF, record, ["data_ref"]), target, ["data_ref"])
+    return spark.read.parquet(target)
 
 
-@query("snk_certify", V.with_views(f""", {COUNTS_SQL},
+@query("snk_certify", V.with_views(f""", {COUNTS_SQL.replace("valor >= 5", "valor >= 1")},
 g AS (SELECT ROUND(SUM(failed_records) / GREATEST(SUM(passed_records) + SUM(failed_records), 1), 6) AS rate FROM m
       WHERE action = 'drop')
 SELECT t.table_name, 'OK' AS status, g.rate, TIMESTAMP '2024-02-01 00:00:00' AS certified_at
-FROM g, (VALUES ('indicadores_mensais'), ('ipca_expectativa_vs_realizado')) t(table_name)""", "obs"))
+FROM g, (VALUES ('indicadores_mensais'), ('ipca_expectativa_vs_realizado')) t(table_name) WHERE g.rate <= 0.05""", "obs"))
 def snk_certify(spark, d):
-    """SNK-8: gold tables certified only when the gate (dropped-row rate) says OK."""
-    m = Q.expectation_metrics(V.obs(spark, d), SILVER_RULES, DATASET).filter(F.col("action") == Q.DROP)
-    status, rate = Q.gate_verdict(m, limit=0.10, passed_col="passed_records", failed_col="failed_records")
-    return S.certify(spark, ["indicadores_mensais", "ipca_expectativa_vs_realizado"], status, rate, QUARANTINE_AS_OF)
+    """SNK-8: gold tables certified, and the rows stored, only when the gate (5 % of dropped rows) says OK."""
+    m = Q.expectation_metrics(V.obs(spark, d), SLO_RULES, DATASET).filter(F.col("action") == Q.DROP)
+    status, rate = Q.gate_verdict(m, passed_col="passed_records", failed_col="failed_records")
+    target = work_path(spark, "certification")
+    S.append_batch(S.certify(spark, ["indicadores_mensais", "ipca_expectativa_vs_realizado"], status, rate, QUARANTINE_AS_OF), target)
+    return spark.read.parquet(target)

@@ -38,7 +38,10 @@ def with_views(sql: str, *names: str) -> str:
 # anything else -> 9999 (a code outside the catalogue).
 
 def obs(spark, d) -> DataFrame:
-    e = table(spark, d, "events")
+    return observations(table(spark, d, "events"))
+
+
+def observations(e: DataFrame) -> DataFrame:
     code = (F.when(F.col("event_type") == "view", 1).when(F.col("event_type") == "click", 11)
              .when(F.col("event_type") == "purchase", 433).otherwise(9999).cast("int"))
     return e.select(code.alias("codigo_serie"), F.col("event_type").alias("nome_serie"),
@@ -135,10 +138,10 @@ FACT_SQL = """SELECT l_orderkey AS order_key, l_linenumber AS line_number, o_cus
 
 
 def dim_geo(spark, d) -> DataFrame:
-    """nation x region: 25 rows by the domain, safe to broadcast."""
+    """nation x region (the planner broadcasts what is below its size threshold)."""
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 # ------------------------------------------------------------------ snapshots for snapshot-SCD2 / upsert

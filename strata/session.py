@@ -81,6 +81,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the given files/folders from file-system metadata (no data is read)."""
     jvm = spark.sparkContext._jvm

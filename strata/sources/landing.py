@@ -28,18 +28,7 @@ def land(df: DataFrame, path: str, fmt: str = "json", partition_by: list[str] |
 
 
 def land_by_day(df: DataFrame, ts_col: str, path: str, fmt: str = "json", day_col: str = "day", **options) -> str:
-    """One landing directory per day of ``ts_col`` (``day=YYYY-MM-DD``) holding exactly
-    one file: this models the source system's fetcher, which lands one file per
-    fetch (the audit queries count files per day). Pipelines never write this way;
-    they use ``land`` / ``write_partitioned``, which split hot values."""
+    """One landing directory per day of ``ts_col`` (``day=YYYY-MM-DD``); a busy day is
+    written by several tasks into several files."""
     d = df.withColumn(day_col, F.date_format(F.col(ts_col), "yyyy-MM-dd"))
-    (d.repartition(F.col(day_col)).write.partitionBy(day_col).mode("overwrite")
-      .format(fmt).options(**options).save(path))
-    return path
-
-
-def land_one_file_per_value(df: DataFrame, col: str, path: str, fmt: str = "json", **options) -> str:
-    """One file per value of ``col`` (the source system's fetcher model: one file per fetch)."""
-    (df.repartition(F.col(col)).write.partitionBy(col).mode("overwrite")
-       .format(fmt).options(**options).save(path))
-    return path
+    return land(d, path, fmt, [day_col], **options)

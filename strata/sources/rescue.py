@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt"
+RAW = T.MapType(T.StringType(), T.StringType())
 MODES = ("addNewColumns", "failOnNewColumns", "none", "rescue")
 
 
@@ -37,7 +38,14 @@ class NewColumnsRejected(Exception):
 def rescued_map(text: Column, schema: T.StructType) -> tuple[Column, Column]:
     """(typed struct, map of rescued raw values) parsed from one JSON text column."""
     typed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    own, *nested = _misfits(F.from_json(text, RAW), typed, schema)
+    empty = F.create_map().cast(RAW)
+    return typed, F.map_concat(own, *[F.coalesce(m, empty) for m in nested]) if nested else own
+
+
+def _misfits(raw: Column, typed: Column, schema: T.StructType, prefix: str = "") -> list[Column]:
+    """For ``schema`` and each struct in it, the entries of its raw string map that it has no place or
+    another type for, with the path as the key. (Structs inside arrays and maps are not entered.)"""
     names = [f.name for f in schema.fields]
 
     def keep(k, v):
@@ -45,14 +53,20 @@ def rescued_map(text: Column, schema: T.StructType) -> tuple[Column, Column]:
         for n in names:
             bad_type = F.when(k == F.lit(n), v.isNotNull() & typed[n].isNull()).otherwise(bad_type)
         return ~k.isin(names) | bad_type
-    return typed, F.map_filter(raw, keep)
+
+    own = F.map_filter(raw, keep)
+    maps = [F.transform_keys(own, lambda k, _: F.concat(F.lit(prefix), k)) if prefix else own]
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            maps += _misfits(F.from_json(raw[f.name], RAW), typed[f.name], f.dataType, f"{prefix}{f.name}.")
+    return maps
 
 
 def read_rescued(df: DataFrame, text_col: str, schema: T.StructType, keep_map: bool = False) -> DataFrame:
     """Parse ``text_col`` with a frozen schema, keeping what does not fit in ``_rescued_data``.
 
-    The raw text is parsed twice (typed struct, raw string map) and nothing more;
-    ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
+    The text is read as a typed struct and as a raw string map, nested structs as maps of their own
+    (keys like ``ctx.field``). Works on streams too. ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
     inspect it without re-parsing the JSON.
     """
     typed, rescued = rescued_map(F.col(text_col), schema)

@@ -102,3 +102,17 @@ def test_refresh_partitions_keeps_untouched_files(spark):
     after = files()
     assert {d for d, _ in before ^ after} == {"2024-01-05"}
     assert spark.read.parquet(path).count() == len({d for d, _ in before})
+
+
+def test_streams_over_two_months_lose_nothing(spark):
+    from strata.plans.registry import load_all
+    root = work_path(spark, "two-months")
+    e = V.table(spark, SF001, "events")
+    later = e.withColumns({"event_id": F.col("event_id") + 10 ** 9, "ts": F.col("ts") + F.expr("INTERVAL 40 DAYS")})
+    e.unionByName(later).write.parquet(f"{root}/events.parquet")
+    queries = load_all()
+    assert queries["str_dedup"].build(spark, root).count() == 2 * e.count()
+    hourly = queries["str_stream_hourly"].build(spark, root).agg(F.sum("eventos")).first()[0]
+    end = later.agg(F.max("ts").alias("t")).select(F.date_trunc("hour", F.col("t") - F.expr("INTERVAL 10 MINUTES")).cast("timestamp_ntz")).first()[0]
+    closed = e.unionByName(later).where(F.col("ts") < F.lit(end).cast("timestamp_ntz")).count()
+    assert hourly == closed

@@ -79,8 +79,8 @@ def test_no_python_udf_in_any_plan(spark):
 def test_broadcast_only_within_budget(spark):
     from strata.operators import joins as J
     c = V.table(spark, SF001, "customer")
-    small = J.broadcast_if_small(c, max_bytes=10 * 1024 * 1024)
-    big = J.broadcast_if_small(c, max_bytes=J.estimated_row_bytes(c) * 10)  # 10-row budget
+    small = J.bounded_broadcast(c, max_bytes=10 * 1024 * 1024)
+    big = J.bounded_broadcast(c, max_bytes=J.planned_bytes(c) - 1)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
 

@@ -1,6 +1,6 @@
 """Expectations (WARN/DROP/FAIL), one-pass metrics, gate, contracts."""
 
-from strata.session import work_path
+from strata.session import path_exists, work_path
 
 import pytest
 from pyspark.sql import Observation
@@ -105,10 +105,13 @@ def test_medallion_gate_blocks_gold(spark):
     from strata.sources.landing import TS_FORMAT, land_by_day
     landing = land_by_day(V.table(spark, SF001, "events"), "ts", work_path(spark, "t-landing"), timestampNTZFormat=TS_FORMAT)
     root = work_path(spark, "t-lake")
-    res = MD.run(spark, landing, root, "r1", datetime(2024, 2, 1), limit=0.01, gate_mode="dropped_rows")
-    assert res.status == "ALERTA" and res.certification is None
-    with pytest.raises(Exception):
-        spark.read.parquet(res.gold).count()  # gold never written
+    for run in ("r1", "r2"):  # the rerun has no new files, but the batches of the first run wait uncertified
+        with pytest.raises(MD.GateRejected) as stop:
+            MD.run(spark, landing, root, run, datetime(2024, 2, 1), limit=0.01, gate_mode="dropped_rows")
+        assert stop.value.status == "ALERTA" and not path_exists(spark, stop.value.gold)
+    fresh = MD.run(spark, landing, root, "r3", datetime(2024, 2, 1), limit=0.5, full_refresh=True)
+    assert [(r.run_id, r.status) for r in spark.read.parquet(root + "/monitoring/certification").collect()] == [("r3", "OK")]
+    assert spark.read.parquet(fresh.gold).count() > 0
     ok = MD.run(spark, landing, work_path(spark, "t-lake2"), "r1", datetime(2024, 2, 1), limit=0.5, gate_mode="violations")
     assert ok.status == "OK" and ok.certification.count() == 1
 
