@@ -19,8 +19,10 @@ SERIES_CATALOGUE = [
 
 
 def dim_series(spark: SparkSession) -> DataFrame:
-    """The series catalogue; its size is fixed by the domain, so broadcasting it is safe."""
-    return spark.createDataFrame(SERIES_CATALOGUE, "codigo_serie int, unidade string, periodicidade string")
+    """The series catalogue, as literals, so that the planner knows its size."""
+    names = ("codigo_serie", "unidade", "periodicidade")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in SERIES_CATALOGUE]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def daily_revenue(star_df: DataFrame) -> DataFrame:
