@@ -5,7 +5,8 @@ document's score is the sum of the conditional log-probabilities. Words become
 symbols through a table of hashed word counts over the whole corpus (frequent
 buckets have a symbol each, the others share some), so the network's size
 doesn't follow the corpus. It is trained by rounds of local steps in every
-partition; the partitions' weights are averaged by a Spark aggregate.
+partition, every token being a target in one of the rounds; the partitions'
+weights are averaged by a Spark aggregate.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ WINDOW, DIM, HIDDEN, SIDE = 2, 16, 32, 32
 SYMBOLS = SIDE * SIDE  # a symbol is a pair (class, member) of SIDE classes with SIDE members each
 SHARED = 256  # symbols that rare words share
 BUCKETS = 1 << 16
-BATCH, STRIDE, ROUNDS, RATE = 4096, 16, 2, 5e-3
+BATCH, ROUNDS, RATE = 4096, 2, 5e-3
 OFFSETS = [k for k in range(-WINDOW, WINDOW + 1) if k]
 SCALE = 1 << 24  # weights are averaged as integers, which add up alike in any order
 
@@ -57,14 +58,17 @@ def reader(table: np.ndarray, cache_words: int = 300_000):
     return symbols
 
 
-def contexts(texts: list[np.ndarray], first: int = 0, stride: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(targets, contexts, text of each target) of every ``stride``-th token; places outside a text have the symbol ``SYMBOLS``."""
+def contexts(texts: list[np.ndarray], r: int = 0, rounds: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(targets, contexts, text of each target) of the tokens whose place in their own text is ``r`` modulo ``rounds``: over all ``r``,
+    every token once. Places outside a text have the symbol ``SYMBOLS``."""
     pad = np.full(WINDOW, SYMBOLS, np.int64)
     line = np.concatenate([x for t in texts for x in (pad, t)] + [pad])
     sizes = np.array([len(t) for t in texts])
     of = np.repeat(np.arange(len(texts)), sizes)
-    of = of[first::stride]
-    at = np.arange(first, first + stride * len(of), stride) + WINDOW * (of + 1)
+    at = np.arange(len(of)) + WINDOW * (of + 1)
+    if rounds > 1:
+        mine = (np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of]) % rounds == r
+        of, at = of[mine], at[mine]
     return line[at], np.stack([line[at + k] for k in OFFSETS], 1), of
 
 
@@ -184,9 +188,9 @@ def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE):
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
     """(symbol table, network). In each round every partition starts from the common network and learns
-    from every ``stride``-th token of all its texts (another one in each round); the results are averaged by the tokens seen."""
+    from all its texts, from every ``rounds``-th token of each (others in each round, so that all tokens are met); the results are averaged by the steps taken."""
     counts = bucket_counts(docs, text_col)
     table, net = symbol_table(counts), initial(counts)
     sc = docs.sparkSession.sparkContext
@@ -197,7 +201,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride:
             table, net = shared.value
             symbols, trainer = reader(table), Trainer(net)
             for texts in batches:
-                target, context, _ = contexts([symbols(t) for t in texts], r * stride // rounds, stride)
+                target, context, _ = contexts([symbols(t) for t in texts], r, rounds)
                 trainer.learn(context, target)
             if not trainer.seen:
                 return None
@@ -227,7 +231,7 @@ def score_texts(texts: list[bytes], symbols, net):
     return [n, out, [float(x / k) if k else None for x, k in zip(out, n)]]
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Per row: ``id_col``, ``n_tokens``, ``pll`` (sum of log-probabilities, natural), ``mean_logp`` (null without tokens).
 
     Null and empty texts have no tokens and ``pll`` 0; repeated rows get equal scores; an empty
@@ -235,7 +239,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     grows with the number of partitions and is summed on the executors; the driver sees tables of
     fixed size.
     """
-    table, net = train(docs, text_col, rounds, stride)
+    table, net = train(docs, text_col, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("pll", T.DoubleType()), T.StructField("mean_logp", T.DoubleType())]
 

@@ -395,6 +395,16 @@ def test_gradient_and_learning():
     assert lm_scoring.forward(trainer.net, context, target)[0].mean() > before + 1
 
 
+def test_every_token_is_a_training_target(spark):
+    """Eight words in turn: the next word is certain, but only for a network that had each of them as a target."""
+    seqs = [np.arange(n) + 100 * n for n in (0, 1, 2, 7)]
+    met = np.concatenate([lm_scoring.contexts(seqs, r, 3)[0] for r in range(3)])
+    assert sorted(met) == sorted(np.concatenate(seqs))
+    base = spark.createDataFrame([(i, " ".join(f"x{k % 8}" for k in range(8_000))) for i in range(100)], "doc_id long, text string").coalesce(1)
+    got = [r.mean_logp for r in lm_scoring.pseudo_likelihood(base).collect()]
+    assert min(got) > np.log(1 / 8) + 0.5
+
+
 def test_prefix_pairs_lose_no_link(spark):
     """Members of one crowded bucket: a long common passage, endings of their own, some of them nearly equal."""
     rng = np.random.default_rng(5)
