@@ -4,7 +4,9 @@ Every token of a text is predicted from ``WINDOW`` tokens on each side; a
 document's score is the sum of the conditional log-probabilities. Words become
 symbols through a table of hashed word counts over the whole corpus (frequent
 buckets have a symbol each, the others share some), so the network's size
-doesn't follow the corpus. It is trained by rounds of local steps in every
+doesn't follow the corpus. The words themselves do: a table of all words and
+their counts, made and joined by Spark, gives every word its share of its
+symbol's probability. The network is trained by rounds of local steps in every
 partition, every token being a target in one of the rounds; the partitions'
 weights are averaged by a Spark aggregate.
 """
@@ -12,14 +14,17 @@ weights are averaged by a Spark aggregate.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from strata.llm.common import column, map_text, small_batches
+from strata.llm.common import TEXT_BUDGET, column, longs, map_text, runs, scratch, small_batches, trim
 
 WINDOW, DIM, HIDDEN, SIDE = 2, 16, 32, 32
 SYMBOLS = SIDE * SIDE  # a symbol is a pair (class, member) of SIDE classes with SIDE members each
@@ -27,7 +32,8 @@ SHARED = 256  # symbols that rare words share
 BUCKETS = 1 << 16
 BATCH, ROUNDS, RATE = 4096, 2, 5e-3
 OFFSETS = [k for k in range(-WINDOW, WINDOW + 1) if k]
-SCALE = 1 << 24  # weights are averaged as integers, which add up alike in any order
+SCALE = 1 << 24  # weights are averaged, and log counts summed, as integers, which add up alike in any order
+FREQUENT = 1 << 17  # words of at least one in so many tokens (so no more words than that) are looked up in the tasks
 
 
 def bucket(word: bytes) -> int:
@@ -153,45 +159,51 @@ def unpack_net(flat: np.ndarray, like) -> dict[str, np.ndarray]:
     return out
 
 
-def pairs_of(df: DataFrame, text_col: str, names: list[str], per_partition) -> DataFrame:
-    """Rows of longs that ``per_partition`` (an iterator of text lists -> list of arrays) yields once for each partition."""
+def rows_of(df: DataFrame, text_col: str, fields: list[T.StructField], per_partition) -> DataFrame:
+    """Rows of ``fields`` from what ``per_partition`` (an iterator of text lists -> iterator of lists of arrays) yields in each partition."""
     small_batches(df.sparkSession)
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    schema = T.StructType(fields)
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
-        made = per_partition([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()] for b in batches)
-        if made is not None:
+        for made in per_partition([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()] for b in batches):
             for i in range(0, len(made[0]), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 10_000], pa.int64()) for a in made], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 10_000], f.type) for a, f in zip(made, arrow)], schema=arrow)
+        trim()
 
     return df.select(column(df, text_col).cast("string").alias("t")).mapInArrow(run, schema)
 
 
-def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Words of the whole corpus by hashed bucket (a table of fixed size)."""
+def word_counts(docs: DataFrame, text_col: str = "text", cache_words: int = 300_000) -> DataFrame:
+    """word, n: all words of the corpus, in a scratch table that grows with it."""
     def count(batches):
-        total, known = np.zeros(BUCKETS, np.int64), {}
+        held = Counter()
         for texts in batches:
-            for text in texts:
-                words = text.split()
-                if len(known) > 300_000:
-                    known.clear()
-                for w in {*words}.difference(known):
-                    known[w] = bucket(w)
-                np.add.at(total, np.fromiter(map(known.__getitem__, words), np.int64, len(words)), 1)
-        at = np.flatnonzero(total)
-        return [at, total[at]]
+            for i, j in runs(map(len, texts), TEXT_BUDGET):
+                for text in texts[i:j]:
+                    held.update(text.split())
+                if len(held) > cache_words:
+                    yield [list(held), list(held.values())]
+                    held.clear()
+        if held:
+            yield [list(held), list(held.values())]
+
+    fields = [T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]
+    return scratch(rows_of(docs, text_col, fields, count).groupBy("word").agg(F.sum("n").alias("n")), "words")
+
 
+def bucket_counts(words: DataFrame) -> np.ndarray:
+    """Words of the whole corpus by hashed bucket (a table of fixed size)."""
     out = np.zeros(BUCKETS, np.int64)
-    for r in pairs_of(docs, text_col, ["bucket", "n"], count).groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in words.groupBy((F.crc32("word") % BUCKETS).alias("bucket")).agg(F.sum("n").alias("n")).collect():
         out[r.bucket] = r.n
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts: np.ndarray | None = None):
     """(symbol table, network). In each round every partition starts from the common network and learns
     from all its texts, from every ``rounds``-th token of each (others in each round, so that all tokens are met); the results are averaged by the steps taken."""
-    counts = bucket_counts(docs, text_col)
+    counts = bucket_counts(word_counts(docs, text_col)) if counts is None else counts
     table, net = symbol_table(counts), initial(counts)
     sc = docs.sparkSession.sparkContext
     for r in range(rounds):
@@ -204,13 +216,13 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
                 target, context, _ = contexts([symbols(t) for t in texts], r, rounds)
                 trainer.learn(context, target)
             if not trainer.seen:
-                return None
+                return
             flat = np.round(pack_net(trainer.net).astype(np.float64) * SCALE).astype(np.int64)
             # the mean weight of a partition counts in units of its batches, which keeps sums far from overflow
             n = np.full(len(flat), trainer.steps, np.int64)
-            return [np.arange(len(flat)), flat * trainer.steps, n]
+            yield [np.arange(len(flat)), flat * trainer.steps, n]
 
-        parts = pairs_of(docs, text_col, ["i", "v", "n"], local).groupBy("i").agg((F.sum(F.col("v").cast("decimal(38,0)")) / F.sum("n")).cast("double").alias("v")).collect()
+        parts = rows_of(docs, text_col, longs("i", "v", "n"), local).groupBy("i").agg((F.sum(F.col("v").cast("decimal(38,0)")) / F.sum("n")).cast("double").alias("v")).collect()
         if parts:
             flat = np.zeros(len(parts))
             for p in parts:
@@ -220,24 +232,29 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
     return table, net
 
 
-def score_texts(texts: list[bytes], symbols, net):
-    seqs = [symbols(t) for t in texts]
-    out = np.zeros(len(texts))
+def score_symbols(seqs: list[np.ndarray], net) -> np.ndarray:
+    """The sum of the symbols' conditional log-probabilities in each text."""
+    out = np.zeros(len(seqs))
     target, context, of = contexts(seqs)
     for i in range(0, len(target), BATCH):
         logp, _ = forward(net, context[i:i + BATCH], target[i:i + BATCH])
-        out += np.bincount(of[i:i + BATCH], weights=logp, minlength=len(texts))
-    n = np.array([len(s) for s in seqs])
+        out += np.bincount(of[i:i + BATCH], weights=logp, minlength=len(seqs))
+    return out
+
+
+def score_texts(texts: list[bytes], symbols, net):
+    seqs = [symbols(t) for t in texts]
+    out, n = score_symbols(seqs, net), np.array([len(s) for s in seqs])
     return [n, out, [float(x / k) if k else None for x, k in zip(out, n)]]
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """Per row: ``id_col``, ``n_tokens``, ``pll`` (sum of log-probabilities, natural), ``mean_logp`` (null without tokens).
+    """Per row: ``id_col``, ``n_tokens``, ``pll`` (sum of the *symbols'* log-probabilities, natural), ``mean_logp`` (null without tokens).
 
-    Null and empty texts have no tokens and ``pll`` 0; repeated rows get equal scores; an empty
-    table gives an empty result. What is gathered (bucket counts and weights of each partition)
-    grows with the number of partitions and is summed on the executors; the driver sees tables of
-    fixed size.
+    The network's part alone: words that share a symbol count alike; ``word_pseudo_likelihood`` has the words' own
+    probabilities. Null and empty texts have no tokens and ``pll`` 0; repeated rows get equal scores; an empty table gives an
+    empty result. Word counts stay in a Spark table, weights of each partition are summed on the executors; the driver sees
+    tables of fixed size.
     """
     table, net = train(docs, text_col, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
@@ -249,3 +266,70 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return lambda texts: score_texts(texts, symbols, net)
 
     return map_text(docs, text_col, [id_col], fields, make)
+
+
+def word_pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
+                           frequent: int = FREQUENT) -> DataFrame:
+    """As ``pseudo_likelihood``, with every word's own probability: that of its symbol, times the word's count in the
+    corpus over the count of its symbol. The probabilities of all words of the corpus add up to 1 at every place.
+
+    Words of at least one in ``frequent`` tokens are at most ``frequent`` many: these go to all tasks. Each row's other words
+    leave as rows (word, times) and join the table of word counts, so that no word has more than its share of the join and
+    nothing that follows the corpus reaches the driver or a broadcast. All scored words were counted; should a word be missing,
+    it counts as seen once.
+    """
+    spark = docs.sparkSession
+    words = word_counts(docs, text_col)
+    counts = bucket_counts(words)
+    table, net = train(docs, text_col, rounds, counts)
+    total = int(counts.sum())
+    mass = np.log(np.maximum(np.bincount(table, weights=counts, minlength=SYMBOLS), 1))
+    least = -(-total // frequent)
+    often = {bytes(r.word): float(np.log(r.n) - mass[table[bucket(bytes(r.word))]]) for r in words.where(F.col("n") >= least).collect()}
+    shared = spark.sparkContext.broadcast((table, net, mass, often))  # of fixed size
+
+    small_batches(spark)
+    inner = docs.select(column(docs, id_col).alias("id"), F.monotonically_increasing_id().alias("row"), column(docs, text_col).cast("string").alias("t"))
+    # A text's own row has the salt row + 1 and no word, a word's row the salt 0: the join deals both evenly.
+    schema = T.StructType([T.StructField("id", inner.schema["id"].dataType), *longs("row", "salt"), T.StructField("word", T.BinaryType()),
+                           *longs("times", "n_tokens"), T.StructField("part", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        table, net, mass, often = shared.value
+        symbols = reader(table)
+        for batch in batches:
+            ids, at = batch.column(0).cast(arrow.field("id").type), batch.column(1).to_numpy()
+            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            for i, j in runs(map(len, texts), TEXT_BUDGET):
+                seqs = [symbols(t) for t in texts[i:j]]
+                out, rows, rare, times = score_symbols(seqs, net), [], [], []
+                for k, (text, s) in enumerate(zip(texts[i:j], seqs)):
+                    own = text.split()
+                    share = np.fromiter(map(often.get, own, repeat(np.nan)), float, len(own))
+                    missing = np.flatnonzero(np.isnan(share))
+                    share[missing] = -mass[s[missing]]  # the log count comes by the join
+                    out[k] += share.sum()
+                    held = Counter([own[x] for x in missing])
+                    rows.append(np.full(len(held), at[i + k]))
+                    rare += held
+                    times += held.values()
+                n = j - i
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(i, n), pa.array(at[i:j]), pa.array(at[i:j] + 1), pa.nulls(n, pa.binary()), pa.array(np.zeros(n, np.int64)),
+                    pa.array(np.array([len(s) for s in seqs], np.int64)), pa.array(out)], schema=arrow)
+                rows = np.concatenate(rows)
+                for a in range(0, len(rare), 10_000):
+                    m = len(rare[a:a + 10_000])
+                    zero = pa.array(np.zeros(m, np.int64))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.nulls(m, arrow.field("id").type), pa.array(rows[a:a + m]), zero, pa.array(rare[a:a + m], pa.binary()),
+                        pa.array(times[a:a + m], pa.int64()), zero, pa.nulls(m, pa.float64())], schema=arrow)
+        trim()
+
+    logs = words.where(F.col("n") < least).select(F.lit(0).cast("long").alias("salt"), "word", F.round(F.log("n") * SCALE).cast("long").alias("log_n"))
+    joined = inner.mapInArrow(run, schema).join(logs, ["salt", "word"], "left")
+    whole = joined.groupBy("row").agg(
+        F.first("id", ignorenulls=True).alias("id"), F.sum("n_tokens").alias("n_tokens"),
+        (F.sum("part") + F.sum(F.col("times") * F.coalesce("log_n", F.lit(0))) / SCALE).alias("pll"))
+    return whole.select(F.col("id").alias(id_col), "n_tokens", "pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("mean_logp"))

@@ -19,7 +19,7 @@ def vocabulary_file(name: str) -> str:
 
 
 def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.pseudo_likelihood(table(spark, sf_dir, "documents"))
+    return lm_scoring.word_pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

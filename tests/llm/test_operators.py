@@ -405,6 +405,29 @@ def test_every_token_is_a_training_target(spark):
     assert min(got) > np.log(1 / 8) + 0.5
 
 
+def test_every_word_has_its_own_probability(spark, docs, empty, rows, tmp_path):
+    """The score is that of the symbols plus, for each token, the log of the word's share of its symbol."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    given = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    table, _ = lm_scoring.train(given)
+    symbol = lm_scoring.reader(table)
+    count = Counter(w for _, t in rows for w in (t or "").encode().split())
+    mass = Counter()
+    for w, n in count.items():
+        mass[int(symbol(w)[0])] += n
+    share = {w: np.log(n / mass[int(symbol(w)[0])]) for w, n in count.items()}
+    by_symbol = {r.doc_id: r.pll for r in lm_scoring.pseudo_likelihood(given).collect()}
+    text = dict(rows)
+    for got in (queries.op1_pseudo_likelihood(spark, str(tmp_path)).collect(), lm_scoring.word_pseudo_likelihood(given, frequent=50).collect()):
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+        for r in got:
+            own = (text[r.doc_id] or "").encode().split()
+            assert r.n_tokens == len(own) and r.pll == pytest.approx(by_symbol[r.doc_id] + sum(share[w] for w in own), rel=1e-6, abs=1e-3)
+            assert (r.mean_logp is None) == (not own)
+        assert len({r.pll for r in got if r.doc_id in (1005, 1006)}) == 1
+    assert lm_scoring.word_pseudo_likelihood(empty).count() == 0
+
+
 def test_prefix_pairs_lose_no_link(spark):
     """Members of one crowded bucket: a long common passage, endings of their own, some of them nearly equal."""
     rng = np.random.default_rng(5)
