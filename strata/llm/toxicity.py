@@ -172,10 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", score_name: str = "score") -> DataFrame:
     """``keep`` columns and the score (0 to 1) of each whole text; null and empty texts get the score of no words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES features
+    # Plain values: a broadcast is pickled by reference, and the executors may have no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))  # at most MAX_FEATURES features
 
     def make():
-        of = shared.value.scorer()
+        of = Model(*shared.value).scorer()
         return lambda texts: [of(texts)]
 
     return map_text(docs, text_col, keep, [T.StructField(score_name, T.DoubleType())], make)
