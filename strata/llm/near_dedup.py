@@ -177,8 +177,8 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
 def slot_levels(hashed: DataFrame) -> np.ndarray:
     """For each slot of the hashes, the bit length of the number of shingles in it.
 
-    Counts of each task are summed by blocks of slots, first over ``TASKS`` neighbouring tasks, then
-    over all, so that no group grows with the input; the result has one byte for each slot.
+    Counts of each task are summed by blocks of slots over ``TASKS`` neighbouring tasks, then over as many
+    of these, and so on, so that no group grows with the input; the result has one byte for each slot.
     """
     from pyspark import TaskContext
     width = SLOTS // SLOT_BLOCKS
@@ -190,7 +190,7 @@ def slot_levels(hashed: DataFrame) -> np.ndarray:
             for g in b.column(0).to_pylist():
                 np.add.at(total, slots(np.frombuffer(g, np.uint64)), 1)
         if total.any():
-            part = TaskContext.get().partitionId() // TASKS
+            part = TaskContext.get().partitionId()
             body = [x.tobytes() for x in total.reshape(SLOT_BLOCKS, width)]
             yield pa.RecordBatch.from_arrays([pa.array([part] * SLOT_BLOCKS, pa.int64()), pa.array(range(SLOT_BLOCKS), pa.int64()), pa.array(body, pa.binary())], names=count.names)
         del total
@@ -200,9 +200,10 @@ def slot_levels(hashed: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(x, np.int64) for x in pdf["counts"])
         return pdf.iloc[:1].assign(counts=[total.tobytes()])
 
-    summed = hashed.select("hashes").mapInArrow(run, count)
-    for keys in (["part", "block"], ["block"]):
-        summed = summed.groupBy(*keys).applyInPandas(add, count)
+    summed, parts = hashed.select("hashes").mapInArrow(run, count), hashed.rdd.getNumPartitions()
+    while parts:
+        parts = (parts - 1) // TASKS
+        summed = summed.withColumn("part", F.floor(F.col("part") / TASKS)).groupBy("part", "block").applyInPandas(add, count)
     level = np.zeros((SLOT_BLOCKS, width), np.uint8)
     for _, block, body in summed.toLocalIterator():
         level[block] = np.ceil(np.log2(np.frombuffer(body, np.int64) + 1))
@@ -219,7 +220,9 @@ def prefix_pairs(base: DataFrame, left: DataFrame, percent: int, words: int) ->
 
     The shingles of a text are ordered from rare to frequent. At the threshold t, two sets of n <= m
     shingles share at least 2t/(1+t) n and at least t m, so they share one of the first
-    n - 2t/(1+t) n + 1 of the smaller and the first m - t m + 1 of the larger.
+    n - 2t/(1+t) n + 1 of the smaller and the first m - t m + 1 of the larger. All they share comes
+    at or after their first shared shingle, so a pair is formed only at a shingle that leaves
+    t/(1+t) (n + m) shingles in both sets; a shingle that all copies in a crowd have is seldom such.
     """
     kind = left.schema["id"].dataType
     odd = draws(words, 1)
@@ -251,9 +254,12 @@ def prefix_pairs(base: DataFrame, left: DataFrame, percent: int, words: int) ->
         trim()
 
     made = hashed.mapInArrow(prefixes, schema).select("id", "component", "n", "near", F.posexplode("tokens").alias("place", "token"))
-    made = scratch(made.select("id", "component", "n", "token", (F.col("place") < F.col("near")).alias("first")), "prefixes")
-    small = made.where("first").select("token", *[F.col(c).alias("s_" + c) for c in ("id", "component", "n")])
+    made = scratch(made.select("id", "component", "n", "token", (F.col("n") - F.col("place")).alias("after"), (F.col("place") < F.col("near")).alias("first")), "prefixes")
+    several = made.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi"))
+    made = made.join(several.select("token"), "token")
+    small = made.where("first").select("token", *[F.col(c).alias("s_" + c) for c in ("id", "component", "n", "after")])
     pairs = made.join(small, "token").where((F.col("component") != F.col("s_component")) & (100 * F.col("s_n") >= percent * F.col("n"))
+                                            & ((100 + percent) * F.least("after", "s_after") >= percent * (F.col("n") + F.col("s_n")))
                                             & ((F.col("s_n") < F.col("n")) | ((F.col("s_n") == F.col("n")) & (F.col("s_id") < F.col("id")))))
     return pairs.select(F.greatest("id", "s_id").alias("a"), F.least("id", "s_id").alias("b")).distinct()
 
@@ -266,7 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     aggregate. In each band bucket the classes are paired with the smallest one, and each class
     verifies its likeliest pair; that gives first components. The members of buckets that still hold
     several of them meet by their rarest shingles (``prefix_pairs``): no link among these members is
-    missed, and no bucket is paired all against all.
+    missed. Pairs are formed only across components, at shingles that can be a linked pair's first shared one.
     Null and empty texts are linked with nothing. Rows with the same id are one document (each
     row is returned). A null id joins its class but is never its smallest id.
     """

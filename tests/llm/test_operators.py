@@ -441,3 +441,31 @@ def test_prefix_pairs_lose_no_link(spark):
     links = {(a, b) for a, x in sets.items() for b, y in sets.items() if b < a and x and y and 100 * len(x & y) >= 75 * len(x | y)}
     assert links and links <= got
     assert near_dedup.prefix_pairs(base.limit(0), left.limit(0), 75, 5).count() == 0
+
+
+def test_prefix_pairs_of_a_crowd_stay_few(spark):
+    """300 near copies in one component and 40 texts that share half of it: no pair is formed at what all have in common."""
+    base = [f"c{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:60], f"own{i}", *base[61:]])) for i in range(300)]
+    rows += [(1000 + i, " ".join(base[:64] + [f"x{i}y{k}" for k in range(56)])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "id long, t string")
+    left = docs.select("id", F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id")).alias("component"))
+    assert near_dedup.prefix_pairs(docs, left, 75, 5).count() < 340
+    got = near_dedup.near_duplicates(docs, id_col="id", text_col="t")
+    assert {r.component_id for r in got.collect()} == {0, *range(1000, 1040)}
+
+
+def test_toxicity_scores_where_the_package_is_not_importable(spark):
+    """What the scoring function carries to the workers unpickles without this library."""
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from pyspark.serializers import CPickleSerializer
+    model = toxicity.Model({"=bad": 0, "bad": 1}, np.array([2.0, 1.0]), -1.0)
+    plain = CPickleSerializer().dumps((model.features, model.weights, model.bias))
+    made = cloudpickle.dumps(lambda: toxicity.Model({"=bad": 0, "bad": 1}, np.array([2.0, 1.0]), -1.0).scorer()([b"bad", b"good"]))
+    code = f"import pickle\npickle.loads({plain!r})\nprint(pickle.loads({made!r})())"
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    a, b = eval(out.stdout)
+    assert abs(a - 1 / (1 + np.exp(-2.0))) < 1e-12 and abs(b - 1 / (1 + np.exp(1.0))) < 1e-12
