@@ -39,9 +39,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id (all rows, if several have it)."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[column(docs, c) for c in docs.columns])
+    """One document of each group stays: the one with the smallest id (all rows, if several have it).
+
+    A row without an id is a document of its own, after all that have one.
+    """
+    (row,) = own_names(docs, "row")
+    doc_id = column(docs, "doc_id")
+    without = scratch(docs.where(doc_id.isNull()).withColumn(row, F.lit(1 << 62) + F.monotonically_increasing_id()), "no-id")
+    numbered = docs.where(doc_id.isNotNull()).withColumn(row, doc_id).unionAll(without)
+    gone = near_dedup.near_duplicates(numbered, id_col=row).where(~F.col("kept")).select(row).distinct()
+    return numbered.join(gone, row, "left_anti").select(*[column(docs, c) for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,26 @@ SF = "/root/testdata/sf0.001"
 def test_stages_and_registration():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "near_dedup", "repeats", "decontamination", "packing"]
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 13
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(1, text), (None, text), (None, text), (None, other), (None, other), (None, None), (2, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted([(1, text), (None, other), (None, None), (2, None), (3, ""), (3, "")], key=repr)
+    assert pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
+def test_toxic_rows_go(spark):
+    larger = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    model = pipeline.toxicity.train(docs, spark.read.parquet(f"{larger}/labels.parquet"))
+    scores = pipeline.toxicity.score(docs, model, ["doc_id"])
+    left = {r.doc_id for r in pipeline.drop_toxic(spark, docs, larger).collect()}
+    assert left == {r.doc_id for r in scores.where("score < 0.5").collect()} and len(left) < docs.count()
 
 
 def test_each_stage_takes_effect(spark):
