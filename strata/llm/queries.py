@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, licenses, lm_scoring, near_dedup, packing, quality_rules, repeats, sharding, token_counts, toxicity
+from strata.llm import centroids, collocations, decontamination, language_id, licenses, lm_scoring, near_dedup, packing, quality_rules, repeats, sharding, token_counts, toxicity
 from strata.llm.common import table
 
 #: Placement of op3: 64 shards.
@@ -63,6 +63,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pseudo_likelihood, op2_repeats, op3_sharding, op4_licenses, op5_token_counts, op6_quality_rules,
-                                   op7_decontamination, op8_near_dedup, op9_packing, op10_toxicity)}
-SQL = {"op3_sharding": sharding.placement_sql("doc_id", "documents", SHARDS, columns="doc_id, source, n_chars")}
+                                   op7_decontamination, op8_near_dedup, op9_packing, op10_toxicity,
+                                   op11_language_id, op12_collocations, op13_centroids)}
+SQL = {"op3_sharding": sharding.placement_sql("doc_id", "documents", SHARDS, columns="doc_id, source, n_chars"),
+       "op12_collocations": collocations.collocation_sql(), "op13_centroids": centroids.centroid_sql()}
