@@ -5,31 +5,34 @@ padded at the piece's end. Only these longest windows are counted. The counts of
 phrases are sums over the columns cut off, which a Spark ROLLUP over the window's leading columns
 gives; no shorter phrase is exploded or counted by itself.
 
-Tasks count windows in bounded blocks before the shuffle. It goes by the window without its last
-word, so the count of that prefix is known in place, and prefixes below the least count are merged
-before the ROLLUP. Prefixes with a great share of the text (found in every 64th document; this
-decides on the balance only, never on a count) are dealt by their last word too.
+Tasks count windows in bounded blocks before the shuffle and send them by first word, the other
+words packed. So the count of a window's prefix is known in one place, and prefixes below the least
+count are merged before the ROLLUP. First words with a great share of the text are dealt by their
+second word too, and such pairs by all words (which these are is found in every 64th document; it
+decides on the balance only, never on a count).
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import TEXT_BUDGET, column, runs, scratch, small_batches, trim
+from strata.llm.common import TEXT_BUDGET, column, first_rows, runs, scratch, small_batches, trim
 
 WORDS, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Words whose windows are counted in one block of a task: with one more part of a text, the numbers of its distinct words stay below 2^21.
 BLOCK = 1_400_000
-#: A prefix with one of so many words of its language's sample is hot; its windows go to this many places.
+#: A word or pair with one of so many words of its language's sample is hot; its windows go to this many places.
 HOT, SPREAD, SAMPLE = 2000, 64, 64
 #: Copies of a phrase's count, over which the lookups of its phrases are dealt.
-SALTS = 16
+SALTS = 4
 CUT = 0xFF  # no byte of UTF-8 text
 PIECES = bytes(c + 32 if 65 <= c <= 90 else CUT if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 BLANK = re.compile(b"[\xff\x20\x09]")
@@ -46,12 +49,14 @@ def parts_of(text: bytes, budget: int):
     yield text[start:]
 
 
+BLOCK_COLUMNS = ["lang", "place", "w1", "others", "n"]
+
+
 class WindowCounter:
     """Counts windows of texts block by block: ``add`` words, and take the ``counts`` when it is ``full``."""
 
-    def __init__(self, width: int, hot: dict[str, set], block: int = BLOCK):
-        self.width, self.block = width, block
-        self.hot, self.lead = hot, min(width - 1, 3)
+    def __init__(self, width: int, hot: dict[str, list], block: int = BLOCK):
+        self.width, self.block, self.hot = width, block, hot
         self.clear()
 
     def clear(self) -> None:
@@ -70,10 +75,11 @@ class WindowCounter:
         self.size += len(found)
 
     def counts(self, unfinished: str | None = None) -> list[pa.RecordBatch]:
-        """(lang, w1.., n, hot) of the windows so far, each once. Of the language in the middle of a text the last
-        words are kept for the next block: their windows aren't complete."""
+        """The windows so far, each once, a row for each first word and place (``window_blocks``). Of the language in the
+        middle of a text the last words are kept for the next block: their windows aren't complete."""
         words, out, tail = list(self.ids), [], []
-        vocabulary = pa.array(words, pa.binary())
+        vocabulary = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string(), safe=False)
+        spread = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
         for lang, arrays in self.seen.items():
             a = np.concatenate(arrays)
             if lang == unfinished:
@@ -81,45 +87,54 @@ class WindowCounter:
                 starts = max(0, len(a) - self.width + 1)
             else:
                 starts = len(a)
-            out += self.blocks(lang, np.concatenate([a, np.zeros(self.width, np.int64)]), starts, vocabulary)
+            out += self.blocks(lang, np.concatenate([a, np.zeros(self.width, np.int64)]), starts, vocabulary, spread)
         self.clear()
         if tail:
             self.add(unfinished, tail)
         return out
 
-    def blocks(self, lang: str, a: np.ndarray, starts: int, vocabulary: pa.Array) -> list[pa.RecordBatch]:
+    def blocks(self, lang: str, a: np.ndarray, starts: int, vocabulary: pa.Array, spread: np.ndarray) -> list[pa.RecordBatch]:
         cols = [a[:starts]]
         for j in range(1, self.width):
             cols.append(np.where(cols[-1] == 0, 0, a[j:starts + j]))
         at = np.flatnonzero(cols[0])
-        code, used, lead = np.zeros(len(at), np.int64), 0, None
-        for j, col in enumerate(cols):
-            if j == self.lead:
-                lead = code
+        if not len(at):
+            return []
+        code, used = np.zeros(len(at), np.int64), 0
+        for col in cols:
             if used == 3:  # 63 bits are full: the windows so far get numbers of their own
                 code, used = np.unique(code, return_inverse=True)[1], 1
             code, used = (code << 21) | col[at], used + 1
         _, first, n = np.unique(code, return_index=True, return_counts=True)
-        wanted = [[self.ids.get(w) for w in prefix] for prefix in self.hot.get(lang, ())]
-        wanted = [sum(i << (21 * (self.lead - 1 - k)) for k, i in enumerate(w)) for w in wanted if None not in w]
-        is_hot = np.isin(lead[first], np.array(wanted, np.int64))
-        taken = []
-        for col in cols:
-            w = col[at[first]]
-            taken.append(vocabulary.take(pa.array(w, mask=w == 0)).cast(pa.string(), safe=False).fill_null(""))
-        whole = pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(first)), *taken, pa.array(n, pa.int64()), pa.array(is_hot)],
-                                           names=["lang", *names(self.width), "n", "hot"])
-        return [whole.slice(i, 100_000) for i in range(0, whole.num_rows, 100_000)]
+        w = [col[at[first]] for col in cols]
+        place = np.full(len(n), -1, np.int64)
+        for size in range(1, min(2, self.width - 1) + 1):
+            wanted = [[self.ids.get(x) for x in prefix] for prefix in self.hot.get(lang, ()) if len(prefix) == size]
+            wanted = np.array([i[0] if size == 1 else i[0] << 21 | i[1] for i in wanted if None not in i], np.int64)
+            hot = np.isin(w[0] if size == 1 else w[0] << 21 | w[1], wanted)
+            mix = spread[w[1]][hot] if size == 1 else sum((spread[x] * (j + 1) for j, x in enumerate(w[1:])), np.zeros(len(n), np.int64))[hot]
+            place[hot] = mix % SPREAD + SPREAD * (size - 1)
+        order = np.lexsort((place, w[0]))
+        w, place, n = [x[order] for x in w], place[order], n[order]
+        start = np.flatnonzero(np.concatenate([[True], (w[0][1:] != w[0][:-1]) | (place[1:] != place[:-1])]))
+        offsets = pa.array(np.concatenate([start, [len(n)]]), pa.int32())
+        packed = [pc.binary_join(pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(x))), " ") for x in w[1:]]
+        whole = pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(start)), pa.array(place[start]), vocabulary.take(pa.array(w[0][start])),
+                                            pc.binary_join_element_wise(*packed, "\n"), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], names=BLOCK_COLUMNS)
+        return [whole.slice(i, 20_000) for i in range(0, whole.num_rows, 20_000)]
 
 
 def names(width: int) -> list[str]:
     return [f"w{i}" for i in range(1, width + 1)]
 
 
-def window_counts(docs: DataFrame, width: int, hot: dict[str, set], block: int = BLOCK) -> DataFrame:
-    """(lang, w1.., n, hot) of ``docs(lang, t)``, summed over blocks of a task's texts; a missing word is empty."""
+def window_blocks(docs: DataFrame, width: int, hot: dict[str, list], block: int = BLOCK) -> DataFrame:
+    """(lang, place, w1, others, n) of ``docs(lang, t)``: for each first word and place in a block of a task's texts
+    a line with the second words of its windows, one with the third words (a blank behind each but the last; empty:
+    there is none), and so on, and the windows' numbers. The lines stay one column, so that all readers share a shuffle."""
     small_batches(docs.sparkSession)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["lang", *names(width)]] + [T.StructField("n", T.LongType()), T.StructField("hot", T.BooleanType())])
+    kinds = [T.StringType(), T.LongType(), T.StringType(), T.StringType(), T.ArrayType(T.LongType())]
+    schema = T.StructType([T.StructField(c, k) for c, k in zip(BLOCK_COLUMNS, kinds)])
 
     def run(batches):
         counter, cut = WindowCounter(width, hot, block), bytes([CUT])
@@ -142,37 +157,41 @@ def window_counts(docs: DataFrame, width: int, hot: dict[str, set], block: int =
     return docs.select("lang", "t").mapInArrow(run, schema)
 
 
-def hot_prefixes(docs: DataFrame, width: int) -> dict[str, set]:
-    """Prefixes with at least one of ``HOT`` words of their language in every ``SAMPLE``-th document (so at most ``HOT`` a language)."""
-    if width < 2:
-        return {}
+def unpacked(blocks: DataFrame, columns: list[str]) -> DataFrame:
+    """(lang, place, w1.., n): a row for each window of each block with its leading ``columns``; it stays in its partition."""
+    lines = blocks.withColumn("others", F.split("others", "\n"))
+    lines = lines.withColumns({c: F.split(F.get("others", F.lit(i)), " ") for i, c in enumerate(columns[1:])})
+    return lines.select("lang", "place", "w1", F.inline(F.arrays_zip(*columns[1:], "n")))
+
+
+def hot_prefixes(docs: DataFrame) -> dict[str, list]:
+    """First words and pairs with at least one of ``HOT`` words of their language in every ``SAMPLE``-th document (so at most ``HOT`` of each a language)."""
     some = docs.where(F.pmod(F.xxhash64("t"), F.lit(SAMPLE)) == 0)
-    keys = names(width)[:min(width - 1, 3)]
-    counted = scratch(window_counts(some, width, {}).groupBy("lang", *keys).agg(F.sum("n").alias("n")), "prefixes")
-    total = counted.groupBy("lang").agg(F.sum("n").alias("all"))
-    rows = counted.join(total, "lang").where((F.col("n") * HOT >= F.col("all")) & (F.col("n") >= HOT)).collect()
-    out: dict[str, set] = {}
+    counted = unpacked(window_blocks(some, 2, {}), names(2)).rollup("lang", "w1", "w2").agg(F.sum("n").alias("n"), F.grouping_id().alias("g"))
+    counted = scratch(counted, "prefixes")
+    total = counted.where("g = 3").select("lang", F.col("n").alias("all"))
+    rows = counted.where("g < 3").join(total, "lang").where((F.col("n") * HOT >= F.col("all")) & (F.col("n") >= HOT)).collect()
+    out: dict[str, list] = {}
     for r in rows:
-        out.setdefault(r.lang, set()).add(tuple(r[c].encode() or bytes([CUT]) for c in keys))
+        if r.w2 != "":
+            out.setdefault(r.lang, []).append(tuple(x.encode() for x in (r.w1, r.w2) if x is not None))
     return out
 
 
 def phrase_counts(docs: DataFrame, width: int = WORDS, least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """(lang, m, phrase, f) of all phrases of up to ``width`` words that occur at least ``least`` times in ``docs(lang, t)``;
     the row with m = 0 is the number of words of its language."""
+    if width < 2:
+        raise ValueError("a phrase has two words at least")
     cols = names(width)
     keys, last = cols[:-1], cols[-1]
-    place = F.when(F.col("hot"), F.pmod(F.xxhash64(last), F.lit(SPREAD))).otherwise(F.lit(-1))
-    dealt = window_counts(docs, width, hot_prefixes(docs, width), block).withColumn("place", place).drop("hot").repartition(F.col("lang"), *keys, F.col("place"))
-    windows = dealt.groupBy("lang", *keys, "place", last).agg(F.sum("n").alias("n"))
-    top = windows.where((F.col(last) != "") & (F.col("n") >= least)).select("lang", F.lit(width).alias("m"), F.concat_ws(" ", *cols).alias("phrase"), F.col("n").alias("f"))
-    if not keys:
-        whole = windows.groupBy("lang").agg(F.sum("n").alias("f")).select("lang", F.lit(0).alias("m"), F.lit("").alias("phrase"), "f")
-        return top.unionAll(whole)
-    # A prefix that is in one place has its whole count there: below the least count it is cut to shorter ones at once.
-    prefixes = windows.groupBy("lang", *keys, "place").agg(F.sum("n").alias("n"))
-    if len(keys) > 1:
-        prefixes = prefixes.withColumn(keys[-1], F.when((F.col("place") < 0) & (F.col("n") < least), "").otherwise(F.col(keys[-1])))
+    dealt = window_blocks(docs, width, hot_prefixes(docs), block).repartition("lang", "w1", "place")
+    windows = unpacked(dealt, cols).where(F.col(last) != "").groupBy("lang", "place", *cols).agg(F.sum("n").alias("n"))
+    top = windows.where(F.col("n") >= least).select("lang", F.lit(width).alias("m"), F.concat_ws(" ", *cols).alias("phrase"), F.col("n").alias("f"))
+    # A prefix that is in one place has its whole count there: below the least count it is cut to a shorter one at once.
+    prefixes = unpacked(dealt, keys).groupBy("lang", "place", *keys).agg(F.sum("n").alias("n"))
+    if width > 2:
+        prefixes = prefixes.withColumn(keys[-1], F.when((F.col("place") < SPREAD) & (F.col("n") < least), "").otherwise(F.col(keys[-1])))
     rolled = prefixes.rollup("lang", *keys).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # grouping_id of the rows summed over all but the language and the first m words: a one for each other key
     lengths = F.coalesce(*[F.when(F.col("g") == (1 << (width - 1 - m)) - 1, F.lit(m)) for m in range(width)])
@@ -217,8 +236,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     inside = inside.select("lang", "longer", F.explode(F.transform(F.sequence(F.lit(1), F.col("m") - F.col("size") + 1), lambda i: F.array_join(F.slice("w", i, F.col("size")), " "))).alias("phrase"))
     inside = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     left = lowest.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    ranked = first_rows(left.drop("longer"), "lang", [F.desc("score"), F.desc("a"), F.col("phrase")], top)
     size = counts.where("m = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(size, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
 

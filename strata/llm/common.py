@@ -10,7 +10,7 @@ import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -97,6 +97,16 @@ def worker_cache(key: tuple, make: Callable):
     return held[key]
 
 
+def first_rows(df: DataFrame, group: str, order: list[Column], limit: int, rank: str = "rank", places: int = 64) -> DataFrame:
+    """The first ``limit`` rows of each group with their ``rank`` (from 1). A large group is first ranked in
+    ``places`` parts, so that one task sees at most ``places`` times ``limit`` rows of it."""
+    part = rank + "_part"
+    parts = df.withColumn(part, F.pmod(F.xxhash64(*[column(df, c) for c in df.columns]), F.lit(places)))
+    within = F.row_number().over(Window.partitionBy(group, part).orderBy(*order))
+    some = parts.withColumn(rank, within).where(F.col(rank) <= limit).drop(part, rank)
+    return some.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")).where(F.col(rank) <= limit)
+
+
 def trim() -> None:
     """Give freed memory of this worker back to the system (where the C library can)."""
     gc.collect()

@@ -73,11 +73,10 @@ def test_collocations(docs, empty, rows):
 
 @pytest.mark.parametrize("width,block", [(2, 50), (3, 37), (5, 1000)])
 def test_collocations_in_small_blocks(docs, rows, width, block, monkeypatch):
-    """Blocks that end inside texts, windows of other widths, and every prefix hot."""
+    """Blocks that end inside texts, windows of other widths, and hot words and pairs."""
     monkeypatch.setattr(collocations, "TEXT_BUDGET", 64)
-    monkeypatch.setattr(collocations, "HOT", 10 ** 9 if width == 5 else 30)
     some = [r for r in rows if r[0] is None or r[0] >= 1000 or r[0] < 40]
-    hot = {"en": {("w1x".encode(), "w2x".encode(), "w3x".encode())[:min(width - 1, 3)]}, "und": {(b"w5x", b"w6x", b"w7x")[:min(width - 1, 3)]}}
+    hot = {"en": [(b"w1x",), (b"w2x", b"w3x"), (b"absent",)], "und": [(b"w5x",), (b"w5x", b"w6x")]}
     monkeypatch.setattr(collocations, "hot_prefixes", lambda *a: hot)
     part = docs.where("doc_id is null or doc_id >= 1000 or doc_id < 40")
     inner = part.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").alias("t"))
@@ -96,7 +95,7 @@ def test_collocations_in_small_blocks(docs, rows, width, block, monkeypatch):
 def test_hot_prefixes_are_found(spark):
     text = " ".join(f"of the w{i}" for i in range(3000))
     docs = spark.createDataFrame([("en", f"{text} {i}") for i in range(200)], "lang string, t string")
-    assert (b"of", b"the") in collocations.hot_prefixes(docs, 3)["en"]
+    assert {(b"of",), (b"the",), (b"of", b"the")} <= set(collocations.hot_prefixes(docs)["en"])
 
 
 def test_collocation_and_centroid_sql(spark):
