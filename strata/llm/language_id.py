@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import TEXT_BUDGET, column, map_text, worker_cache
+from strata.llm.common import TEXT_BUDGET, column, first_rows, map_text, worker_cache
 
 ORDER = 4
 #: The models are fitted on at most so many rows with texts of at most so many characters, shared evenly by at most so
@@ -278,8 +278,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     each = max(1, sample_rows // len(languages))
     hash_ = F.xxhash64("id", F.lit(7))
     fit_for = able.where(F.col("lang").isin(languages) & F.length("t").between(1, longest)).select("id", "lang", hash_.alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    ids = fit_for.withColumn("rank", rank).where(F.col("rank") <= each).select("id", "lang").distinct()
+    ids = first_rows(fit_for, "lang", [F.col("h"), F.col("id")], each).select("id", "lang").distinct()
     chosen = rows.join(F.broadcast(ids), ["id", "lang"]).where(F.length("t").between(1, longest))  # at most sample_rows ids are broadcast
     sample = chosen.groupBy("id", "lang").agg(F.min("t").alias("t"))
     for_limits = F.pmod(F.xxhash64("id", F.lit(8)), F.lit(CALIBRATION)) == 0
