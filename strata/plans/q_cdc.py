@@ -7,10 +7,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from strata.operators import cdc as C
+from strata.operators import sinks as S
+from strata.operators import stored as ST
 from strata.operators.dedup import dedup_latest
 from strata.operators.quality import DROP, FAIL, WARN, Rule, expect
 from strata.plans import views as V
 from strata.plans.registry import query
+from strata.session import work_path
 
 # Expectations of the customer change feed (key present, valid e-mail, known state).
 CDC_RULES = [
@@ -228,9 +231,39 @@ def cdc_scd3(spark, d):
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority,
        o_totalprice FROM orders WHERE NOT (o_totalprice < 5000)""")
 def cdc_update_delete(spark, d):
-    """CDC-13: UPDATE ... WHERE and DELETE ... WHERE as rewrites."""
-    o = V.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
-    return C.delete_where(C.update_where(o, "o_orderstatus = 'P'", {"o_orderpriority": "'1-URGENT'"}), "o_totalprice < 5000")
+    """CDC-13: UPDATE ... WHERE and DELETE ... WHERE on a stored table partitioned by year, read back."""
+    path = _stored_orders(spark, d)
+    ST.update_table(spark, path, "o_orderstatus = 'P'", {"o_orderpriority": "'1-URGENT'"}, ["o_year"])
+    ST.delete_from(spark, path, "o_totalprice < 5000", ["o_year"])
+    return ST.read_stored(spark, path).select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+
+
+def _stored_orders(spark, d) -> str:
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+                                           F.year("o_orderdate").alias("o_year"))
+    path = work_path(spark, "stored-orders")
+    S.write_partitioned(o, path, ["o_year"])
+    return path
+
+
+@query("cdc_delete_files", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, COUNT(*) FILTER (NOT (o_totalprice < 30000 AND year(o_orderdate) >= 1999)) AS orders_left,
+       COUNT(*) FILTER (o_totalprice < 30000 AND year(o_orderdate) >= 1999) > 0 AS rewritten
+FROM orders GROUP BY 1 HAVING orders_left > 0""")
+def cdc_delete_files(spark, d):
+    """CDC-13: a DELETE that hits some years rewrites files of these years alone; the others keep theirs."""
+    path = _stored_orders(spark, d)
+
+    def files(flag):
+        names = spark.createDataFrame([(f,) for f in ST.data_files(spark, path)], "file string")
+        return names.select("file", F.regexp_extract("file", "o_year=(\\d+)", 1).cast("int").alias("o_year"), F.lit(flag).alias("when"))
+
+    before = files("before")
+    ST.delete_from(spark, path, "o_totalprice < 30000 AND o_year >= 1999", ["o_year"])
+    both = before.unionAll(files("after")).groupBy("o_year", "file").agg(F.count(F.lit(1)).alias("n"))
+    changed = both.groupBy("o_year").agg((F.min("n") < 2).alias("rewritten"))
+    left = ST.read_stored(spark, path).groupBy("o_year").agg(F.count(F.lit(1)).alias("orders_left"))
+    return left.join(changed, "o_year")
 
 
 @query("win_dedup_latest", """
@@ -260,7 +293,6 @@ def jon_point_in_time(spark, d):
 def cdc_merge_into(spark, d):
     """CDC-5 at scale: MERGE into a key-bucketed table; only touched buckets are read and rewritten."""
     from strata.operators import buckets as B
-    from strata.session import work_path
     path = work_path(spark, "dim-customer-bucketed")
     B.create_bucketed(_target(spark, d), path, ["c_custkey"], 16)
     C.merge_into(spark, path, V.snapshot_2(spark, d), ["c_custkey"], 16, "snap-2", stamp_col="_atualizado_em", stamp=T1)
@@ -272,7 +304,6 @@ def cdc_merge_into(spark, d):
 def cdc_scd2_snapshot_into(spark, d):
     """CDC-7 at scale: snapshot SCD2 on a key-bucketed table, touched buckets only."""
     from strata.operators import buckets as B
-    from strata.session import work_path
     path = work_path(spark, "dim-customer-scd2")
     B.create_bucketed(_scd_target(spark, d), path, ["c_custkey"], 16)
     C.scd2_snapshot_into(spark, path, V.snapshot_2(spark, d), ["c_custkey"],

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from strata.functions import masking as K
 from strata.functions.hashing import salted_sha256
 from strata.operators import privacy as PV
+from strata.operators.sinks import write_partitioned
+from strata.operators.stored import erase_from, read_stored
 from strata.plans import views as V
 from strata.plans.q_cdc import CDC_COLS_SQL, STG_SQL, cdc_scd1
 from strata.plans.registry import query
+from strata.session import work_path
 
 ANALYST = PV.Principal("ana", frozenset({"analysts"}), tenant="BUILDING")
 ADMIN = PV.Principal("root", frozenset({"admins"}))
@@ -108,7 +111,10 @@ def prv_tenant(spark, d):
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
 def prv_erase(spark, d):
-    """PRV-9: right to erasure / opt-out: every order of the listed customers removed."""
-    o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    """PRV-9: right to erasure / opt-out: every order of the listed customers removed from the stored table's files."""
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.date_trunc("month", "o_orderdate").cast("date").alias("month"))
+    path = work_path(spark, "orders-with-subjects")
+    write_partitioned(o, path, ["month"])
     subjects = V.table(spark, d, "customer").filter(F.col("c_acctbal") < 0)  # opted-out subjects
-    return PV.erase_subjects(o, subjects, "o_custkey", "c_custkey")
+    erase_from(spark, path, subjects, "o_custkey", "c_custkey", ["month"])
+    return read_stored(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
