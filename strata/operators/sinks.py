@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,12 +78,34 @@ def refresh_groups(target: DataFrame, changes: DataFrame, group_cols: list[str],
     return kept.unionByName(fresh)
 
 
-def refresh_partitions(spark, path: str, changes: DataFrame, group_cols: list[str], builder) -> None:
-    """Refresh a gold table partitioned by ``group_cols`` in place: only the groups
-    present in ``changes`` (which must hold all source rows of those groups) are
-    recomputed and their partitions replaced (dynamic overwrite); every other
-    partition keeps its files."""
-    write_partitioned(builder(changes), path, group_cols, compression="snappy", dynamic=True)
+def refresh_partitions(spark, path: str, changes: DataFrame, group_cols: list[str], builder, touched: DataFrame | None = None) -> None:
+    """Refresh a gold table partitioned by ``group_cols`` in place.
+
+    ``touched`` names the groups that the raw change touched (default: those in ``changes``), and ``changes``
+    holds all source rows that count for them. A group with fresh rows gets these (dynamic overwrite), one
+    without any loses its files, and every other partition keeps its own. Repeating the call after a lost
+    driver ends the same; the groups' names alone are shuffled.
+    """
+    from strata.operators.stored import _each, _fs
+    from strata.session import path_exists
+    fresh = builder(changes)
+    write_partitioned(fresh, path, group_cols, compression="snappy", dynamic=True)
+    if not path_exists(spark, path):
+        return
+    seen = (changes if touched is None else touched).select(*group_cols).distinct()
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"f.{c}")) for c in group_cols]
+    empty = seen.alias("t").join(fresh.select(*group_cols).distinct().alias("f"), same, "left_anti")
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:  # no partition has a row
+        return
+    kinds = {c: table.schema[c].dataType for c in group_cols}
+    empty = empty.select(*[F.col(c).cast(kinds[c]).alias(c) for c in group_cols])
+    held = table.select(*group_cols, F.col("_metadata.file_path").alias("__file"))
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"e.{c}")) for c in group_cols]
+    files = held.alias("h").join(empty.alias("e"), same, "left_semi").select("__file").distinct().collect()
+    jvm, fs = spark.sparkContext._jvm, _fs(spark, path)
+    _each([r["__file"] for r in files], lambda f: fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)), False))
 
 
 def quarantine(df: DataFrame, rules: list[Rule], source: str, as_of: datetime,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.parsing import parse_month_br
+from strata.functions.money import cents
 from strata.operators import aggregates as A
 from strata.operators import sinks as S
 from strata.operators.quality import DROP, WARN, Rule, expect
@@ -280,22 +281,27 @@ def snk_overwrite(spark, d):
     return spark.read.parquet(target)
 
 
-@query("snk_refresh_groups", MONTHLY_SQL)
+@query("snk_refresh_groups", """
+WITH now AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS mes, CAST(ROUND(l_extendedprice * 100) AS BIGINT) *
+  CASE WHEN year(l_shipdate) = 1997 AND month(l_shipdate) = 3 THEN -1 WHEN year(l_shipdate) = 1998 AND l_linenumber = 1 THEN 2 ELSE 1 END AS cents FROM lineitem)
+SELECT mes, COUNT(*) AS linhas, CAST(SUM(cents) AS BIGINT) AS total, MIN(cents) AS menor, MAX(cents) AS maior FROM now WHERE cents > 0 GROUP BY mes""")
 def snk_refresh_groups(spark, d):
-    """SNK-4: refresh only the months touched by new data (their partitions are replaced
-    in place, the others keep their files); the table then equals a full recompute."""
-    silver = silver_obs(spark, d)
-    cutoff = F.lit(datetime(2024, 1, 20)).cast("date")
+    """SNK-4: a correction empties one month and changes twelve others of the stored gold table; only these are
+    refreshed (the rest keep their files) and the table equals a full recompute."""
+    line = V.table(spark, d, "lineitem").select("l_linenumber", F.col("l_shipdate").alias("dia"), A.month_of("l_shipdate").alias("mes"),
+                                                cents(F.col("l_extendedprice")).alias("cents"))
+
+    def gold(df):
+        return (df.filter("cents > 0").groupBy("mes").agg(F.count(F.lit(1)).alias("linhas"), F.sum("cents").alias("total"),
+                                                         F.min("cents").alias("menor"), F.max("cents").alias("maior")))
+
     target = work_path(spark, "gold-monthly")
-    # gold as an earlier run left it (data up to the cutoff)
-    S.write_partitioned(A.monthly_indicators(silver.filter(F.col("data_ref") < cutoff)), target, ["mes"],
-                        compression="snappy")
-    touched = silver.filter(F.col("data_ref") >= cutoff).select(A.month_of("data_ref").alias("mes")).distinct()
-    changes = silver.join(touched, A.month_of("data_ref") == touched.mes, "left_semi")
-    S.refresh_partitions(spark, target, changes, ["mes"], A.monthly_indicators)
-    return spark.read.parquet(target).select("codigo_serie", "nome_serie", F.col("mes").cast("date").alias("mes"),
-                                             "valor_medio", "valor_minimo", "valor_maximo", "valor_fechamento",
-                                             "qtd_observacoes")
+    S.write_partitioned(gold(line), target, ["mes"], compression="snappy")
+    factor = F.when((F.year("dia") == 1997) & (F.month("dia") == 3), -1).when((F.year("dia") == 1998) & (F.col("l_linenumber") == 1), 2).otherwise(1)
+    touched = line.filter(factor != 1).select("mes").distinct()
+    now = line.withColumn("cents", F.col("cents") * factor)
+    S.refresh_partitions(spark, target, now.join(touched, "mes", "left_semi"), ["mes"], gold, touched)
+    return spark.read.parquet(target).select(F.col("mes").cast("date").alias("mes"), "linhas", "total", "menor", "maior")
 
 
 @query("snk_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus, strftime(o_orderdate, '%Y') AS ano FROM orders")

@@ -104,6 +104,27 @@ def test_refresh_partitions_keeps_untouched_files(spark):
     assert spark.read.parquet(path).count() == len({d for d, _ in before})
 
 
+def test_refresh_partitions_drops_emptied_groups(spark):
+    from strata.operators import sinks as S
+    from strata.operators.stored import data_files
+    rows = [("2024-01", 1, 5), ("2024-01", 2, 7), ("2024-02", 3, 9), ("2024-03", 4, 2), (None, 5, 1)]
+    src = spark.createDataFrame(rows, "mes string, k int, v int")
+    good = lambda df: df.filter("v >= 5 or mes is null").groupBy("mes").agg(F.sum("v").alias("s"))
+    path = work_path(spark, "t-emptied")
+    S.write_partitioned(good(src), path, ["mes"])
+    before = set(data_files(spark, path))
+    # February's row is corrected below the limit, January gets another row: March had none and has none.
+    now = spark.createDataFrame([("2024-01", 1, 5), ("2024-01", 2, 7), ("2024-01", 6, 8), ("2024-02", 3, 1), ("2024-03", 4, 2)], "mes string, k int, v int")
+    touched = spark.createDataFrame([("2024-01",), ("2024-02",), ("2024-03",)], "mes string")
+    for _ in range(2):
+        S.refresh_partitions(spark, path, now, ["mes"], good, touched)
+        got = {(None if r.mes is None else str(r.mes)[:7]): r.s for r in spark.read.parquet(path).collect()}
+        assert got == {"2024-01": 20, None: 1}
+    assert {f for f in before if "DEFAULT" in f} <= set(data_files(spark, path))
+    S.refresh_partitions(spark, path, now.limit(0), ["mes"], good, spark.createDataFrame([("2024-01",)], "mes string"))
+    assert [r.s for r in spark.read.parquet(path).collect()] == [1]
+
+
 def test_streams_over_two_months_lose_nothing(spark):
     from strata.plans.registry import load_all
     root = work_path(spark, "two-months")
