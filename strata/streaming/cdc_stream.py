@@ -1,25 +1,14 @@
-"""Incremental CDC into a bucketed state table with ``foreachBatch``.
-
-There is no transaction log on plain parquet, so the state is partitioned by
-``bucket = pmod(xxhash64(keys), N)``. Each micro-batch:
-
-1. tags its events with their bucket;
-2. reads only the buckets it touches (their ids, at most N integers, become a
-   literal filter on the ``bucket`` partition column);
-3. folds the new events into those buckets' state;
-4. writes the touched buckets back with dynamic partition overwrite.
+"""Incremental CDC into log-structured state with ``foreachBatch`` (``log_state``).
 
 SCD1 state keeps, per key, the winning event *including deletes* (a
 tombstone), so a late event older than a delete cannot resurrect the key; the
 published table filters tombstones out. SCD2 state keeps the deduplicated
 events per key (including deletes) and derives the intervals on read, so a
-late event splits the right interval. Both folds are idempotent: replaying a
-micro-batch after a crash (same events again) changes nothing.
+late event splits the right interval. A micro-batch appends its own winners and
+nothing else; replaying one after a crash (same events again) changes nothing.
 
-Buckets are rewritten via a staging folder: the fold is computed, written to
-``<state>/_staging/batch=<id>`` and then copied over the live buckets with a
-dynamic overwrite, so a live bucket is never read and overwritten by the same
-job. ``N`` is fixed when the state is created.
+The bucket count and the key types are fixed when the state is made: a fold with another count raises,
+keys of another type are cast.
 """
 
 from __future__ import annotations
@@ -27,61 +16,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.hashing import key_bucket
-from strata.operators.buckets import read_buckets, touched_buckets, write_buckets
 from strata.operators.cdc import END, START
-from strata.operators.dedup import dedup_latest
 from strata.operators.ordered import next_in_key, time_chunk
+from strata.session import path_exists
+from strata.streaming.log_state import LogState
 
 
-def _read_state(spark: SparkSession, state: str, batch: DataFrame):
-    """State rows of the buckets this batch touches (literal partition filter)."""
-    return read_buckets(spark, state, touched_buckets(batch))
+def scd1_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buckets: int):
+    """foreachBatch function maintaining SCD1 state (with tombstones) under ``state``."""
+    return LogState(state, list(keys), seq, [tiebreak] if tiebreak else [], n_buckets).fold()
 
 
-def _write_buckets(spark: SparkSession, df: DataFrame, state: str, batch_id: int) -> None:
-    write_buckets(spark, df, state, batch_id)
+def _stored_rows(spark: SparkSession, state: str) -> DataFrame:
+    """Rows of a log-structured or a bucketed state, without the partition column."""
+    if path_exists(spark, f"{state}/meta/_SUCCESS"):
+        made = LogState.stored(spark, state)
+        return made.read(spark).drop(made.part)
+    return spark.read.parquet(state).drop("bucket")
 
 
-def scd1_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buckets: int):
-    """foreachBatch function maintaining SCD1 state (with tombstones) under ``state``."""
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.withColumn("bucket", key_bucket(keys, n_buckets)).persist()
-        try:
-            old = _read_state(spark, state, b)
-            merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
-            _write_buckets(spark, dedup_latest(merged, keys, seq, tiebreak), state, batch_id)
-        finally:
-            b.unpersist()
-    return fold
+def scd1_current(spark: SparkSession, state: str, delete_when: str, drop: list[str] = ()) -> DataFrame:
+    return _stored_rows(spark, state).filter(~F.coalesce(F.expr(delete_when), F.lit(False))).drop(*drop)
 
 
-def scd1_current(spark: SparkSession, state: str, delete_when: str, drop: list[str] = ()) -> DataFrame:
-    st = spark.read.parquet(state)
-    return st.filter(~F.coalesce(F.expr(delete_when), F.lit(False))).drop("bucket", *drop)
+def scd2_state(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buckets: int) -> LogState:
+    """State of all events, one for each key and sequence; the versions of a key share a bucket."""
+    bucket = f"CAST(pmod(xxhash64({', '.join(keys)}), {n_buckets}) AS INT)"
+    return LogState(state, [*keys, seq], None, [tiebreak] if tiebreak else [], n_buckets, ("bucket", bucket))
 
 
 def scd2_fold(keys: list[str], seq: str, tiebreak: str | None, state: str, n_buckets: int):
-    """foreachBatch function keeping the deduplicated event history per bucket."""
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.filter(F.col(seq).isNotNull()).withColumn("bucket", key_bucket(keys, n_buckets)).persist()
-        try:
-            old = _read_state(spark, state, b)
-            merged = b if old is None else old.unionByName(b, allowMissingColumns=True)
-            _write_buckets(spark, dedup_latest(merged, keys + [seq], F.lit(0), tiebreak), state, batch_id)
-        finally:
-            b.unpersist()
-    return fold
+    """foreachBatch function keeping the deduplicated event history."""
+    fold = scd2_state(keys, seq, tiebreak, state, n_buckets).fold()
+    return lambda batch, batch_id: fold(batch.filter(F.col(seq).isNotNull()), batch_id)
 
 
 def scd2_history(spark: SparkSession, state: str, keys: list[str], seq: str, delete_when: str,
                  drop: list[str] = (), chunk_width: str = "1 day") -> DataFrame:
-    ev = spark.read.parquet(state).withColumn("__is_delete", F.coalesce(F.expr(delete_when), F.lit(False)))
+    ev = _stored_rows(spark, state).withColumn("__is_delete", F.coalesce(F.expr(delete_when), F.lit(False)))
     ev = next_in_key(ev, keys, [seq], seq, END, time_chunk(F.col(seq), chunk_width))
     return (ev.filter(~F.col("__is_delete")).withColumn(START, F.col(seq))
-              .drop("__is_delete", "bucket", *drop))
+              .drop("__is_delete", *drop))
 
 
 def scd1_stateful(stream: DataFrame, keys: list[str], seq: str, tiebreak: str | None, target: str,

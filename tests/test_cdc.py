@@ -1,5 +1,6 @@
 """Dedup and CDC semantics, order independence, replays, skew fixtures vs brute force."""
 
+import hashlib
 import random
 from strata.session import work_path
 from datetime import datetime, timedelta
@@ -234,3 +235,72 @@ def test_mean_of_sums_past_2_to_the_53_is_exact(spark):
         q, rest = divmod(abs(r.a), r.b)
         q += 2 * rest >= r.b
         assert r.q == (q if r.a >= 0 else -q)
+
+
+def _files_of(spark, path):
+    from strata.operators.stored import data_files
+    return {f for f in data_files(spark, path)}
+
+
+def test_log_state_writes_what_the_batch_holds_and_merges_on_read(spark):
+    """Deltas follow the batch, late and replayed rows merge, compaction keeps the rows and drops what it merged."""
+    from strata.session import input_bytes
+    from strata.streaming.log_state import LogState
+    st = LogState(work_path(spark, "t-log"), ["k"], "seq", ["tie"], 4)
+    mk = lambda rows: spark.createDataFrame(rows, "k long, seq long, tie int, v string")
+    text = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
+    first = mk([(i, 10, 0, text(i)) for i in range(5000)])
+    st.fold()(first, 0)
+    base = input_bytes(spark, [f"{st.path}/base/0"])
+    small = [mk([(7, 11, 0, "new"), (9, 5, 0, "late"), (10 ** 6, 1, 0, "more")]), mk([(7, 11, 1, "tie loses"), (8, None, 0, "null loses")])]
+    for n, b in enumerate(small, 1):
+        for _ in range(2):  # replayed
+            st.fold()(b, n)
+    deltas = [f for f in _files_of(spark, st.path) if "/delta/" in f]
+    assert deltas and input_bytes(spark, deltas) < base / 4 and input_bytes(spark, [f"{st.path}/base/0"]) == base
+    want = {i: text(i) for i in range(5000)} | {7: "new", 10 ** 6: "more"}
+    assert {r.k: r.v for r in st.read(spark).collect()} == want and st.read(spark).count() == len(want)
+    st.compact(spark)
+    assert {r.k: r.v for r in st.read(spark).collect()} == want
+    assert not [f for f in _files_of(spark, st.path) if "/delta/" in f or "/base/0/" in f]
+    st.append(small[0], 9)  # a delta that the commit doesn't name is read, whatever its number
+    st.append(mk([]), 10)
+    assert {r.k: r.v for r in st.read(spark).collect()} == want
+    one = st.read(spark, F.col("bucket") == 2)
+    assert set(r.k for r in one.collect()) < set(want)
+
+
+def test_log_state_survives_a_lost_driver_in_compaction(spark, monkeypatch):
+    from strata.streaming import log_state as LS
+    st = LS.LogState(work_path(spark, "t-log2"), ["k"], "seq", [], 2)
+    for n in range(3):
+        st.append(spark.createDataFrame([(i, n, f"v{n}") for i in range(n, 6)], "k long, seq long, v string"), n)
+    want = {r.k: r.v for r in st.read(spark).collect()}
+    monkeypatch.setattr(LS, "remove_path", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):  # base and commit are written, the merged deltas still there
+        st.compact(spark)
+    monkeypatch.undo()
+    assert {r.k: r.v for r in st.read(spark).collect()} == want and st.read(spark).count() == 6
+    spark.createDataFrame([(1, 9, "unfinished")], "k long, seq long, v string").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{st.path}/base/1")
+    st.append(spark.createDataFrame([(0, 9, "z")], "k long, seq long, v string"), 3)
+    st.compact(spark)
+    assert {r.k: r.v for r in st.read(spark).collect()} == want | {0: "z"}
+
+
+def test_folds_keep_bucket_count_and_key_type(spark):
+    path = work_path(spark, "t-types")
+    rows16 = spark.createDataFrame([(i, i) for i in range(100)], "cliente_id long, ts long")
+    CS.scd1_fold(["cliente_id"], "ts", None, path, 16)(rows16, 0)
+    with pytest.raises(ValueError, match="other settings"):
+        CS.scd1_fold(["cliente_id"], "ts", None, path, 8)(rows16, 1)
+    ints = rows16.select(F.col("cliente_id").cast("int"), (F.col("ts") + 1).alias("ts"))
+    CS.scd1_fold(["cliente_id"], "ts", None, path, 16)(ints, 1)
+    got = CS.scd1_current(spark, path, "false")
+    assert got.count() == 100 and got.agg(F.min(F.col("ts") - F.col("cliente_id"))).first()[0] == 1
+    assert dict(got.dtypes)["cliente_id"] == "bigint"
+    with pytest.raises(ValueError, match="keys"):
+        CS.scd1_fold(["ts"], "ts", None, path, 16)(rows16, 2)
+    hist = work_path(spark, "t-types2")
+    CS.scd2_fold(["cliente_id"], "ts", None, hist, 4)(rows16, 0)
+    with pytest.raises(ValueError):
+        CS.scd2_fold(["cliente_id"], "ts", None, hist, 5)(rows16, 1)
