@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt"
-RAW = T.MapType(T.StringType(), T.StringType())
 MODES = ("addNewColumns", "failOnNewColumns", "none", "rescue")
 
 
@@ -35,42 +34,57 @@ class NewColumnsRejected(Exception):
     pass
 
 
-def rescued_map(text: Column, schema: T.StructType) -> tuple[Column, Column]:
-    """(typed struct, map of rescued raw values) parsed from one JSON text column."""
-    typed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    own, *nested = _misfits(F.from_json(text, RAW), typed, schema)
-    empty = F.create_map().cast(RAW)
-    return typed, F.map_concat(own, *[F.coalesce(m, empty) for m in nested]) if nested else own
+ENTRIES = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
 
 
-def _misfits(raw: Column, typed: Column, schema: T.StructType, prefix: str = "") -> list[Column]:
-    """For ``schema`` and each struct in it, the entries of its raw string map that it has no place or
-    another type for, with the path as the key. (Structs inside arrays and maps are not entered.)"""
-    names = [f.name for f in schema.fields]
+def _text(v: Column) -> Column:
+    """A JSON value as text: strings as they are, objects and arrays as JSON."""
+    return F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
 
-    def keep(k, v):
-        bad_type = F.lit(False)
-        for n in names:
-            bad_type = F.when(k == F.lit(n), v.isNotNull() & typed[n].isNull()).otherwise(bad_type)
-        return ~k.isin(names) | bad_type
 
-    own = F.map_filter(raw, keep)
-    maps = [F.transform_keys(own, lambda k, _: F.concat(F.lit(prefix), k)) if prefix else own]
-    for f in schema.fields:
-        if isinstance(f.dataType, T.StructType):
-            maps += _misfits(F.from_json(raw[f.name], RAW), typed[f.name], f.dataType, f"{prefix}{f.name}.")
-    return maps
+def _surplus(v: Column, typed: Column, kind: T.DataType, path: Column | None) -> Column:
+    """Entries (path, raw text) of what the value ``v`` holds and ``typed``, its reading as ``kind``, does not.
+
+    Structs, arrays and maps are entered; a path reads ``ctx.items[2].field``.
+    """
+    none = F.array().cast(ENTRIES)
+
+    def below(name) -> Column:
+        name = F.lit(name) if isinstance(name, str) else name
+        return name if path is None else F.concat(path, F.lit("."), name)
+
+    def one(x: Column, read: Column, of: T.DataType, at: Column) -> Column:
+        there = x.isNotNull() & ~F.coalesce(F.is_variant_null(x), F.lit(True))
+        whole = F.array(F.struct(at.alias("key"), _text(x).alias("value"))).cast(ENTRIES)
+        inner = _surplus(x, read, of, at) if isinstance(of, (T.StructType, T.ArrayType, T.MapType)) else none
+        return F.when(there & read.isNull(), whole).when(there, inner).otherwise(none)
+
+    if isinstance(kind, T.ArrayType):
+        items = F.try_variant_get(v, "$", "array<variant>")
+        found = F.flatten(F.transform(items, lambda x, i: one(x, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        return F.coalesce(found, none)
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    if isinstance(kind, T.MapType):
+        found = F.flatten(F.transform(F.map_entries(fields), lambda e: one(e["value"], typed[e["key"]], kind.valueType, below(e["key"]))))
+        return F.coalesce(found, none)
+    names = [f.name for f in kind.fields]
+    other = F.map_entries(F.map_filter(fields, lambda k, _: ~k.isin(names)))
+    found = F.transform(other, lambda e: F.struct(below(e["key"]).alias("key"), _text(e["value"]).alias("value"))).cast(ENTRIES)
+    return F.concat(F.coalesce(found, none), *[one(fields[f.name], typed[f.name], f.dataType, below(f.name)) for f in kind.fields])
 
 
 def read_rescued(df: DataFrame, text_col: str, schema: T.StructType, keep_map: bool = False) -> DataFrame:
     """Parse ``text_col`` with a frozen schema, keeping what does not fit in ``_rescued_data``.
 
-    The text is read as a typed struct and as a raw string map, nested structs as maps of their own
-    (keys like ``ctx.field``). Works on streams too. ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
+    The text is parsed twice: as the typed struct and as a VARIANT, which is walked through structs, arrays and
+    maps (keys like ``ctx.items[0].field``). A text that is no JSON object (or has a field twice) is ``_corrupt``.
+    Works on streams too. ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
     inspect it without re-parsing the JSON.
     """
-    typed, rescued = rescued_map(F.col(text_col), schema)
-    out = df.select("*", typed.alias("__t"), rescued.alias("__r"))
+    parsed = df.select("*", F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE"}).alias("__t"), F.try_parse_json(F.col(text_col)).alias("__v"))
+    is_object = F.try_variant_get("__v", "$", "map<string,variant>").isNotNull()
+    rescued = F.when(is_object, F.map_from_entries(_surplus(F.col("__v"), F.col("__t"), schema, None)))
+    out = parsed.withColumn("__r", rescued)
     extra = [F.col("__r").alias("_rescued_map")] if keep_map else []
     return out.select(*[c for c in df.columns if c != text_col], "__t.*",
                       F.when(F.size("__r") > 0, F.to_json("__r")).alias(RESCUED),
