@@ -45,30 +45,69 @@ def full_rebuild(spark: SparkSession, path: str, fmt: str, target: str, **option
     return spark.read.parquet(target)
 
 
+def list_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """(path, length) of the files under a folder, from the file system's listing; no file is opened."""
+    kept = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "modifiedBefore")}
+    return spark.read.format("binaryFile").options(**kept).load(path).select("path", "length")
+
+
 def load_new_files(spark: SparkSession, path: str, fmt: str, target: str, schema=None,
                    merge_schema: bool = True, **options) -> int:
-    """COPY INTO: load only files not loaded before; a second run inserts 0 rows.
+    """COPY INTO: load only files not loaded before; a second run inserts 0 rows and opens no data file.
 
-    The ledger of loaded files is the target's own ``_source_file`` column, so a
-    file's rows and its ledger entry commit in the same write job: a crash
-    between "load" and "record" cannot happen, and a retried job reloads
-    nothing twice. Returns the number of inserted rows (observed on the write).
+    The listing is anti-joined with a ledger of loaded paths (``<target>_ledger``); only the new paths, by
+    name, are read. The names are noted as pending before the load and join the ledger after it. The load
+    itself commits whole or not at all, so after a lost driver the next run sees from the target's
+    ``_source_file`` column whether the pending files are in. Returns the number of inserted rows
+    (observed on the write). A target that has no ledger yet gets one from that column.
     """
+    from strata.session import path_exists
+    from strata.operators.sinks import append_batch
+    loaded, pending = f"{target.rstrip('/')}_ledger/loaded", f"{target.rstrip('/')}_ledger/pending"
+    names = list_files(spark, path, **options).select("path")
+    _settle_ledger(spark, target, loaded, pending, merge_schema)
+    if path_exists(spark, loaded):
+        names = names.join(spark.read.schema("path string").parquet(loaded), "path", "left_anti")
+    new = sorted(r.path for r in names.collect())  # names of the files that this run reads
+    if not new:
+        return 0
+    spark.createDataFrame([(n,) for n in new], "path string").coalesce(1).write.mode("overwrite").parquet(pending)
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
-    from strata.session import path_exists
-    src = r.load(path).withColumn("_source_file", F.col("_metadata.file_path"))
-    if path_exists(spark, target):
-        done = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(target).select("_source_file").distinct()
-        new = src.join(done, on="_source_file", how="left_anti")
-    else:  # first load
-        new = src
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not any(c in path for c in "*?[{") and fs.getFileStatus(folder).isDirectory():
+        r = r.option("basePath", path)
     obs = Observation("copy_into")
-    new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
+    rows = r.load(new).withColumn("_source_file", F.col("_metadata.file_path"))
+    append_batch(rows.observe(obs, F.count(F.lit(1)).alias("rows")), target)
+    _note_loaded(spark, new, loaded, pending)
     return int(obs.get.get("rows", 0))
 
 
+def _note_loaded(spark: SparkSession, names: list[str], loaded: str, pending: str) -> None:
+    from strata.session import remove_path
+    spark.createDataFrame([(n,) for n in names], "path string").coalesce(1).write.mode("append").parquet(loaded)
+    remove_path(spark, pending)
+
+
+def _settle_ledger(spark: SparkSession, target: str, loaded: str, pending: str, merge_schema: bool) -> None:
+    """After a lost driver: pending files whose rows are in the target are loaded, the others are not."""
+    from strata.session import path_exists, remove_path
+    unsettled = path_exists(spark, f"{pending}/_SUCCESS")
+    if not path_exists(spark, f"{target}/_SUCCESS") or not (unsettled or not path_exists(spark, loaded)):
+        remove_path(spark, pending)
+        return
+    there = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(target).select("_source_file").distinct()
+    jvm = spark.sparkContext._jvm
+    seen = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[0])).toString() for r in there.collect()}
+    if path_exists(spark, loaded):
+        seen -= {r.path for r in spark.read.parquet(loaded).collect()}
+    # A file without rows leaves no trace in the target; it is read again, which inserts nothing.
+    _note_loaded(spark, sorted(seen), loaded, pending)
+
+
 def read_target(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(target)
 

@@ -137,3 +137,60 @@ def test_streams_over_two_months_lose_nothing(spark):
     end = later.agg(F.max("ts").alias("t")).select(F.date_trunc("hour", F.col("t") - F.expr("INTERVAL 10 MINUTES")).cast("timestamp_ntz")).first()[0]
     closed = e.unionByName(later).where(F.col("ts") < F.lit(end).cast("timestamp_ntz")).count()
     assert hourly == closed
+
+
+def test_copy_into_opens_only_new_files(spark):
+    """A second run lists names only: files that are loaded may have become unreadable."""
+    import os
+    from strata.operators.stored import data_files
+    o = V.table(spark, SF001, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy").alias("ano"))
+    landing, target = work_path(spark, "t-copy-landing"), work_path(spark, "t-copy")
+    o.filter("ano < '1998'").write.partitionBy("ano").json(landing)
+    n = SF.load_new_files(spark, landing, "json", target, "o_orderkey long")
+    assert n == o.filter("ano < '1998'").count()
+    for f in data_files(spark, landing):
+        with open(f.removeprefix("file:"), "w") as out:
+            out.write('{"o_orderkey": -1}\n')
+        crc = os.path.join(os.path.dirname(f.removeprefix("file:")), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    assert SF.load_new_files(spark, landing, "json", target, "o_orderkey long") == 0
+    o.filter("ano >= '1998'").write.mode("append").partitionBy("ano").json(landing)
+    SF.load_new_files(spark, landing, "json", target, "o_orderkey long")
+    got = SF.read_target(spark, target)
+    assert got.count() == o.count() and got.filter("o_orderkey = -1").count() == 0
+    assert sorted(r.ano for r in got.select("ano").distinct().collect()) == sorted(int(r.ano) for r in o.select("ano").distinct().collect())
+
+
+@pytest.mark.parametrize("at", ["load", "ledger"])
+def test_copy_into_after_a_lost_driver(spark, at, monkeypatch):
+    landing, target = work_path(spark, "t-copy2-landing"), work_path(spark, "t-copy2")
+    spark.range(100).repartition(3).write.json(landing)
+    name = "_note_loaded" if at == "ledger" else "Observation"
+    monkeypatch.setattr(SF, name, lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        SF.load_new_files(spark, landing, "json", target, "id long")
+    monkeypatch.undo()
+    assert SF.load_new_files(spark, landing, "json", target, "id long") == (0 if at == "ledger" else 100)
+    assert SF.load_new_files(spark, landing, "json", target, "id long") == 0
+    assert SF.read_target(spark, target).count() == 100
+
+
+def test_rescue_enters_arrays_and_maps(spark):
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string("a INT, items ARRAY<STRUCT<v INT>>, ctx STRUCT<u STRING, deep ARRAY<ARRAY<INT>>>, m MAP<STRING, STRUCT<k INT>>")
+    cases = {
+        '{"items":[{"v":"abc","x":9},{"v":1}]}': {"items[0].v": "abc", "items[0].x": "9"},
+        '{"items":[{"v":1},{"v":2,"y":{"z":[1]}}],"zz":true}': {"items[1].y": '{"z":[1]}', "zz": "true"},
+        '{"a":1,"m":{"p":{"k":1,"w":"more"}},"ctx":{"u":"q","new":[1,2]}}': {"m.p.w": "more", "ctx.new": "[1,2]"},
+        '{"a":null,"items":null,"ctx":{}}': {},
+        '{"items":"text"}': {"items": "text"},
+        "[1]": None, "": None, "nope": None,
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "text string").withColumn("t", F.col("text"))
+    out = R.read_rescued(df, "text", schema, keep_map=True)
+    for r in out.collect():
+        assert r["_rescued_map"] == cases[r.t] and r["_corrupt"] == (cases[r.t] is None)
+        assert (r["_rescued_data"] is None) == (not cases[r.t])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") <= 1 and plan.count("parse_json") <= 1
