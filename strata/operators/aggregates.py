@@ -21,11 +21,11 @@ def month_of(c) -> Column:
 
 
 def monthly_indicators(obs: DataFrame, series=("codigo_serie", "nome_serie"), date_col: str = "data_ref",
-                       value_col: str = "valor") -> DataFrame:
-    """Per series and month: mean (4 d.p.), min, max, close (value at the latest date), count."""
+                       value_col: str = "valor", mean: Column | None = None) -> DataFrame:
+    """Per series and month: mean (4 d.p.; ``mean`` replaces it), min, max, close (value at the latest date), count."""
     v = F.col(value_col)
     return (obs.groupBy(*[F.col(s) for s in series], month_of(date_col).alias("mes"))
-               .agg(F.round(F.avg(v), 4).alias("valor_medio"),
+               .agg((F.round(F.avg(v), 4) if mean is None else mean).alias("valor_medio"),
                     F.min(v).alias("valor_minimo"),
                     F.max(v).alias("valor_maximo"),
                     F.max_by(v, F.col(date_col)).alias("valor_fechamento"),
@@ -34,16 +34,20 @@ def monthly_indicators(obs: DataFrame, series=("codigo_serie", "nome_serie"), da
 
 def expectation_vs_realized(realized: DataFrame, expected: DataFrame, realized_date: str = "data_ref",
                             realized_value: str = "valor", realized_order=None,
-                            expected_month: str = "mes_referencia", expected_value: str = "mediana") -> DataFrame:
+                            expected_month: str = "mes_referencia", expected_value: str = "mediana", code: int | None = None,
+                            code_col: str = "codigo_serie", expected_mean: Column | None = None) -> DataFrame:
     """Month grain: last realized value vs mean expected value; surprise = realized - expected.
 
-    ``realized_order`` (columns) breaks ties among rows of the latest date.
+    ``code`` keeps one series of the realized values. ``realized_order`` (columns) breaks ties among rows
+    of the latest date. ``expected_mean`` replaces the rounded mean.
     """
+    if code is not None:
+        realized = realized.filter(F.col(code_col) == code)
     order = F.struct(*[as_col(c) for c in ([realized_date] + list(realized_order or []))])
     r = (realized.groupBy(month_of(realized_date).alias("mes"))
                  .agg(F.max_by(F.col(realized_value), order).alias("ipca_realizado")))
     e = (expected.groupBy(F.col(expected_month).cast("date").alias("mes"))
-                 .agg(F.round(F.avg(expected_value), 4).alias("mediana_focus"),
+                 .agg((F.round(F.avg(expected_value), 4) if expected_mean is None else expected_mean).alias("mediana_focus"),
                       F.count(F.lit(1)).alias("qtd_boletins")))
     j = r.join(e, on="mes", how="full_outer")
     return j.select("mes", "mediana_focus", "ipca_realizado", "qtd_boletins",

@@ -31,6 +31,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from strata.plans import (  # noqa: F401
-        q_transform, q_gold, q_cdc, q_quality, q_ingest, q_stream, q_privacy, q_layout,
+        q_transform, q_gold, q_cdc, q_quality, q_ingest, q_stream, q_privacy, q_layout, q_lab,
     )
     return REGISTRY
