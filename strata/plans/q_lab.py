@@ -52,30 +52,29 @@ def expectation_envelopes(spark, d) -> DataFrame:
 
 
 def _drop(df: DataFrame, n: int) -> DataFrame:
-    """Part ``n`` of a feed: the years before 1998 land first, then the later ones in two parts."""
-    part = F.when(F.col("ano") < 1998, 0).otherwise(1 + F.col("e") % 2)
-    return df.filter(part == n).drop("ano", "m", "e")
+    """Part ``n`` of a feed: most envelopes of the years before 1998 land first, all others after."""
+    first = (F.col("ano") < 1997) | ((F.col("ano") == 1997) & (F.col("e") % 2 == 0))
+    return df.filter(first if n == 0 else ~first).drop("ano", "m", "e")
 
 
 def _land(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("timestampNTZFormat", TS_FORMAT).json(path)
 
 
-def _in_drops(spark, d, root: str, refresh_at: int | None = None) -> L.Lab:
-    """The pipeline after each of three drops of the series and expectation feeds."""
+def _in_drops(spark, d, root: str, rebuild: bool = False) -> L.Lab:
+    """The pipeline after each of two drops of the series and expectation feeds; with ``rebuild`` the second run starts anew."""
     feeds = {"sgs": series_envelopes(spark, d), "expectativas": expectation_envelopes(spark, d)}
     landing = {f: work_path(spark, f"landing-{f}") for f in feeds}
-    for n in range(3):
+    for n in range(2):
         for f, df in feeds.items():
             _land(_drop(df, n), landing[f])
-        if refresh_at is None or n in (0, refresh_at):
-            lab, _ = L.run(spark, landing, root, AS_OF, full_refresh=n == refresh_at)
+        lab, _ = L.run(spark, landing, root, AS_OF, full_refresh=rebuild and n == 1)
     return lab
 
 
 @query("lab_indicadores", INDICATORS_SQL)
 def lab_indicadores(spark, d):
-    """STR-7, AGG-1, SNK-4: envelopes land in three drops; each run refreshes only the months that its drop touched."""
+    """STR-7, AGG-1, SNK-4: envelopes land in two drops; the second run refreshes only the months that its drop touched."""
     lab = _in_drops(spark, d, work_path(spark, "lab"))
     return spark.read.parquet(lab.gold["indicadores_mensais"])
 
@@ -98,7 +97,7 @@ def lab_surpresa(spark, d):
 @query("lab_full_refresh", INDICATORS_SQL)
 def lab_full_refresh(spark, d):
     """STR-7: after the first drop the whole pipeline is rebuilt from all landing files."""
-    lab = _in_drops(spark, d, work_path(spark, "lab"), refresh_at=2)
+    lab = _in_drops(spark, d, work_path(spark, "lab"), rebuild=True)
     return spark.read.parquet(lab.gold["indicadores_mensais"])
 
 
