@@ -14,18 +14,21 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from strata.llm.common import column, map_text, runs
+from strata.llm.common import TEXT_BUDGET, column, runs, scratch, small_batches, trim
 
 #: Bytes other than these separate words; applied after A-Z are lower-cased.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Everything that separates words to a space, A-Z to a-z.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-#: Benchmark text (characters) that is searched, and broadcast, at a time.
-BLOCK_CHARS = 16 << 20
+#: Bytes of benchmark windows that come to the driver and are searched at a time.
+PART_BYTES = 16 << 20
 SAMPLE = 8
 
 
@@ -98,23 +101,35 @@ class FmIndex:
         return out
 
 
-def windows_of(items: list[tuple], width: int):
-    """(vocabulary, patterns, lengths, item of each pattern, item ids, shortest): the items' distinct windows."""
+def window_rows(benchmark: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
+    """(item, window): the distinct windows of each item, words joined by blanks; built where the items are."""
+    schema = T.StructType([T.StructField("item", T.StringType()), T.StructField("window", T.BinaryType())])
+
+    def run(batches):
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                words = fold_words(text or b"")
+                starts = range(max(1, len(words) - width + 1)) if words else ()
+                for some, until in runs([1] * len(starts), 10_000):
+                    rows = {b" ".join(words[i:i + width]) for i in starts[some:until]}
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(rows), pa.string()), pa.array(list(rows), pa.binary())], names=schema.names)
+
+    items = benchmark.select(column(benchmark, item_col).cast("string").alias("item"), column(benchmark, text_col).cast("string").alias("text"))
+    return items.mapInArrow(run, schema).distinct()
+
+
+def windows_of(found: list[tuple], width: int):
+    """(vocabulary, patterns, lengths, item of each pattern, item ids, shortest) of window rows."""
     vocabulary: dict[bytes, int] = {}
-    rows, of, names = [], [], []
-    for name, text in items:
-        words = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in fold_words(text)]
-        if not words:
-            continue
-        names.append(name)
-        for w in {tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))}:
-            rows.append(w)
-            of.append(len(names) - 1)
-    lengths = np.array([len(r) for r in rows], np.int64)
-    patterns = np.zeros((len(rows), width), np.int64)
-    for i, r in enumerate(rows):
-        patterns[i, :len(r)] = r
-    return vocabulary, patterns, lengths, np.array(of, np.int64), names, int(lengths.min()) if rows else width
+    names = sorted({item or "" for item, _ in found})
+    number = {name: i for i, name in enumerate(names)}
+    patterns, lengths = np.zeros((len(found), width), np.int64), np.zeros(len(found), np.int64)
+    for i, (_, window) in enumerate(found):
+        words = bytes(window).split(b" ")
+        lengths[i] = len(words)
+        patterns[i, :len(words)] = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
+    of = np.array([number[item or ""] for item, _ in found], np.int64)
+    return vocabulary, patterns, lengths, of, names, int(lengths.min()) if found else width
 
 
 def searcher(prepared):
@@ -141,9 +156,15 @@ def searcher(prepared):
                     start.append(a)
         if parts:
             text = np.concatenate(parts)
+            here = np.zeros(len(vocabulary) + 2, bool)
+            here[text] = here[0] = True  # 0 fills windows up
+            may = np.flatnonzero(here[patterns].all(1))  # windows whose words all occur in this shard
+            if not len(may):
+                return n_words, spans, [[] for _ in texts]
             index = FmIndex(text, len(vocabulary) + 1)
             at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])[:-1:2]
-            lo, hi = index.search(patterns, lengths)
+            lo, hi = np.zeros(len(patterns), np.int64), np.zeros(len(patterns), np.int64)
+            lo[may], hi[may] = index.search(patterns[may], lengths[may])
             hits = np.flatnonzero(hi > lo)
             for some, until in runs((hi - lo)[hits].tolist(), 1 << 20):
                 h = hits[some:until]
@@ -187,42 +208,63 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> list[list[tuple]]:
-    """The items in blocks of ``block_chars`` characters at most (or one item), each read by itself."""
-    rows = benchmark.select(column(benchmark, item_col).cast("string").alias("item"),
-                            F.coalesce(column(benchmark, text_col).cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars) or 1
-    block = F.pmod(F.xxhash64("item"), F.lit(n))
-    return [[(r.item, r.text.encode()) for r in (rows if n == 1 else rows.where(block == i)).collect()] for i in range(n)]
+def benchmark_parts(benchmark: DataFrame, item_col: str, text_col: str, width: int, part_bytes: int) -> list[DataFrame]:
+    """The benchmark's windows in parts of about ``part_bytes`` (dealt by the windows' hashes), written once by Spark."""
+    rows = scratch(window_rows(benchmark, item_col, text_col, width), "windows")
+    total = rows.agg(F.sum(F.length("window") + F.lit(32))).first()[0] or 0
+    n = -(-total // part_bytes) or 1
+    return [rows if n == 1 else rows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n)) == i) for i in range(n)]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text", block_chars: int = BLOCK_CHARS, cut: bool = False,
+                       item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES, cut: bool = False,
                        keep: list[str] | None = None, names: tuple[str, ...] = ("n_words", "spans", "items", "cleaned")) -> DataFrame:
     """Per row: ``keep`` columns (``id_col`` if not given), ``n_words``, ``spans`` (merged [start, stop) word spans that match) and ``items`` (sorted
     ids, as strings, of the items with a window in the text); with ``cut`` also ``cleaned``, the text without the spans (``names`` renames these).
 
     A window is ``width`` consecutive words of an item (all its words, if fewer). Null texts have no
-    words; items without words match nothing; repeated rows each get a row; items with the same id are one. Documents aren't
-    shuffled. The benchmark goes to the tasks in blocks of bounded size, one after the other for each shard.
+    words; items without words match nothing, an item with a null id counts as the id ""; repeated rows each get a row; items with
+    the same id are one. Documents aren't shuffled. Spark builds the windows; they come to the driver and
+    go to the tasks one part of ``part_bytes`` at a time. With several parts the documents are read once for each, the
+    spans so far are written beside them, and a part's copies are dropped before the next one comes.
     """
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(windows_of(b, width)) for b in benchmark_blocks(benchmark, item_col, item_text_col, block_chars)]
-    kinds = [T.LongType(), SPANS, T.ArrayType(T.StringType()), T.StringType()][:4 if cut else 3]
-    fields = [T.StructField(n, t) for n, t in zip(names, kinds)]
-
-    def make():
-        def find(texts: list[bytes]):
-            spans, items, n_words = [[] for _ in texts], [set() for _ in texts], []
-            for block in blocks:
-                n_words, s, i = searcher(block.value)(texts)
-                for d in range(len(texts)):
-                    spans[d] += s[d]
-                    items[d].update(i[d])
-            spans = [merge(s) for s in spans]
-            out = [n_words, [[{"start": a, "stop": b} for a, b in s] for s in spans], [sorted(i) for i in items]]
-            return out + [[cut_words(t, s).decode("utf-8", "replace") for t, s in zip(texts, spans)]] * cut
-        return find
-
-    return map_text(docs, text_col, keep or [id_col], fields, make)
+    spark, keep = docs.sparkSession, keep or [id_col]
+    small_batches(spark)
+    state = docs.select(*[column(docs, c).alias(f"k{i}") for i, c in enumerate(keep)], column(docs, text_col).cast("string").alias("t"),
+                        F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+    parts = benchmark_parts(benchmark, item_col, item_text_col, width, part_bytes)
+    for i, part in enumerate(parts):
+        last = i == len(parts) - 1
+        shared = spark.sparkContext.broadcast(windows_of([tuple(r) for r in part.collect()], width))
+        state = search_part(state, shared, cut and last, keep_text=not last)
+        if not last:
+            state = scratch(state.drop("n_words"), "spans")
+            shared.destroy()
+    made = ["n_words", "spans", "items", "cleaned"][:4 if cut else 3]
+    return state.select(*[f"k{i}" for i in range(len(keep))], *made).toDF(*keep, *names[:len(made)])
+
+
+def search_part(state: DataFrame, shared: Broadcast, cut: bool, keep_text: bool) -> DataFrame:
+    """One part of the benchmark over the texts ``t`` of ``state``: what it finds joins ``spans`` and ``items``."""
+    kept = [f for f in state.schema.fields if f.name.startswith("k")] + [state.schema["t"]] * keep_text
+    made = [T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))]
+    schema = T.StructType([*kept, *made, *[T.StructField("cleaned", T.StringType())] * cut])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        find = searcher(shared.value)
+        for batch in batches:
+            texts = [t or b"" for t in batch.column("t").cast(pa.binary()).to_pylist()]
+            before, named = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
+            for a, b in runs(map(len, texts), TEXT_BUDGET):
+                n_words, spans, items = find(texts[a:b])
+                spans = [merge(s + [(x["start"], x["stop"]) for x in old]) for s, old in zip(spans, before[a:b])]
+                columns = [n_words, [[{"start": x, "stop": y} for x, y in s] for s in spans], [sorted({*i, *old}) for i, old in zip(items, named[a:b])]]
+                if cut:
+                    columns.append([cut_words(t, s).decode("utf-8", "replace") for t, s in zip(texts[a:b], spans)])
+                new = [pa.array(c, type=f.type, from_pandas=False) for c, f in zip(columns, list(arrow)[len(kept):])]
+                yield pa.RecordBatch.from_arrays([batch.column(f.name).slice(a, b - a).cast(arrow.field(f.name).type) for f in kept] + new, schema=arrow)
+        del find
+        trim()
+
+    return state.mapInArrow(run, schema)

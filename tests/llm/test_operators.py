@@ -206,8 +206,8 @@ def test_decontamination(spark, docs, empty, rows):
                     names |= windows[tuple(w[k:k + size])]
         return len(w), len(hit), sorted(names)
 
-    for chars in (decontamination.BLOCK_CHARS, 100):  # one block, and several
-        got = decontamination.find_contamination(docs, bench, block_chars=chars).withColumn("hit", F.expr("aggregate(spans, 0L, (a, s) -> a + s.stop - s.start)"))
+    for chars in (decontamination.PART_BYTES, 2500):  # one part, and several
+        got = decontamination.find_contamination(docs, bench, part_bytes=chars).withColumn("hit", F.expr("aggregate(spans, 0L, (a, s) -> a + s.stop - s.start)"))
         assert by_row(got, "n_words", "hit", "items") == expected(rows, of)
     assert decontamination.find_contamination(empty, bench).count() == 0
     assert decontamination.find_contamination(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
@@ -469,3 +469,23 @@ def test_toxicity_scores_where_the_package_is_not_importable(spark):
     assert out.returncode == 0, out.stderr
     a, b = eval(out.stdout)
     assert abs(a - 1 / (1 + np.exp(-2.0))) < 1e-12 and abs(b - 1 / (1 + np.exp(1.0))) < 1e-12
+
+
+def test_quality_verdict_rejects_what_the_base_rule_passes(spark):
+    """Repeats of long words: few words, many characters. Each limit is met by one text alone."""
+    short = " ".join(f"w{i}" for i in range(300))
+    five = " ".join(f"extraordinarily{i}long{k}" for i in range(1) for k in range(5))
+    seven, ten = (" ".join(f"immeasurable{k}word" for k in range(n)) for n in (7, 10))
+    line = "unquestionably incomprehensible internationalisation"
+    texts = {"clean": short, "five": " ".join([five, short, five]), "seven": " ".join([seven, short, seven]), "ten": " ".join([ten, short, ten]),
+             "line": "\n".join([line, short, line, line, line, line, line, line, line])}
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()], "doc_id string, text string")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {k for k, r in got.items() if not r.kept} == {"five", "seven", "ten", "line"}
+    for k, r in got.items():
+        chars = r.word_chars
+        over = [r.dup_5gram_chars > 0.15 * chars, r.dup_7gram_chars > 0.13 * chars, r.dup_10gram_chars > 0.10 * chars, r.dup_line_chars > 0.20 * chars]
+        assert any(over) == (not r.kept), k
+    loose = quality_rules.quality_rules(df, limits={5: 1.0}, line_limit=1.0)
+    assert all(r.kept for r in loose.collect())
