@@ -31,7 +31,7 @@ from strata.operators.stored import data_files
 from strata.session import input_bytes, path_exists, remove_path
 
 #: Deltas are merged into a new base once they hold this share of its bytes.
-COMPACT_AT = 0.5
+COMPACT_AT = 1.0
 #: Bytes a task of a compaction reads, and so about what its files hold.
 FILE_BYTES = 128 << 20
 
@@ -155,13 +155,15 @@ class LogState:
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p, allowMissingColumns=True)
-        return rows if base and not deltas else self._winners(rows)
+        return rows if len(parts) == 1 else self._winners(rows)
 
     # -- compaction ----------------------------------------------------------------------------
 
     def compact_if_due(self, spark: SparkSession) -> bool:
         base, deltas = self._current(spark)
-        if not deltas or (base and input_bytes(spark, deltas) < self.compact_at * input_bytes(spark, [base])):
+        sizes = sorted(input_bytes(spark, [d]) for d in deltas)
+        merged = input_bytes(spark, [base]) if base else sizes.pop() if sizes else 0  # without a base the largest delta is one
+        if not sizes or sum(sizes) < self.compact_at * merged:
             return False
         self.compact(spark)
         return True

@@ -251,6 +251,8 @@ def test_log_state_writes_what_the_batch_holds_and_merges_on_read(spark):
     text = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
     first = mk([(i, 10, 0, text(i)) for i in range(5000)])
     st.fold()(first, 0)
+    assert not st.compact_if_due(spark)  # one delta alone is as good as a base
+    st.compact(spark)
     base = input_bytes(spark, [f"{st.path}/base/0"])
     small = [mk([(7, 11, 0, "new"), (9, 5, 0, "late"), (10 ** 6, 1, 0, "more")]), mk([(7, 11, 1, "tie loses"), (8, None, 0, "null loses")])]
     for n, b in enumerate(small, 1):
