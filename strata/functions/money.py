@@ -50,10 +50,13 @@ def money_sum(c) -> Column:
     return from_cents(F.sum(cents(c)))
 
 
-def money_mean(c, scale: int = 2) -> Column:
-    """Exact mean of a 2-decimal column rounded half-up to ``scale`` decimals."""
-    s = F.sum(cents(c))
-    n = F.count(as_col(c))
+def exact_mean(total_cents, n, scale: int = 2) -> Column:
+    """A sum of cents (a long) over a count, rounded half-up to ``scale`` decimals; null without rows."""
     if scale < 2:
         raise ValueError("scale must be >= 2")
-    return F.when(n > 0, from_cents(_half_up_div(s * F.lit(10 ** (scale - 2)), n), scale))
+    return F.when(as_col(n) > 0, from_cents(_half_up_div(as_col(total_cents) * F.lit(10 ** (scale - 2)), as_col(n)), scale))
+
+
+def money_mean(c, scale: int = 2) -> Column:
+    """Exact mean of a 2-decimal column rounded half-up to ``scale`` decimals."""
+    return exact_mean(F.sum(cents(c)), F.count(as_col(c)), scale)

@@ -6,8 +6,11 @@ from __future__ import annotations
 import math
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.session import input_bytes
 
 # Retention per layer in days (None = keep forever).
 RETENTION_DAYS = {"bronze": 90, "silver": 730, "gold": None}
@@ -54,6 +57,63 @@ def cluster(df: DataFrame, cols: list[str], n: int | None = None) -> DataFrame:
               .sortWithinPartitions(*cols).drop("__tb"))
 
 
+def _ordinal(df: DataFrame, name: str) -> Column:
+    """The column as a double or long in its own order; of a string or binary its first seven bytes."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    raise ValueError(f"can't cluster by {name}: {kind.simpleString()}")
+
+
+def _rank(value: Column, bounds: list) -> Column:
+    """How many of the sorted ``bounds`` are at most ``value`` (binary search as nested CASE)."""
+    def step(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value < F.lit(bounds[mid]), step(lo, mid)).otherwise(step(mid + 1, hi))
+    return step(0, len(bounds))
+
+
+def interleaved_rank(df: DataFrame, cols: list[str], bits: int = 6) -> Column:
+    """Place on a space-filling (Z-order) curve: range ranks of ``cols``, their bits interleaved.
+
+    Ranks come from approximate quantiles (one aggregate; at most 2^bits numbers a column reach the driver), so skewed
+    columns are cut into ranges of equal rows. Nulls have rank 0.
+    """
+    if not cols or bits * len(cols) > 62:
+        raise ValueError("need 1 column or more, and at most 62 bits in all")
+    steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    values = [_ordinal(df, c) for c in cols]
+    cuts = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).agg(
+        *[F.percentile_approx(f"v{i}", steps, 100 * 2 ** bits).alias(f"v{i}") for i in range(len(cols))]).first()
+    z = F.lit(0).cast("long")
+    for j, v in enumerate(values):
+        rank = F.when(v.isNull(), F.lit(0)).otherwise(_rank(v, sorted(set(cuts[j] or [])))).cast("long")
+        for b in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("long")), b * len(cols) + j))
+    return z
+
+
+def cluster_interleaved(df: DataFrame, cols: list[str], files: int, bits: int = 6) -> DataFrame:
+    """Cluster by several columns at once: each of the ``files`` ranges of the curve is narrow in every one of ``cols``,
+    so a filter on any of them skips most files. A row hash splits places that hold many equal rows."""
+    tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.withColumns({"__z": interleaved_rank(df, cols, bits), "__tb": tb}).repartitionByRange(files, "__z", "__tb")
+              .sortWithinPartitions("__z").drop("__z", "__tb"))
+
+
+def files_for(spark: SparkSession, paths: list[str], target_mb: int = 128) -> int:
+    """Number of files of about ``target_mb`` for the bytes under ``paths`` (file-system metadata only)."""
+    return max(1, math.ceil(input_bytes(spark, paths) / (target_mb * 1024 * 1024)))
+
+
 def purge(df: DataFrame, date_col: str, days: int | None, as_of: date) -> DataFrame:
     """Rows still inside the retention window (``days`` None keeps everything)."""
     if days is None:

@@ -38,6 +38,17 @@ def lay_cluster(spark, d):
     return spark.read.parquet(path).filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
 
 
+@query("lay_interleaved", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_totalprice >= 200000 AND o_totalprice < 210000""")
+def lay_interleaved(spark, d):
+    """LAY-2: clustered by date and price on a space-filling curve; a filter on the second column skips files, too."""
+    o = V.table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    path = work_path(spark, "interleaved-orders")
+    files = max(16, L.files_for(spark, [f"{d}/orders.parquet"]))
+    L.cluster_interleaved(o, ["o_orderdate", "o_totalprice"], files).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).filter((F.col("o_totalprice") >= 200000) & (F.col("o_totalprice") < 210000))
+
+
 RETENTION_AS_OF = date(2024, 4, 15)  # bronze keeps 90 days -> from 2024-01-16
 
 
