@@ -78,5 +78,6 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_pseudo_likelihood, op2_repeats, op3_sharding, op4_licenses, op5_token_counts, op6_quality_rules,
                                    op7_decontamination, op8_near_dedup, op9_packing, op10_toxicity,
                                    op11_language_id, op12_collocations, op13_centroids)}
-SQL = {"op3_sharding": sharding.placement_sql("doc_id", "documents", SHARDS, columns="doc_id, source, n_chars"),
+SQL = {"op4_licenses": licenses.licence_sql(),
+       "op3_sharding": sharding.placement_sql("doc_id", "documents", SHARDS, columns="doc_id, source, n_chars"),
        "op12_collocations": collocations.collocation_sql(), "op13_centroids": centroids.centroid_sql()}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import components, decontamination, licenses, lm_scoring, near_dedup, packing, quality_rules, queries, repeats, sharding, token_counts, toxicity
+from strata.llm import components, decontamination, lm_scoring, near_dedup, packing, quality_rules, queries, repeats, sharding, token_counts, toxicity
 from strata.llm.common import runs
 
 SF = "/root/testdata/sf0.001"
@@ -121,20 +121,6 @@ def test_sharding(spark, docs, empty):
         sharding.place(docs, "doc_id", shards, 1009, slot_name="lang")
 
 
-def test_licences(spark):
-    t = licenses.TEMPLATES
-    files = spark.createDataFrame([
-        (1, "/a/LICENSE", t["MIT"]), (2, "/a/x.py", "code"), (3, "/a/b/y.py", "code"), (4, "/a/b/c/LICENSE", t["GPL-3.0"]),
-        (5, "/a/b/c/d/z.py", None), (6, "/q/z.py", "code"), (7, "/a/w.py", t["Apache-2.0"] + "\n" + "code " * 99), (8, None, ""),
-        (9, "/u/LICENSE", "Our own licence forbids everything on Tuesdays."), (10, "/u/v.py", "code"), (10, "/u/v.py", "code")],
-        "doc_id long, path string, text string")
-    got = {r.doc_id: (r.licence, r.origin, r.licence_dir) for r in licenses.licence_scan(files, "path").collect()}
-    assert got[1][:2] == ("MIT", "own") and got[2] == ("MIT", "inherited", "/a") and got[3] == ("MIT", "inherited", "/a")
-    assert got[4][:2] == ("GPL-3.0", "own") and got[5] == ("GPL-3.0", "inherited", "/a/b/c") and got[6] == (None, "none", None)
-    assert got[7][:2] == ("Apache-2.0", "own") and got[8] == (None, "none", None) and got[9][:2] == ("unknown", "own") and got[10][1] == "none"
-    assert licenses.licence_scan(files, "path").count() == 11 and licenses.licence_scan(files.limit(0), "path").count() == 0
-
-
 def test_token_counts(spark, docs, empty, rows):
     path = queries.vocabulary_file("piece_bpe_32k.model")
     pieces = set(token_counts.vocabulary(path))
