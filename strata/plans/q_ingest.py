@@ -139,6 +139,46 @@ def src_evolve(spark, d):
     return SF.read_target(spark, target).select("event_id", "user_id", "event_type", "value", "props")
 
 
+@query("src_schema_state", """
+SELECT 'event_id' AS campo, 'bigint' AS tipo, COUNT(event_id) AS preenchidos FROM events
+UNION ALL SELECT 'ctx.user_id', 'bigint', COUNT(user_id) FROM events
+UNION ALL SELECT 'ctx.event_type', 'string', COUNT(event_type) FROM events
+UNION ALL SELECT 'value', 'double', COUNT(value) FROM events
+UNION ALL SELECT 'ctx.nota', 'string', COUNT(*) FROM events WHERE event_id = (SELECT MAX(event_id) FROM events)""")
+def src_schema_state(spark, d):
+    """SRC-4 / SRC-5: three drops of JSON with a schema kept across them: each run opens the files of its own drop
+    only, and a field that one record of the last drop has is found. Counts per field, read with that schema."""
+    e = V.table(spark, d, "events")
+    landing, state = work_path(spark, "landing-state"), work_path(spark, "schema-state")
+    note = F.when(F.col("event_id") == e.agg(F.max("event_id")).first()[0], F.lit("fim"))
+    rows = e.select("event_id", "value", F.struct("user_id", "event_type", note.alias("nota")).alias("ctx"),
+                    F.coalesce(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), F.lit(2)).alias("drop"))
+    for n in range(3):
+        land(rows.filter(F.col("drop") == n).drop("drop"), f"{landing}/{n}", "json")
+        schema = SF.infer_json_schema(spark, f"{landing}/*", state)
+    read = spark.read.schema(schema).json(f"{landing}/*")
+    paths = [(f.name, f.dataType) for f in schema.fields if f.name != "ctx"] + [(f"ctx.{f.name}", f.dataType) for f in schema["ctx"].dataType.fields]
+    counts = read.agg(*[F.count(p).alias(p.replace(".", "__")) for p, _ in paths])
+    rows = [F.struct(F.lit(p).alias("campo"), F.lit(t.simpleString()).alias("tipo"), F.col(p.replace(".", "__")).alias("preenchidos")) for p, t in paths]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+@query("src_read_layer", """
+SELECT CAST(ts AS DATE) AS dia, event_type, COUNT(*) AS eventos, 'lote' AS leitura FROM events GROUP BY 1, 2
+UNION ALL SELECT CAST(ts AS DATE), event_type, COUNT(*), 'fluxo' FROM events GROUP BY 1, 2""")
+def src_read_layer(spark, d):
+    """SRC-12: one bronze table read as a batch and as a stream (into a silver table): both see every row."""
+    from strata.streaming.ingest import append_stream
+    bronze, silver = work_path(spark, "layer-bronze"), work_path(spark, "layer-silver")
+    S.append_batch(V.table(spark, d, "events").select("event_id", "ts", "event_type"), bronze)
+    append_stream(SF.read_layer(spark, bronze, stream=True), silver, work_path(spark, "ckpt-layer")).awaitTermination()
+
+    def daily(df, name):
+        return df.groupBy(F.to_date("ts").alias("dia"), "event_type").agg(F.count(F.lit(1)).alias("eventos")).withColumn("leitura", F.lit(name))
+
+    return daily(SF.read_layer(spark, bronze), "lote").unionByName(daily(SF.read_layer(spark, silver), "fluxo"))
+
+
 def _envelopes(spark, d):
     """Market-expectation envelopes (nested OData payload) from lineitem rows."""
     li = V.table(spark, d, "lineitem")
@@ -176,7 +216,7 @@ FROM lineitem WHERE (l_partkey + l_linenumber) % 17 <> 0""")
 def src_nested_json(spark, d):
     """SRC-5: nested JSON with typed inference, streamed, flattened with explode, DROP/WARN rules."""
     landing = land(_envelopes(spark, d), work_path(spark, "landing-expect"), "json", partition_by=["mes"])
-    schema = SF.infer_json_schema(spark, landing)
+    schema = SF.infer_json_schema(spark, landing, work_path(spark, "schema-expect"))
     target, ckpt = work_path(spark, "bronze-expect"), work_path(spark, "ckpt-expect")
     ingest_available_now(spark, landing, "json", schema, target, ckpt, mtime=False, ingested_at=INGESTED_AT)
     items = SF.read_target(spark, target).select(F.inline("payload.value"))

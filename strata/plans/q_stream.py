@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.money import money_sum
 from strata.operators import quality as Q
+from strata.operators.sinks import write_partitioned
 from strata.plans import medallion as MD
 from strata.plans import views as V
 from strata.plans.q_cdc import CDC_RULES, SCD2_SQL, STG_SQL, CDC_COLS_SQL
@@ -60,25 +61,35 @@ REPLAY_TAIL = timedelta(minutes=30)
 
 
 def _by_week(spark, df, name, run, replay: bool = False) -> None:
-    """Lands ``df`` one calendar week after the other and calls ``run(stream)`` after each.
+    """Lands ``df`` once, in folders by calendar week, and hands the stream one folder after the other: ``run(stream)`` after each.
 
     All files of a week are one run's input, so event time advances from run to run whatever the
-    months, and a week is written and read by as many tasks as it needs. Only the weeks' first days
+    months. The source is scanned once; a week's folder joins the stream's input by being renamed, so a long
+    or a crowded week is written by as many tasks as it needs. Only the weeks' first days
     reach the driver. ``replay`` lands each row twice in its week, and the last half hour of a
     week once more with the next one.
     """
-    path = work_path(spark, name)
-    ts = F.col("ts")
-    at = lambda t: F.lit(t).cast("timestamp_ntz")
-    weeks = df.filter(ts.isNotNull()).select(F.date_trunc("week", ts).cast("timestamp_ntz").alias("week")).distinct()
-    starts = sorted(r.week for r in weeks.collect())
-    for i, start in enumerate(starts or [datetime(1970, 1, 5)]):
-        part = (ts >= at(start)) & (ts < at(start + timedelta(days=7)))
-        rows = df.filter(part if i else part | ts.isNull())
-        if replay:
-            rows = rows.unionAll(rows).unionAll(df.filter((ts >= at(start - REPLAY_TAIL)) & (ts < at(start))))
-        rows.write.mode("append").parquet(path)
-        run(spark.readStream.schema(EVENTS_DDL).parquet(path))
+    path, staged = work_path(spark, name), work_path(spark, f"{name}-staged")
+    # Rows without a time come first.
+    week = F.coalesce(F.date_trunc("week", F.col("ts")), F.lit(datetime(1970, 1, 5))).cast("date")
+    if replay:
+        following = F.date_add(week, 7)
+        tail = F.col("ts") >= following.cast("timestamp_ntz") - F.expr(f"INTERVAL {int(REPLAY_TAIL.total_seconds())} SECOND")
+        landed = df.select("*", F.explode(F.when(tail, F.array(week, week, following)).otherwise(F.array(week, week))).alias("week"))
+    else:
+        landed = df.select("*", week.alias("week"))
+    write_partitioned(landed, staged, ["week"])
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs.mkdirs(at(path))
+    starts = sorted(n for n in (f.getPath().getName() for f in fs.listStatus(at(staged))) if n.startswith("week="))
+    if not starts:
+        df.limit(0).write.parquet(f"{path}/none")
+        run(spark.readStream.schema(EVENTS_DDL).parquet(f"{path}/*"))
+    for start in starts:
+        fs.rename(at(f"{staged}/{start}"), at(f"{path}/{start.split('=')[1]}"))
+        run(spark.readStream.schema(EVENTS_DDL).parquet(f"{path}/*"))
 
 
 def _drain(df, target, ckpt, mode="append"):

@@ -153,8 +153,11 @@ def read_layer(spark: SparkSession, path: str, stream: bool = False, max_files_p
     return r.parquet(path)
 
 
-def infer_json_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
-    """Typed schema of nested JSON (structs stay structs, numbers stay numbers) from all
-    rows of the files, so no field or wider type is missed; the stream then runs with this
-    fixed schema."""
-    return spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+def infer_json_schema(spark: SparkSession, path: str, state: str | None = None) -> T.StructType:
+    """Typed schema of nested JSON (structs stay structs, numbers stay numbers) from all records, so no field or
+    wider type is missed; the stream then runs with this fixed schema. With ``state``, a folder, what earlier calls
+    found is kept there and only new files are read (``schema_state``)."""
+    if state is None:
+        return spark.read.option("samplingRatio", 1.0).json(path).schema
+    from strata.sources.schema_state import observed_schema
+    return observed_schema(spark, path, state)

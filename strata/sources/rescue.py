@@ -5,8 +5,8 @@ not fit its type go to ``_rescued_data`` (JSON object of raw text values) and
 the row is kept. Text that is not a JSON object at all is flagged
 ``_corrupt`` so a quality rule can quarantine it.
 
-*Evolution* (``addNewColumns``): before a stream starts, the landing files are
-sampled; if they hold columns the stored schema lacks, the widened schema is
+*Evolution* (``addNewColumns``): before a stream starts, the landing files that no
+earlier start has seen are read; if they hold columns the stored schema lacks, the widened schema is
 persisted next to the checkpoint and ``SchemaEvolved`` is raised. The next run
 starts with the widened schema. ``failOnNewColumns`` raises without
 persisting; ``none`` ignores new columns; ``rescue`` keeps the stored schema
@@ -109,27 +109,28 @@ def store_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def new_columns(stored: T.StructType, observed: T.StructType) -> list[T.StructField]:
-    have = {f.name for f in stored.fields}
-    return [f for f in observed.fields if f.name not in have]
-
-
 def evolve_schema(spark: SparkSession, landing: str, schema_path: str, fmt: str = "json",
-                  mode: str = "addNewColumns", sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema to start a file stream with (see module doc for the modes)."""
+                  mode: str = "addNewColumns") -> T.StructType:
+    """Schema to start a file stream with (see module doc for the modes).
+
+    JSON lines are inferred incrementally (``schema_state``): every record counts, and a start reads only files that
+    no earlier start has seen. New fields inside structs and arrays of structs count as new columns, named by their path.
+    """
+    from strata.sources.schema_state import observed_schema, widen
     if mode not in MODES:
         raise ValueError(mode)
-    observed = spark.read.format(fmt).option("samplingRatio", sampling_ratio).load(landing).schema
-    observed = T.StructType([f for f in observed.fields if f.name != "_corrupt_record"])
+    if fmt == "json":
+        observed = observed_schema(spark, landing, f"{schema_path.rstrip('/')}_seen")
+    else:
+        observed = spark.read.format(fmt).load(landing).schema
     stored = load_schema(spark, schema_path)
     if stored is None:
         store_schema(spark, observed, schema_path)
         return observed
-    extra = new_columns(stored, observed)
-    if not extra or mode in ("none", "rescue"):
+    widened, added = widen(stored, observed)
+    if not added or mode in ("none", "rescue"):
         return stored
     if mode == "failOnNewColumns":
-        raise NewColumnsRejected(", ".join(f.name for f in extra))
-    widened = T.StructType(stored.fields + extra)
+        raise NewColumnsRejected(", ".join(added))
     store_schema(spark, widened, schema_path)
-    raise SchemaEvolved("new columns: " + ", ".join(f.name for f in extra))
+    raise SchemaEvolved("new columns: " + ", ".join(added))
