@@ -65,7 +65,9 @@ MASKS = {
 
 def apply_mask(method: str, c, salt: str | None = None) -> Column:
     if method == "hash":
-        return salted_sha256(c, salt or "")
+        if not salt:
+            raise ValueError("a hash mask needs a salt: an unsalted hash of a short identifier can be looked up")
+        return salted_sha256(c, salt)
     if method == "null":
         return F.lit(None).cast("string")
     return MASKS[method](c)

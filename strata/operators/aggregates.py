@@ -116,17 +116,13 @@ def rollup_old_detail(df: DataFrame, ts_col: str, as_of, keep_days: int, group:
                       measures: dict[str, str]) -> DataFrame:
     """Summarize rows older than ``keep_days`` to quarters; keep recent rows at detail grain.
 
-    Output: (period_start DATE, grain 'quarter'|'day', *group, measures..., rows).
+    Output: (period_start DATE, grain 'quarter'|'day', *group, measures..., rows). Rows without a date are left out.
     """
     cutoff = F.date_sub(F.lit(as_of).cast("date"), keep_days)
     d = F.col(ts_col).cast("date")
-    old = df.filter(d < cutoff)
-    recent = df.filter(d >= cutoff)
-
-    def agg(frame, period, grain):
-        return (frame.groupBy(period.alias("period_start"), *group)
-                     .agg(*[money_sum(c).alias(n) for n, c in measures.items()],
-                          F.count(F.lit(1)).alias("rows"))
-                     .withColumn("grain", F.lit(grain)))
-    return agg(old, F.date_trunc("quarter", F.col(ts_col)).cast("date"), "quarter").unionByName(
-        agg(recent, d, "day"))
+    old = d < cutoff
+    # One scan and one shuffle: the grain is a grouping column.
+    return (df.filter(d.isNotNull())
+              .groupBy(F.when(old, F.date_trunc("quarter", F.col(ts_col)).cast("date")).otherwise(d).alias("period_start"),
+                       F.when(old, F.lit("quarter")).otherwise(F.lit("day")).alias("grain"), *group)
+              .agg(*[money_sum(c).alias(n) for n, c in measures.items()], F.count(F.lit(1)).alias("rows")))

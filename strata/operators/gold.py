@@ -75,10 +75,11 @@ def standardize_customers(raw: DataFrame) -> DataFrame:
 
 
 def unify_sources(sources: dict[str, tuple[DataFrame, int]], keys: list[str], columns: list[str]) -> DataFrame:
-    """Union several sources by name; per key the source with the highest priority wins."""
+    """Union several sources by name; per key the source with the highest priority wins, within a source (and among
+    sources of one priority) the row with the smallest values in the order of ``columns`` (nulls last), so that repeats give the same."""
     frames = [df.select(*columns).withColumn("source", F.lit(name)).withColumn("__prio", F.lit(prio))
               for name, (df, prio) in sources.items()]
     u = frames[0]
     for f in frames[1:]:
         u = u.unionByName(f, allowMissingColumns=True)
-    return dedup_latest(u, keys, "__prio").drop("__prio")
+    return dedup_latest(u, keys, "__prio", [c for c in columns if c not in keys] + ["source"]).drop("__prio")

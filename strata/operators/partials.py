@@ -1,4 +1,4 @@
-"""Mergeable aggregate state: gold kept as partial sums, counts, extremes and latest values, merged batch by batch.
+"""Mergeable aggregate state: gold kept as partial sums, counts, extremes, latest values and sketches, merged batch by batch.
 
 A batch is reduced to one row per group that it touches and written as a delta; no row of earlier batches is
 read again. A read merges base and deltas, which is again one ``groupBy``; the merge doesn't depend on the
@@ -32,12 +32,20 @@ COMPACT_AT = 1.0
 FILE_BYTES = 128 << 20
 
 
+#: An HLL sketch's standard error is 1.04 / sqrt(2 ** HLL_LG_K), a KLL sketch's rank error about 2.3 / KLL_K ** 0.9.
+HLL_LG_K, KLL_K = 12, 400
+
+
 @dataclass(frozen=True)
 class Measure:
-    """``kind``: sum, count, min, max or latest. ``value`` is an SQL expression; nulls don't count (count without a value counts rows).
+    """``kind``: sum, count, min, max, latest, distinct or quantiles. ``value`` is an SQL expression; nulls don't count (count without a value counts rows).
 
     ``latest`` takes the value of the highest ``order``, one scalar expression that no two rows of a group should share
     (the choice among equal ones isn't defined). Sums should be integers or decimals: those merge exactly in any order.
+
+    ``distinct`` keeps an HLL sketch (2 ** ``HLL_LG_K`` registers) and ``quantiles`` a KLL sketch of the value as a double: a few KB
+    a group whatever its rows, merged like the others; ``distinct_of`` and ``quantile_of`` read them. Their errors don't grow
+    with the number of merges. KLL draws at random, so a repeated task may give another sketch within the same error.
     """
     name: str
     kind: str
@@ -45,7 +53,7 @@ class Measure:
     order: str = ""
 
     def __post_init__(self):
-        if self.kind not in ("sum", "count", "min", "max", "latest"):
+        if self.kind not in ("sum", "count", "min", "max", "latest", "distinct", "quantiles"):
             raise ValueError(f"unknown kind of measure {self.kind}")
         if (self.kind == "latest") != bool(self.order):
             raise ValueError(f"{self.name}: latest, and only latest, takes an order")
@@ -57,13 +65,33 @@ class Measure:
             # A null value isn't one; max_by over two scalars is a hash aggregate, a maximum of structs would sort.
             o = F.when(v.isNotNull(), F.expr(self.order))
             return [F.max_by(v, o).alias(self.name), F.max(o).alias(f"{self.name}__order")]
+        if self.kind == "distinct":
+            return [F.hll_sketch_agg(v, HLL_LG_K).alias(self.name)]
+        if self.kind == "quantiles":
+            return [F.kll_sketch_agg_double(v.cast("double"), KLL_K).alias(self.name)]
         return [{"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[self.kind](v).alias(self.name)]
 
     def merge(self) -> list[Column]:
         """Aggregates of partials."""
         if self.kind == "latest":
             return [F.max_by(self.name, f"{self.name}__order").alias(self.name), F.max(f"{self.name}__order").alias(f"{self.name}__order")]
-        return [{"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](self.name).alias(self.name)]
+        how = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "distinct": F.hll_union_agg, "quantiles": F.kll_merge_agg_double}
+        return [how[self.kind](self.name).alias(self.name)]
+
+
+def distinct_of(sketch: str) -> Column:
+    """Estimated number of distinct values in a ``distinct`` measure."""
+    return F.hll_sketch_estimate(sketch)
+
+
+def quantile_of(sketch: str, share: float) -> Column:
+    """A value near the given share of a ``quantiles`` measure; null for a group without values."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(share)))
+
+
+def roll_up(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
+    """Partials of coarser groups, for instance of months from those of days; no row is read again."""
+    return partials.groupBy(*keys).agg(*[c for m in measures for c in m.merge()])
 
 
 @dataclass
@@ -100,7 +128,7 @@ class Partials:
         return generation, through, [b for b in self._numbers(spark, "delta") if b > through]
 
     def _merged(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge()])
+        return roll_up(rows, self.keys, self.measures)
 
     def add(self, rows: DataFrame, batch_id: int) -> DataFrame | None:
         """Count a batch; its partials as written (the groups it touched), or None if it has none or was counted in a base."""

@@ -69,16 +69,16 @@ def apply_policy(df: DataFrame, policy: dict, principal: Principal) -> DataFrame
 
     policy = {
       "columns": {col: {"method": m, "unmasked_for": [groups], "salt": s}},
-      "tagged": {"tag": "pii", "unmasked_for": [groups]},      # masks from schema tags
+      "tagged": {"tag": "pii", "unmasked_for": [groups], "salt": s},   # masks from schema tags
       "row_filters": [{"predicate": sql, "unless": [groups]}],
     }
-    Column rules listed explicitly win over tag-derived ones.
+    Column rules listed explicitly win over tag-derived ones. The mask ``hash`` without a salt is an error.
     """
     rules = {}
     tagged = policy.get("tagged")
     if tagged:
         for c, m in tagged_columns(df, tagged.get("tag", "pii")).items():
-            rules[c] = {"method": m, "unmasked_for": tagged.get("unmasked_for", [ADMIN_GROUP])}
+            rules[c] = {"method": m, "unmasked_for": tagged.get("unmasked_for", [ADMIN_GROUP]), "salt": tagged.get("salt")}
     rules.update(policy.get("columns", {}))
     proj = []
     for c in df.columns:

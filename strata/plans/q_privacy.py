@@ -83,14 +83,14 @@ def prv_subnet(spark, d):
 
 
 POLICY = {
-    "tagged": {"tag": "pii", "unmasked_for": ["admins", "privacy_officers"]},
+    "tagged": {"tag": "pii", "unmasked_for": ["admins", "privacy_officers"], "salt": SALT},
     "columns": {"nome": {"method": "redact", "unmasked_for": ["admins", "support"]}},
     "row_filters": [{"predicate": "segmento = 'varejo'", "unless": ["admins", "private_banking"]}],
 }
 
 
 @query("prv_policy", CURRENT_SQL.format(body=f"""SELECT cliente_id, CASE WHEN nome IS NOT NULL THEN 'REDACTED' END AS nome, uf, segmento,
-  regexp_replace(email, '^[^@]+', '***') AS email, sha256(cpf || '') AS cpf FROM clientes_atual WHERE segmento = 'varejo'"""))
+  regexp_replace(email, '^[^@]+', '***') AS email, sha256(cpf || '{SALT}') AS cpf FROM clientes_atual WHERE segmento = 'varejo'"""))
 def prv_policy(spark, d):
     """PRV-7: one policy (tags in the schema + explicit columns + role row filters) applied in one pass."""
     c = PV.tag_columns(clientes_atual(spark, d), {"email": "email", "cpf": "hash"})

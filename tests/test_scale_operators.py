@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,88 @@ def test_reconciliation_reads_differing_ranges_only(spark):
     assert [r.kind for r in R.differences(spark, kept(spark, p), kept(spark, q)).collect()] == ["changed"]
     none = spark.createDataFrame([], "k long, a int")
     assert [tuple(r) for r in R.differences(spark, kept(spark, none), kept(spark, none)).collect()] == [("equal", None, 0, 0)]
+
+
+def test_quantiles_by_refinement_equal_a_sort(spark):
+    from strata.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    columns = {"spread": np.exp(rng.normal(0, 60, 3000)), "hot": np.where(rng.random(3000) < 0.6, 7.0, rng.normal(0, 1, 3000)),
+               "edges": np.concatenate([[-1.7e308, 1.7e308, 5e-324, 0.0, -5e-324], rng.normal(0, 1e-310, 500)]), "one": np.array([3.5]),
+               "close": 1.0 + np.arange(5000) * 2.0 ** -52}
+    for name, values in columns.items():
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
+        got, ordered = exact_quantiles(df, "v", probs), np.sort(values)
+        for p, g in zip(probs, got):
+            h = (len(ordered) - 1) * p
+            lo, hi = ordered[int(np.floor(h))], ordered[int(np.ceil(h))]
+            assert g == (lo if lo == hi else lo + (h - np.floor(h)) * (hi - lo)), (name, p)
+    odd = spark.createDataFrame([(float(v),) for v in ("-inf", "-inf", "1", "2", "inf", "nan")], "v double")
+    got = exact_quantiles(odd, "v", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])
+    assert got[:5] == [-np.inf, -np.inf, 1.0, 2.0, np.inf] and np.isnan(got[5])
+    assert exact_quantiles(odd.where("false"), "v", [0.5]) == [None]
+
+
+def test_quantiles_of_a_column_with_many_repeats(spark):
+    from strata.operators.quantiles import exact_quantiles
+    df = spark.range(100_000).selectExpr("id % 977 * 1.0 AS v")
+    assert exact_quantiles(df, "v", [0.5]) == [float(np.median(np.arange(100_000) % 977))]
+
+
+def test_sketches_of_days_merge_to_those_of_months(spark):
+    from strata.operators.partials import HLL_LG_K, KLL_K, distinct_of, quantile_of, roll_up
+    rows = spark.range(60_000).selectExpr("id % 3 AS g", "id % 40 AS day", "CAST(id % 40 >= 20 AS INT) AS p", "id * 7919 % 20011 AS u", "sqrt(id * 104729 % 60000) AS v")
+    measures = [Measure("n", "count"), Measure("u", "distinct", "u"), Measure("q", "quantiles", "v")]
+    state = Partials(work_path(spark, "sk"), ["g", "day", "p"], "p", measures)
+    for b in (0, 1, 1, 2):  # a replayed batch isn't counted twice
+        state.add(rows.where(F.pmod(F.xxhash64("u", "v"), F.lit(3)) == b), b)
+    state.compact(spark)
+    month = roll_up(state.read(spark), ["g", "p"], measures)
+    direct = rows.groupBy("g", "p").agg(*[c for m in measures for c in m.first()])
+    exact = {(r.g, r.p): r for r in rows.groupBy("g", "p").agg(F.count("*").alias("n"), F.count_distinct("u").alias("u"), F.sort_array(F.collect_list("v")).alias("v")).collect()}
+    eps, rse = 4 * 2.3 / KLL_K ** 0.9, 1.04 / 2 ** (HLL_LG_K / 2)
+    for made in (month, direct):
+        got = made.select("g", "p", "n", distinct_of("u").alias("u"), *[quantile_of("q", s).alias(f"q{i}") for i, s in enumerate((0.1, 0.5, 0.9))]).collect()
+        assert len(got) == 6
+        for r in got:
+            e = exact[r.g, r.p]
+            assert r.n == e.n and abs(r.u - e.u) <= 5 * rse * e.u
+            for s, q in zip((0.1, 0.5, 0.9), (r.q0, r.q1, r.q2)):
+                lo, hi = np.searchsorted(e.v, q, "left") / e.n, np.searchsorted(e.v, q, "right") / e.n
+                assert lo - eps <= s <= hi + eps
+
+
+def test_sketches_of_groups_without_values(spark):
+    from strata.operators.partials import distinct_of, quantile_of
+    measures = [Measure("u", "distinct", "u"), Measure("q", "quantiles", "v")]
+    state = Partials(work_path(spark, "sk0"), ["p"], "p", measures)
+    state.add(spark.createDataFrame([(1, None, None), (2, 5, 1.5), (2, None, None)], "p int, u long, v double"), 0)
+    got = {r.p: (r.u, r.q) for r in state.read(spark).select("p", distinct_of("u").alias("u"), quantile_of("q", 0.5).alias("q")).collect()}
+    assert got == {1: (0, None), 2: (1, 1.5)}
+
+
+def test_unified_sources_break_ties_by_value(spark):
+    from strata.operators.gold import unify_sources
+    a = spark.createDataFrame([(1, "b", 2.0), (1, "a", 3.0), (1, None, 1.0), (2, "x", 1.0)], "k int, n string, v double")
+    b = spark.createDataFrame([(2, "y", 9.0)], "k int, n string, v double")
+    for n in (1, 3, 7):
+        got = {tuple(r) for r in unify_sources({"a": (a.repartition(n), 1), "b": (b, 2)}, ["k"], ["k", "n", "v"]).collect()}
+        assert got == {(1, "a", 3.0, "a"), (2, "y", 9.0, "b")}
+
+
+def test_a_hash_mask_needs_a_salt(spark):
+    from strata.operators.privacy import Principal, apply_policy, tag_columns
+    df = tag_columns(spark.createDataFrame([("123",)], "cpf string"), {"cpf": "hash"})
+    with pytest.raises(ValueError):
+        apply_policy(df, {"tagged": {"tag": "pii"}}, Principal("ana"))
+    first, second = (apply_policy(df, {"tagged": {"tag": "pii", "salt": s}}, Principal("ana")).first()[0] for s in ("x", "y"))
+    assert first != second and len(first) == 64
+
+
+def test_quarterly_rollup_scans_once(spark):
+    from strata.operators.aggregates import rollup_old_detail
+    from strata.plans import views as V
+    from tests.conftest import SF001
+    o = V.table(spark, SF001, "orders")
+    plan = rollup_old_detail(o, "o_orderdate", "2001-01-01", 365, ["o_orderpriority"], {"t": "o_totalprice"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
