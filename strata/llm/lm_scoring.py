@@ -6,16 +6,20 @@ symbols through a table of hashed word counts over the whole corpus (frequent
 buckets have a symbol each, the others share some), so the network's size
 doesn't follow the corpus. The words themselves do: a table of all words and
 their counts, made and joined by Spark, gives every word its share of its
-symbol's probability. The network is trained by rounds of local steps in every
+symbol's probability. Texts are split once, into a scratch table of symbol
+sequences. The network is trained on these by rounds of local steps in every
 partition, every token being a target in one of the rounds; the partitions'
-weights are averaged by a Spark aggregate.
+weights are averaged by a Spark aggregate. The sequences are put in an order of
+their own, in files of about ``TASK_TOKENS``, so scores don't depend on the order or the
+partitions of the input (a session with other file splits may read several small
+files in one task, which changes them a little). Steps begin small and grow with the
+tokens seen.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,13 @@ WINDOW, DIM, HIDDEN, SIDE = 2, 16, 32, 32
 SYMBOLS = SIDE * SIDE  # a symbol is a pair (class, member) of SIDE classes with SIDE members each
 SHARED = 256  # symbols that rare words share
 BUCKETS = 1 << 16
-BATCH, ROUNDS, RATE = 4096, 2, 5e-3
+BATCH, ROUNDS, RATE = 4096, 4, 2e-2  # the rate of a full batch; smaller ones go by its square root
+FIRST, GROWTH = 256, 64  # a step takes a GROWTH-th of the targets seen before, from FIRST to BATCH
+GRID = np.float32(256)
+TASK_TOKENS = 1 << 21  # a training task has so many tokens where the corpus has them: averages of many short runs learn little
 OFFSETS = [k for k in range(-WINDOW, WINDOW + 1) if k]
 SCALE = 1 << 24  # weights are averaged, and log counts summed, as integers, which add up alike in any order
-FREQUENT = 1 << 17  # words of at least one in so many tokens (so no more words than that) are looked up in the tasks
+FREQUENT = 1 << 18  # words of at least one in so many tokens (so no more words than that) are looked up in the tasks
 
 
 def bucket(word: bytes) -> int:
@@ -51,14 +58,17 @@ def symbol_table(counts: np.ndarray) -> np.ndarray:
 
 def reader(table: np.ndarray, cache_words: int = 300_000):
     """A function from a text to its symbols."""
-    known: dict[bytes, int] = {}
+    class Known(dict):
+        def __missing__(self, word):
+            self[word] = symbol = int(table[bucket(word)])
+            return symbol
+
+    known = Known()
 
     def symbols(text: bytes) -> np.ndarray:
         words = text.split()
         if len(known) > cache_words:
             known.clear()
-        for w in {*words}.difference(known):
-            known[w] = int(table[bucket(w)])
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     return symbols
@@ -89,41 +99,54 @@ def initial(counts: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
             "member": draw(HIDDEN, SIDE) * 0.1, "member_bias": np.log(mass / mass.sum(1, keepdims=True)).astype(np.float32)}
 
 
-def softmax(z: np.ndarray, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log-probability of column ``at`` in each row, unnormalised probabilities, their sums)."""
-    z -= z.max(1, keepdims=True)
-    own = z[rows, at]
+def softmax(z: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probability of row ``at`` in each column, probabilities); columns are targets, so sums run along contiguous rows."""
+    z -= z.max(0)
+    own = z[at, rows]
     e = np.exp(z, out=z)
-    total = e.sum(1)
-    return own - np.log(total), e, total
+    total = e.sum(0)
+    e /= total
+    return own - np.log(total), e
+
 
+def on_grid(net):
+    """The network with weights on the grid 1 / ``GRID``: with hidden values on it too, products and sums below 256 are exact in
+    32 bits, in whatever order a library adds them, so that equal texts get equal scores."""
+    return {k: (np.round(v * GRID) / GRID).astype(np.float32) for k, v in net.items()}
 
-def forward(net, context, target):
+
+def forward(net, context, target, exact: bool = False):
     x = net["embed"][context].reshape(len(context), -1)
     h = np.maximum(x @ net["hidden"] + net["hidden_bias"], 0)
+    if exact:
+        h = np.round(h * GRID) / GRID
     c, m = target // SIDE, target % SIDE
     rows = np.arange(len(target))
-    log_c, *of_c = softmax(h @ net["class"] + net["class_bias"], rows, c)
-    log_m, *of_m = softmax(h @ net["member"] + net["member_bias"][c], rows, m)
-    return log_c + log_m, (x, h, c, m, of_c, of_m, rows)
+    log_c, p_c = softmax(np.ascontiguousarray((h @ net["class"] + net["class_bias"]).T), c, rows)
+    log_m, p_m = softmax(np.ascontiguousarray((h @ net["member"] + net["member_bias"][c]).T), m, rows)
+    return log_c + log_m, (x, h, c, m, p_c, p_m, rows)
 
 
 def gradient(net, context, target):
     """Gradient of the mean negative log-probability of the targets."""
-    _, (x, h, c, m, (dc, sum_c), (dm, sum_m), rows) = forward(net, context, target)
-    dc /= sum_c[:, None]
-    dm /= sum_m[:, None]
-    dc[rows, c] -= 1
-    dm[rows, m] -= 1
+    _, (x, h, c, m, dc, dm, rows) = forward(net, context, target)
+    dc[c, rows] -= 1
+    dm[m, rows] -= 1
     dc /= len(target)
     dm /= len(target)
-    dh = (dc @ net["class"].T + dm @ net["member"].T) * (h > 0)
+    dh = (dc.T @ net["class"].T + dm.T @ net["member"].T) * (h > 0)
     dx = (dh @ net["hidden"].T).reshape(-1, DIM)
-    flat = context.reshape(-1)
-    embed = np.stack([np.bincount(flat, weights=dx[:, k], minlength=SYMBOLS + 1) for k in range(DIM)], 1)
-    member_bias = np.stack([np.bincount(c, weights=dm[:, k], minlength=SIDE) for k in range(SIDE)], 1)
-    return {"embed": embed, "hidden": x.T @ dh, "hidden_bias": dh.sum(0), "class": h.T @ dc, "class_bias": dc.sum(0),
-            "member": h.T @ dm, "member_bias": member_bias}
+    # The rows of each context symbol are brought together and summed.
+    flat = context.reshape(-1).astype(np.uint16)
+    order = np.argsort(flat, kind="stable")
+    line = flat[order]
+    starts = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+    embed = np.zeros((SYMBOLS + 1, DIM), dx.dtype)
+    embed[line[starts]] = np.add.reduceat(dx[order], starts, axis=0)
+    of_class = np.zeros((len(target), SIDE), dm.dtype)
+    of_class[rows, c] = 1
+    return {"embed": embed, "hidden": x.T @ dh, "hidden_bias": dh.sum(0), "class": h.T @ dc.T, "class_bias": dc.sum(1),
+            "member": h.T @ dm.T, "member_bias": (dm @ of_class).T}
 
 
 class Trainer:
@@ -136,15 +159,19 @@ class Trainer:
         self.steps = self.seen = 0
 
     def learn(self, context, target):
-        for i in range(0, len(target), BATCH):
+        i = 0
+        while i < len(target):
+            n = min(max(self.seen // GROWTH, FIRST), BATCH)
             self.steps += 1
-            self.seen += len(target[i:i + BATCH])
-            for k, g in gradient(self.net, context[i:i + BATCH], target[i:i + BATCH]).items():
+            rate = RATE * np.sqrt(n / BATCH)
+            for k, g in gradient(self.net, context[i:i + n], target[i:i + n]).items():
                 g = g.astype(np.float32)
                 self.m[k] = 0.9 * self.m[k] + 0.1 * g
                 self.v[k] = 0.99 * self.v[k] + 0.01 * g * g
                 fix = np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
-                self.net[k] -= RATE * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
+                self.net[k] -= rate * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
+            self.seen += len(target[i:i + n])
+            i += n
 
 
 def pack_net(net) -> np.ndarray:
@@ -159,8 +186,9 @@ def unpack_net(flat: np.ndarray, like) -> dict[str, np.ndarray]:
     return out
 
 
-def rows_of(df: DataFrame, text_col: str, fields: list[T.StructField], per_partition) -> DataFrame:
-    """Rows of ``fields`` from what ``per_partition`` (an iterator of text lists -> iterator of lists of arrays) yields in each partition."""
+def rows_of(df: DataFrame, of, fields: list[T.StructField], per_partition) -> DataFrame:
+    """Rows of ``fields`` from what ``per_partition`` (an iterator of lists of bytes -> iterator of lists of arrays) yields in each
+    partition; ``of`` is a text or binary column."""
     small_batches(df.sparkSession)
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
@@ -171,7 +199,7 @@ def rows_of(df: DataFrame, text_col: str, fields: list[T.StructField], per_parti
                 yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 10_000], f.type) for a, f in zip(made, arrow)], schema=arrow)
         trim()
 
-    return df.select(column(df, text_col).cast("string").alias("t")).mapInArrow(run, schema)
+    return df.select(of.alias("t")).mapInArrow(run, schema)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", cache_words: int = 300_000) -> DataFrame:
@@ -189,7 +217,7 @@ def word_counts(docs: DataFrame, text_col: str = "text", cache_words: int = 300_
             yield [list(held), list(held.values())]
 
     fields = [T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]
-    return scratch(rows_of(docs, text_col, fields, count).groupBy("word").agg(F.sum("n").alias("n")), "words")
+    return scratch(rows_of(docs, column(docs, text_col).cast("string"), fields, count).groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
 def bucket_counts(words: DataFrame) -> np.ndarray:
@@ -200,46 +228,70 @@ def bucket_counts(words: DataFrame) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts: np.ndarray | None = None):
-    """(symbol table, network). In each round every partition starts from the common network and learns
-    from all its texts, from every ``rounds``-th token of each (others in each round, so that all tokens are met); the results are averaged by the steps taken."""
-    counts = bucket_counts(word_counts(docs, text_col)) if counts is None else counts
-    table, net = symbol_table(counts), initial(counts)
-    sc = docs.sparkSession.sparkContext
+def unpack_sequence(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16).astype(np.int64)
+
+
+def in_order(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+    """A table of the column ``seq`` in an order of its own (by a hash of sequence and ``id``), about ``TASK_TOKENS`` a file: what is
+    learned depends neither on the order of the input nor on its partitions."""
+    place = rows.select("seq", F.xxhash64("seq", "id").alias("place")).repartition(int(counts.sum()) // TASK_TOKENS + 1, "place")
+    return scratch(place.sortWithinPartitions("place", "seq").select("seq"), "sequences")
+
+
+def fit(seqs: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """A network learned from a stored table's column ``seq`` (packed symbols). In each round every partition starts from the common network and learns
+    from all its texts, from every ``rounds``-th token of each (others in each round, so that all tokens are met); the results are averaged by the targets met."""
+    net = initial(counts)
+    sc = seqs.sparkSession.sparkContext
     for r in range(rounds):
-        shared = sc.broadcast((table, net))  # of fixed size
+        shared = sc.broadcast(net)  # of fixed size
 
         def local(batches, r=r, shared=shared):
-            table, net = shared.value
-            symbols, trainer = reader(table), Trainer(net)
-            for texts in batches:
-                target, context, _ = contexts([symbols(t) for t in texts], r, rounds)
-                trainer.learn(context, target)
+            trainer = Trainer(shared.value)
+            for raw in batches:
+                for i, j in runs(map(len, raw), TEXT_BUDGET // 4):
+                    target, context, _ = contexts([unpack_sequence(t) for t in raw[i:j]], r, rounds)
+                    trainer.learn(context, target)
             if not trainer.seen:
                 return
             flat = np.round(pack_net(trainer.net).astype(np.float64) * SCALE).astype(np.int64)
-            # the mean weight of a partition counts in units of its batches, which keeps sums far from overflow
-            n = np.full(len(flat), trainer.steps, np.int64)
-            yield [np.arange(len(flat)), flat * trainer.steps, n]
+            # a partition counts in units of full batches, which keeps sums far from overflow
+            n = np.full(len(flat), -(-trainer.seen // BATCH), np.int64)
+            yield [np.arange(len(flat)), flat * n, n]
 
-        parts = rows_of(docs, text_col, longs("i", "v", "n"), local).groupBy("i").agg((F.sum(F.col("v").cast("decimal(38,0)")) / F.sum("n")).cast("double").alias("v")).collect()
+        parts = rows_of(seqs, F.col("seq"), longs("i", "v", "n"), local).groupBy("i").agg((F.sum(F.col("v").cast("decimal(38,0)")) / F.sum("n")).cast("double").alias("v")).collect()
         if parts:
             flat = np.zeros(len(parts))
             for p in parts:
                 flat[p.i] = p.v / SCALE
             net = unpack_net(flat, net)
         shared.unpersist()
-    return table, net
+    return on_grid(net)
+
+
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts: np.ndarray | None = None, id_col: str = "doc_id"):
+    """(symbol table, network) of a corpus."""
+    counts = bucket_counts(word_counts(docs, text_col)) if counts is None else counts
+    table = symbol_table(counts)
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # of fixed size
+
+    def make():
+        symbols = reader(shared.value)
+        return lambda texts: [[symbols(t).astype(np.uint16).tobytes() for t in texts]]
+
+    seqs = map_text(docs, text_col, [id_col], [T.StructField("seq", T.BinaryType())], make).toDF("id", "seq")
+    return table, fit(in_order(seqs, counts), counts, rounds)
 
 
 def score_symbols(seqs: list[np.ndarray], net) -> np.ndarray:
     """The sum of the symbols' conditional log-probabilities in each text."""
-    out = np.zeros(len(seqs))
     target, context, of = contexts(seqs)
+    out = np.zeros(len(seqs), np.int64)  # in units that add up alike wherever a batch is cut
     for i in range(0, len(target), BATCH):
-        logp, _ = forward(net, context[i:i + BATCH], target[i:i + BATCH])
-        out += np.bincount(of[i:i + BATCH], weights=logp, minlength=len(seqs))
-    return out
+        logp, _ = forward(net, context[i:i + BATCH], target[i:i + BATCH], True)
+        out += np.bincount(of[i:i + BATCH], weights=np.round(logp * np.float64(SCALE)), minlength=len(seqs)).astype(np.int64)
+    return out / SCALE
 
 
 def score_texts(texts: list[bytes], symbols, net):
@@ -256,7 +308,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty result. Word counts stay in a Spark table, weights of each partition are summed on the executors; the driver sees
     tables of fixed size.
     """
-    table, net = train(docs, text_col, rounds)
+    table, net = train(docs, text_col, rounds, id_col=id_col)
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("pll", T.DoubleType()), T.StructField("mean_logp", T.DoubleType())]
 
@@ -274,62 +326,96 @@ def word_pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: st
     corpus over the count of its symbol. The probabilities of all words of the corpus add up to 1 at every place.
 
     Words of at least one in ``frequent`` tokens are at most ``frequent`` many: these go to all tasks. Each row's other words
-    leave as rows (word, times) and join the table of word counts, so that no word has more than its share of the join and
+    are kept beside its symbols as (word, times) and join the table of word counts, so that no word has more than its share of the join and
     nothing that follows the corpus reaches the driver or a broadcast. All scored words were counted; should a word be missing,
     it counts as seen once.
     """
     spark = docs.sparkSession
     words = word_counts(docs, text_col)
     counts = bucket_counts(words)
-    table, net = train(docs, text_col, rounds, counts)
-    total = int(counts.sum())
+    table, total = symbol_table(counts), int(counts.sum())
     mass = np.log(np.maximum(np.bincount(table, weights=counts, minlength=SYMBOLS), 1))
     least = -(-total // frequent)
     often = {bytes(r.word): float(np.log(r.n) - mass[table[bucket(bytes(r.word))]]) for r in words.where(F.col("n") >= least).collect()}
-    shared = spark.sparkContext.broadcast((table, net, mass, often))  # of fixed size
+    shared = spark.sparkContext.broadcast((table, mass, often))  # of fixed size
+    encoded = encode_words(docs, id_col, text_col, shared)
+    net = spark.sparkContext.broadcast(fit(in_order(encoded, counts), counts, rounds))
 
+    small_batches(spark)
+    inner = encoded.select("id", "row", "n_tokens", "share", "seq")
+    schema = T.StructType([inner.schema["id"], *longs("row", "n_tokens"), T.StructField("part", T.DoubleType()), *longs("log_n")])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        weights = net.value
+        for b in batches:
+            raw = b.column(4).to_pylist()
+            parts = [score_symbols([unpack_sequence(t) for t in raw[i:j]], weights) for i, j in runs(map(len, raw), TEXT_BUDGET // 4)]
+            part = np.concatenate(parts) + b.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field("id").type), b.column(1), b.column(2), pa.array(part),
+                                              pa.nulls(len(part), pa.int64())], schema=arrow)
+        trim()
+
+    # No word has more than its share of this join: frequent ones aren't in it. A word that the table lacks adds log(1).
+    logs = words.where(F.col("n") < least).select("word", F.round(F.log("n") * SCALE).cast("long").alias("log_n"))
+    rare = encoded.select("row", F.inline("rare")).join(logs, "word").select("row", (F.col("times") * F.col("log_n")).alias("log_n"))
+    whole = inner.mapInArrow(run, schema).unionByName(rare, allowMissingColumns=True).groupBy("row").agg(
+        F.first("id", ignorenulls=True).alias("id"), F.sum("n_tokens").alias("n_tokens"),
+        (F.sum("part") + F.coalesce(F.sum("log_n"), F.lit(0)) / SCALE).alias("pll"))
+    return whole.select(F.col("id").alias(id_col), "n_tokens", "pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("mean_logp"))
+
+
+def encode_words(docs: DataFrame, id_col: str, text_col: str, shared) -> DataFrame:
+    """A scratch table of the texts as symbols: ``id``, ``row``, ``n_tokens``, ``seq`` (packed), ``share`` (the words' log shares of their
+    symbols, for words outside the broadcast without their counts) and ``rare`` (those words and how often each occurs)."""
+    spark = docs.sparkSession
     small_batches(spark)
     inner = docs.select(column(docs, id_col).alias("id"), F.monotonically_increasing_id().alias("row"), column(docs, text_col).cast("string").alias("t"))
-    # A text's own row has the salt row + 1 and no word, a word's row the salt 0: the join deals both evenly.
-    schema = T.StructType([T.StructField("id", inner.schema["id"].dataType), *longs("row", "salt"), T.StructField("word", T.BinaryType()),
-                           *longs("times", "n_tokens"), T.StructField("part", T.DoubleType())])
+    words_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), *longs("times")]))
+    schema = T.StructType([inner.schema["id"], *longs("row", "n_tokens"), T.StructField("share", T.DoubleType()),
+                           T.StructField("seq", T.BinaryType()), T.StructField("rare", words_type)])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        table, net, mass, often = shared.value
-        symbols = reader(table)
+        table, mass, often = shared.value
+
+        class Numbers(dict):
+            """word -> its number; the first time it is met, its symbol and share are noted."""
+            def __missing__(self, word):
+                symbol, self[word] = int(table[bucket(word)]), len(self)
+                own = often.get(word)
+                names.append(None if own is not None else word)
+                symbol_of.append(symbol)
+                share_of.append(-mass[symbol] if own is None else own)
+                return self[word]
+
+        numbers, names, symbol_of, share_of = Numbers(), [], [], []
         for batch in batches:
-            ids, at = batch.column(0).cast(arrow.field("id").type), batch.column(1).to_numpy()
             texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for i, j in runs(map(len, texts), TEXT_BUDGET):
-                seqs = [symbols(t) for t in texts[i:j]]
-                out, rows, rare, times = score_symbols(seqs, net), [], [], []
-                for k, (text, s) in enumerate(zip(texts[i:j], seqs)):
+                if len(numbers) > 200_000:
+                    numbers.clear()
+                    for held in (names, symbol_of, share_of):
+                        held.clear()
+                seen, ends = [], [0]
+                for text in texts[i:j]:
                     own = text.split()
-                    share = np.fromiter(map(often.get, own, repeat(np.nan)), float, len(own))
-                    missing = np.flatnonzero(np.isnan(share))
-                    share[missing] = -mass[s[missing]]  # the log count comes by the join
-                    out[k] += share.sum()
-                    held = Counter([own[x] for x in missing])
-                    rows.append(np.full(len(held), at[i + k]))
-                    rare += held
-                    times += held.values()
-                n = j - i
+                    seen.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
+                symbols, shares = np.array(symbol_of, np.uint16), np.array(share_of, np.float64)
+                is_rare = np.fromiter((w is not None for w in names), bool, len(names))
+                rare, times = [], []
+                for at in seen:
+                    some, n = np.unique(at[is_rare[at]], return_counts=True)
+                    rare += [names[k] for k in some.tolist()]
+                    times.append(n)
+                    ends.append(len(rare))
+                pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(np.concatenate(times), pa.int64())],
+                                                   fields=list(arrow.field("rare").type.value_type))
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, n), pa.array(at[i:j]), pa.array(at[i:j] + 1), pa.nulls(n, pa.binary()), pa.array(np.zeros(n, np.int64)),
-                    pa.array(np.array([len(s) for s in seqs], np.int64)), pa.array(out)], schema=arrow)
-                rows = np.concatenate(rows)
-                for a in range(0, len(rare), 10_000):
-                    m = len(rare[a:a + 10_000])
-                    zero = pa.array(np.zeros(m, np.int64))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.nulls(m, arrow.field("id").type), pa.array(rows[a:a + m]), zero, pa.array(rare[a:a + m], pa.binary()),
-                        pa.array(times[a:a + m], pa.int64()), zero, pa.nulls(m, pa.float64())], schema=arrow)
+                    batch.column(0).slice(i, j - i).cast(arrow.field("id").type), batch.column(1).slice(i, j - i),
+                    pa.array([len(at) for at in seen], pa.int64()), pa.array([float(shares[at].sum()) for at in seen], pa.float64()),
+                    pa.array([symbols[at].tobytes() for at in seen], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs).cast(arrow.field("rare").type)], schema=arrow)
         trim()
 
-    logs = words.where(F.col("n") < least).select(F.lit(0).cast("long").alias("salt"), "word", F.round(F.log("n") * SCALE).cast("long").alias("log_n"))
-    joined = inner.mapInArrow(run, schema).join(logs, ["salt", "word"], "left")
-    whole = joined.groupBy("row").agg(
-        F.first("id", ignorenulls=True).alias("id"), F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("part") + F.sum(F.col("times") * F.coalesce("log_n", F.lit(0))) / SCALE).alias("pll"))
-    return whole.select(F.col("id").alias(id_col), "n_tokens", "pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")).alias("mean_logp"))
+    return scratch(inner.mapInArrow(run, schema), "encoded")
