@@ -16,7 +16,6 @@ sys.path.insert(0, ROOT)
 from strata.plans.registry import load_all  # noqa: E402
 
 NO_QUERY = {
-    "SRC-12": "function `sources.files.read_layer`; no query of its own",
     "SRC-15": "named only in the reference; Spark's own `spark.read.jdbc`, no database reachable",
     "FLT-4": "inside `cdc.scd2_compare` / `cdc.upsert` (NULL-safe change test)",
     "WIN-2": "inside `cdc.scd2` (next event per key, chunked)",
