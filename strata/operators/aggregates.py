@@ -54,14 +54,28 @@ def expectation_vs_realized(realized: DataFrame, expected: DataFrame, realized_d
                     F.round(F.col("ipca_realizado") - F.col("mediana_focus"), 4).alias("surpresa"))
 
 
+def approx_and_exact_distinct(df: DataFrame, key: str, col: str, rsd: float = 0.05) -> DataFrame:
+    """Per ``key``: ``approx`` (HLL++) and ``exact`` number of distinct non-null values of ``col``.
+
+    Two aggregates joined by key (one row a group): in one, Spark would keep a sketch of some kilobytes for every distinct value.
+    """
+    approx = df.groupBy(key).agg(F.approx_count_distinct(col, rsd).alias("approx"))
+    exact = df.groupBy(key).agg(F.count_distinct(col).alias("exact"))
+    return (approx.alias("a").join(exact.alias("e"), F.col(f"a.{key}").eqNullSafe(F.col(f"e.{key}")))
+                  .select(F.col(f"a.{key}").alias(key), "approx", "exact"))
+
+
 def series_summary(obs: DataFrame, key: str = "codigo_serie", date_col: str = "data_ref",
                    value_col: str = "valor", approx: bool = True, rsd: float = 0.05) -> DataFrame:
     """count, exact distinct days, approximate distinct days (HLL++), mean, min, max."""
-    aggs = [F.count(F.lit(1)).alias("qtd"), F.count_distinct(date_col).alias("dias_exatos")]
-    if approx:
-        aggs.append(F.approx_count_distinct(date_col, rsd).alias("dias_aprox"))
-    aggs += [F.round(F.avg(value_col), 4).alias("media"), F.min(value_col).alias("min"), F.max(value_col).alias("max")]
-    return obs.groupBy(key).agg(*aggs)
+    exact = obs.groupBy(key).agg(F.count(F.lit(1)).alias("qtd"), F.count_distinct(date_col).alias("dias_exatos"),
+                                 F.round(F.avg(value_col), 4).alias("media"), F.min(value_col).alias("min"), F.max(value_col).alias("max"))
+    if not approx:
+        return exact
+    # Apart from the exact count, which would hold a sketch for every day of every key.
+    days = obs.groupBy(key).agg(F.approx_count_distinct(date_col, rsd).alias("dias_aprox"))
+    return (exact.alias("e").join(days.alias("d"), F.col(f"e.{key}").eqNullSafe(F.col(f"d.{key}")))
+                 .select(F.col(f"e.{key}").alias(key), "qtd", "dias_exatos", "dias_aprox", "media", "min", "max"))
 
 
 def describe_column(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
