@@ -146,8 +146,9 @@ def purge_partitions(spark: SparkSession, path: str, partition_col: str, keep_fr
 
 def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str) -> None:
     """Bucketed, sorted table: joins and aggregations on ``key`` with tables of the same
-    bucket count read co-partitioned data and skip the shuffle."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    bucket count read co-partitioned data and skip the shuffle. Each bucket is one file,
+    as the rows are first dealt to as many tasks by the same hash."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table))
 
 

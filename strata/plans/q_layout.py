@@ -14,6 +14,8 @@ from strata.plans import views as V
 from strata.plans.registry import query
 from strata.session import work_path
 
+#: Input bytes (of both tables) for one bucket of ``lay_bucketed``.
+BUCKET_MB = 16
 LI_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
@@ -70,14 +72,15 @@ def lay_retention(spark, d):
 SELECT o_orderkey, o_orderpriority, COUNT(*) AS linhas, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantidade
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
 def lay_bucketed(spark, d):
-    """LAY-6: both sides bucketed by order key (8 buckets): the join and the aggregate
-    on that key run without a shuffle."""
+    """LAY-6: both sides bucketed by order key (8 buckets or more, by the bytes of the tables, as one
+    task joins one bucket): the join and the aggregate on that key run without a shuffle."""
     tag = uuid.uuid4().hex[:8]
     o_name, l_name = f"orders_b_{tag}", f"lineitem_b_{tag}"
-    L.save_bucketed(V.table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), o_name,
-                    work_path(spark, "bucketed-orders"), 8, "o_orderkey")
-    L.save_bucketed(V.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"), l_name,
-                    work_path(spark, "bucketed-lineitem"), 8, "o_orderkey")
+    o, li = V.table(spark, d, "orders"), V.table(spark, d, "lineitem")
+    buckets = max(8, L.files_for(spark, [*o.inputFiles(), *li.inputFiles()], BUCKET_MB))
+    L.save_bucketed(o.select("o_orderkey", "o_orderpriority"), o_name, work_path(spark, "bucketed-orders"), buckets, "o_orderkey")
+    L.save_bucketed(li.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"), l_name,
+                    work_path(spark, "bucketed-lineitem"), buckets, "o_orderkey")
     j = spark.table(o_name).join(spark.table(l_name), "o_orderkey")
     return (j.groupBy("o_orderkey", "o_orderpriority")
              .agg(F.count(F.lit(1)).alias("linhas"),

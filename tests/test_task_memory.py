@@ -1,8 +1,14 @@
 """What one task holds doesn't follow the whole table: sketches, buckets, groups before a distinct count."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strata.operators import aggregates as A
+from strata.operators import layout as L
+from strata.operators.stored import data_files
+from strata.plans import q_layout
+from strata.session import work_path
 
 
 def physical(df):
@@ -21,3 +27,23 @@ def test_no_sketch_for_every_distinct_value(spark):
     for q in (got, summary):  # an aggregate with a sketch is grouped by the key alone
         sketches = [line for line in physical(q).splitlines() if "Aggregate(" in line and "approx_count_distinct" in line]
         assert sketches and all(line.split("keys=[")[1].split("]")[0].count("#") == 1 for line in sketches)
+
+
+def test_buckets_follow_the_input_and_are_one_file_each(spark, tmp_path, monkeypatch):
+    path, name = work_path(spark, "t-buckets"), f"t_{uuid.uuid4().hex[:8]}"
+    L.save_bucketed(spark.range(0, 500, 1, 6).withColumn("id", F.expr("nullif(id, 3)")), name, path, 4, "id")
+    assert len(data_files(spark, path)) == 4 and spark.table(name).count() == 500
+    d, asked = str(tmp_path), []
+    spark.range(2000).selectExpr("nullif(id % 1500, 7) AS o_orderkey", "CAST(uuid() AS STRING) AS o_orderpriority").write.parquet(f"{d}/orders.parquet")
+    spark.range(9000).selectExpr("id % 1600 AS l_orderkey", "rand() AS l_quantity").selectExpr(
+        "l_orderkey", "round(l_quantity, 2) AS l_quantity").write.parquet(f"{d}/lineitem.parquet")
+    save = L.save_bucketed
+    monkeypatch.setattr(L, "save_bucketed", lambda df, t, p, n, key: (asked.append(n), save(df, t, p, n, key)))
+    monkeypatch.setattr(L, "files_for", lambda spark, paths, mb: len(paths))  # more input, more buckets
+    got = q_layout.lay_bucketed(spark, d)
+    files = sum(len(spark.read.parquet(f"{d}/{t}.parquet").inputFiles()) for t in ("orders", "lineitem"))
+    assert asked == [max(8, files)] * 2 and files > 8
+    o, li = spark.read.parquet(f"{d}/orders.parquet"), spark.read.parquet(f"{d}/lineitem.parquet")
+    want = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
+    key = lambda r: (r[0], r[1], r[2], round(r[3], 6))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
