@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.money import money_mean, money_sum
 from strata.operators.dedup import dedup_latest
+from strata.operators.layout import files_for
 
 # The series catalogue seed (code, unit, periodicity). 9998 is a
 # catalogued code that never has observations.
@@ -17,6 +18,9 @@ SERIES_CATALOGUE = [
     (9998, "x", "nenhuma"),
 ]
 
+#: Input bytes (of all joined tables) whose lines one task of ``daily_revenue`` groups.
+TASK_MB = 8
+
 
 def dim_series(spark: SparkSession) -> DataFrame:
     """The series catalogue, as literals, so that the planner knows its size."""
@@ -26,8 +30,16 @@ def dim_series(spark: SparkSession) -> DataFrame:
 
 
 def daily_revenue(star_df: DataFrame) -> DataFrame:
-    """Lines, revenue (exact), mean line revenue (exact, half-up) and distinct orders."""
-    return (star_df.groupBy("order_date", "region", "category")
+    """Lines, revenue (exact), mean line revenue (exact, half-up) and distinct orders.
+
+    Nearly every line is an (order, group) of its own, which tasks hold until orders are counted. So many lines are first
+    dealt by group and order to tasks of bounded input, apart from the joins that made them.
+    """
+    spark, group = star_df.sparkSession, ["order_date", "region", "category"]
+    lines, tasks = star_df.select(*group, "order_key", "revenue"), files_for(spark, star_df.inputFiles(), TASK_MB)
+    if tasks > spark.sparkContext.defaultParallelism:
+        lines = lines.repartition(tasks, *group, "order_key")
+    return (lines.groupBy(*group)
                    .agg(F.count(F.lit(1)).alias("line_count"), money_sum("revenue").alias("revenue"),
                         money_mean("revenue").alias("avg_line_revenue"),
                         F.count_distinct("order_key").alias("orders")))

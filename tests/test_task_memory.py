@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from strata.operators import aggregates as A
+from strata.operators import gold as G
 from strata.operators import layout as L
 from strata.operators.stored import data_files
 from strata.plans import q_layout
@@ -47,3 +48,15 @@ def test_buckets_follow_the_input_and_are_one_file_each(spark, tmp_path, monkeyp
     want = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
     key = lambda r: (r[0], r[1], r[2], round(r[3], 6))
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_lines_are_dealt_to_tasks_by_input_before_orders_are_counted(spark, tmp_path, monkeypatch):
+    rows = [("2024-01-01", "EU", "x", 1, 1.25), ("2024-01-01", "EU", "x", 1, 2.0), ("2024-01-01", "EU", "x", 2, 3.0), ("2024-01-01", None, None, 2, 1.0),
+            ("2024-01-01", None, None, None, 4.0), ("2024-01-02", "EU", "x", 1, 5.0)]
+    spark.createDataFrame(rows, "order_date string, region string, category string, order_key long, revenue double").write.parquet(f"{tmp_path}/star")
+    lines = spark.read.parquet(f"{tmp_path}/star")
+    monkeypatch.setattr(G, "files_for", lambda spark, paths, mb: 370 if paths else 0)
+    got = G.daily_revenue(lines)
+    assert {tuple(r) for r in got.collect()} == {("2024-01-01", "EU", "x", 3, 6.25, 2.08, 2), ("2024-01-01", None, None, 2, 5.0, 2.5, 1), ("2024-01-02", "EU", "x", 1, 5.0, 5.0, 1)}
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert any(", 370)" in x for x in exchanges if "order_key" in x)
