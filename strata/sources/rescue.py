@@ -16,6 +16,7 @@ and routes surplus fields to ``_rescued_data``.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,17 +74,46 @@ def _surplus(v: Column, typed: Column, kind: T.DataType, path: Column | None) ->
     return F.concat(F.coalesce(found, none), *[one(fields[f.name], typed[f.name], f.dataType, below(f.name)) for f in kind.fields])
 
 
+def _shape(kind: T.DataType) -> str | None:
+    """A pattern of ``schema_of_variant`` for values that have no name outside ``kind``; None if ``kind`` has maps or names to quote."""
+    if isinstance(kind, T.ArrayType):
+        item = _shape(kind.elementType)
+        return item and f"ARRAY<{item}>"
+    if isinstance(kind, T.StructType):
+        fields = {f.name: _shape(f.dataType) for f in kind.fields}
+        if not all(fields.values()) or not all(re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", n) for n in fields):
+            return None
+        return "OBJECT<" + "".join(f"({n}: {fields[n]}(, |(?=>)))?" for n in sorted(fields)) + ">"
+    return None if isinstance(kind, (T.MapType, T.VariantType)) else r"[A-Z]+(\([0-9]+,[0-9]+\))?"
+
+
+def _complete(typed: Column, kind: T.DataType) -> Column:
+    """Whether ``typed`` and all that it holds is there."""
+    inner = F.lit(True)
+    if isinstance(kind, T.ArrayType):
+        inner = F.forall(typed, lambda x: _complete(x, kind.elementType))
+    elif isinstance(kind, T.StructType):
+        for f in kind.fields:
+            inner = inner & _complete(typed[f.name], f.dataType)
+    return typed.isNotNull() & inner
+
+
 def read_rescued(df: DataFrame, text_col: str, schema: T.StructType, keep_map: bool = False) -> DataFrame:
     """Parse ``text_col`` with a frozen schema, keeping what does not fit in ``_rescued_data``.
 
     The text is parsed twice: as the typed struct and as a VARIANT, which is walked through structs, arrays and
     maps (keys like ``ctx.items[0].field``). A text that is no JSON object (or has a field twice) is ``_corrupt``.
+    The walk is left out where nothing can be found: all names are the schema's, and every value was read.
     Works on streams too. ``keep_map`` also returns the rescued map as ``_rescued_map`` so callers can
     inspect it without re-parsing the JSON.
     """
     parsed = df.select("*", F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE"}).alias("__t"), F.try_parse_json(F.col(text_col)).alias("__v"))
     is_object = F.try_variant_get("__v", "$", "map<string,variant>").isNotNull()
     rescued = F.when(is_object, F.map_from_entries(_surplus(F.col("__v"), F.col("__t"), schema, None)))
+    shape = _shape(schema)
+    if shape:
+        fits = F.schema_of_variant("__v").rlike(f"^{shape}$") & _complete(F.col("__t"), schema)
+        rescued = F.when(fits, F.map_from_entries(F.array().cast(ENTRIES))).otherwise(rescued)
     out = parsed.withColumn("__r", rescued)
     extra = [F.col("__r").alias("_rescued_map")] if keep_map else []
     return out.select(*[c for c in df.columns if c != text_col], "__t.*",
