@@ -19,16 +19,17 @@ tokens seen.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from strata.llm.common import TEXT_BUDGET, column, longs, map_text, runs, scratch, small_batches, trim
+from strata.llm.common import TEXT_BUDGET, column, keep_freed, longs, map_text, runs, scratch, small_batches, trim
 
 WINDOW, DIM, HIDDEN, SIDE = 2, 16, 32, 32
 SYMBOLS = SIDE * SIDE  # a symbol is a pair (class, member) of SIDE classes with SIDE members each
@@ -99,14 +100,20 @@ def initial(counts: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
             "member": draw(HIDDEN, SIDE) * 0.1, "member_bias": np.log(mass / mass.sum(1, keepdims=True)).astype(np.float32)}
 
 
-def softmax(z: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log-probability of row ``at`` in each column, probabilities); columns are targets, so sums run along contiguous rows."""
+def log_softmax(z: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log-probability of row ``at`` in each column, weights, their sums); columns are targets, so sums run along contiguous rows."""
     z -= z.max(0)
     own = z[at, rows]
     e = np.exp(z, out=z)
     total = e.sum(0)
+    return own - np.log(total), e, total
+
+
+def softmax(z: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probability of row ``at`` in each column, probabilities)."""
+    own, e, total = log_softmax(z, at, rows)
     e /= total
-    return own - np.log(total), e
+    return own, e
 
 
 def on_grid(net):
@@ -115,15 +122,15 @@ def on_grid(net):
     return {k: (np.round(v * GRID) / GRID).astype(np.float32) for k, v in net.items()}
 
 
-def forward(net, context, target, exact: bool = False):
-    x = net["embed"][context].reshape(len(context), -1)
-    h = np.maximum(x @ net["hidden"] + net["hidden_bias"], 0)
-    if exact:
-        h = np.round(h * GRID) / GRID
+def forward(net, context, target):
+    x = net["embed"].take(context, 0).reshape(len(context), -1)
+    h = x @ net["hidden"]
+    h += net["hidden_bias"]
+    np.maximum(h, 0, out=h)
     c, m = target // SIDE, target % SIDE
     rows = np.arange(len(target))
-    log_c, p_c = softmax(np.ascontiguousarray((h @ net["class"] + net["class_bias"]).T), c, rows)
-    log_m, p_m = softmax(np.ascontiguousarray((h @ net["member"] + net["member_bias"][c]).T), m, rows)
+    log_c, p_c = softmax(np.add((h @ net["class"]).T, net["class_bias"][:, None], order="C"), c, rows)
+    log_m, p_m = softmax(np.add((h @ net["member"]).T, net["member_bias"].take(c, 0).T, order="C"), m, rows)
     return log_c + log_m, (x, h, c, m, p_c, p_m, rows)
 
 
@@ -134,7 +141,9 @@ def gradient(net, context, target):
     dm[m, rows] -= 1
     dc /= len(target)
     dm /= len(target)
-    dh = (dc.T @ net["class"].T + dm.T @ net["member"].T) * (h > 0)
+    dh = dc.T @ net["class"].T
+    dh += dm.T @ net["member"].T
+    dh *= h > 0
     dx = (dh @ net["hidden"].T).reshape(-1, DIM)
     # The rows of each context symbol are brought together and summed.
     flat = context.reshape(-1).astype(np.uint16)
@@ -142,7 +151,7 @@ def gradient(net, context, target):
     line = flat[order]
     starts = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
     embed = np.zeros((SYMBOLS + 1, DIM), dx.dtype)
-    embed[line[starts]] = np.add.reduceat(dx[order], starts, axis=0)
+    embed[line[starts]] = np.add.reduceat(dx.take(order, 0), starts, axis=0)
     of_class = np.zeros((len(target), SIDE), dm.dtype)
     of_class[rows, c] = 1
     return {"embed": embed, "hidden": x.T @ dh, "hidden_bias": dh.sum(0), "class": h.T @ dc.T, "class_bias": dc.sum(1),
@@ -150,12 +159,12 @@ def gradient(net, context, target):
 
 
 class Trainer:
-    """Adam steps on batches of targets."""
+    """Adam steps on batches of targets; the weights lie in one vector, of which ``net`` has views."""
 
     def __init__(self, net):
-        self.net = {k: v.copy() for k, v in net.items()}
-        self.m = {k: np.zeros_like(v) for k, v in net.items()}
-        self.v = {k: np.zeros_like(v) for k, v in net.items()}
+        self.flat = pack_net(net)
+        self.net = unpack_net(self.flat, net)
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.steps = self.seen = 0
 
     def learn(self, context, target):
@@ -164,24 +173,25 @@ class Trainer:
             n = min(max(self.seen // GROWTH, FIRST), BATCH)
             self.steps += 1
             rate = RATE * np.sqrt(n / BATCH)
-            for k, g in gradient(self.net, context[i:i + n], target[i:i + n]).items():
-                g = g.astype(np.float32)
-                self.m[k] = 0.9 * self.m[k] + 0.1 * g
-                self.v[k] = 0.99 * self.v[k] + 0.01 * g * g
-                fix = np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
-                self.net[k] -= rate * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
+            g = pack_net(gradient(self.net, context[i:i + n], target[i:i + n]))
+            fix = np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
+            self.m *= 0.9
+            self.m += 0.1 * g
+            self.v *= 0.99
+            self.v += 0.01 * g * g
+            self.flat -= rate * fix * self.m / (np.sqrt(self.v) + 1e-8)
             self.seen += len(target[i:i + n])
             i += n
 
 
 def pack_net(net) -> np.ndarray:
-    return np.concatenate([net[k].reshape(-1) for k in sorted(net)])
+    return np.concatenate([net[k].reshape(-1) for k in sorted(net)]).astype(np.float32, copy=False)
 
 
 def unpack_net(flat: np.ndarray, like) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = flat[at:at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = flat[at:at + like[k].size].reshape(like[k].shape).astype(np.float32, copy=False)
         at += like[k].size
     return out
 
@@ -194,6 +204,7 @@ def rows_of(df: DataFrame, of, fields: list[T.StructField], per_partition) -> Da
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        keep_freed()
         for made in per_partition([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()] for b in batches):
             for i in range(0, len(made[0]), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 10_000], f.type) for a, f in zip(made, arrow)], schema=arrow)
@@ -202,22 +213,57 @@ def rows_of(df: DataFrame, of, fields: list[T.StructField], per_partition) -> Da
     return df.select(of.alias("t")).mapInArrow(run, schema)
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(number of words of each text, number of each word, the words by number): what ``bytes.split`` finds, split and numbered by Arrow."""
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    found = lists.flatten()
+    real = np.asarray(pc.not_equal(pc.binary_length(found), 0))  # white space at an end of a text splits off an empty word
+    ends = np.cumsum(np.r_[0, real])[np.cumsum(np.r_[0, np.asarray(lists.value_lengths())])]
+    numbered = found.filter(pa.array(real)).dictionary_encode()
+    return np.diff(ends), np.asarray(numbered.indices), numbered.dictionary.cast(pa.binary())
+
+
+def as_bytes(words: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls."""
+    _, ends, data = words.buffers()
+    line = data.to_pybytes() if data else b""
+    ends = np.frombuffer(ends, np.int32)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    return [line[i:j] for i, j in pairwise(ends.tolist())]
+
+
+def slices(texts: pa.Array, budget: int):
+    """(start, length) of consecutive texts of about ``budget`` bytes."""
+    for i, j in runs(pc.binary_length(texts).fill_null(0).to_pylist(), budget):
+        yield i, j - i
+
+
 def word_counts(docs: DataFrame, text_col: str = "text", cache_words: int = 300_000) -> DataFrame:
     """word, n: all words of the corpus, in a scratch table that grows with it."""
-    def count(batches):
-        held = Counter()
-        for texts in batches:
-            for i, j in runs(map(len, texts), TEXT_BUDGET):
-                for text in texts[i:j]:
-                    held.update(text.split())
-                if len(held) > cache_words:
-                    yield [list(held), list(held.values())]
-                    held.clear()
+    small_batches(docs.sparkSession)
+    schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        keep_freed()
+        held = []
+
+        def summed():
+            rows = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            held.clear()
+            yield from rows.rename_columns(["word", "n"]).cast(arrow).to_batches(10_000)
+
+        for batch in batches:
+            for i, n in slices(batch.column(0), TEXT_BUDGET):
+                _, at, words = split_words(batch.column(0).slice(i, n))
+                held.append(pa.table({"word": words, "n": np.bincount(at, minlength=len(words)).astype(np.int64)}))
+                if sum(map(len, held)) > cache_words:
+                    yield from summed()
         if held:
-            yield [list(held), list(held.values())]
+            yield from summed()
+        trim()
 
-    fields = [T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]
-    return scratch(rows_of(docs, column(docs, text_col).cast("string"), fields, count).groupBy("word").agg(F.sum("n").alias("n")), "words")
+    found = docs.select(column(docs, text_col).cast("string").alias("t")).mapInArrow(run, schema)
+    return scratch(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
 def bucket_counts(words: DataFrame) -> np.ndarray:
@@ -285,11 +331,27 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts:
 
 
 def score_symbols(seqs: list[np.ndarray], net) -> np.ndarray:
-    """The sum of the symbols' conditional log-probabilities in each text."""
+    """The sum of the symbols' conditional log-probabilities in each text.
+
+    What each symbol at each offset adds to the hidden layer is worked out once, not for each token: on the grid these sums are exact."""
     target, context, of = contexts(seqs)
+    adds = [net["embed"] @ w for w in net["hidden"].reshape(len(OFFSETS), DIM, HIDDEN)]
     out = np.zeros(len(seqs), np.int64)  # in units that add up alike wherever a batch is cut
     for i in range(0, len(target), BATCH):
-        logp, _ = forward(net, context[i:i + BATCH], target[i:i + BATCH], True)
+        t, at = target[i:i + BATCH], context[i:i + BATCH]
+        h = adds[0].take(at[:, 0], 0)
+        for k in range(1, len(adds)):
+            h += adds[k].take(at[:, k], 0)
+        h += net["hidden_bias"]
+        np.maximum(h, 0, out=h)
+        h *= GRID
+        np.round(h, out=h)
+        h /= GRID
+        c, rows = t // SIDE, np.arange(len(t))
+        of_class, of_member = net["class"].T @ h.T, net["member"].T @ h.T
+        of_class += net["class_bias"][:, None]
+        of_member += net["member_bias"].T.take(c, 1)
+        logp = log_softmax(of_class, c, rows)[0] + log_softmax(of_member, t % SIDE, rows)[0]
         out += np.bincount(of[i:i + BATCH], weights=np.round(logp * np.float64(SCALE)), minlength=len(seqs)).astype(np.int64)
     return out / SCALE
 
@@ -347,6 +409,7 @@ def word_pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: st
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        keep_freed()
         weights = net.value
         for b in batches:
             raw = b.column(4).to_pylist()
@@ -357,8 +420,9 @@ def word_pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: st
         trim()
 
     # No word has more than its share of this join: frequent ones aren't in it. A word that the table lacks adds log(1).
+    # A partition's words (each once in the table) are held as a hash table, which saves sorting all rows of texts.
     logs = words.where(F.col("n") < least).select("word", F.round(F.log("n") * SCALE).cast("long").alias("log_n"))
-    rare = encoded.select("row", F.inline("rare")).join(logs, "word").select("row", (F.col("times") * F.col("log_n")).alias("log_n"))
+    rare = encoded.select("row", F.inline("rare")).join(logs.hint("shuffle_hash"), "word").select("row", (F.col("times") * F.col("log_n")).alias("log_n"))
     whole = inner.mapInArrow(run, schema).unionByName(rare, allowMissingColumns=True).groupBy("row").agg(
         F.first("id", ignorenulls=True).alias("id"), F.sum("n_tokens").alias("n_tokens"),
         (F.sum("part") + F.coalesce(F.sum("log_n"), F.lit(0)) / SCALE).alias("pll"))
@@ -377,45 +441,31 @@ def encode_words(docs: DataFrame, id_col: str, text_col: str, shared) -> DataFra
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        keep_freed()
         table, mass, often = shared.value
-
-        class Numbers(dict):
-            """word -> its number; the first time it is met, its symbol and share are noted."""
-            def __missing__(self, word):
-                symbol, self[word] = int(table[bucket(word)]), len(self)
-                own = often.get(word)
-                names.append(None if own is not None else word)
-                symbol_of.append(symbol)
-                share_of.append(-mass[symbol] if own is None else own)
-                return self[word]
-
-        numbers, names, symbol_of, share_of = Numbers(), [], [], []
         for batch in batches:
-            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            for i, j in runs(map(len, texts), TEXT_BUDGET):
-                if len(numbers) > 200_000:
-                    numbers.clear()
-                    for held in (names, symbol_of, share_of):
-                        held.clear()
-                seen, ends = [], [0]
-                for text in texts[i:j]:
-                    own = text.split()
-                    seen.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
-                symbols, shares = np.array(symbol_of, np.uint16), np.array(share_of, np.float64)
-                is_rare = np.fromiter((w is not None for w in names), bool, len(names))
-                rare, times = [], []
-                for at in seen:
-                    some, n = np.unique(at[is_rare[at]], return_counts=True)
-                    rare += [names[k] for k in some.tolist()]
-                    times.append(n)
-                    ends.append(len(rare))
-                pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(np.concatenate(times), pa.int64())],
-                                                   fields=list(arrow.field("rare").type.value_type))
+            for i, n in slices(batch.column(2), TEXT_BUDGET):
+                sizes, at, words = split_words(batch.column(2).slice(i, n))
+                named = as_bytes(words)
+                symbols = table[np.fromiter(map(bucket, named), np.int64, len(named))]
+                shares = np.fromiter(map(often.get, named, repeat(np.nan)), np.float64, len(named))
+                is_rare = np.isnan(shares)
+                shares[is_rare] = -mass[symbols[is_rare]]
+                # (text, word) of each rare word of each text, and how often it is there
+                of = np.repeat(np.arange(n), sizes)
+                mine = is_rare[at]
+                pairs, times = np.unique(of[mine] * len(named) + at[mine], return_counts=True)
+                ends = np.searchsorted(pairs, np.arange(n + 1) * len(named))
+                rare = pa.StructArray.from_arrays([words.take(pa.array(pairs % max(len(named), 1))), pa.array(times, pa.int64())],
+                                                  fields=list(arrow.field("rare").type.value_type))
+                packed = symbols.astype(np.uint16)[at]
+                cuts = list(pairwise(np.r_[0, np.cumsum(sizes)].tolist()))
+                own = shares[at]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i).cast(arrow.field("id").type), batch.column(1).slice(i, j - i),
-                    pa.array([len(at) for at in seen], pa.int64()), pa.array([float(shares[at].sum()) for at in seen], pa.float64()),
-                    pa.array([symbols[at].tobytes() for at in seen], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs).cast(arrow.field("rare").type)], schema=arrow)
+                    batch.column(0).slice(i, n).cast(arrow.field("id").type), batch.column(1).slice(i, n),
+                    pa.array(sizes, pa.int64()), pa.array([float(own[a:b].sum()) for a, b in cuts], pa.float64()),
+                    pa.array([packed[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare).cast(arrow.field("rare").type)], schema=arrow)
         trim()
 
     return scratch(inner.mapInArrow(run, schema), "encoded")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -433,6 +434,49 @@ def test_every_word_has_its_own_probability(spark, docs, empty, rows, tmp_path):
     assert lm_scoring.word_pseudo_likelihood(empty).count() == 0
 
 
+def test_words_are_split_and_numbered_as_bytes_split_does():
+    texts = [b"", b" ", b"  a b\tc\x0bd\x0ce\r\nf \x1cg\x1dh\x85i\xc2\xa0j  ", b"\xff\xfe x\x80y z", "é ü  w\u3000q a".encode(), b"a", None, b"\x00 \x00b a ", b"\x1f"]
+    raw = pa.array(texts, pa.binary())
+    given = pa.Array.from_buffers(pa.string(), len(raw), raw.buffers())
+    for i in range(len(texts)):
+        for n in range(len(texts) - i + 1):
+            sizes, at, words = lm_scoring.split_words(given.slice(i, n))
+            named = lm_scoring.as_bytes(words)
+            want = [(t or b"").split() for t in texts[i:i + n]]
+            assert sizes.tolist() == [len(w) for w in want] and [named[k] for k in at] == [w for own in want for w in own]
+            assert len(set(named)) == len(named)
+
+
+def test_word_counts_in_parts(spark, docs, rows):
+    want = Counter(w for _, t in rows for w in (t or "").encode().split())
+    for cache in (1, 300_000):
+        assert {bytes(r.word): r.n for r in lm_scoring.word_counts(docs, cache_words=cache).collect()} == want
+
+
+def test_scores_from_sums_of_each_symbol_are_those_of_the_whole_product():
+    """On the grid both ways add up exactly; steps over one vector of weights are those over each array."""
+    rng = np.random.default_rng(4)
+    seqs = [rng.integers(0, lm_scoring.SYMBOLS, n) for n in (0, 1, 3, 5000)]
+    net = lm_scoring.on_grid(lm_scoring.initial(rng.integers(1, 1000, lm_scoring.BUCKETS)))
+    target, context, of = lm_scoring.contexts(seqs)
+    h = np.maximum(net["embed"][context].reshape(len(context), -1) @ net["hidden"] + net["hidden_bias"], 0)
+    h = np.round(h * lm_scoring.GRID) / lm_scoring.GRID
+    c, m, at = target // lm_scoring.SIDE, target % lm_scoring.SIDE, np.arange(len(target))
+    logp = sum(lm_scoring.softmax(np.ascontiguousarray(z.T), k, at)[0]
+               for z, k in ((h @ net["class"] + net["class_bias"], c), (h @ net["member"] + net["member_bias"][c], m)))
+    want = np.bincount(of, np.round(logp * np.float64(lm_scoring.SCALE)), len(seqs)) / lm_scoring.SCALE
+    assert (lm_scoring.score_symbols(seqs, net) == want).all()
+    trainer = lm_scoring.Trainer(net)
+    trainer.learn(context, target)
+    assert (lm_scoring.pack_net(trainer.net) == trainer.flat).all() and (trainer.flat != lm_scoring.pack_net(net)).any()
+
+
+def test_rare_words_are_joined_without_a_sort(spark, docs):
+    """The rows of all texts and rare words meet a table of words that are there once: these are hashed, nothing is sorted."""
+    plan = lm_scoring.word_pseudo_likelihood(docs, frequent=50)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_prefix_pairs_lose_no_link(spark):
     """Members of one crowded bucket: a long common passage, endings of their own, some of them nearly equal."""
     rng = np.random.default_rng(5)
