@@ -11,10 +11,13 @@ document's strings fall into stretches of neighbours with the same anchor.
    are known to be repeats.
 2. Shards by anchor hash gather the entries. A stretch that a smaller document has too
    is a repeat; if an anchor has different stretches, the first
-   document of each is asked for its bytes.
+   document of each is asked for its bytes. Anchors are minima of hashes, so small
+   hashes are far more frequent; the shards' limits follow that, and each shard gets about as much.
 3. Those bytes are gathered by anchor again. The suffixes of a shard's
    stretches that are a full string long are sorted (a suffix array cut at ``LENGTH``),
    and neighbours that agree in ``LENGTH`` bytes show which strings start in a smaller document.
+   Where an anchor has very many stretches, hashes of their strings are sent instead,
+   each to a shard of its own, and of equal strings in a few texts only the first document's.
 4. The answers meet the texts, and the covered bytes are cut.
 """
 
@@ -30,9 +33,9 @@ from strata.llm.common import column, runs, scratch, small_batches, trim
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed at a time, entries that a task gathers before it sends them, and text bytes that a shard's entries stand for.
-FLUSH, GATHER, SHARD_BYTES = 1 << 20, 300_000, 4 << 20
-#: Anchors whose strings are sorted at a time.
-STRETCHES = 2000
+FLUSH, GATHER, SHARD_BYTES = 1 << 20, 300_000, 8 << 20
+#: Entries of a shard that are sorted at a time, strings that are sorted at a time (or those of one anchor) and stretches from which an anchor's strings are dealt out.
+ENTRIES, STRINGS, HOT_STRETCHES = 1 << 20, 1 << 18, 20_000
 #: Documents without an id come after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -108,6 +111,18 @@ def groups(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def limits(shards: int) -> np.ndarray:
+    """The anchor hashes where a new shard begins, so that random texts give each as much.
+
+    A hash ``x`` (of 0 to 1) is an anchor if ``w`` neighbours with it in their midst are larger; a share of
+    ``1 - q ** w * (w + 1 - (w - 1) * q) / 2`` of the anchors is below ``x = 1 - q``.
+    """
+    w = LENGTH - GRAM + 1
+    x = np.linspace(0, 1, 1 << 18) ** 2
+    below = 1 - (1 - x) ** w * (w + 1 - (w - 1) * (1 - x)) / 2
+    return (np.interp(np.arange(1, shards) / shards, below, x) * 2.0 ** 63).astype(np.uint64) << np.uint64(1)
+
+
 def texts_of(batches, n_text: int):
     """Ids and texts of about ``FLUSH`` bytes at a time."""
     ids, texts, total = [], [], 0
@@ -137,14 +152,19 @@ def by_doc(doc: np.ndarray, *values: np.ndarray):
 
 ENTRY = T.StructType([T.StructField("shard", T.LongType()), T.StructField("id", T.LongType()), T.StructField("entries", T.BinaryType())])
 #: A stretch (by key) of a document: the strings of it (bits) that a smaller document has; WHOLE: all of them; ASK: its bytes are needed.
+#: HOT: no stretch, but an anchor (as key) and how many stretches of it are asked for (as id).
 MARK = T.StructType([T.StructField(n, T.LongType()) for n in ("id", "key", "mask")])
-WHOLE, ASK = -1, 0
+WHOLE, ASK, HOT = -1, 0, -2
+#: Asked stretches; with DONE as offset, a mark (its mask as anchor); with DEALT, packed strings of hot anchors.
+DONE, DEALT = -1, -2
 BYTES = T.StructType([T.StructField("shard", T.LongType()), T.StructField("id", T.LongType()), T.StructField("key", T.LongType()),
                       T.StructField("anchor", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("bytes", T.BinaryType())])
 
 
 def entries(docs: DataFrame, shards: int) -> DataFrame:
     """Rows for the shards (0 and up: packed ids, anchors, keys) and, with negative shards, repeats that the task has found itself (``id``, keys)."""
+    begins = limits(shards)
+
     def send(doc, anchor, key):
         order = np.lexsort((doc, key, anchor))
         doc, anchor, key = doc[order], anchor[order], key[order]
@@ -154,7 +174,9 @@ def entries(docs: DataFrame, shards: int) -> DataFrame:
         names, (keys,) = by_doc(doc[own], key[own])
         rows = [(-1 - names % shards).tolist(), names.tolist(), keys]
         doc, anchor, key = doc[new], anchor[new], key[new]
-        shard = (anchor >> np.uint64(40)).astype(np.int64) * shards >> 24
+        shard = np.searchsorted(begins, anchor, side="right")
+        order = np.lexsort((doc, shard))
+        doc, anchor, key, shard = doc[order], anchor[order], key[order], shard[order]
         cut = np.flatnonzero(groups(shard))
         for a, z in zip(cut, [*cut[1:], len(shard)]):
             rows[0].append(int(shard[a]))
@@ -180,33 +202,54 @@ def entries(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("id", "t").mapInArrow(run, ENTRY)
 
 
+def planes(x: np.ndarray, *cuts: int) -> list[bytes]:
+    """The bytes of numbers, those before, between and after ``cuts`` apart: high ones that hardly vary compress well."""
+    b = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1)
+    return [b[:, a:z].tobytes() for a, z in zip((0, *cuts), (*cuts, b.shape[1]))]
+
+
+class Reader:
+    """Reads what ``planes`` has written, and plain numbers."""
+
+    def __init__(self, payload):
+        self.payload, self.at = payload, 0
+
+    def plain(self, kind, n: int) -> np.ndarray:
+        self.at += n * np.dtype(kind).itemsize
+        return np.frombuffer(self.payload, kind, n, self.at - n * np.dtype(kind).itemsize)
+
+    def numbers(self, kind, n: int, *cuts: int, low: int = 0) -> np.ndarray:
+        """Numbers in parts; the ``low`` lowest bytes, which aren't there, are 0."""
+        width = np.dtype(kind).itemsize
+        out = np.zeros((n, width), np.uint8)
+        for a, z in zip((low, *cuts), (*cuts, width)):
+            out[:, a:z] = self.plain(np.uint8, n * (z - a)).reshape(n, z - a)
+        return out.view(kind).ravel()
+
+
 def packed(doc: np.ndarray, anchor: np.ndarray, key: np.ndarray) -> bytes:
-    """Entries as bytes: distinct ids and their numbers, the anchors in two parts (the high one hardly varies), 48 bits of the keys."""
-    heads, index = np.unique(doc, return_inverse=True)
-    a, k = (np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8) for x in (anchor, key))
-    return b"".join([np.array([len(doc), len(heads)], np.int64).tobytes(), heads.tobytes(), index.astype(np.uint32 if len(heads) > 65535 else np.uint16).tobytes(),
-                     a[:, :6].tobytes(), a[:, 6:].tobytes(), k[:, 2:].tobytes()])
-
-
-def unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, m = np.frombuffer(payload, np.int64, 2)
-    at = 16 + 8 * m
-    heads = np.frombuffer(payload, np.int64, m, 16)
-    kind = np.uint32 if m > 65535 else np.uint16
-    doc = heads[np.frombuffer(payload, kind, n, at)]
-    at += np.dtype(kind).itemsize * n
-    anchor, key = np.zeros((n, 8), np.uint8), np.zeros((n, 8), np.uint8)
-    for a, b, part in ((0, 6, anchor), (6, 8, anchor), (2, 8, key)):
-        part[:, a:b] = np.frombuffer(payload, np.uint8, n * (b - a), at).reshape(n, b - a)
-        at += n * (b - a)
-    return doc, anchor.view(np.uint64).ravel(), key.view(np.uint64).ravel()
+    """Entries, sorted by document, as bytes: ids less the first, how many entries each has, anchors and 48 bits of the keys."""
+    cut = np.flatnonzero(groups(doc))
+    count = np.diff(cut, append=len(doc)).astype(np.uint32)
+    return b"".join([np.array([len(doc), len(cut), doc[0]], np.int64).tobytes(), *planes(doc[cut] - doc[0], 2), *planes(count, 1), *planes(anchor, 6, 7), *planes(key, 2)[1:]])
+
+
+def unpacked(payload) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r = Reader(payload)
+    n, m, first = r.plain(np.int64, 3)
+    heads = r.numbers(np.int64, m, 2) + first
+    doc = np.repeat(heads, r.numbers(np.uint32, m, 1))
+    return doc, r.numbers(np.uint64, n, 6, 7), r.numbers(np.uint64, n, low=2)
 
 
 HIGH48 = ~np.uint64(0xFFFF)
 
 
-def repeats_in_shard(doc, anchor, key):
-    """(repeats, asked): entry arrays (doc, key) that a smaller document has whole, and those whose bytes are needed."""
+def repeats_in_shard(doc, anchor, key, large=None):
+    """(repeats, asked, hot): entry arrays (doc, key) that a smaller document has whole, and those whose bytes are needed; (stretches asked, anchor) of hot anchors.
+
+    All stretches of the anchors ``large`` are asked for, and these are hot.
+    """
     order = np.lexsort((doc, key, anchor))
     doc, anchor, key = doc[order], anchor[order], key[order]
     new = groups(anchor, key)
@@ -214,28 +257,69 @@ def repeats_in_shard(doc, anchor, key):
     head = doc[at]
     again = np.flatnonzero(doc > head[np.cumsum(new) - 1])
     one = groups(anchor[at])  # of the first entries: where another anchor begins
-    if len(at):
-        cut = np.flatnonzero(one)
-        low, high = np.minimum.reduceat(head, cut), np.maximum.reduceat(head, cut)
-        ask = at[(low < high)[np.cumsum(one) - 1]]
-    else:
-        ask = at
-    return (doc[again], key[again]), (doc[ask], key[ask])
+    if not len(at):
+        return (doc, key), (doc, key), (doc, anchor)
+    cut, none = np.flatnonzero(one), np.zeros(0, np.uint64)
+    always = np.isin(anchor[at[cut]], none if large is None else large)
+    wanted = (np.minimum.reduceat(head, cut) < np.maximum.reduceat(head, cut)) | always
+    ask = at[wanted[np.cumsum(one) - 1]]
+    asked = np.where(wanted, np.diff(cut, append=len(at)), 0)
+    hot = np.flatnonzero((asked > HOT_STRETCHES) | always)
+    return (doc[again], key[again]), (doc[ask], key[ask]), (asked[hot], anchor[at[cut[hot]]])
+
+
+def some_entries(payloads: list):
+    """The entries of a shard in parts (of about ``ENTRIES``, if there are more), and the anchors that are in several parts.
+
+    An anchor is in one part, but those with a large share of a part are dealt out by key.
+    """
+    n = sum(int(np.frombuffer(x, np.int64, 1)[0]) for x in payloads)
+    parts = -(-n // ENTRIES)
+    if parts <= 1:
+        yield *(np.concatenate(x) for x in zip(*map(unpacked, payloads))), None
+        return
+    anchor = np.sort(np.concatenate([unpacked(x)[1] for x in payloads]))
+    cut = np.flatnonzero(groups(anchor))
+    large = anchor[cut[np.diff(cut, append=n) > ENTRIES // 4]]
+    del anchor, cut
+    for p in range(parts):
+        found = []
+        for x in payloads:
+            doc, anchor, key = unpacked(x)
+            here = np.flatnonzero(mixed(np.where(np.isin(anchor, large), key + ODD, anchor)) % np.uint64(parts) == p)
+            found.append((doc[here], anchor[here], key[here]))
+        yield *(np.concatenate(x) for x in zip(*found)), large
+
+
+def mark_table(rows: list[tuple]) -> pa.Table:
+    """MARK rows of (ids, keys, mask or masks)."""
+    some = [(i, k, np.broadcast_to(np.int64(m) if np.isscalar(m) else m, len(i))) for i, k, m in rows]
+    return pa.table([pa.array(np.concatenate([np.zeros(0, np.int64), *(np.asarray(x).astype(np.int64, copy=False) for x in c)])) for c in (zip(*some) if some else [[]] * 3)], names=MARK.names)
+
+
+def buffers(column: pa.ChunkedArray) -> list[memoryview]:
+    """The binary values of a column without copies."""
+    return [memoryview(x.as_buffer()) for chunk in column.chunks for x in chunk]
 
 
 def shard_marks(sent: DataFrame) -> DataFrame:
-    """MARK rows: the stretches that are repeats, and those whose bytes are needed."""
-    def run(pdf):
-        import pandas as pd
-        if pdf["shard"].iloc[0] < 0:
-            found = [np.frombuffer(x, np.uint64) for x in pdf["entries"]]
-            doc, key, mask = np.repeat(pdf["id"].to_numpy(np.int64), [len(x) for x in found]), np.concatenate(found), WHOLE
-        else:
-            (d, k), (d2, k2) = repeats_in_shard(*(np.concatenate(x) for x in zip(*map(unpacked, pdf["entries"]))))
-            doc, key, mask = np.concatenate([d, d2]), np.concatenate([k, k2]), np.repeat([WHOLE, ASK], [len(d), len(d2)])
-        return pd.DataFrame({"id": doc, "key": key.view(np.int64), "mask": mask})
+    """MARK rows: the stretches that are repeats, those whose bytes are needed, and hot anchors."""
+    def run(t):
+        payloads = buffers(t.column("entries"))
+        if t.column("shard")[0].as_py() < 0:
+            found = [np.frombuffer(x, np.uint64) for x in payloads]
+            return mark_table([(np.repeat(t.column("id").to_numpy(), [len(x) for x in found]), np.concatenate(found).view(np.int64), WHOLE)])
+        rows = []
+        for doc, anchor, key, large in some_entries(payloads):
+            (d, k), (d2, k2), (n, a) = repeats_in_shard(doc, anchor, key, large)
+            rows += [(d, k.view(np.int64), WHOLE), (d2, k2.view(np.int64), ASK), (n, a.view(np.int64), HOT)]
+        del doc, anchor, key
+        out = mark_table(rows)
+        del rows, payloads
+        trim()
+        return out
 
-    return sent.groupBy("shard").applyInPandas(run, MARK)
+    return sent.groupBy("shard").applyInArrow(run, MARK)
 
 
 def member(keys: np.ndarray, doc: np.ndarray, wanted: list[np.ndarray]) -> np.ndarray:
@@ -254,8 +338,27 @@ def lists(column: pa.ListArray) -> list[np.ndarray]:
     return [none if not x.is_valid else x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in column]
 
 
-def asked_bytes(marked: DataFrame, shards: int) -> DataFrame:
-    """The bytes of the stretches that documents were asked for (one of equal ones)."""
+def asked_bytes(marked: DataFrame, shards: int, hot: np.ndarray, dealt: int) -> DataFrame:
+    """The bytes of the stretches that documents were asked for (one of equal ones); the strings of ``hot`` anchors (sorted), dealt to ``dealt`` shards after the others."""
+    begins = limits(shards)
+
+    def send(shard, doc, key, anchor, offset, body):
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (shard, doc, key, anchor, offset)] + [pa.array(body, pa.binary())], names=BYTES.names)
+
+    def deal(doc, key, anchor, offset, body):
+        """Strings of hot anchors: those that a smaller document of these has are marked, the others are packed for their shards."""
+        of, number, sketch = strings(anchor, offset, np.array([len(b) for b in body], np.int64), b"".join(body))
+        late, order = later(doc[of], sketch)
+        mask = np.zeros(len(doc), np.uint64)
+        np.bitwise_or.at(mask, of[late], np.uint64(1) << number[late].astype(np.uint64))
+        at = np.flatnonzero(mask)
+        yield send(-1 - doc[at] % shards, doc[at], key[at].view(np.int64), mask[at].view(np.int64), np.full(len(at), DONE), [b""] * len(at))
+        shard = (sketch[order] >> np.uint64(40)).astype(np.int64) * dealt >> 24
+        begin = np.flatnonzero(groups(shard))  # as the strings are by hash, so are their shards
+        payloads = [packed_strings(doc[of[x]], key[of[x]], number[x], sketch[x]) for x in np.split(order, begin[1:])]
+        none = np.zeros(len(begin), np.int64)
+        yield send(shards + shard[begin], none, none, none, none + DEALT, payloads)
+
     def run(batches):
         for b in batches:
             ids, asks = b.column(0).to_pylist(), lists(b.column(2))
@@ -267,58 +370,108 @@ def asked_bytes(marked: DataFrame, shards: int) -> DataFrame:
                 key = s.key & HIGH48
                 at = np.flatnonzero(member(key, s.doc, asks[i:j]))
                 at = at[np.unique(np.stack([s.doc[at].astype(np.uint64), key[at]]), axis=1, return_index=True)[1]]
-                doc = np.array([LAST_ID if x is None else x for x in ids[i:j]], np.int64)[s.doc[at]]
-                body = [texts[i + d][a:z + LENGTH] for d, a, z in zip(s.doc[at].tolist(), s.first[at].tolist(), s.last[at].tolist())]
-                shard = (s.anchor[at] >> np.uint64(40)).astype(np.int64) * shards >> 24
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(doc), pa.array(key[at].view(np.int64)), pa.array(s.anchor[at].view(np.int64)),
-                                                  pa.array(s.offset[at].astype(np.int64)), pa.array(body, pa.binary())], names=[f.name for f in BYTES])
+                many = np.isin(s.anchor[at], hot)
+                for x, of_hot in ((at[~many], False), (at[many], True)):
+                    if not len(x):
+                        continue
+                    doc = np.array([LAST_ID if x is None else x for x in ids[i:j]], np.int64)[s.doc[x]]
+                    body = [texts[i + d][a:z + LENGTH] for d, a, z in zip(s.doc[x].tolist(), s.first[x].tolist(), s.last[x].tolist())]
+                    if of_hot:
+                        yield from deal(doc, key[x], s.anchor[x], s.offset[x], body)
+                    else:
+                        yield send(np.searchsorted(begins, s.anchor[x], side="right"), doc, key[x].view(np.int64), s.anchor[x].view(np.int64), s.offset[x], body)
         trim()
 
     return marked.select("id", "t", "ask").mapInArrow(run, BYTES)
 
 
-def earlier_strings(doc: np.ndarray, anchor: np.ndarray, offset: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(stretch, string) numbers of the strings that start in a stretch of a smaller document too.
+def strings(anchor: np.ndarray, offset: np.ndarray, sizes: np.ndarray, data, begin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, string, hash) of all strings of the stretches, whose bytes begin at ``begin`` in ``data`` (or follow one another).
 
-    The strings of all stretches are sorted as suffixes cut at ``LENGTH`` bytes: by anchor and
-    place of the anchor, then by the bytes as seven big-endian words; neighbours that agree are one string.
+    The hash is of the anchor, its place in the string and the string's bytes as seven words.
     """
-    sizes = np.array([len(b) for b in bodies], np.int64)
     count = sizes - LENGTH + 1
-    of = np.repeat(np.arange(len(bodies)), count)
+    of = np.repeat(np.arange(len(sizes)), count)
     number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    at = np.repeat(np.cumsum(sizes) - sizes, count) + number
-    data = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8)
-    word = np.zeros(len(data) - 7, np.uint64)
-    for k in range(8):
-        word = (word << np.uint64(8)) | data[k:len(data) - 7 + k]
-    keys = [word[at + 8 * k] for k in range(LENGTH // 8)] + [word[at + LENGTH - 8]]
+    at = np.repeat(np.cumsum(sizes) - sizes if begin is None else begin, count) + number
+    word = np.ndarray(max(0, len(data) - 7), "<u8", data, strides=(1,))  # the eight bytes from each place on
     sketch = mixed(anchor[of] + (offset[of] - number).astype(np.uint64) * ODD)
-    for k in keys:
-        sketch = mixed(sketch * ODD + k)
-    order = np.lexsort((doc[of], sketch))
-    new = groups(sketch[order])
-    d = doc[of][order]
-    late = order[d > d[np.flatnonzero(new)][np.cumsum(new) - 1]]
-    return of[late], number[late]
+    for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+        sketch = mixed(sketch * ODD + word[at + k])
+    return of, number, sketch
+
+
+def later(doc: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The strings that a smaller document of these has too, and the others; both by hash."""
+    order = np.lexsort((doc, sketch))
+    doc, new = doc[order], groups(sketch[order])
+    late = doc > doc[new][np.cumsum(new) - 1]
+    return order[late], order[~late]
+
+
+def packed_strings(doc: np.ndarray, key: np.ndarray, number: np.ndarray, sketch: np.ndarray) -> bytes:
+    """Strings as bytes: ids, 48 bits of the keys, numbers in the stretch, hashes."""
+    return b"".join([np.array([len(doc)], np.int64).tobytes(), *planes(doc, 3), *planes(key, 2)[1:], number.astype(np.uint8).tobytes(), sketch.tobytes()])
+
+
+def unpacked_strings(payload) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    r = Reader(payload)
+    n = int(r.plain(np.int64, 1)[0])
+    return r.numbers(np.int64, n, 3), r.numbers(np.uint64, n, low=2), r.plain(np.uint8, n), r.plain(np.uint64, n)
+
+
+def dealt_marks(payloads: list):
+    """(id, key, mask) of the dealt strings that start in a smaller document too, some hashes at a time."""
+    parts = -(-sum(int(np.frombuffer(x, np.int64, 1)[0]) for x in payloads) // ENTRIES)
+    for p in range(parts):
+        found = []
+        for x in payloads:
+            values = unpacked_strings(x)
+            here = np.flatnonzero(values[3] % np.uint64(parts) == p)
+            found.append([v[here] for v in values])
+        doc, key, number, sketch = (np.concatenate(x) for x in zip(*found))
+        late, _ = later(doc, sketch)
+        if len(late):
+            late = late[np.lexsort((key[late], doc[late]))]
+            begin = np.flatnonzero(groups(doc[late], key[late]))
+            yield doc[late[begin]], key[late[begin]].view(np.int64), np.bitwise_or.reduceat(np.uint64(1) << number[late].astype(np.uint64), begin).view(np.int64)
+
+
+def stretch_masks(doc: np.ndarray, anchor: np.ndarray, offset: np.ndarray, sizes: np.ndarray, data) -> np.ndarray:
+    """For each stretch (bytes one after another in ``data``) the strings, as bits, that start in a stretch of a smaller document too.
+
+    The strings of some anchors at a time are sorted by hash; neighbours that agree are one string.
+    """
+    mask, begin = np.zeros(len(doc), np.uint64), np.cumsum(sizes) - sizes
+    order = np.argsort(anchor, kind="stable")
+    count = (sizes - LENGTH + 1)[order]
+    cut = np.flatnonzero(groups(anchor[order]))  # all stretches of an anchor stay together
+    part = ((np.cumsum(count) - count) // STRINGS)[cut]
+    for rows in np.split(order, cut[1:][part[1:] != part[:-1]]) if len(order) else []:
+        of, number, sketch = strings(anchor[rows], offset[rows], sizes[rows], data, begin[rows])
+        late, _ = later(doc[rows][of], sketch)
+        np.bitwise_or.at(mask, rows[of[late]], np.uint64(1) << number[late].astype(np.uint64))
+    return mask
 
 
 def string_marks(asked: DataFrame) -> DataFrame:
     """MARK rows of the asked stretches that have strings which start in a smaller document."""
-    def run(pdf):
-        import pandas as pd
-        doc, key = pdf["id"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64).view(np.uint64)
-        anchor, offset, bodies = pdf["anchor"].to_numpy(np.int64).view(np.uint64), pdf["offset"].to_numpy(np.int64), pdf["bytes"].to_numpy()
-        mask = np.zeros(len(doc), np.uint64)
-        order = np.argsort(anchor, kind="stable")
-        begin = np.flatnonzero(groups(anchor[order]))  # some anchors at a time, all stretches of each
-        for part in np.split(order, begin[STRETCHES::STRETCHES]):
-            of, number = earlier_strings(doc[part], anchor[part], offset[part], list(bodies[part]))
-            np.bitwise_or.at(mask, part[of], np.uint64(1) << number.astype(np.uint64))
-        at = np.flatnonzero(mask)
-        return pd.DataFrame({"id": doc[at], "key": key[at].view(np.int64), "mask": mask[at].view(np.int64)})
+    def run(t):
+        doc, key, anchor, offset = (t.column(c).to_numpy() for c in ("id", "key", "anchor", "offset"))
+        if offset[0] == DONE:
+            return mark_table([(doc, key, anchor)])
+        if offset[0] == DEALT:
+            out = mark_table([*dealt_marks(buffers(t.column("bytes")))])
+        else:
+            bodies = t.column("bytes").cast(pa.large_binary()).combine_chunks()
+            ends = np.frombuffer(bodies.buffers()[1], np.int64, len(bodies) + 1, 8 * bodies.offset)
+            mask = stretch_masks(doc, anchor.view(np.uint64), offset, np.diff(ends), np.frombuffer(bodies.buffers()[2], np.uint8)[ends[0]:ends[-1]])
+            at = np.flatnonzero(mask)
+            out = mark_table([(doc[at], key[at], mask[at].view(np.int64))])
+        trim()
+        return out
 
-    return asked.groupBy("shard").applyInPandas(run, MARK)
+    return asked.groupBy("shard").applyInArrow(run, MARK)
 
 
 RESULT = [T.StructField(n, t) for n, t in (("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept", T.BinaryType()))]
@@ -341,6 +494,8 @@ def cut_texts(texts: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]]):
         if len(whole[d]) < len(marks[d][0]) and z > a:
             table = np.stack(marks[d], 1)[marks[d][1] != ~np.uint64(0)]
             table = table[np.argsort(table[:, 0], kind="stable")]
+            begin = np.flatnonzero(groups(table[:, 0]))  # a stretch's strings may be marked in several rows
+            table = np.stack([table[begin, 0], np.bitwise_or.reduceat(table[:, 1], begin)], 1)
             i = np.minimum(np.searchsorted(table[:, 0], key[a:z]), len(table) - 1)
             for r in np.flatnonzero(table[i, 0] == key[a:z]):
                 mask = int(table[i[r], 1])
@@ -374,8 +529,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = scratch(shard_marks(entries(base, shards)), "marks")
     # The lists are a document's own marks, at most one for each of its stretches.
     asks = marks.where(F.col("mask") == ASK).groupBy("id").agg(F.collect_list("key").alias("ask"))
-    parts = string_marks(asked_bytes(base.select("id", "t").join(asks, "id"), shards))
-    found = marks.where(F.col("mask") != ASK).unionAll(parts).groupBy("id").agg(F.collect_list(F.struct("key", "mask")).alias("m"))
+    # An anchor is hot by thousands of stretches, so these are few.
+    hot = marks.where(F.col("mask") == HOT).groupBy("key").agg(F.sum("id")).collect()
+    dealt = -(-sum(r[1] for r in hot) * (LENGTH - GRAM + 1) // ENTRIES)
+    anchors = np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64))
+    parts = string_marks(asked_bytes(base.select("id", "t").join(asks, "id"), shards, anchors, dealt))
+    found = marks.where(~F.col("mask").isin(ASK, HOT)).unionAll(parts).groupBy("id").agg(F.collect_list(F.struct("key", "mask")).alias("m"))
     joined = base.join(found, "id", "left").select(*[f"k{i}" for i in range(len(keep))], F.col("m.key").alias("key"), F.col("m.mask").alias("mask"), "t")
     schema = T.StructType([joined.schema[f"k{i}"] for i in range(len(keep))] + RESULT)
 
